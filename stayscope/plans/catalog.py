@@ -128,3 +128,274 @@ def _sql_outcome(keys: str, src: str = "cohort", prolonged: bool = False, median
     "age_band", src=f"(SELECT *, {SQL_AGE_BAND} AS age_band FROM cohort) c"))
 def q_mortality_by_age(spark, root):
     return R.mortality_by_age(roles.cohort(spark, root))
+
+
+# ------------------------------------------------------- measurement logs ---
+
+from ..operators import events as EV  # noqa: E402
+from ..operators import metrics as M  # noqa: E402
+from ..operators import sampling as SP  # noqa: E402
+from ..operators import stats as ST  # noqa: E402
+
+VITAL_NAMES = list(dict.fromkeys(roles.VITAL_CODES.values()))
+LAB_NAMES = list(dict.fromkeys(roles.LAB_CODES.values()))
+VITAL_FEATURES = EV.feature_names(VITAL_NAMES)
+LAB_FEATURES = EV.feature_names(LAB_NAMES)
+FEATURES = VITAL_FEATURES + LAB_FEATURES + ["pulse_pressure"]
+
+
+def _in_list(codes) -> str:
+    return ", ".join(f"'{c}'" for c in codes)
+
+
+_VITAL_FILTER = (f"m.itemid IN ({_in_list(roles.VITAL_CODES)}) AND m.valuenum IS NOT NULL "
+                 "AND m.valuenum > 0 AND m.error IS DISTINCT FROM 1")
+_LAB_FILTER = (f"m.itemid IN ({_in_list(roles.LAB_CODES)}) AND m.valuenum IS NOT NULL "
+               "AND m.valuenum > 0")
+
+
+def _sql_window(anchor_key: str, hours: int = 24) -> str:
+    a = roles.SQL_ANCHOR.format(key=anchor_key)
+    return f"m.charttime BETWEEN {a} AND {a} + INTERVAL {hours} HOUR"
+
+
+def vitals(spark, root, anchors=None, window_hours=24):
+    """Chart measurements passing the plausibility filters, windowed on the
+    stay anchor (all stays when ``anchors`` is None)."""
+    m = EV.filter_measurements(roles.measurements(spark, root), roles.VITAL_CODES,
+                               error_col="error")
+    a = anchors if anchors is not None else roles.stay_anchors(spark, root)
+    return EV.window_join(m.drop("hadm_id"), a, "icustay_id", "icustay_id",
+                          window_hours=window_hours)
+
+
+def labs(spark, root, anchors, window_hours=24):
+    """Lab measurements joined by episode to the anchor stays, windowed on
+    the stay's anchor time; the stay id comes from the anchor."""
+    m = EV.filter_measurements(roles.measurements(spark, root), roles.LAB_CODES)
+    return EV.window_join(m.drop("icustay_id"), anchors, "hadm_id", "hadm_id",
+                          window_hours=window_hours, anchor_cols=["icustay_id"])
+
+
+@register("null_safe_filter", _with(roles.SQL_MEASUREMENTS) + """
+SELECT event_id, itemid, error FROM measurements WHERE error IS DISTINCT FROM 1""")
+def q_null_safe_filter(spark, root):
+    m = roles.measurements(spark, root)
+    return m.where(~F.col("error").eqNullSafe(1)).select("event_id", "itemid", "error")
+
+
+@register("window_events_by_stay", _with(roles.SQL_MEASUREMENTS) + f"""
+SELECT m.icustay_id, m.itemid, m.charttime, m.valuenum
+FROM measurements m JOIN orders o ON m.icustay_id = o.o_orderkey
+WHERE {_VITAL_FILTER} AND {_sql_window('o.o_orderkey')}""")
+def q_window_events_by_stay(spark, root):
+    return vitals(spark, root).select("icustay_id", "itemid", "charttime", "valuenum")
+
+
+@register("window_events_by_episode", _with(roles.SQL_ROLES, roles.SQL_MEASUREMENTS) + f"""
+SELECT c.icustay_id, m.itemid, m.charttime, m.valuenum
+FROM measurements m JOIN cohort c ON m.hadm_id = c.hadm_id
+WHERE {_LAB_FILTER} AND {_sql_window('c.icustay_id')}""")
+def q_window_events_by_episode(spark, root):
+    anchors = roles.cohort_anchors(roles.cohort(spark, root))
+    return labs(spark, root, anchors).select("icustay_id", "itemid", "charttime", "valuenum")
+
+
+@register("cohort_semi_join", _with(roles.SQL_ROLES, roles.SQL_MEASUREMENTS) + f"""
+SELECT m.icustay_id, m.itemid, m.valuenum FROM measurements m
+WHERE m.icustay_id IN (SELECT icustay_id FROM cohort) AND {_VITAL_FILTER}""")
+def q_cohort_semi_join(spark, root):
+    m = EV.filter_measurements(roles.measurements(spark, root), roles.VITAL_CODES,
+                               error_col="error")
+    return EV.restrict_to(m, roles.cohort(spark, root), "icustay_id", "icustay_id") \
+        .select("icustay_id", "itemid", "valuenum")
+
+
+@register("code_lookup", _with(roles.SQL_MEASUREMENTS) + f"""
+SELECT event_id, itemid, {roles.sql_vital_name('itemid')} AS item_name FROM measurements""")
+def q_code_lookup(spark, root):
+    m = roles.measurements(spark, root)
+    return EV.name_items(m, roles.VITAL_CODES).select("event_id", "itemid", "item_name")
+
+
+@register("long_stats", _with(roles.SQL_MEASUREMENTS) + f"""
+SELECT icustay_id, item_name, min(valuenum) AS min, max(valuenum) AS max,
+       {sql_r('avg(valuenum)', 6)} AS mean
+FROM (SELECT m.icustay_id, {roles.sql_vital_name('m.itemid')} AS item_name, m.valuenum
+      FROM measurements m JOIN orders o ON m.icustay_id = o.o_orderkey
+      WHERE {_VITAL_FILTER} AND {_sql_window('o.o_orderkey')}) v
+GROUP BY icustay_id, item_name""")
+def q_long_stats(spark, root):
+    v = EV.name_items(vitals(spark, root), roles.VITAL_CODES)
+    return ST.rounded(EV.long_stats(v, "icustay_id"), ["mean"])
+
+
+def _sql_wide(src: str, names, key: str = "icustay_id") -> str:
+    cols = []
+    for s, fn in (("min", "min"), ("max", "max"), ("mean", "avg")):
+        for n in names:
+            e = f"{fn}(CASE WHEN item_name = '{n}' THEN valuenum END)"
+            cols.append(f"{sql_r(e, 6) if s == 'mean' else e} AS {s}_{n}")
+    return f"SELECT {key}, {', '.join(cols)} FROM {src} GROUP BY {key}"
+
+
+_SQL_VITALS_NAMED = f"""(SELECT m.icustay_id, {roles.sql_vital_name('m.itemid')} AS item_name, m.valuenum
+      FROM measurements m JOIN orders o ON m.icustay_id = o.o_orderkey
+      WHERE {_VITAL_FILTER} AND {_sql_window('o.o_orderkey')}) v"""
+
+
+@register("wide_stats", _with(roles.SQL_MEASUREMENTS) + _sql_wide(_SQL_VITALS_NAMED, VITAL_NAMES))
+def q_wide_stats(spark, root):
+    v = EV.name_items(vitals(spark, root), roles.VITAL_CODES)
+    w = EV.wide_stats(v, "icustay_id", VITAL_NAMES)
+    return ST.rounded(w, [f"mean_{n}" for n in VITAL_NAMES])
+
+
+@register("measurement_union", _with(roles.SQL_ROLES, roles.SQL_MEASUREMENTS) + f"""
+SELECT m.icustay_id, m.itemid, m.charttime, m.valuenum, 'vitals' AS source
+FROM measurements m JOIN cohort c ON m.icustay_id = c.icustay_id
+WHERE {_VITAL_FILTER} AND {_sql_window('c.icustay_id')}
+UNION ALL
+SELECT c.icustay_id, m.itemid, m.charttime, m.valuenum, 'labs' AS source
+FROM measurements m JOIN cohort c ON m.hadm_id = c.hadm_id
+WHERE {_LAB_FILTER} AND {_sql_window('c.icustay_id')}""")
+def q_measurement_union(spark, root):
+    anchors = roles.cohort_anchors(roles.cohort(spark, root))
+    cols = ["icustay_id", "itemid", "charttime", "valuenum"]
+    v = vitals(spark, root, anchors).select(*cols, F.lit("vitals").alias("source"))
+    lb = labs(spark, root, anchors).select(*cols, F.lit("labs").alias("source"))
+    return EV.union_measurements(v, lb)
+
+
+# ------------------------------------------------------ master / imputation ---
+
+def master(spark, root, window_hours=24):
+    """Cohort + first-window vitals and labs (wide) + engineered columns."""
+    co = roles.cohort(spark, root)
+    anchors = roles.cohort_anchors(co)
+    v = EV.name_items(vitals(spark, root, anchors, window_hours), roles.VITAL_CODES)
+    lb = EV.name_items(labs(spark, root, anchors, window_hours), roles.LAB_CODES)
+    wide_v = EV.wide_stats(v, "icustay_id", VITAL_NAMES)
+    wide_l = EV.wide_stats(lb, "icustay_id", LAB_NAMES)
+    m = EV.master_join(co, wide_v, wide_l, key="icustay_id")
+    return C.add_engineered(m, male_value="M", emergency_value=roles.EMERGENCY_TYPE)
+
+
+_ENGINEERED = ["gender_enc", "emergency_admission", "weekend_admission", "night_admission"]
+_MASTER_COLS = (_COHORT_COLS.split(", ") + _ENGINEERED + ["age_band"] + FEATURES)
+
+_SQL_VIT_C = f"""(SELECT m.icustay_id, {roles.sql_vital_name('m.itemid')} AS item_name, m.valuenum
+   FROM measurements m JOIN cohort c ON m.icustay_id = c.icustay_id
+   WHERE {_VITAL_FILTER} AND {_sql_window('c.icustay_id')}) v"""
+_SQL_LAB_C = f"""(SELECT c.icustay_id, {roles.sql_lab_name('m.itemid')} AS item_name, m.valuenum
+   FROM measurements m JOIN cohort c ON m.hadm_id = c.hadm_id
+   WHERE {_LAB_FILTER} AND {_sql_window('c.icustay_id')}) l"""
+
+
+def _raw_wide(src: str, names) -> str:
+    cols = [f"{fn}(CASE WHEN item_name = '{n}' THEN valuenum END) AS {s}_{n}"
+            for s, fn in (("min", "min"), ("max", "max"), ("mean", "avg")) for n in names]
+    return f"SELECT icustay_id, {', '.join(cols)} FROM {src} GROUP BY icustay_id"
+
+
+_SQL_MASTER = _with(roles.SQL_ROLES, roles.SQL_MEASUREMENTS, f"vit_w AS ({_raw_wide(_SQL_VIT_C, VITAL_NAMES)})",
+                    f"lab_w AS ({_raw_wide(_SQL_LAB_C, LAB_NAMES)})",
+                    f"""master AS (
+  SELECT c.*, {', '.join('v.' + f for f in VITAL_FEATURES)}, {', '.join('l.' + f for f in LAB_FEATURES)},
+         CASE WHEN c.gender = 'M' THEN 1 ELSE 0 END AS gender_enc,
+         CASE WHEN c.admission_type = '{roles.EMERGENCY_TYPE}' THEN 1 ELSE 0 END AS emergency_admission,
+         CASE WHEN isodow(c.admittime) IN (6, 7) THEN 1 ELSE 0 END AS weekend_admission,
+         CASE WHEN hour(c.admittime) BETWEEN 0 AND 7 THEN 1 ELSE 0 END AS night_admission,
+         {SQL_AGE_BAND.replace('age', 'c.age')} AS age_band,
+         v.mean_sbp - v.mean_dbp AS pulse_pressure
+  FROM cohort c LEFT JOIN vit_w v ON c.icustay_id = v.icustay_id
+  LEFT JOIN lab_w l ON c.icustay_id = l.icustay_id)""")
+
+_NON_EXACT = [f for f in FEATURES if f.startswith("mean_")] + ["pulse_pressure"]
+
+
+def _sql_cols(cols, round6=()) -> str:
+    return ", ".join(f"{sql_r(c, 6)} AS {c}" if c in round6 else c for c in cols)
+
+
+@register("master_features", _SQL_MASTER + f"SELECT {_sql_cols(_MASTER_COLS, _NON_EXACT)} FROM master")
+def q_master_features(spark, root):
+    return ST.rounded(master(spark, root).select(*_MASTER_COLS), _NON_EXACT)
+
+
+@register("derived_difference", _SQL_MASTER + f"""
+SELECT icustay_id, {sql_r('mean_sbp', 6)} AS mean_sbp, {sql_r('mean_dbp', 6)} AS mean_dbp,
+       {sql_r('pulse_pressure', 6)} AS pulse_pressure FROM master""")
+def q_derived_difference(spark, root):
+    return ST.rounded(master(spark, root).select("icustay_id", "mean_sbp", "mean_dbp",
+                                                 "pulse_pressure"),
+                      ["mean_sbp", "mean_dbp", "pulse_pressure"])
+
+
+def _sql_unpivot_stat(stat_sql: str, alias: str, cols=FEATURES) -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, {stat_sql.format(c=c)} AS {alias} FROM master"
+                                for c in cols)
+
+
+@register("feature_medians", _SQL_MASTER + _sql_unpivot_stat(sql_r("median({c})", 6), "median"))
+def q_feature_medians(spark, root):
+    return ST.rounded(ST.column_medians(master(spark, root), FEATURES), ["median"])
+
+
+_SQL_MISSING = _sql_unpivot_stat("avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)", "missing_frac")
+
+
+@register("missing_summary", _SQL_MASTER + _SQL_MISSING)
+def q_missing_summary(spark, root):
+    return ST.missing_summary(master(spark, root), FEATURES)
+
+
+@register("missing_top10", _SQL_MASTER + f"""
+SELECT feature, missing_frac FROM ({_SQL_MISSING}) t ORDER BY missing_frac DESC, feature LIMIT 10""")
+def q_missing_top10(spark, root):
+    return ST.missing_summary(master(spark, root), FEATURES) \
+        .orderBy(F.desc("missing_frac"), "feature").limit(10)
+
+
+@register("percent_format", _SQL_MASTER + f"""
+SELECT feature, printf('%.1f%%', {sql_r('missing_frac * 100.0', 1)}) AS missing_pct
+FROM ({_SQL_MISSING}) t""")
+def q_percent_format(spark, root):
+    return ST.missing_summary(master(spark, root), FEATURES) \
+        .select("feature", S.percent_text("missing_frac").alias("missing_pct"))
+
+
+@register("null_total", _SQL_MASTER + "SELECT CAST(" + " + ".join(
+    f"sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" for c in FEATURES) + " AS BIGINT) AS null_total FROM master")
+def q_null_total(spark, root):
+    return ST.null_total(master(spark, root), FEATURES)
+
+
+@register("missing_flags", _SQL_MASTER + "SELECT icustay_id, " + ", ".join(
+    f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END AS {c}_missing" for c in FEATURES) + " FROM master")
+def q_missing_flags(spark, root):
+    m = master(spark, root)
+    return ST.missing_flags(m, FEATURES).select("icustay_id", *[f"{c}_missing" for c in FEATURES])
+
+
+@register("median_impute", _SQL_MASTER + "SELECT icustay_id, " + ", ".join(
+    f"{sql_r(f'coalesce({c}, (SELECT median({c}) FROM master))', 6)} AS {c}" for c in FEATURES)
+    + " FROM master")
+def q_median_impute(spark, root):
+    m = master(spark, root).select("icustay_id", *FEATURES)
+    return ST.rounded(ST.impute_median(m, FEATURES), FEATURES)
+
+
+@register("feature_labels", _SQL_MASTER + f"""
+SELECT feature, missing_frac,
+  array_to_string(list_transform(string_split(
+    replace(replace(replace(replace(feature, 'mean_', 'Avg '), 'min_', 'Min '), 'max_', 'Max '), '_', ' '),
+    ' '), lambda w: upper(w[1:1]) || lower(w[2:])), ' ') AS feature_label,
+  replace(replace(replace(replace(feature, 'mean_', 'avg '), 'min_', 'min '), 'max_', 'max '), '_', ' ')
+    AS model_label
+FROM ({_SQL_MISSING}) t""")
+def q_feature_labels(spark, root):
+    ms = ST.missing_summary(master(spark, root), FEATURES)
+    return ms.select("feature", "missing_frac",
+                     S.feature_label("feature").alias("feature_label"),
+                     S.feature_label("feature", report_style=False).alias("model_label"))

@@ -114,24 +114,28 @@ def union_measurements(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def threshold_alert(events: DataFrame, anchors: DataFrame, key: str,
-                    thresholds: Mapping[str, float], name_col: str = "item_name",
-                    value_col: str = "valuenum", time_col: str = "charttime",
-                    anchor_time: str = "intime",
+def threshold_alert(events: DataFrame, anchors: DataFrame, event_key: str, anchor_key: str,
+                    thresholds: Mapping[str, float], out_key: str = "icustay_id",
+                    name_col: str = "item_name", value_col: str = "valuenum",
+                    time_col: str = "charttime", anchor_time: str = "intime",
                     window_hours: float = S.ALERT_WINDOW_HOURS) -> DataFrame:
     """Early-warning flag per anchor: any listed item above its threshold
-    within ``window_hours`` of the anchor time.  Anchors without a breach get
-    alert 0 (left join).  Output: key, alert, n_breaches, first_breach."""
+    within ``window_hours`` of the anchor time.  The breach predicate is
+    applied before the (single) window join, so only breaching rows shuffle.
+    Anchors without a breach get alert 0 (left join).  Output: out_key,
+    alert, n_breaches, first_breach."""
     breach = None
     for name, thr in thresholds.items():
         c = (F.col(name_col) == F.lit(name)) & (F.col(value_col) > F.lit(float(thr)))
         breach = c if breach is None else (breach | c)
-    hits = (window_join(events.where(breach), anchors, key, key, time_col=time_col,
-                        anchor_time=anchor_time, window_hours=window_hours)
-            .groupBy(key).agg(F.count(F.lit(1)).alias("n_breaches"),
-                              F.min(time_col).alias("first_breach")))
-    return (anchors.select(key).join(hits, key, "left")
-            .select(key,
+    ev = events.where(breach).drop(*[c for c in (out_key,) if c != event_key])
+    extra = [out_key] if out_key != anchor_key else []
+    hits = (window_join(ev, anchors, event_key, anchor_key, time_col=time_col,
+                        anchor_time=anchor_time, window_hours=window_hours, anchor_cols=extra)
+            .groupBy(out_key).agg(F.count(F.lit(1)).alias("n_breaches"),
+                                  F.min(time_col).alias("first_breach")))
+    return (anchors.select(out_key).join(hits, out_key, "left")
+            .select(out_key,
                     F.when(F.col("n_breaches") > 0, F.lit(1)).otherwise(F.lit(0)).alias("alert"),
                     F.coalesce(F.col("n_breaches"), F.lit(0)).alias("n_breaches"),
                     "first_breach"))

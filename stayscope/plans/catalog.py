@@ -399,3 +399,226 @@ def q_feature_labels(spark, root):
     return ms.select("feature", "missing_frac",
                      S.feature_label("feature").alias("feature_label"),
                      S.feature_label("feature", report_style=False).alias("model_label"))
+
+
+# ---------------------------------------------------------------- reports ---
+
+@register("mortality_by_admtype", _with(roles.SQL_ROLES) + _sql_outcome(
+    "admission_type", prolonged=True))
+def q_mortality_by_admtype(spark, root):
+    return R.mortality_by_admtype(roles.cohort(spark, root))
+
+
+@register("los_by_careunit", _with(roles.SQL_ROLES) + _sql_outcome(
+    "first_careunit", prolonged=True, median=True))
+def q_los_by_careunit(spark, root):
+    return R.los_by_careunit(roles.cohort(spark, root))
+
+
+@register("weekend_effect", _with(roles.SQL_ROLES) + "SELECT *, CASE weekend_admission WHEN 0 THEN "
+          "'Weekday' WHEN 1 THEN 'Weekend' END AS day_type FROM (" + _sql_outcome(
+              "admit_dow, weekend_admission",
+              src=f"(SELECT *, dayname(admittime) AS admit_dow, {SQL_WEEKEND} AS weekend_admission "
+                  "FROM cohort) c") + ") t")
+def q_weekend_effect(spark, root):
+    return R.weekend_effect(roles.cohort(spark, root))
+
+
+@register("shift_analysis", _with(roles.SQL_ROLES) + _sql_outcome(
+    "shift", src=f"(SELECT *, {SQL_SHIFT} AS shift FROM cohort) c"))
+def q_shift_analysis(spark, root):
+    return R.shift_analysis(roles.cohort(spark, root))
+
+
+_SQL_AUC = f"""auc_g AS (SELECT score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
+                    sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg
+             FROM scored WHERE label IS NOT NULL AND score IS NOT NULL GROUP BY score),
+auc_c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
+                                            AND 1 PRECEDING), 0) AS neg_below FROM auc_g),
+auc AS (SELECT CASE WHEN sum(pos) * sum(neg) > 0 THEN
+          sum(CAST(pos AS DOUBLE) * (CAST(neg_below AS DOUBLE) + 0.5 * CAST(neg AS DOUBLE)))
+          / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) END AS roc_auc FROM auc_c)"""
+
+
+@register("kpi_summary", _with(roles.SQL_ROLES, roles.SQL_SCORED, _SQL_AUC) + f"""
+SELECT count(*) AS total_patients,
+       CAST(coalesce(sum(hospital_expire_flag), 0) AS BIGINT) AS total_deaths,
+       {sql_r('avg(hospital_expire_flag) * 100.0', 1)} AS mortality_rate_pct,
+       {sql_r('avg(icu_los_days)', 1)} AS mean_icu_los_days,
+       {sql_r('avg(prolonged_los) * 100.0', 1)} AS pct_prolonged_los,
+       {sql_r(f"avg(CASE WHEN admission_type = '{roles.EMERGENCY_TYPE}' THEN 1 ELSE 0 END) * 100.0", 1)} AS pct_emergency,
+       {sql_r(f'avg({SQL_WEEKEND}) * 100.0', 1)} AS pct_weekend,
+       (SELECT roc_auc FROM auc) AS model_roc_auc,
+       count(DISTINCT first_careunit) AS care_units_covered
+FROM cohort""")
+def q_kpi_summary(spark, root):
+    auc = M.roc_auc(roles.scored_rows(spark, root)).first()["roc_auc"]
+    return R.kpi_summary(roles.cohort(spark, root), auc, roles.EMERGENCY_TYPE)
+
+
+@register("cohort_overview", _with(roles.SQL_ROLES) + """
+SELECT count(*) AS n_admissions, avg(hospital_expire_flag) AS mortality_rate,
+       avg(prolonged_los) AS prolonged_rate, min(age) AS age_min, max(age) AS age_max FROM cohort""")
+def q_cohort_overview(spark, root):
+    return R.cohort_overview(roles.cohort(spark, root))
+
+
+@register("mortality_rate_by", _with(roles.SQL_ROLES) + f"""
+SELECT 'age_band' AS dimension, age_band AS category, count(*) AS n,
+       avg(hospital_expire_flag) * 100.0 AS rate_pct
+FROM (SELECT *, {SQL_AGE_BAND} AS age_band FROM cohort) c WHERE age_band IS NOT NULL GROUP BY age_band
+UNION ALL
+SELECT 'admission_type', admission_type, count(*), avg(hospital_expire_flag) * 100.0
+FROM cohort WHERE admission_type IS NOT NULL GROUP BY admission_type""")
+def q_mortality_rate_by(spark, root):
+    co = roles.cohort(spark, root).withColumn("age_band", S.age_band())
+    return R.rate_by(co, ["age_band", "admission_type"])
+
+
+@register("los_by_weekend", _with(roles.SQL_ROLES) + f"""
+SELECT weekend_admission, avg(icu_los_days) AS mean_los
+FROM (SELECT *, {SQL_WEEKEND} AS weekend_admission FROM cohort) c GROUP BY weekend_admission""")
+def q_los_by_weekend(spark, root):
+    co = roles.cohort(spark, root).withColumn("weekend_admission", S.weekend_flag("admittime"))
+    return R.mean_by(co, "weekend_admission", "icu_los_days", "mean_los")
+
+
+@register("los_histogram", _with(roles.SQL_ROLES) + """,
+x AS (SELECT CASE WHEN icu_los_days IS NULL THEN NULL ELSE least(icu_los_days, 30.0) END AS x
+      FROM cohort),
+r AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+             CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi
+      FROM x WHERE x IS NOT NULL AND NOT isnan(x)),
+i0 AS (SELECT x.x, r.lo, r.hi, (r.hi - r.lo) / 40 AS step,
+              least(CAST(floor((x.x - r.lo) * (40 / (r.hi - r.lo))) AS INTEGER), 39) AS b0
+       FROM x, r WHERE x.x IS NOT NULL AND NOT isnan(x.x)),
+i AS (SELECT CASE WHEN x < CAST(b0 AS DOUBLE) * step + lo THEN b0 - 1
+                  WHEN b0 <> 39 AND x >= CAST(b0 + 1 AS DOUBLE) * step + lo THEN b0 + 1
+                  ELSE b0 END AS bin FROM i0),
+c AS (SELECT bin, count(*) AS cnt FROM i GROUP BY bin)
+SELECT CAST(g.bin AS INTEGER) AS bin, CAST(g.bin AS DOUBLE) * ((r.hi - r.lo) / 40) + r.lo AS bin_lo,
+       CAST(g.bin + 1 AS DOUBLE) * ((r.hi - r.lo) / 40) + r.lo AS bin_hi,
+       CAST(coalesce(c.cnt, 0) AS BIGINT) AS count
+FROM range(40) g(bin) CROSS JOIN r LEFT JOIN c ON c.bin = g.bin""".replace("WITH ", "WITH ", 1))
+def q_los_histogram(spark, root):
+    return ST.histogram(roles.cohort(spark, root), "icu_los_days", bins=40, clip=30.0)
+
+
+_UNITS = ["A", "R"]
+
+
+@register("age_unit_heatmap", _with(roles.SQL_ROLES) + "SELECT age_band, " + ", ".join(
+    f"{sql_r(f'avg(CASE WHEN first_careunit = {chr(39)}{u}{chr(39)} THEN hospital_expire_flag END) * 100.0', 1)} AS {u}"
+    for u in _UNITS) + f"""
+FROM (SELECT *, {SQL_AGE_BAND} AS age_band FROM cohort) c WHERE age_band IS NOT NULL GROUP BY age_band""")
+def q_age_unit_heatmap(spark, root):
+    co = roles.cohort(spark, root).withColumn("age_band", S.age_band())
+    return R.heatmap(co, "age_band", "first_careunit", _UNITS)
+
+
+@register("relative_risk", _with(roles.SQL_ROLES) + f"""
+SELECT avg(CASE WHEN admission_type = '{roles.EMERGENCY_TYPE}' THEN hospital_expire_flag END) * 100.0
+         AS exposed_rate_pct,
+       avg(CASE WHEN admission_type = '{roles.ELECTIVE_TYPE}' THEN hospital_expire_flag END) * 100.0
+         AS reference_rate_pct,
+       avg(CASE WHEN admission_type = '{roles.EMERGENCY_TYPE}' THEN hospital_expire_flag END)
+       / avg(CASE WHEN admission_type = '{roles.ELECTIVE_TYPE}' THEN hospital_expire_flag END)
+         AS relative_risk
+FROM cohort""")
+def q_relative_risk(spark, root):
+    return R.relative_risk(roles.cohort(spark, root), "admission_type", roles.EMERGENCY_TYPE,
+                           roles.ELECTIVE_TYPE)
+
+
+@register("outcome_gap", _with(roles.SQL_ROLES) + f"""
+SELECT we AS weekend_mortality_pct, wd AS weekday_mortality_pct, we - wd AS gap_pp,
+       nl AS night_mean_los, dl AS day_mean_los, nl / dl AS night_day_los_ratio FROM (
+  SELECT avg(CASE WHEN {SQL_WEEKEND} = 1 THEN hospital_expire_flag END) * 100.0 AS we,
+         avg(CASE WHEN {SQL_WEEKEND} = 0 THEN hospital_expire_flag END) * 100.0 AS wd,
+         avg(CASE WHEN {SQL_SHIFT} = '{S.SHIFT_LABELS[0]}' THEN icu_los_days END) AS nl,
+         avg(CASE WHEN {SQL_SHIFT} = '{S.SHIFT_LABELS[1]}' THEN icu_los_days END) AS dl
+  FROM cohort) t""")
+def q_outcome_gap(spark, root):
+    return R.outcome_gap(roles.cohort(spark, root))
+
+
+@register("share_of_total", _with(roles.SQL_MEASUREMENTS) + f"""
+SELECT itemid, n, {sql_r('n / sum(n) OVER () * 100.0', 1)} AS n_pct
+FROM (SELECT itemid, count(*) AS n FROM measurements GROUP BY itemid) t""")
+def q_share_of_total(spark, root):
+    counts = roles.measurements(spark, root).groupBy("itemid").agg(F.count(F.lit(1)).alias("n"))
+    return R.share_of_total(counts, "itemid", "n")
+
+
+@register("calendar_features", _with(roles.SQL_MEASUREMENTS) + f"""
+SELECT CAST(isodow(charttime) - 1 AS INTEGER) AS weekday,
+       CASE WHEN isodow(charttime) IN (6, 7) THEN 1 ELSE 0 END AS weekend,
+       dayname(charttime) AS day_name,
+       {sql_band('CAST(hour(charttime) AS INTEGER)', S.SHIFT_EDGES, S.SHIFT_LABELS)} AS shift,
+       CASE WHEN hour(charttime) BETWEEN 0 AND 7 THEN 1 ELSE 0 END AS night,
+       strftime(charttime, '%Y-%m') AS month, CAST(year(charttime) AS INTEGER) AS year,
+       count(*) AS n
+FROM measurements GROUP BY ALL""")
+def q_calendar_features(spark, root):
+    t = F.col("charttime")
+    m = roles.measurements(spark, root)
+    return m.groupBy(S.weekday0(t).alias("weekday"), S.weekend_flag(t).alias("weekend"),
+                     S.day_name(t).alias("day_name"), S.shift_band(F.hour(t)).alias("shift"),
+                     S.night_flag(t).alias("night"), S.month_text(t).alias("month"),
+                     F.year(t).alias("year")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("encoded_flags", _with(roles.SQL_ROLES) + f"""
+SELECT icustay_id, CASE WHEN gender = 'M' THEN 1 ELSE 0 END AS gender_enc,
+       CASE WHEN admission_type = '{roles.EMERGENCY_TYPE}' THEN 1 ELSE 0 END AS emergency_admission,
+       {SQL_WEEKEND} AS weekend_admission, {SQL_NIGHT} AS night_admission
+FROM cohort""")
+def q_encoded_flags(spark, root):
+    co = C.add_engineered(roles.cohort(spark, root), emergency_value=roles.EMERGENCY_TYPE)
+    return co.select("icustay_id", "gender_enc", "emergency_admission", "weekend_admission",
+                     "night_admission")
+
+
+@register("half_even_round", _with(roles.SQL_MEASUREMENTS) + f"""
+SELECT event_id, valuenum, {sql_r('valuenum', 1)} AS value_1dp,
+       {sql_r('valuenum / 8.0', 2)} AS eighth_2dp FROM measurements""")
+def q_half_even_round(spark, root):
+    m = roles.measurements(spark, root)
+    return m.select("event_id", "valuenum", S.round_half_even("valuenum", 1).alias("value_1dp"),
+                    S.round_half_even(F.col("valuenum") / 8.0, 2).alias("eighth_2dp"))
+
+
+@register("threshold_alert", _with(roles.SQL_ROLES, roles.SQL_MEASUREMENTS) + f""",
+hits AS (
+  SELECT c.icustay_id, count(*) AS n_breaches, min(m.charttime) AS first_breach
+  FROM measurements m JOIN cohort c ON m.hadm_id = c.hadm_id
+  WHERE {_LAB_FILTER} AND {_sql_window('c.icustay_id', S.ALERT_WINDOW_HOURS)}
+    AND (""" + " OR ".join(
+    f"({roles.sql_lab_name('m.itemid')} = '{n}' AND m.valuenum > {float(t)})"
+    for n, t in roles.ROLE_ALERT_THRESHOLDS.items()) + """)
+  GROUP BY c.icustay_id)
+SELECT c.icustay_id, CASE WHEN h.n_breaches > 0 THEN 1 ELSE 0 END AS alert,
+       coalesce(h.n_breaches, 0) AS n_breaches, h.first_breach
+FROM cohort c LEFT JOIN hits h ON c.icustay_id = h.icustay_id""")
+def q_threshold_alert(spark, root):
+    co = roles.cohort(spark, root)
+    anchors = roles.cohort_anchors(co)
+    m = EV.filter_measurements(roles.measurements(spark, root), roles.LAB_CODES)
+    m = EV.name_items(m, roles.LAB_CODES)
+    return EV.threshold_alert(m, anchors, "hadm_id", "hadm_id", roles.ROLE_ALERT_THRESHOLDS,
+                              out_key="icustay_id")
+
+
+@register("patient_level", _SQL_MASTER + f"""
+SELECT icustay_id, age, age_band, gender, admission_type, first_careunit, hospital_expire_flag,
+       prolonged_los, icu_los_days, weekend_admission, night_admission, emergency_admission,
+       CAST(hour(admittime) AS INTEGER) AS admit_hour, dayname(admittime) AS admit_dow,
+       strftime(admittime, '%Y-%m') AS admit_month, CAST(year(admittime) AS INTEGER) AS admit_year,
+       {SQL_SHIFT} AS shift, {SQL_LOS_BAND} AS los_band,
+       {sql_r('mean_heart_rate', 6)} AS mean_heart_rate, {sql_r('mean_sbp', 6)} AS mean_sbp,
+       {sql_r('mean_spo2', 6)} AS mean_spo2, {sql_r('mean_creatinine', 6)} AS mean_creatinine,
+       {sql_r('mean_lactate', 6)} AS mean_lactate
+FROM master""")
+def q_patient_level(spark, root):
+    pl = R.patient_level(master(spark, root))
+    return ST.rounded(pl, [c for c in pl.columns if c.startswith("mean_")])

@@ -622,3 +622,147 @@ FROM master""")
 def q_patient_level(spark, root):
     pl = R.patient_level(master(spark, root))
     return ST.rounded(pl, [c for c in pl.columns if c.startswith("mean_")])
+
+
+# ---------------------------------------------------------------- metrics ---
+
+_SQL_CUM = """cum_g AS (SELECT score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
+                     sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg
+              FROM scored WHERE label IS NOT NULL AND score IS NOT NULL GROUP BY score),
+cum AS (SELECT score, pos, neg,
+          sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+          sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+          sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM cum_g)"""
+
+
+@register("roc_auc", _with(roles.SQL_SCORED, _SQL_AUC) + "SELECT roc_auc FROM auc")
+def q_roc_auc(spark, root):
+    return M.roc_auc(roles.scored_rows(spark, root))
+
+
+@register("average_precision", _with(roles.SQL_SCORED, _SQL_CUM) + f"""
+SELECT CASE WHEN max(P) > 0 THEN {sql_r('sum(CAST(pos AS DOUBLE) / CAST(P AS DOUBLE) * (CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE)))', 9)} END
+       AS average_precision FROM cum""")
+def q_average_precision(spark, root):
+    return ST.rounded(M.average_precision(roles.scored_rows(spark, root)), ["average_precision"], 9)
+
+
+@register("roc_points", _with(roles.SQL_SCORED, _SQL_CUM) + """
+SELECT score AS threshold, CASE WHEN N > 0 THEN CAST(fp AS DOUBLE) / CAST(N AS DOUBLE) END AS fpr,
+       CASE WHEN P > 0 THEN CAST(tp AS DOUBLE) / CAST(P AS DOUBLE) END AS tpr FROM cum
+UNION ALL
+SELECT 'inf'::DOUBLE, CASE WHEN sum(neg) > 0 THEN 0.0 END, CASE WHEN sum(pos) > 0 THEN 0.0 END FROM cum_g""")
+def q_roc_points(spark, root):
+    return M.roc_points(roles.scored_rows(spark, root))
+
+
+@register("pr_points", _with(roles.SQL_SCORED, _SQL_CUM) + """
+SELECT score AS threshold, CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) AS precision,
+       CASE WHEN P > 0 THEN CAST(tp AS DOUBLE) / CAST(P AS DOUBLE) ELSE 1.0 END AS recall,
+       CAST(P AS DOUBLE) / CAST(P + N AS DOUBLE) AS baseline FROM cum
+UNION ALL
+SELECT NULL, 1.0, 0.0, CAST(sum(pos) AS DOUBLE) / CAST(sum(pos) + sum(neg) AS DOUBLE) FROM cum_g""")
+def q_pr_points(spark, root):
+    return M.pr_points(roles.scored_rows(spark, root))
+
+
+_SQL_CONF = """conf AS (SELECT
+  CAST(sum(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+  CAST(sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+  CAST(sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+  CAST(sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp
+  FROM scored WHERE label IS NOT NULL AND prediction IS NOT NULL)"""
+
+
+@register("confusion_matrix", _with(roles.SQL_SCORED, _SQL_CONF) + """
+SELECT 0 AS label, 0 AS prediction, tn AS count FROM conf UNION ALL
+SELECT 0, 1, fp FROM conf UNION ALL SELECT 1, 0, fn FROM conf UNION ALL SELECT 1, 1, tp FROM conf""")
+def q_confusion_matrix(spark, root):
+    return M.confusion_matrix(roles.scored_rows(spark, root))
+
+
+def _sd(a: str, b: str) -> str:
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0.0)"
+
+
+_P0, _R0, _P1, _R1 = _sd("tn", "tn + fn"), _sd("tn", "tn + fp"), _sd("tp", "tp + fp"), _sd("tp", "tp + fn")
+
+
+def _f1(p: str, r: str) -> str:
+    return f"CASE WHEN {p} + {r} > 0 THEN 2.0 * {p} * {r} / ({p} + {r}) ELSE 0.0 END"
+
+
+_W0, _W1 = _sd("tn + fp", "tn + fp + fn + tp"), _sd("fn + tp", "tn + fp + fn + tp")
+_R9 = lambda e: sql_r(e, 9)
+
+
+@register("classification_report", _with(roles.SQL_SCORED, _SQL_CONF) + f"""
+SELECT '0' AS class, {_R9(_P0)} AS precision, {_R9(_R0)} AS recall, {_R9(_f1(_P0, _R0))} AS f1_score,
+       tn + fp AS support FROM conf UNION ALL
+SELECT '1', {_R9(_P1)}, {_R9(_R1)}, {_R9(_f1(_P1, _R1))}, fn + tp FROM conf UNION ALL
+SELECT 'accuracy', NULL, NULL, {_R9(_sd('tn + tp', 'tn + fp + fn + tp'))}, tn + fp + fn + tp FROM conf
+UNION ALL
+SELECT 'macro avg', {_R9(f'({_P0} + {_P1}) / 2.0')}, {_R9(f'({_R0} + {_R1}) / 2.0')},
+       {_R9(f'({_f1(_P0, _R0)} + {_f1(_P1, _R1)}) / 2.0')}, tn + fp + fn + tp FROM conf UNION ALL
+SELECT 'weighted avg', {_R9(f'{_P0} * {_W0} + {_P1} * {_W1}')}, {_R9(f'{_R0} * {_W0} + {_R1} * {_W1}')},
+       {_R9(f'{_f1(_P0, _R0)} * {_W0} + {_f1(_P1, _R1)} * {_W1}')}, tn + fp + fn + tp FROM conf""")
+def q_classification_report(spark, root):
+    rep = M.classification_report(roles.scored_rows(spark, root))
+    return ST.rounded(rep, ["precision", "recall", "f1_score"], 9)
+
+
+# --------------------------------------------------------------- sampling ---
+
+def _sql_rank(src: str, label: str, key: str, seed: int = 42) -> str:
+    h = f"md5(CAST({key} AS VARCHAR) || '|{seed}')"
+    return (f"SELECT *, ROW_NUMBER() OVER (PARTITION BY {label} ORDER BY {h} || '|' || "
+            f"CAST({key} AS VARCHAR)) AS rnk, count(*) OVER (PARTITION BY {label}) AS n_c FROM {src}")
+
+
+@register("stratified_split", _with(roles.SQL_SCORED) + f"""
+SELECT id, label, CAST(rnk <= ceil(n_c * 0.2) AS INTEGER) AS is_test
+FROM ({_sql_rank('scored', 'label', 'id')}) t""")
+def q_stratified_split(spark, root):
+    return SP.stratified_split(roles.scored_rows(spark, root), "label", "id") \
+        .select("id", "label", "is_test")
+
+
+@register("stratified_folds", _with(roles.SQL_SCORED) + f"""
+SELECT id, label, CAST((rnk - 1) % 5 AS INTEGER) AS fold
+FROM ({_sql_rank('scored', 'label', 'id')}) t""")
+def q_stratified_folds(spark, root):
+    return SP.stratified_folds(roles.scored_rows(spark, root), "label", "id", k=5) \
+        .select("id", "label", "fold")
+
+
+@register("hash_split", _with(roles.SQL_ROLES) + """
+SELECT icustay_id, CAST(substr(md5(CAST(icustay_id AS VARCHAR) || '|42'), 1, 8) < '33333333' AS INTEGER)
+       AS is_test FROM cohort""")
+def q_hash_split(spark, root):
+    co = roles.cohort(spark, root)
+    return SP.stratified_split(co, "hospital_expire_flag", "icustay_id", exact=False) \
+        .select("icustay_id", "is_test")
+
+
+@register("hash_sample", _with(roles.SQL_ROLES) + """
+SELECT icustay_id, hospital_expire_flag, age FROM cohort
+ORDER BY md5(CAST(icustay_id AS VARCHAR) || '|42'), icustay_id LIMIT 500""")
+def q_hash_sample(spark, root):
+    co = roles.cohort(spark, root).select("icustay_id", "hospital_expire_flag", "age")
+    return SP.hash_sample(co, "icustay_id", n=500)
+
+
+@register("class_weights", _with(roles.SQL_SCORED) + """
+SELECT label, n, CAST(sum(n) OVER () AS DOUBLE) / CAST(count(*) OVER () * n AS DOUBLE) AS weight
+FROM (SELECT label, count(*) AS n FROM scored WHERE label IS NOT NULL GROUP BY label) t""")
+def q_class_weights(spark, root):
+    return SP.class_weight_table(roles.scored_rows(spark, root), "label")
+
+
+@register("standardize", _with(roles.SQL_MEASUREMENTS) + f"""
+SELECT event_id, {sql_r('CASE WHEN s > 0 THEN (valuenum - m) / s ELSE valuenum - m END', 6)} AS value_z
+FROM measurements, (SELECT avg(valuenum) AS m, stddev_pop(valuenum) AS s FROM measurements) st""")
+def q_standardize(spark, root):
+    m = roles.measurements(spark, root).select("event_id", "valuenum")
+    z = ST.standardize(m, ["valuenum"], suffix="_z").select("event_id", "valuenum_z")
+    return ST.rounded(z.withColumnRenamed("valuenum_z", "value_z"), ["value_z"])

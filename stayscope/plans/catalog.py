@@ -766,3 +766,147 @@ def q_standardize(spark, root):
     m = roles.measurements(spark, root).select("event_id", "valuenum")
     z = ST.standardize(m, ["valuenum"], suffix="_z").select("event_id", "valuenum_z")
     return ST.rounded(z.withColumnRenamed("valuenum_z", "value_z"), ["value_z"])
+
+
+# -------------------------------------------------------------- modelling ---
+# Rows-only checks (no SQL oracle): model fits are Spark ML jobs.  Queries use
+# a light forest (QUERY_TREES x QUERY_DEPTH) so verification stays short; the
+# library defaults are the analysed project's (300 trees, depth 8).
+
+from ..operators import explain as X  # noqa: E402
+from ..operators import model as MD  # noqa: E402
+
+QUERY_TREES, QUERY_DEPTH = 20, 5
+LABEL, KEY = "hospital_expire_flag", "icustay_id"
+_RUNS: dict = {}
+
+FEATURE_CATEGORY = {"age": "Demographics", "gender_enc": "Demographics",
+                    "emergency_admission": "Admission", "weekend_admission": "Admission",
+                    "night_admission": "Admission", "pulse_pressure": "Vitals"}
+
+
+def _category(name: str) -> str:
+    if name in FEATURE_CATEGORY:
+        return FEATURE_CATEGORY[name]
+    return "Labs" if any(name.endswith("_" + n) for n in LAB_NAMES) else "Vitals"
+
+
+def model_matrix(spark, root):
+    """Imputed cohort feature matrix with split and fold columns, written to
+    the checkpoint folder (cuts the lineage every fit would replay)."""
+    m = master(spark, root)
+    feats, _ = MD.model_features(m)
+    meds = ST.collect_medians(m, feats)
+    feats = [c for c in feats if meds.get(c) is not None]     # all-NULL columns carry nothing
+    mat = ST.impute_median(m.select(KEY, LABEL, *feats), feats, medians=meds)
+    mat = SP.stratified_split(mat, LABEL, KEY, test_fraction=MD.TEST_SIZE, seed=MD.RANDOM_SEED)
+    train = SP.stratified_folds(mat.where("is_test = 0"), LABEL, KEY, k=MD.CV_FOLDS)
+    test = mat.where("is_test = 1").withColumn("fold", F.lit(-1))
+    full = train.unionByName(test).checkpoint(eager=True)
+    return full, feats
+
+
+def model_run(spark, root, cv: bool = True):
+    tag = (spark.sparkContext.applicationId, root, cv)
+    if tag in _RUNS:
+        return _RUNS[tag]
+    full, feats = model_matrix(spark, root)
+    train, test = full.where("is_test = 0"), full.where("is_test = 1")
+    run = {"matrix": full, "features": feats, "train": train, "test": test, "fits": {},
+           "scored": {}, "cv": {}}
+    for spec in MD.default_specs(num_trees=QUERY_TREES, max_depth=QUERY_DEPTH):
+        if cv:
+            run["cv"][spec.kind] = MD.cross_validate(spec, train, feats, LABEL, KEY)
+        fm = MD.fit(spec, train, feats, LABEL)
+        run["fits"][spec.kind] = fm
+        run["scored"][spec.kind] = fm.score(test, KEY, LABEL).checkpoint(eager=True)
+    _RUNS[tag] = run
+    return run
+
+
+@register("lr_scores")
+def q_lr_scores(spark, root):
+    return model_run(spark, root, cv=False)["scored"]["lr"]
+
+
+@register("rf_scores")
+def q_rf_scores(spark, root):
+    return model_run(spark, root, cv=False)["scored"]["rf"]
+
+
+@register("cv_metrics")
+def q_cv_metrics(spark, root):
+    run = model_run(spark, root)
+    rows = []
+    for spec in MD.default_specs(QUERY_TREES, QUERY_DEPTH):
+        aucs = run["cv"][spec.kind]
+        rows += [(spec.name, i, float(a)) for i, a in enumerate(aucs)]
+    folds = spark.createDataFrame(rows, "model string, fold int, auc double")
+    return folds.groupBy("model").agg(F.avg("auc").alias("cv_auc_mean"),
+                                      F.stddev_pop("auc").alias("cv_auc_std"),
+                                      F.count(F.lit(1)).alias("folds"))
+
+
+def _metrics_table(spark, root):
+    run = model_run(spark, root)
+    rows = [MD.metrics_row(spec, run["cv"][spec.kind], run["scored"][spec.kind])
+            for spec in MD.default_specs(QUERY_TREES, QUERY_DEPTH)]
+    return spark.createDataFrame(rows, MD.METRICS_SCHEMA)
+
+
+@register("model_metrics")
+def q_model_metrics(spark, root):
+    return _metrics_table(spark, root)
+
+
+@register("top_importances")
+def q_top_importances(spark, root):
+    fm = model_run(spark, root, cv=False)["fits"]["rf"]
+    imp = spark.createDataFrame([(f, v, _category(f)) for f, v in MD.importances(fm)],
+                                "feature string, importance double, category string")
+    top = imp.orderBy(F.desc("importance"), "feature").limit(20)
+    return R.share_of_total(top, "feature", "importance").select(
+        "feature", "importance", "category", "importance_pct",
+        S.feature_label("feature").alias("feature_label"))
+
+
+def _shap_long(spark, root):
+    run = model_run(spark, root, cv=False)
+    fm = run["fits"]["rf"]
+    sample = SP.hash_sample(run["test"], KEY, n=500, seed=MD.RANDOM_SEED)
+    scaled = fm.prepare(sample).select(KEY, *fm.features)
+    return X.shap_values(scaled, KEY, fm.features, fm.model)
+
+
+@register("shap_values")
+def q_shap_values(spark, root):
+    return _shap_long(spark, root)
+
+
+@register("shap_ranking")
+def q_shap_ranking(spark, root):
+    return X.shap_ranking(_shap_long(spark, root), top=12)
+
+
+@register("best_confusion_matrix")
+def q_best_confusion_matrix(spark, root):
+    run = model_run(spark, root)
+    best = max(run["scored"], key=lambda k: M.roc_auc(run["scored"][k]).first()["roc_auc"] or 0)
+    return M.confusion_matrix(run["scored"][best]).withColumn("model", F.lit(best))
+
+
+@register("model_summary")
+def q_model_summary(spark, root):
+    run = model_run(spark, root)
+    mt = _metrics_table(spark, root)
+    best = mt.orderBy(F.desc("test_roc_auc")).limit(1)
+    stats = run["matrix"].agg(F.count(F.lit(1)).alias("n_rows"),
+                              F.avg(LABEL).alias("positive_rate"))
+    n_feat = len(run["features"])
+    row = best.select(F.col("model").alias("best_model"), "test_roc_auc", "precision_died",
+                      "recall_died").first()
+    return stats.select("n_rows", "positive_rate", F.lit(n_feat).alias("n_features"),
+                        F.lit(row["best_model"]).alias("best_model"),
+                        F.lit(row["test_roc_auc"]).cast("double").alias("test_roc_auc"),
+                        F.lit(row["precision_died"]).cast("double").alias("precision_died"),
+                        F.lit(row["recall_died"]).cast("double").alias("recall_died"))

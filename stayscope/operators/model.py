@@ -112,7 +112,7 @@ def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str)
         est = LogisticRegression(featuresCol=_FEATURES_VEC, labelCol=label, weightCol=_WEIGHT,
                                  maxIter=spec.max_iter, elasticNetParam=0.0,
                                  regParam=1.0 / (spec.C * total_w), standardization=False,
-                                 fitIntercept=True, tol=1e-8)
+                                 fitIntercept=True, tol=1e-6)
     elif spec.kind == "rf":
         est = RandomForestClassifier(featuresCol=_FEATURES_VEC, labelCol=label, weightCol=_WEIGHT,
                                      numTrees=spec.num_trees, maxDepth=spec.max_depth,

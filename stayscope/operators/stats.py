@@ -20,6 +20,7 @@ from ..functions.scalars import round_half_even
 
 DEFAULT_BUCKETS = 128
 DEFAULT_ACCURACY = 10000
+DEFAULT_MAX_IN_TASK = 1_000_000   # distinct values one task may hold for one group
 
 
 def _with_quantile_bucket(df: DataFrame, group_cols: Sequence[str], order_col: str,
@@ -91,17 +92,29 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
 
 def exact_medians(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
                   out_col: str = "median", buckets: int = DEFAULT_BUCKETS,
-                  accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                  accuracy: int = DEFAULT_ACCURACY,
+                  max_in_task: int = DEFAULT_MAX_IN_TASK) -> DataFrame:
     """Exact interpolating median of ``value_col`` per group (NULLs skipped):
     the mean of the values at 0-based ranks floor((n-1)/2) and ceil((n-1)/2),
     as ``lo + (hi - lo) * 0.5``.  Groups with no values get no row.
 
-    Selection, not sorting: bucket totals locate the one or two buckets that
-    hold the middle ranks; only those buckets are ordered.
+    Values are first collapsed to (group, value, count).  A size check (one
+    small action) then picks the plan:
+    * every group has at most ``max_in_task`` distinct values -> Spark's
+      exact ``percentile`` with frequencies; its per-group state is a map of
+      distinct values, bounded by the check;
+    * otherwise -> selection, not sorting: bucket totals locate the one or
+      two buckets that hold the middle ranks and only those are ordered.
     """
     g = list(group_cols)
     vc = (df.where(F.col(value_col).isNotNull() & ~F.isnan(value_col))
           .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("__cnt")))
+    if max_in_task > 0:
+        widest = (vc.groupBy(*g).agg(F.count(F.lit(1)).alias("__d"))
+                  .agg(F.max("__d")).first()[0])
+        if widest is None or widest <= max_in_task:
+            p = vc.groupBy(*g).agg(F.percentile(value_col, 0.5, F.col("__cnt")).alias(out_col))
+            return p
     src = vc if g else vc.withColumn("__g", F.lit(0))
     gg = g if g else ["__g"]
     tagged = _with_quantile_bucket(src, gg, value_col, buckets, accuracy)

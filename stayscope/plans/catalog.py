@@ -794,7 +794,7 @@ def _category(name: str) -> str:
 def model_matrix(spark, root):
     """Imputed cohort feature matrix with split and fold columns, written to
     the checkpoint folder (cuts the lineage every fit would replay)."""
-    m = master(spark, root)
+    m = master(spark, root).persist()       # read by the medians pass and the fill
     feats, _ = MD.model_features(m)
     meds = ST.collect_medians(m, feats)
     feats = [c for c in feats if meds.get(c) is not None]     # all-NULL columns carry nothing
@@ -803,6 +803,7 @@ def model_matrix(spark, root):
     train = SP.stratified_folds(mat.where("is_test = 0"), LABEL, KEY, k=MD.CV_FOLDS)
     test = mat.where("is_test = 1").withColumn("fold", F.lit(-1))
     full = train.unionByName(test).checkpoint(eager=True)
+    m.unpersist()
     return full, feats
 
 

@@ -24,8 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import metrics as M
-from .sampling import class_weight_table, with_weights
-from .stats import moments
+from .sampling import with_weights
 
 # Modelling defaults of the analysed project (fixed values).
 RANDOM_SEED = 42
@@ -99,15 +98,45 @@ def model_features(df: DataFrame, drop: Sequence[str] = ID_AND_OUTCOME_COLS) ->
     return list(dict.fromkeys(keep)), dropped
 
 
+def train_statistics(train: DataFrame, features: Sequence[str], label: str
+                     ) -> tuple[dict, list[tuple]]:
+    """One aggregation pass grouped by label: per-class count, mean and
+    population variance of every feature.  Combined on the driver (classes x
+    features scalars) with the pairwise variance formula into the scaler
+    moments; the counts give the balanced class weights."""
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, c in enumerate(features):
+        aggs += [F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}"),
+                 F.count(c).alias(f"n{i}")]
+    rows = train.where(F.col(label).isNotNull()).groupBy(label).agg(*aggs).collect()
+    scaler = {}
+    for i, c in enumerate(features):
+        n, mean, m2 = 0, 0.0, 0.0
+        for r in rows:
+            nb, mb, vb = r[f"n{i}"], r[f"m{i}"], r[f"v{i}"]
+            if not nb:
+                continue
+            delta = mb - mean
+            tot = n + nb
+            mean += delta * nb / tot
+            m2 += vb * nb + delta * delta * n * nb / tot
+            n = tot
+        scaler[c] = (mean if n else None, float(np.sqrt(m2 / n)) if n else None)
+    k = len(rows)
+    total = sum(r["__n"] for r in rows)
+    counts = [(r[label], r["__n"], total / (k * r["__n"])) for r in rows]
+    return scaler, counts
+
+
 def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str) -> FittedModel:
     feats = list(features)
-    scaler = moments(train, feats)
-    counts = class_weight_table(train, label).collect()      # one row per class
-    weights = {r[label]: r["weight"] for r in counts}
-    total_w = float(sum(r["n"] * r["weight"] for r in counts))
+    scaler, counts = train_statistics(train, feats, label)
+    weights = {lab: w for lab, _, w in counts}
+    total_w = float(sum(n * w for _, n, w in counts))
     fm = FittedModel(spec, feats, scaler, None, weights)
     data = with_weights(fm.prepare(train), label, weights, _WEIGHT) \
-        .withColumn(label, F.col(label).cast("double"))
+        .withColumn(label, F.col(label).cast("double")) \
+        .select(_FEATURES_VEC, label, _WEIGHT).persist()
     if spec.kind == "lr":
         est = LogisticRegression(featuresCol=_FEATURES_VEC, labelCol=label, weightCol=_WEIGHT,
                                  maxIter=spec.max_iter, elasticNetParam=0.0,
@@ -121,7 +150,10 @@ def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str)
                                      seed=spec.seed, cacheNodeIds=True, checkpointInterval=10)
     else:
         raise ValueError(spec.kind)
-    fm.model = est.fit(data)
+    try:
+        fm.model = est.fit(data)
+    finally:
+        data.unpersist()
     return fm
 
 

@@ -66,6 +66,22 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
         .drop("__h", "__rank", "__n")
 
 
+def split_and_folds(df: DataFrame, label: str, key: str, test_fraction: float = 0.2,
+                    k: int = 5, seed: int = 42) -> DataFrame:
+    """``is_test`` and ``fold`` from one ranking pass: the same rows as
+    ``stratified_split`` followed by ``stratified_folds`` on the training part
+    (training ranks are the class ranks shifted by the class's test count);
+    test rows get fold -1."""
+    r = class_rank(df, label, key, seed)
+    n_test = F.ceil(F.col("__n") * F.lit(float(test_fraction)))
+    is_test = F.col("__rank") <= n_test
+    return (r.withColumns({
+        "is_test": is_test.cast("int"),
+        "fold": F.when(is_test, F.lit(-1)).otherwise(((F.col("__rank") - n_test - 1) % k)
+                                                      .cast("int"))})
+            .drop("__h", "__rank", "__n"))
+
+
 def hash_sample(df: DataFrame, key: str, n: int = 500, seed: int = 42) -> DataFrame:
     """The ``n`` rows with the smallest md5(key|seed): a deterministic sample
     (distributed top-k: each task keeps n rows, one merge)."""

@@ -107,14 +107,28 @@ def exact_medians(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
       two buckets that hold the middle ranks and only those are ordered.
     """
     g = list(group_cols)
-    vc = (df.where(F.col(value_col).isNotNull() & ~F.isnan(value_col))
-          .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("__cnt")))
+    return medians_from_counts(value_counts(df, value_col, g), value_col, g, out_col,
+                               buckets, accuracy, max_in_task)
+
+
+def value_counts(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """(group, value, __cnt) over non-NULL, non-NaN values — partial
+    aggregation, so repeated values shrink before the shuffle."""
+    return (df.where(F.col(value_col).isNotNull() & ~F.isnan(value_col))
+            .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("__cnt")))
+
+
+def medians_from_counts(vc: DataFrame, value_col: str, group_cols: Sequence[str] = (),
+                        out_col: str = "median", buckets: int = DEFAULT_BUCKETS,
+                        accuracy: int = DEFAULT_ACCURACY,
+                        max_in_task: int = DEFAULT_MAX_IN_TASK) -> DataFrame:
+    """Exact medians from a (group, value, __cnt) table; see exact_medians."""
+    g = list(group_cols)
     if max_in_task > 0:
         widest = (vc.groupBy(*g).agg(F.count(F.lit(1)).alias("__d"))
                   .agg(F.max("__d")).first()[0])
         if widest is None or widest <= max_in_task:
-            p = vc.groupBy(*g).agg(F.percentile(value_col, 0.5, F.col("__cnt")).alias(out_col))
-            return p
+            return vc.groupBy(*g).agg(F.percentile(value_col, 0.5, F.col("__cnt")).alias(out_col))
     src = vc if g else vc.withColumn("__g", F.lit(0))
     gg = g if g else ["__g"]
     tagged = _with_quantile_bucket(src, gg, value_col, buckets, accuracy)
@@ -180,8 +194,16 @@ def missing_flags(df: DataFrame, cols: Sequence[str], suffix: str = "_missing")
 
 
 def collect_medians(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, float | None]:
-    """The medians pass: one distributed job, result bounded by len(cols)."""
-    return {r["feature"]: r["median"] for r in column_medians(df, cols, **kw).collect()}
+    """The medians pass (bounded result: one value per column).  The
+    (feature, value, count) table is persisted for the size check and the
+    median job, then released."""
+    vc = value_counts(unpivot_features(df, cols), "value", ["feature"]).persist()
+    try:
+        got = {r["feature"]: r["median"]
+               for r in medians_from_counts(vc, "value", ["feature"], **kw).collect()}
+    finally:
+        vc.unpersist()
+    return {c: got.get(c) for c in cols}
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], medians: dict | None = None,

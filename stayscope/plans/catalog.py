@@ -799,40 +799,51 @@ def model_matrix(spark, root):
     meds = ST.collect_medians(m, feats)
     feats = [c for c in feats if meds.get(c) is not None]     # all-NULL columns carry nothing
     mat = ST.impute_median(m.select(KEY, LABEL, *feats), feats, medians=meds)
-    mat = SP.stratified_split(mat, LABEL, KEY, test_fraction=MD.TEST_SIZE, seed=MD.RANDOM_SEED)
-    train = SP.stratified_folds(mat.where("is_test = 0"), LABEL, KEY, k=MD.CV_FOLDS)
-    test = mat.where("is_test = 1").withColumn("fold", F.lit(-1))
-    full = train.unionByName(test).checkpoint(eager=True)
+    mat = SP.split_and_folds(mat, LABEL, KEY, test_fraction=MD.TEST_SIZE, k=MD.CV_FOLDS,
+                             seed=MD.RANDOM_SEED)
+    full = mat.checkpoint(eager=True)
     m.unpersist()
     return full, feats
 
 
-def model_run(spark, root, cv: bool = True):
-    tag = (spark.sparkContext.applicationId, root, cv)
-    if tag in _RUNS:
-        return _RUNS[tag]
-    full, feats = model_matrix(spark, root)
+def _matrix(spark, root):
+    tag = (spark.sparkContext.applicationId, root, "matrix")
+    if tag not in _RUNS:
+        _RUNS[tag] = model_matrix(spark, root)
+    return _RUNS[tag]
+
+
+def model_run(spark, root, kinds=("lr", "rf"), cv: bool = True):
+    """Fit (and optionally cross-validate) the requested models once per
+    session and tables; later queries reuse the fits."""
+    full, feats = _matrix(spark, root)
     train, test = full.where("is_test = 0"), full.where("is_test = 1")
     run = {"matrix": full, "features": feats, "train": train, "test": test, "fits": {},
            "scored": {}, "cv": {}}
     for spec in MD.default_specs(num_trees=QUERY_TREES, max_depth=QUERY_DEPTH):
+        if spec.kind not in kinds:
+            continue
+        tag = (spark.sparkContext.applicationId, root, spec.kind)
+        if tag not in _RUNS:
+            fm = MD.fit(spec, train, feats, LABEL)
+            _RUNS[tag] = (fm, fm.score(test, KEY, LABEL).checkpoint(eager=True))
+        run["fits"][spec.kind], run["scored"][spec.kind] = _RUNS[tag]
         if cv:
-            run["cv"][spec.kind] = MD.cross_validate(spec, train, feats, LABEL, KEY)
-        fm = MD.fit(spec, train, feats, LABEL)
-        run["fits"][spec.kind] = fm
-        run["scored"][spec.kind] = fm.score(test, KEY, LABEL).checkpoint(eager=True)
-    _RUNS[tag] = run
+            ctag = tag + ("cv",)
+            if ctag not in _RUNS:
+                _RUNS[ctag] = MD.cross_validate(spec, train, feats, LABEL, KEY)
+            run["cv"][spec.kind] = _RUNS[ctag]
     return run
 
 
 @register("lr_scores")
 def q_lr_scores(spark, root):
-    return model_run(spark, root, cv=False)["scored"]["lr"]
+    return model_run(spark, root, kinds=("lr",), cv=False)["scored"]["lr"]
 
 
 @register("rf_scores")
 def q_rf_scores(spark, root):
-    return model_run(spark, root, cv=False)["scored"]["rf"]
+    return model_run(spark, root, kinds=("rf",), cv=False)["scored"]["rf"]
 
 
 @register("cv_metrics")
@@ -862,7 +873,7 @@ def q_model_metrics(spark, root):
 
 @register("top_importances")
 def q_top_importances(spark, root):
-    fm = model_run(spark, root, cv=False)["fits"]["rf"]
+    fm = model_run(spark, root, kinds=("rf",), cv=False)["fits"]["rf"]
     imp = spark.createDataFrame([(f, v, _category(f)) for f, v in MD.importances(fm)],
                                 "feature string, importance double, category string")
     top = imp.orderBy(F.desc("importance"), "feature").limit(20)
@@ -872,7 +883,7 @@ def q_top_importances(spark, root):
 
 
 def _shap_long(spark, root):
-    run = model_run(spark, root, cv=False)
+    run = model_run(spark, root, kinds=("rf",), cv=False)
     fm = run["fits"]["rf"]
     sample = SP.hash_sample(run["test"], KEY, n=500, seed=MD.RANDOM_SEED)
     scaled = fm.prepare(sample).select(KEY, *fm.features)

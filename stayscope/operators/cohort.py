@@ -24,11 +24,22 @@ def first_per_group(df: DataFrame, key: str | Sequence[str],
     first, like ``ROW_NUMBER() ... = 1``).  Pass a total order — ties are
     otherwise nondeterministic.
 
-    Plan: Catalyst turns ``row_number() = 1`` into a map-side partial
-    WindowGroupLimit before the shuffle, so each task ships at most one row
-    per key; a hot key cannot pile its rows into one reducer.
+    Plain column names (ascending, NULLs first) plan as one aggregation of
+    ``min(struct(order..., payload...))``: the partial aggregate keeps one
+    row per key per task before the shuffle, no window is evaluated.  Other
+    orders use ``row_number() = 1``, which Catalyst also limits map-side
+    (partial WindowGroupLimit).  Either way a hot key cannot pile its rows
+    into one reducer.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if rn_col is None and all(isinstance(c, str) for c in order_cols):
+        order = list(order_cols)
+        payload = [c for c in df.columns if c not in keys and c not in order]
+        fields = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order)] + \
+                 [F.col(c) for c in payload]
+        firsts = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("__first"))
+        return firsts.select(*keys, *[F.col(f"__first.__o{i}").alias(c) for i, c in enumerate(order)],
+                             *[F.col(f"__first.{c}") for c in payload]).select(*df.columns)
     w = Window.partitionBy(*keys).orderBy(*[_order_col(c) for c in order_cols])
     rn = rn_col or "__rn"
     out = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1)

@@ -269,16 +269,26 @@ def q_measurement_union(spark, root):
 
 # ------------------------------------------------------ master / imputation ---
 
-def master(spark, root, window_hours=24):
-    """Cohort + first-window vitals and labs (wide) + engineered columns."""
-    co = roles.cohort(spark, root)
+def materialized_cohort(spark, root):
+    """The cohort written once to the checkpoint folder (the stage-1 table);
+    for plans that read it more than once."""
+    return roles.cohort(spark, root).checkpoint(eager=True)
+
+
+def master(spark, root, window_hours=24, materialize: bool = False):
+    """Cohort + first-window vitals and labs (wide) + engineered columns.
+    The cohort is read three times (base table and both window anchors), so
+    it is materialised first; ``materialize`` also writes the result for
+    callers that make several passes over it."""
+    co = materialized_cohort(spark, root)
     anchors = roles.cohort_anchors(co)
     v = EV.name_items(vitals(spark, root, anchors, window_hours), roles.VITAL_CODES)
     lb = EV.name_items(labs(spark, root, anchors, window_hours), roles.LAB_CODES)
     wide_v = EV.wide_stats(v, "icustay_id", VITAL_NAMES)
     wide_l = EV.wide_stats(lb, "icustay_id", LAB_NAMES)
     m = EV.master_join(co, wide_v, wide_l, key="icustay_id")
-    return C.add_engineered(m, male_value="M", emergency_value=roles.EMERGENCY_TYPE)
+    m = C.add_engineered(m, male_value="M", emergency_value=roles.EMERGENCY_TYPE)
+    return m.checkpoint(eager=True) if materialize else m
 
 
 _ENGINEERED = ["gender_enc", "emergency_admission", "weekend_admission", "night_admission"]
@@ -339,7 +349,8 @@ def _sql_unpivot_stat(stat_sql: str, alias: str, cols=FEATURES) -> str:
 
 @register("feature_medians", _SQL_MASTER + _sql_unpivot_stat(sql_r("median({c})", 6), "median"))
 def q_feature_medians(spark, root):
-    return ST.rounded(ST.column_medians(master(spark, root), FEATURES), ["median"])
+    return ST.rounded(ST.column_medians(master(spark, root, materialize=True), FEATURES),
+                      ["median"])
 
 
 _SQL_MISSING = _sql_unpivot_stat("avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)", "missing_frac")
@@ -382,7 +393,7 @@ def q_missing_flags(spark, root):
     f"{sql_r(f'coalesce({c}, (SELECT median({c}) FROM master))', 6)} AS {c}" for c in FEATURES)
     + " FROM master")
 def q_median_impute(spark, root):
-    m = master(spark, root).select("icustay_id", *FEATURES)
+    m = master(spark, root, materialize=True).select("icustay_id", *FEATURES)
     return ST.rounded(ST.impute_median(m, FEATURES), FEATURES)
 
 
@@ -412,7 +423,7 @@ def q_mortality_by_admtype(spark, root):
 @register("los_by_careunit", _with(roles.SQL_ROLES) + _sql_outcome(
     "first_careunit", prolonged=True, median=True))
 def q_los_by_careunit(spark, root):
-    return R.los_by_careunit(roles.cohort(spark, root))
+    return R.los_by_careunit(materialized_cohort(spark, root))
 
 
 @register("weekend_effect", _with(roles.SQL_ROLES) + "SELECT *, CASE weekend_admission WHEN 0 THEN "
@@ -794,16 +805,14 @@ def _category(name: str) -> str:
 def model_matrix(spark, root):
     """Imputed cohort feature matrix with split and fold columns, written to
     the checkpoint folder (cuts the lineage every fit would replay)."""
-    m = master(spark, root).persist()       # read by the medians pass and the fill
+    m = master(spark, root, materialize=True)    # read by the medians pass and the fill
     feats, _ = MD.model_features(m)
     meds = ST.collect_medians(m, feats)
     feats = [c for c in feats if meds.get(c) is not None]     # all-NULL columns carry nothing
     mat = ST.impute_median(m.select(KEY, LABEL, *feats), feats, medians=meds)
     mat = SP.split_and_folds(mat, LABEL, KEY, test_fraction=MD.TEST_SIZE, k=MD.CV_FOLDS,
                              seed=MD.RANDOM_SEED)
-    full = mat.checkpoint(eager=True)
-    m.unpersist()
-    return full, feats
+    return mat.checkpoint(eager=True), feats
 
 
 def _matrix(spark, root):

@@ -50,8 +50,14 @@ def test_build_cohort_filters(spark):
     assert co.columns[:3] == ["subject_id", "hadm_id", "icustay_id"]
 
 
-def test_plan_uses_window_group_limit(spark, capsys):
+def test_first_per_group_plans(spark, capsys):
+    from pyspark.sql import functions as F
     _, _, stays = _frames(spark)
     first = C.first_per_group(stays, "hadm_id", ["intime", "icustay_id"])
     first.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Aggregate" in plan and "Window" not in plan
+    byw = C.first_per_group(stays, "hadm_id", [F.asc_nulls_first("intime"), "icustay_id"])
+    byw.explain("formatted")
     assert "WindowGroupLimit" in capsys.readouterr().out
+    assert sorted(byw.collect()) == sorted(first.collect())

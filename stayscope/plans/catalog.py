@@ -512,7 +512,8 @@ SELECT CAST(g.bin AS INTEGER) AS bin, CAST(g.bin AS DOUBLE) * ((r.hi - r.lo) / 4
        CAST(coalesce(c.cnt, 0) AS BIGINT) AS count
 FROM range(40) g(bin) CROSS JOIN r LEFT JOIN c ON c.bin = g.bin""".replace("WITH ", "WITH ", 1))
 def q_los_histogram(spark, root):
-    return ST.histogram(roles.cohort(spark, root), "icu_los_days", bins=40, clip=30.0)
+    # two passes (range, then counts) over the cohort: read it materialised
+    return ST.histogram(materialized_cohort(spark, root), "icu_los_days", bins=40, clip=30.0)
 
 
 _UNITS = ["A", "R"]

@@ -23,6 +23,24 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (hundreds of executors, ~100 TB of
+# input).  AQE sizes shuffle partitions from the data (start high, coalesce
+# to ~256 MB), splits skewed join partitions, and broadcasts only sides
+# measured under the threshold at run time.
+CLUSTER_CONF = {
+    **{k: v for k, v in DEFAULT_CONF.items() if k != "spark.ui.enabled"},
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+}
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8,
                   app: str = "stayscope") -> SparkSession:
     """A local session for tests and benches (one JVM, ``cores`` threads)."""

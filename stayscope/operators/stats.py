@@ -39,12 +39,29 @@ def _with_quantile_bucket(df: DataFrame, group_cols: Sequence[str], order_col: s
     if not group_cols:
         # exactly one row: a proven size bound, broadcast it
         bounds = F.broadcast(bounds)
-    tagged = src.join(bounds, gcols).withColumn(
-        "__bucket", F.size(F.filter("__bounds", lambda b: b < F.col(order_col))))
+    tagged = _count_below(src.join(bounds, gcols), "__bounds", order_col, len(probs), "__bucket")
     tagged = tagged.drop("__bounds")
     return tagged.drop("__g") if not group_cols else tagged
 
 
+def _count_below(df: DataFrame, arr: str, x: str, m: int, out: str) -> DataFrame:
+    """Number of elements of the sorted array ``arr`` (length ``m``) that are
+    strictly below ``x``: binary lifting in log2(m) compare steps, each a
+    plain codegen'd expression (kept as separate projections)."""
+    pos = "__pos"
+    df = df.withColumn(pos, F.lit(0))
+    step = 1
+    while step * 2 <= m:
+        step *= 2
+    while step >= 1:
+        cand = F.col(pos) + F.lit(step)
+        df = df.withColumn(pos, F.when((cand <= F.lit(m)) &
+                                       (F.try_element_at(F.col(arr), cand) < F.col(x)), cand)
+                           .otherwise(F.col(pos)))
+        step //= 2
+    return df.withColumnRenamed(pos, out)
+
+
 def _bucket_offsets(tagged: DataFrame, group_cols: Sequence[str], sum_cols: Sequence[str]
                     ) -> DataFrame:
     """Per (group, bucket): bucket totals ``__tot_c``, exclusive prefix

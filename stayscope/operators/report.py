@@ -180,3 +180,26 @@ def patient_level(cohort: DataFrame, time_col: str = "admittime",
             "night_admission", "emergency_admission", "admit_hour", "admit_dow", "admit_month",
             "admit_year", "shift", "los_band", *extra]
     return select_existing(df, cols)
+
+
+def reporting_tables(cohort: DataFrame, emergency_value: str, model_auc: float | None = None,
+                     importances: DataFrame | None = None, time_col: str = "admittime"
+                     ) -> dict[str, DataFrame]:
+    """The whole reporting bundle from one cohort/master frame: KPI card,
+    outcome tables by age band, admission type, care unit, weekday and shift,
+    feature importance (when given: feature, importance, category) and the
+    row-level table.  Pass it to ``sources.publish``; the row-level table is
+    kept local unless asked for."""
+    tables = {
+        "kpi_summary": kpi_summary(cohort, model_auc, emergency_value, time_col),
+        "mortality_by_age": mortality_by_age(cohort),
+        "mortality_by_admtype": mortality_by_admtype(cohort),
+        "los_by_careunit": los_by_careunit(cohort),
+        "weekend_effect": weekend_effect(cohort, time_col),
+        "shift_analysis": shift_analysis(cohort, time_col),
+        "patient_level": patient_level(cohort, time_col),
+    }
+    if importances is not None:
+        tables["feature_importance"] = share_of_total(importances, "feature", "importance") \
+            .withColumn("feature_label", S.feature_label("feature"))
+    return tables

@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> str:
-    """Distributed write (one file per task).  CSV gets a header line."""
+                partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> str:
+    """Distributed write (one file per task).  CSV gets a header line.
+    ``sort_by`` writes globally ordered files (range-partitioned sort, e.g.
+    the cohort by admission time then id)."""
+    if sort_by:
+        df = df.orderBy(*sort_by)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import cohort as C
 from ..operators import report as R
+from ..session import ensure_checkpoint_dir
 from . import roles
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -272,6 +273,7 @@ def q_measurement_union(spark, root):
 def materialized_cohort(spark, root):
     """The cohort written once to the checkpoint folder (the stage-1 table);
     for plans that read it more than once."""
+    ensure_checkpoint_dir(spark)
     return roles.cohort(spark, root).checkpoint(eager=True)
 
 

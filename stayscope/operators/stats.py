@@ -27,21 +27,25 @@ def _with_quantile_bucket(df: DataFrame, group_cols: Sequence[str], order_col: s
                           buckets: int, accuracy: int) -> DataFrame:
     """Tag each row with a bucket id in [0, buckets): the number of
     approximate quantile bounds (of its group) strictly below its value.
-    Monotone in the value, so buckets are ordered ranges."""
+    Monotone in the value, so buckets are ordered ranges.
+
+    Grouped: the (group -> bounds) table is equi-joined on the group keys
+    (one row per group; AQE broadcasts it by size).  Ungrouped: the
+    ``buckets - 1`` bounds are one bounded scalar result, inlined as a
+    literal array — no join at all."""
     probs = [i / buckets for i in range(1, buckets)]
     gcols = list(group_cols)
-    src = df
+    approx = F.percentile_approx(order_col, probs, accuracy)
     if not gcols:
-        src = src.withColumn("__g", F.lit(0))
-        gcols = ["__g"]
-    bounds = src.groupBy(*gcols).agg(
-        F.percentile_approx(order_col, probs, accuracy).alias("__bounds"))
-    if not group_cols:
-        # exactly one row: a proven size bound, broadcast it
-        bounds = F.broadcast(bounds)
-    tagged = _count_below(src.join(bounds, gcols), "__bounds", order_col, len(probs), "__bucket")
-    tagged = tagged.drop("__bounds")
-    return tagged.drop("__g") if not group_cols else tagged
+        bounds = df.agg(approx.alias("b")).first()["b"] or []
+        if not bounds:
+            return df.withColumn("__bucket", F.lit(0))
+        arr = F.array(*[F.lit(float(b)) for b in bounds])
+        return _count_below(df.withColumn("__bounds", arr), "__bounds", order_col,
+                            len(bounds), "__bucket").drop("__bounds")
+    bounds = df.groupBy(*gcols).agg(approx.alias("__bounds"))
+    tagged = _count_below(df.join(bounds, gcols), "__bounds", order_col, len(probs), "__bucket")
+    return tagged.drop("__bounds")
 
 
 def _count_below(df: DataFrame, arr: str, x: str, m: int, out: str) -> DataFrame:
@@ -146,10 +150,8 @@ def medians_from_counts(vc: DataFrame, value_col: str, group_cols: Sequence[str]
                   .agg(F.max("__d")).first()[0])
         if widest is None or widest <= max_in_task:
             return vc.groupBy(*g).agg(F.percentile(value_col, 0.5, F.col("__cnt")).alias(out_col))
-    src = vc if g else vc.withColumn("__g", F.lit(0))
-    gg = g if g else ["__g"]
-    tagged = _with_quantile_bucket(src, gg, value_col, buckets, accuracy)
-    off = _bucket_offsets(tagged, gg, ["__cnt"]).withColumnRenamed("__all___cnt", "__n")
+    tagged = _with_quantile_bucket(vc, g, value_col, buckets, accuracy)
+    off = _bucket_offsets(tagged, g, ["__cnt"]).withColumnRenamed("__all___cnt", "__n")
     targets = (off
                .withColumns({"__klo": F.floor((F.col("__n") - 1) / 2),
                              "__khi": F.ceil((F.col("__n") - 1) / 2)})
@@ -157,19 +159,18 @@ def medians_from_counts(vc: DataFrame, value_col: str, group_cols: Sequence[str]
                        (F.col("__klo") < F.col("__off___cnt") + F.col("__tot___cnt"))) |
                       ((F.col("__khi") >= F.col("__off___cnt")) &
                        (F.col("__khi") < F.col("__off___cnt") + F.col("__tot___cnt"))))
-               .select(*gg, "__bucket", "__off___cnt", "__klo", "__khi"))
-    w = Window.partitionBy(*gg, "__bucket").orderBy(value_col) \
+               .select(*g, "__bucket", "__off___cnt", "__klo", "__khi"))
+    w = Window.partitionBy(*g, "__bucket").orderBy(value_col) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inb = (tagged.join(targets, gg + ["__bucket"])   # only the 1-2 target buckets survive
+    inb = (tagged.join(targets, g + ["__bucket"])   # only the 1-2 target buckets survive
            .withColumn("__hi_rank", F.col("__off___cnt") + F.sum("__cnt").over(w))
            .withColumn("__lo_rank", F.col("__hi_rank") - F.col("__cnt")))
     hit = lambda k: (F.col(k) >= F.col("__lo_rank")) & (F.col(k) < F.col("__hi_rank"))
-    picked = inb.groupBy(*gg).agg(
+    picked = inb.groupBy(*g).agg(
         F.max(F.when(hit("__klo"), F.col(value_col))).alias("__vlo"),
         F.max(F.when(hit("__khi"), F.col(value_col))).alias("__vhi"))
-    med = picked.select(*gg, (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.lit(0.5))
-                        .alias(out_col))
-    return med.drop("__g") if not g else med
+    return picked.select(*g, (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.lit(0.5))
+                         .alias(out_col))
 
 
 def unpivot_features(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = (),

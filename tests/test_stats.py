@@ -69,3 +69,11 @@ def test_standardize_population_std_and_constant(spark):
     xs = np.array([1.0, 2.0, 3.0])
     assert [r.x for r in out] == pytest.approx(((xs - xs.mean()) / xs.std()).tolist())
     assert [r.c for r in out] == [0.0, 0.0, 0.0]
+
+
+def test_ungrouped_bucketed_median(spark):
+    rng = np.random.default_rng(9)
+    vals = np.round(rng.normal(size=999), 3)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    got = ST.exact_medians(df, "v", [], buckets=8, max_in_task=0).first()["median"]
+    assert got == pytest.approx(float(np.median(vals)), abs=1e-12)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import round_half_even
+from ..session import ensure_checkpoint_dir
 
 DEFAULT_BUCKETS = 128
 DEFAULT_ACCURACY = 10000
@@ -29,8 +30,8 @@ def _with_quantile_bucket(df: DataFrame, group_cols: Sequence[str], order_col: s
     approximate quantile bounds (of its group) strictly below its value.
     Monotone in the value, so buckets are ordered ranges.
 
-    Grouped: the (group -> bounds) table is equi-joined on the group keys
-    (one row per group; AQE broadcasts it by size).  Ungrouped: the
+    Grouped: the (group -> bounds) table is written once and equi-joined on
+    the group keys (one row per group; AQE broadcasts it by size).  Ungrouped: the
     ``buckets - 1`` bounds are one bounded scalar result, inlined as a
     literal array — no join at all."""
     probs = [i / buckets for i in range(1, buckets)]
@@ -43,7 +44,10 @@ def _with_quantile_bucket(df: DataFrame, group_cols: Sequence[str], order_col: s
         arr = F.array(*[F.lit(float(b)) for b in bounds])
         return _count_below(df.withColumn("__bounds", arr), "__bounds", order_col,
                             len(bounds), "__bucket").drop("__bounds")
-    bounds = df.groupBy(*gcols).agg(approx.alias("__bounds"))
+    # Sketch merging is order dependent, so the bounds must be computed once
+    # and read by every branch that buckets rows: store them (reliably).
+    ensure_checkpoint_dir(df.sparkSession)
+    bounds = df.groupBy(*gcols).agg(approx.alias("__bounds")).checkpoint(eager=True)
     tagged = _count_below(df.join(bounds, gcols), "__bounds", order_col, len(probs), "__bucket")
     return tagged.drop("__bounds")
 

@@ -65,9 +65,10 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score", **kw)
     pts = cc.select(F.col("score").alias("threshold"),
                     F.try_divide(F.col("fp").cast("double"), F.col("N").cast("double")).alias("fpr"),
                     F.try_divide(F.col("tp").cast("double"), F.col("P").cast("double")).alias("tpr"))
-    start = cc.agg(F.lit(float("inf")).alias("threshold"),
-                   F.when(F.first("N") > 0, F.lit(0.0)).alias("fpr"),
-                   F.when(F.first("P") > 0, F.lit(0.0)).alias("tpr"))
+    tot = score_groups(df, label, score).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    start = tot.select(F.lit(float("inf")).alias("threshold"),
+                       F.when(F.col("N") > 0, F.lit(0.0)).alias("fpr"),
+                       F.when(F.col("P") > 0, F.lit(0.0)).alias("tpr"))
     return pts.unionByName(start)
 
 
@@ -83,10 +84,11 @@ def pr_points(df: DataFrame, label: str = "label", score: str = "score", **kw) -
                     F.when(F.col("P") > 0, F.col("tp").cast("double") / F.col("P").cast("double"))
                     .otherwise(F.lit(1.0)).alias("recall"),
                     base.alias("baseline"))
-    end = cc.agg(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
-                 F.lit(0.0).alias("recall"),
-                 (F.first("P").cast("double") / (F.first("P") + F.first("N")).cast("double"))
-                 .alias("baseline"))
+    tot = score_groups(df, label, score).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    end = tot.select(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
+                     F.lit(0.0).alias("recall"),
+                     (F.col("P").cast("double") / (F.col("P") + F.col("N")).cast("double"))
+                     .alias("baseline"))
     return pts.unionByName(end)
 
 

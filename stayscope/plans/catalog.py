@@ -805,49 +805,57 @@ def _category(name: str) -> str:
     return "Labs" if any(name.endswith("_" + n) for n in LAB_NAMES) else "Vitals"
 
 
-def model_matrix(spark, root):
-    """Imputed cohort feature matrix with split and fold columns, written to
-    the checkpoint folder (cuts the lineage every fit would replay)."""
+def model_matrix(spark, root, label: str = LABEL):
+    """Imputed cohort feature matrix with split and fold columns (stratified
+    on ``label``), written to the checkpoint folder (cuts the lineage every
+    fit would replay).  Both outcomes and the LOS itself are excluded from
+    the features, whichever is the target."""
     m = master(spark, root, materialize=True)    # read by the medians pass and the fill
     feats, _ = MD.model_features(m)
     meds = ST.collect_medians(m, feats)
     feats = [c for c in feats if meds.get(c) is not None]     # all-NULL columns carry nothing
-    mat = ST.impute_median(m.select(KEY, LABEL, *feats), feats, medians=meds)
-    mat = SP.split_and_folds(mat, LABEL, KEY, test_fraction=MD.TEST_SIZE, k=MD.CV_FOLDS,
+    mat = ST.impute_median(m.select(KEY, label, *feats), feats, medians=meds)
+    mat = SP.split_and_folds(mat, label, KEY, test_fraction=MD.TEST_SIZE, k=MD.CV_FOLDS,
                              seed=MD.RANDOM_SEED)
     return mat.checkpoint(eager=True), feats
 
 
-def _matrix(spark, root):
-    tag = (spark.sparkContext.applicationId, root, "matrix")
+def _matrix(spark, root, label: str = LABEL):
+    tag = (spark.sparkContext.applicationId, root, "matrix", label)
     if tag not in _RUNS:
-        _RUNS[tag] = model_matrix(spark, root)
+        _RUNS[tag] = model_matrix(spark, root, label)
     return _RUNS[tag]
 
 
-def model_run(spark, root, kinds=("lr", "rf"), cv: bool = True):
+def model_run(spark, root, kinds=("lr", "rf"), cv: bool = True, label: str = LABEL):
     """Fit (and optionally cross-validate) the requested models once per
-    session and tables; later queries reuse the fits."""
-    full, feats = _matrix(spark, root)
+    session, tables and target; later queries reuse the fits."""
+    full, feats = _matrix(spark, root, label)
     train, test = full.where("is_test = 0"), full.where("is_test = 1")
     run = {"matrix": full, "features": feats, "train": train, "test": test, "fits": {},
            "scored": {}, "cv": {}}
     for spec in MD.default_specs(num_trees=QUERY_TREES, max_depth=QUERY_DEPTH):
         if spec.kind not in kinds:
             continue
-        tag = (spark.sparkContext.applicationId, root, spec.kind)
+        tag = (spark.sparkContext.applicationId, root, spec.kind, label)
         if tag not in _RUNS:
-            fm = MD.fit(spec, train, feats, LABEL)
-            _RUNS[tag] = (fm, fm.score(test, KEY, LABEL).checkpoint(eager=True))
+            fm = MD.fit(spec, train, feats, label)
+            _RUNS[tag] = (fm, fm.score(test, KEY, label).checkpoint(eager=True))
         run["fits"][spec.kind], run["scored"][spec.kind] = _RUNS[tag]
         if cv:
             ctag = tag + ("cv",)
             if ctag not in _RUNS:
-                _RUNS[ctag] = MD.cross_validate(spec, train, feats, LABEL, KEY)
+                _RUNS[ctag] = MD.cross_validate(spec, train, feats, label, KEY)
             run["cv"][spec.kind] = _RUNS[ctag]
     return run
 
 
+@register("prolonged_los_scores")
+def q_prolonged_los_scores(spark, root):
+    """The same forest on the other outcome: ICU stay longer than 7 days."""
+    return model_run(spark, root, kinds=("rf",), cv=False, label="prolonged_los")["scored"]["rf"]
+
+
 @register("lr_scores")
 def q_lr_scores(spark, root):
     return model_run(spark, root, kinds=("lr",), cv=False)["scored"]["lr"]

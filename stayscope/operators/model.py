@@ -159,7 +159,7 @@ def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str)
 
 def cross_validate(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str,
                    id_col: str, fold_col: str = "fold", k: int = CV_FOLDS,
-                   parallelism: int = 2) -> list[float]:
+                   parallelism: int = CV_FOLDS) -> list[float]:
     """Exact ROC-AUC of each fold's model on its held-out fold.  Each fold
     refits scaler, weights and regularisation on its own training part;
     folds run concurrently (driver threads submitting Spark jobs)."""

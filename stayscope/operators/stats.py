@@ -38,12 +38,7 @@ def _with_quantile_bucket(df: DataFrame, group_cols: Sequence[str], order_col: s
     gcols = list(group_cols)
     approx = F.percentile_approx(order_col, probs, accuracy)
     if not gcols:
-        bounds = df.agg(approx.alias("b")).first()["b"] or []
-        if not bounds:
-            return df.withColumn("__bucket", F.lit(0))
-        arr = F.array(*[F.lit(float(b)) for b in bounds])
-        return _count_below(df.withColumn("__bounds", arr), "__bounds", order_col,
-                            len(bounds), "__bucket").drop("__bounds")
+        return _bucket_from_bounds(df, order_col, df.agg(approx.alias("b")).first()["b"] or [])
     # Sketch merging is order dependent, so the bounds must be computed once
     # and read by every branch that buckets rows: store them (reliably).
     ensure_checkpoint_dir(df.sparkSession)
@@ -52,6 +47,15 @@ def _with_quantile_bucket(df: DataFrame, group_cols: Sequence[str], order_col: s
     return tagged.drop("__bounds")
 
 
+def _bucket_from_bounds(df: DataFrame, order_col: str, bounds: Sequence[float]) -> DataFrame:
+    """Bucket id from a (bounded) list of sorted bounds inlined as literals."""
+    if not bounds:
+        return df.withColumn("__bucket", F.lit(0))
+    arr = F.array(*[F.lit(float(b)) for b in bounds])
+    return _count_below(df.withColumn("__bounds", arr), "__bounds", order_col,
+                        len(bounds), "__bucket").drop("__bounds")
+
+
 def _count_below(df: DataFrame, arr: str, x: str, m: int, out: str) -> DataFrame:
     """Number of elements of the sorted array ``arr`` (length ``m``) that are
     strictly below ``x``: binary lifting in log2(m) compare steps, each a
@@ -89,18 +93,33 @@ def _bucket_offsets(tagged: DataFrame, group_cols: Sequence[str], sum_cols: Sequ
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    group_cols: Sequence[str] = (), bucket_col: Column | None = None,
-                   buckets: int = DEFAULT_BUCKETS, accuracy: int = DEFAULT_ACCURACY
-                   ) -> DataFrame:
+                   buckets: int = DEFAULT_BUCKETS, accuracy: int = DEFAULT_ACCURACY,
+                   max_in_task: int = DEFAULT_MAX_IN_TASK) -> DataFrame:
     """Inclusive running sums ``{c}_cum`` of ``sum_cols`` in ascending
-    ``order_col`` within each group, computed without a single-partition
-    window.  ``order_col`` must be unique within a group (collapse ties
-    first).  ``bucket_col`` may supply a ready-made monotone bucket (e.g. a
-    uniform hash prefix); otherwise approximate quantile bounds are used.
-    Also returns ``{c}_total`` per group.
+    ``order_col`` within each group, plus ``{c}_total`` per group.
+    ``order_col`` must be unique within a group (collapse ties first).
+
+    ``bucket_col`` may supply a ready-made monotone bucket (e.g. a uniform
+    hash prefix).  Otherwise, ungrouped input is sized first (one action
+    that also returns approximate quantile bounds): up to ``max_in_task``
+    rows are ordered by one window — bounded by that check — and larger
+    input is split into quantile-range buckets whose small totals table
+    supplies the prefix offsets.  Grouped input always uses buckets.
     """
     g = list(group_cols)
     if bucket_col is not None:
         tagged = df.withColumn("__bucket", bucket_col)
+    elif not g:
+        probs = [i / buckets for i in range(1, buckets)]
+        row = df.agg(F.count(F.lit(1)).alias("n"),
+                     F.percentile_approx(order_col, probs, accuracy).alias("b")).first()
+        if row["n"] <= max_in_task:
+            w = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding,
+                                                      Window.currentRow)
+            every = Window.partitionBy()
+            return df.withColumns({**{f"{c}_cum": F.sum(c).over(w) for c in sum_cols},
+                                   **{f"{c}_total": F.sum(c).over(every) for c in sum_cols}})
+        tagged = _bucket_from_bounds(df, order_col, row["b"] or [])
     else:
         tagged = _with_quantile_bucket(df, g, order_col, buckets, accuracy)
     off = _bucket_offsets(tagged, g, sum_cols).drop(*[f"__tot_{c}" for c in sum_cols])

@@ -33,10 +33,14 @@ def scored(spark):
     return df, y, s
 
 
-def test_auc_and_ap_exact(scored):
+@pytest.mark.parametrize("max_in_task", [0, 1_000_000])
+def test_auc_and_ap_exact(scored, max_in_task):
     df, y, s = scored
-    assert M.roc_auc(df, buckets=8).first()[0] == pytest.approx(_brute_auc(y, s), abs=1e-12)
-    assert M.average_precision(df, buckets=8).first()[0] == pytest.approx(_brute_ap(y, s), abs=1e-12)
+    kw = {"buckets": 8, "max_in_task": max_in_task}
+    assert M.roc_auc(df, **kw).first()[0] == pytest.approx(_brute_auc(y, s), abs=1e-12)
+    assert M.average_precision(df, **kw).first()[0] == pytest.approx(_brute_ap(y, s), abs=1e-12)
+    roc = sorted((r.fpr, r.tpr) for r in M.roc_points(df, **kw).collect())
+    assert roc[-1] == (1.0, 1.0)
 
 
 def test_curves_monotone(scored):

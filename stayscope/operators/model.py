@@ -53,7 +53,7 @@ class ModelSpec:
     num_trees: int = RF_TREES
     max_depth: int = RF_MAX_DEPTH
     min_leaf: int = RF_MIN_LEAF
-    max_bins: int = 64
+    max_bins: int = 128
     seed: int = RANDOM_SEED
 
 

@@ -34,7 +34,8 @@ def filter_measurements(events: DataFrame, codes: Sequence | None = None,
 
 def window_join(events: DataFrame, anchors: DataFrame, event_key: str, anchor_key: str,
                 time_col: str = "charttime", anchor_time: str = "intime",
-                window_hours: float | None = 24, anchor_cols: Sequence[str] = ()) -> DataFrame:
+                window_hours: float | None = 24, anchor_cols: Sequence[str] = (),
+                salt: int = 0) -> DataFrame:
     """Events joined to their anchor row with ``anchor_time <= t <= anchor_time
     + window_hours`` (closed interval).  ``window_hours=None`` keeps the whole
     stay (no time predicate).
@@ -44,16 +45,28 @@ def window_join(events: DataFrame, anchors: DataFrame, event_key: str, anchor_ke
     one key carries a large share of events AQE's skew-join splits that
     partition on the event side.  No broadcast is forced — the anchor table
     grows with the cohort; AQE broadcasts it only under the size threshold.
+
+    ``salt > 0`` splits every key explicitly (for clusters without AQE skew
+    handling): each anchor row is repeated ``salt`` times and each event
+    picks one copy by a hash of its own columns — deterministic, so a retried
+    task salts identically, and the result is unchanged.
     """
     a = anchors.select(F.col(anchor_key).alias("__akey"), F.col(anchor_time).alias("__atime"),
                        *anchor_cols)
+    ev = events
     cond = F.col(event_key) == F.col("__akey")
+    if salt and salt > 1:
+        a = a.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        ev = ev.withColumn("__esalt", F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]),
+                                             F.lit(salt)).cast("int"))
+        cond = cond & (F.col("__esalt") == F.col("__salt"))
     if window_hours is not None:
         hi = F.col("__atime") + F.make_dt_interval(
             F.lit(0), F.lit(0), F.lit(0),
             F.lit(float(window_hours) * 3600.0).cast("decimal(18,6)"))
         cond = cond & F.col(time_col).between(F.col("__atime"), hi)
-    return events.join(a, cond, "inner").drop("__akey", "__atime")
+    out = ev.join(a, cond, "inner").drop("__akey", "__atime")
+    return out.drop("__salt", "__esalt") if salt and salt > 1 else out
 
 
 def restrict_to(events: DataFrame, keys: DataFrame, event_key: str, key_col: str) -> DataFrame:

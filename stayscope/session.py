@@ -69,7 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = tempfile.mkdtemp(prefix="stayscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    try:
+        spark.sparkContext.setCheckpointDir(configured)
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext use the conf
+        pass
     return configured
 
 

@@ -59,3 +59,12 @@ def test_grouped_median_hot_key(spark, skewed):
            ST.exact_medians(ev, "valuenum", ["icustay_id"], buckets=16, max_in_task=0).collect()}
     hot = [r[3] for r in rows if r[0] == 7]
     assert med[7] == pytest.approx(float(np.median(hot)), abs=1e-12)
+
+
+def test_salted_window_join_same_result(spark, skewed):
+    ev, anchors, _ = skewed
+    plain = EV.window_join(ev, anchors, "icustay_id", "icustay_id", window_hours=24)
+    salted = EV.window_join(ev, anchors, "icustay_id", "icustay_id", window_hours=24, salt=8)
+    assert salted.columns == plain.columns
+    assert salted.count() == plain.count()
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0

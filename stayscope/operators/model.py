@@ -11,6 +11,7 @@ per-class counts) travel to the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -40,6 +41,8 @@ ID_AND_OUTCOME_COLS = ["subject_id", "hadm_id", "icustay_id", "admittime",
                        "admission_type", "first_careunit", "insurance", "ethnicity",
                        "icu_los_days"]
 
+LR_ROWS_PER_PARTITION = 1_000_000   # L-BFGS runs one job per iteration: size tasks by rows
+
 _FEATURES_VEC = "__features"
 _WEIGHT = "__weight"
 
@@ -136,8 +139,12 @@ def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str)
     fm = FittedModel(spec, feats, scaler, None, weights)
     data = with_weights(fm.prepare(train), label, weights, _WEIGHT) \
         .withColumn(label, F.col(label).cast("double")) \
-        .select(_FEATURES_VEC, label, _WEIGHT).persist()
+        .select(_FEATURES_VEC, label, _WEIGHT)
     if spec.kind == "lr":
+        # dozens of passes over the same rows: fewer, fuller tasks (only ever
+        # reduces the partition count; thousands remain at cluster scale)
+        n_rows = sum(n for _, n, _ in counts)
+        data = data.coalesce(max(1, math.ceil(n_rows / LR_ROWS_PER_PARTITION)))
         est = LogisticRegression(featuresCol=_FEATURES_VEC, labelCol=label, weightCol=_WEIGHT,
                                  maxIter=spec.max_iter, elasticNetParam=0.0,
                                  regParam=1.0 / (spec.C * total_w), standardization=False,
@@ -150,6 +157,7 @@ def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str)
                                      seed=spec.seed, cacheNodeIds=True, checkpointInterval=10)
     else:
         raise ValueError(spec.kind)
+    data = data.persist()
     try:
         fm.model = est.fit(data)
     finally:

@@ -282,14 +282,12 @@ def master(spark, root, window_hours=24, materialize: bool = False):
     The cohort is read three times (base table and both window anchors), so
     it is materialised first; ``materialize`` also writes the result for
     callers that make several passes over it."""
+    from .stages import build_master
     co = materialized_cohort(spark, root)
-    anchors = roles.cohort_anchors(co)
-    v = EV.name_items(vitals(spark, root, anchors, window_hours), roles.VITAL_CODES)
-    lb = EV.name_items(labs(spark, root, anchors, window_hours), roles.LAB_CODES)
-    wide_v = EV.wide_stats(v, "icustay_id", VITAL_NAMES)
-    wide_l = EV.wide_stats(lb, "icustay_id", LAB_NAMES)
-    m = EV.master_join(co, wide_v, wide_l, key="icustay_id")
-    m = C.add_engineered(m, male_value="M", emergency_value=roles.EMERGENCY_TYPE)
+    meas = roles.measurements(spark, root)
+    m = build_master(co, meas, meas, roles.VITAL_CODES, roles.LAB_CODES,
+                     anchors=roles.cohort_anchors(co), window_hours=window_hours,
+                     male_value="M", emergency_value=roles.EMERGENCY_TYPE)
     return m.checkpoint(eager=True) if materialize else m
 
 

@@ -155,6 +155,16 @@ def exact_medians(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
                                buckets, accuracy, max_in_task)
 
 
+def approx_medians(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
+                   out_col: str = "median", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Approximate medians (one pass, bounded sketch per group): the returned
+    value's rank is within n / accuracy of the middle rank.  For when the
+    exact value is not needed."""
+    return (df.where(F.col(value_col).isNotNull() & ~F.isnan(value_col))
+            .groupBy(*group_cols)
+            .agg(F.percentile_approx(value_col, 0.5, accuracy).alias(out_col)))
+
+
 def value_counts(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """(group, value, __cnt) over non-NULL, non-NaN values — partial
     aggregation, so repeated values shrink before the shuffle."""

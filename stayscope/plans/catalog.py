@@ -940,3 +940,32 @@ def q_model_summary(spark, root):
                         F.lit(row["test_roc_auc"]).cast("double").alias("test_roc_auc"),
                         F.lit(row["precision_died"]).cast("double").alias("precision_died"),
                         F.lit(row["recall_died"]).cast("double").alias("recall_died"))
+
+
+# -------------------------------------------------------------- streaming ---
+
+@register("threshold_alert_stream", _with(roles.SQL_ROLES, roles.SQL_MEASUREMENTS) + f"""
+SELECT c.icustay_id, min(m.charttime) AS first_breach, count(*) AS n_breaches
+FROM measurements m JOIN cohort c ON m.hadm_id = c.hadm_id
+WHERE {_LAB_FILTER} AND {_sql_window('c.icustay_id', S.ALERT_WINDOW_HOURS)}
+  AND (""" + " OR ".join(
+    f"({roles.sql_lab_name('m.itemid')} = '{n}' AND m.valuenum > {float(t)})"
+    for n, t in roles.ROLE_ALERT_THRESHOLDS.items()) + """)
+GROUP BY c.icustay_id""")
+def q_threshold_alert_stream(spark, root):
+    """The alert rule as a streaming job over the measurement file (run to
+    completion with availableNow); the alerts table is read back."""
+    from ..session import scratch_path
+    from ..sources.tables import TABLE_SCHEMAS
+    from ..streaming import alerts as A
+    ev = A.file_stream(spark, root, TABLE_SCHEMAS["events"], file_glob="events.parquet")
+    m = ev.select(F.col("user_id").alias("hadm_id"), F.col("event_type").alias("itemid"),
+                  F.col("ts").alias("charttime"), F.col("value").alias("valuenum"))
+    m = EV.name_items(EV.filter_measurements(m, roles.LAB_CODES), roles.LAB_CODES)
+    anchors = roles.cohort_anchors(materialized_cohort(spark, root))
+    breaches = A.breach_stream(m, anchors, "hadm_id", "hadm_id", roles.ROLE_ALERT_THRESHOLDS,
+                               out_key="icustay_id")
+    out = scratch_path(spark, "alerts")
+    q = A.start_alerts(breaches, out, scratch_path(spark, "alerts-progress"))
+    q.awaitTermination()
+    return spark.read.parquet(out).select("icustay_id", "first_breach", "n_breaches")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from ..operators.cohort import build_cohort
 from ..sources.tables import read_table
 
@@ -33,8 +34,8 @@ ERROR_TYPE = "error"                      # event_type flagged as charting error
 VITAL_CODES = {"click": "heart_rate", "view": "sbp", "signup": "dbp", "error": "spo2",
                "temp": "temperature_c", "resp": "resp_rate"}
 LAB_CODES = {"purchase": "lactate", "error": "creatinine", "glucose": "glucose"}
-# Alert thresholds on the role scale (event values are ~100x clinical units).
-ROLE_ALERT_THRESHOLDS = {"lactate": 250.0, "creatinine": 200.0}
+# Alert thresholds: the analysed project's own (lactate > 2.5, creatinine > 2.0).
+ROLE_ALERT_THRESHOLDS = dict(S.ALERT_THRESHOLDS)
 PREDICTION_CUTOFF = 2000                  # scored rows: prediction = n_chars >= cutoff
 # ---------------------------------------------------------------------------
 

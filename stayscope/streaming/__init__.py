@@ -1,7 +1,8 @@
-"""Streaming: intentionally empty.
+"""Streaming.
 
-The analysed project reads only bounded inputs (query results and files);
-it has no streams, watermarks, event-time windows or state, so there is no
-streaming operator to rebuild.  The anchored time windows of the measurement
-features are range joins over batch data (``operators.events.window_join``).
+The analysed project reads only bounded inputs, so its batch operators live
+in ``operators``.  The one rule it proposes for real-time use — the
+early-warning threshold alert — also runs here as a Structured Streaming
+job (``alerts``): stateless breach filter, stream-static window join to the
+stay anchors, idempotent foreachBatch sink.
 """

@@ -77,3 +77,12 @@ def test_ungrouped_bucketed_median(spark):
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
     got = ST.exact_medians(df, "v", [], buckets=8, max_in_task=0).first()["median"]
     assert got == pytest.approx(float(np.median(vals)), abs=1e-12)
+
+
+def test_approx_median_rank_error(spark):
+    rng = np.random.default_rng(4)
+    vals = rng.normal(size=5000)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    got = ST.approx_medians(df, "v", accuracy=100).first()["median"]
+    rank = (np.sort(vals) < got).sum()
+    assert abs(rank - 2500) <= 5000 / 100 + 1

@@ -818,8 +818,16 @@ def model_matrix(spark, root, label: str = LABEL):
     return mat.checkpoint(eager=True), feats
 
 
+def _app(spark) -> str:
+    """Identity of the running application (fits are cached per session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        return str(id(spark))
+
+
 def _matrix(spark, root, label: str = LABEL):
-    tag = (spark.sparkContext.applicationId, root, "matrix", label)
+    tag = (_app(spark), root, "matrix", label)
     if tag not in _RUNS:
         _RUNS[tag] = model_matrix(spark, root, label)
     return _RUNS[tag]
@@ -835,7 +843,7 @@ def model_run(spark, root, kinds=("lr", "rf"), cv: bool = True, label: str = LAB
     for spec in MD.default_specs(num_trees=QUERY_TREES, max_depth=QUERY_DEPTH):
         if spec.kind not in kinds:
             continue
-        tag = (spark.sparkContext.applicationId, root, spec.kind, label)
+        tag = (_app(spark), root, spec.kind, label)
         if tag not in _RUNS:
             fm = MD.fit(spec, train, feats, label)
             _RUNS[tag] = (fm, fm.score(test, KEY, label).checkpoint(eager=True))

@@ -261,7 +261,7 @@ SELECT c.icustay_id, m.itemid, m.charttime, m.valuenum, 'labs' AS source
 FROM measurements m JOIN cohort c ON m.hadm_id = c.hadm_id
 WHERE {_LAB_FILTER} AND {_sql_window('c.icustay_id')}""")
 def q_measurement_union(spark, root):
-    anchors = roles.cohort_anchors(roles.cohort(spark, root))
+    anchors = roles.cohort_anchors(materialized_cohort(spark, root))   # read by both branches
     cols = ["icustay_id", "itemid", "charttime", "valuenum"]
     v = vitals(spark, root, anchors).select(*cols, F.lit("vitals").alias("source"))
     lb = labs(spark, root, anchors).select(*cols, F.lit("labs").alias("source"))
@@ -482,7 +482,7 @@ UNION ALL
 SELECT 'admission_type', admission_type, count(*), avg(hospital_expire_flag) * 100.0
 FROM cohort WHERE admission_type IS NOT NULL GROUP BY admission_type""")
 def q_mortality_rate_by(spark, root):
-    co = roles.cohort(spark, root).withColumn("age_band", S.age_band())
+    co = materialized_cohort(spark, root).withColumn("age_band", S.age_band())   # two groupings
     return R.rate_by(co, ["age_band", "admission_type"])
 
 
@@ -613,7 +613,7 @@ SELECT c.icustay_id, CASE WHEN h.n_breaches > 0 THEN 1 ELSE 0 END AS alert,
        coalesce(h.n_breaches, 0) AS n_breaches, h.first_breach
 FROM cohort c LEFT JOIN hits h ON c.icustay_id = h.icustay_id""")
 def q_threshold_alert(spark, root):
-    co = roles.cohort(spark, root)
+    co = materialized_cohort(spark, root)        # anchors and the left-join base
     anchors = roles.cohort_anchors(co)
     m = EV.filter_measurements(roles.measurements(spark, root), roles.LAB_CODES)
     m = EV.name_items(m, roles.LAB_CODES)

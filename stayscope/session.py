@@ -43,12 +43,12 @@ CLUSTER_CONF = {
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8,
-                  app: str = "stayscope") -> SparkSession:
+                  app: str = "stayscope", extra_conf: dict | None = None) -> SparkSession:
     """A local session for tests and benches (one JVM, ``cores`` threads)."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "16g"))
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

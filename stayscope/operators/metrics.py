@@ -58,10 +58,31 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score",
     return cc.agg(F.when(F.first("P") > 0, F.sum(term)).alias("average_precision"))
 
 
-def roc_points(df: DataFrame, label: str = "label", score: str = "score", **kw) -> DataFrame:
-    """(threshold, fpr, tpr) for every distinct score plus the (0, 0) start
-    at threshold +inf."""
+def _corner_points(cc: DataFrame) -> DataFrame:
+    """Keep the thresholds where the ROC polyline turns: the first and last
+    distinct score, and every score whose (positives, negatives) differ from
+    those of the next lower score (collinear points dropped).  The neighbour
+    is found by an equi-join on the distinct-score rank, not a global
+    window."""
+    ranked = running_totals(cc.withColumn("__one", F.lit(1).cast("long")), "score",
+                            ["__one"]).withColumnRenamed("__one_cum", "__r") \
+        .withColumnRenamed("__one_total", "__nr").drop("__one")
+    below = ranked.select((F.col("__r") + 1).alias("__r"), F.col("pos").alias("__pos_b"),
+                          F.col("neg").alias("__neg_b"))
+    j = ranked.join(below, "__r", "left")
+    keep = ((F.col("__r") == 1) | (F.col("__r") == F.col("__nr")) |
+            (F.col("pos") != F.col("__pos_b")) | (F.col("neg") != F.col("__neg_b")))
+    return j.where(keep).drop("__r", "__nr", "__pos_b", "__neg_b")
+
+
+def roc_points(df: DataFrame, label: str = "label", score: str = "score",
+               drop_intermediate: bool = False, **kw) -> DataFrame:
+    """(threshold, fpr, tpr) for every distinct score (or, with
+    ``drop_intermediate``, only the corner points) plus the (0, 0) start at
+    threshold +inf."""
     cc = cumulative_counts(df, label, score, **kw)
+    if drop_intermediate:
+        cc = _corner_points(cc)
     pts = cc.select(F.col("score").alias("threshold"),
                     F.try_divide(F.col("fp").cast("double"), F.col("N").cast("double")).alias("fpr"),
                     F.try_divide(F.col("tp").cast("double"), F.col("P").cast("double")).alias("tpr"))

@@ -678,6 +678,20 @@ def q_pr_points(spark, root):
     return M.pr_points(roles.scored_rows(spark, root))
 
 
+@register("roc_curve", _with(roles.SQL_SCORED, _SQL_CUM) + """,
+cum2 AS (SELECT *, lead(pos) OVER (ORDER BY score DESC) AS pos_n,
+                lead(neg) OVER (ORDER BY score DESC) AS neg_n,
+                row_number() OVER (ORDER BY score DESC) AS k, count(*) OVER () AS cnt FROM cum)
+SELECT score AS threshold, CASE WHEN N > 0 THEN CAST(fp AS DOUBLE) / CAST(N AS DOUBLE) END AS fpr,
+       CASE WHEN P > 0 THEN CAST(tp AS DOUBLE) / CAST(P AS DOUBLE) END AS tpr FROM cum2
+WHERE k = 1 OR k = cnt OR pos <> pos_n OR neg <> neg_n
+UNION ALL
+SELECT 'inf'::DOUBLE, CASE WHEN sum(neg) > 0 THEN 0.0 END, CASE WHEN sum(pos) > 0 THEN 0.0 END FROM cum_g""")
+def q_roc_curve(spark, root):
+    """ROC curve as the analysed code draws it: corner points only."""
+    return M.roc_points(roles.scored_rows(spark, root), drop_intermediate=True)
+
+
 _SQL_CONF = """conf AS (SELECT
   CAST(sum(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
   CAST(sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,

@@ -69,3 +69,30 @@ def test_report_and_confusion(spark, scored):
     rep = {r["class"]: r for r in M.classification_report(none_pred).collect()}
     assert rep["1"].precision == 0.0 and rep["1"].f1_score == 0.0
     assert rep["accuracy"].f1_score == 0.5
+
+
+def _sklearn_style_corners(y, s):
+    """Reference rule: cumulative fps/tps per distinct threshold (descending),
+    keep first, last and points where the second difference is non-zero."""
+    order = sorted(set(s.tolist()), reverse=True)
+    pos = np.array([((s == t) & (y == 1)).sum() for t in order])
+    neg = np.array([((s == t) & (y == 0)).sum() for t in order])
+    tps, fps = np.cumsum(pos), np.cumsum(neg)
+    keep = np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True]
+    return sorted(zip(np.array(order)[keep].tolist(), (fps[keep] / neg.sum()).tolist(),
+                      (tps[keep] / pos.sum()).tolist()))
+
+
+@pytest.mark.parametrize("max_in_task", [0, 1_000_000])
+def test_roc_corner_points(spark, max_in_task):
+    rng = np.random.default_rng(17)
+    y = rng.integers(0, 2, size=400)
+    s = np.round(rng.normal(size=400) + y, 1)
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "label int, score double")
+    got = sorted((r.threshold, r.fpr, r.tpr) for r in
+                 M.roc_points(df, drop_intermediate=True, buckets=8,
+                              max_in_task=max_in_task).collect() if r.threshold != float("inf"))
+    exp = _sklearn_style_corners(y, s)
+    assert len(got) == len(exp)
+    for g, e in zip(got, exp):
+        assert g == pytest.approx(e)

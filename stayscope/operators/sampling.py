@@ -7,6 +7,8 @@ a recomputed partition (lost executor) makes the same choices.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,33 @@ from .stats import running_totals
 HASH_BUCKET_CHARS = 3      # 16**3 = 4096 uniform buckets per class for exact ranks
 
 
+def _approximate_mode(counts: list[int], draws: int) -> list[int]:
+    """Largest-remainder allocation of ``draws`` over classes in proportion
+    to ``counts`` (ties go to the earlier class)."""
+    total = sum(counts)
+    cont = [c / total * draws if total else 0.0 for c in counts]
+    alloc = [int(math.floor(x)) for x in cont]
+    need = draws - sum(alloc)
+    order = sorted(range(len(counts)), key=lambda i: (-(cont[i] - alloc[i]), i))
+    for i in order[:max(0, need)]:
+        alloc[i] += 1
+    return alloc
+
+
+def test_allocation(counts: dict, test_fraction: float) -> dict:
+    """Per-class test counts of a stratified hold-out: test size
+    ceil(fraction * n); training counts allocated first by largest remainder,
+    test counts from what remains (the rule of common stratified splitters,
+    with deterministic tie-breaks)."""
+    labels = sorted(counts)
+    c = [counts[k] for k in labels]
+    n = sum(c)
+    n_test = math.ceil(test_fraction * n)
+    train = _approximate_mode(c, n - n_test)
+    test = _approximate_mode([a - b for a, b in zip(c, train)], n_test)
+    return dict(zip(labels, test))
+
+
 def row_hash(key: str, seed: int = 42) -> Column:
     """Lower-case md5 hex of ``key | seed`` (same text in DuckDB)."""
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
@@ -67,13 +96,27 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
 
 
 def split_and_folds(df: DataFrame, label: str, key: str, test_fraction: float = 0.2,
-                    k: int = 5, seed: int = 42) -> DataFrame:
+                    k: int = 5, seed: int = 42, allocation: str = "per_class_ceil"
+                    ) -> DataFrame:
     """``is_test`` and ``fold`` from one ranking pass: the same rows as
     ``stratified_split`` followed by ``stratified_folds`` on the training part
     (training ranks are the class ranks shifted by the class's test count);
-    test rows get fold -1."""
+    test rows get fold -1.
+
+    allocation: "per_class_ceil" — ceil(fraction * n_class) per class;
+    "largest_remainder" — total ceil(fraction * n) split over classes by
+    ``test_allocation`` (one small action: the class counts)."""
     r = class_rank(df, label, key, seed)
-    n_test = F.ceil(F.col("__n") * F.lit(float(test_fraction)))
+    if allocation == "largest_remainder":
+        counts = {row[label]: row["n"] for row in
+                  df.where(F.col(label).isNotNull()).groupBy(label)
+                  .agg(F.count(F.lit(1)).alias("n")).collect()}
+        kv = []
+        for lab, t in test_allocation(counts, test_fraction).items():
+            kv += [F.lit(lab), F.lit(int(t))]
+        n_test = F.create_map(*kv)[F.col(label)]
+    else:
+        n_test = F.ceil(F.col("__n") * F.lit(float(test_fraction)))
     is_test = F.col("__rank") <= n_test
     return (r.withColumns({
         "is_test": is_test.cast("int"),

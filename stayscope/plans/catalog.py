@@ -828,7 +828,7 @@ def model_matrix(spark, root, label: str = LABEL):
     feats = [c for c in feats if meds.get(c) is not None]     # all-NULL columns carry nothing
     mat = ST.impute_median(m.select(KEY, label, *feats), feats, medians=meds)
     mat = SP.split_and_folds(mat, label, KEY, test_fraction=MD.TEST_SIZE, k=MD.CV_FOLDS,
-                             seed=MD.RANDOM_SEED)
+                             seed=MD.RANDOM_SEED, allocation="largest_remainder")
     return mat.checkpoint(eager=True), feats
 
 

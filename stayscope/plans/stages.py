@@ -105,7 +105,8 @@ def model_stage(model_ready: DataFrame, label: str = "hospital_expire_flag",
     feats = [c for c in feats if meds.get(c) is not None]
     mat = ST.impute_median(model_ready.select(key, label, *feats), feats, medians=meds)
     mat = SP.split_and_folds(mat, label, key, test_fraction=MD.TEST_SIZE, k=MD.CV_FOLDS,
-                             seed=MD.RANDOM_SEED).checkpoint(eager=True)
+                             seed=MD.RANDOM_SEED, allocation="largest_remainder"
+                             ).checkpoint(eager=True)
     train, test = mat.where("is_test = 0"), mat.where("is_test = 1")
     rows, scored, fits = [], {}, {}
     for spec in specs or MD.default_specs():

@@ -30,3 +30,17 @@ def test_hash_sample_and_weights(spark):
     assert a == b and len(a) == 100
     w = SP.class_weights(df, "y")
     assert w[1] == 2000 / (2 * 500) and w[0] == 2000 / (2 * 1500)
+
+
+def test_largest_remainder_allocation(spark):
+    assert SP.test_allocation({0: 70, 1: 30}, 0.2) == {0: 14, 1: 6}
+    assert SP.test_allocation({0: 7, 1: 3}, 0.2) == {0: 1, 1: 1}
+    alloc = SP.test_allocation({0: 333, 1: 101, 2: 7}, 0.2)
+    assert sum(alloc.values()) == math.ceil(0.2 * 441)
+    df = spark.range(441).select("id", (F.col("id") % 5 == 0).cast("int").alias("y"))
+    out = SP.split_and_folds(df, "y", "id", allocation="largest_remainder")
+    exp = SP.test_allocation({0: 352, 1: 89}, 0.2)
+    got = {r.y: r["count"] for r in out.where("is_test = 1").groupBy("y").count().collect()}
+    assert got == exp
+    folds = out.where("is_test = 0").groupBy("y", "fold").count().collect()
+    assert {r.fold for r in folds} == {0, 1, 2, 3, 4}

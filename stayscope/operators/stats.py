@@ -1,12 +1,14 @@
 """Distributed order statistics and table-level cleaning: running totals,
 exact medians, missingness, median imputation, standardisation, histogram.
 
-Exact order statistics never gather a whole group into one task.  Values are
-first collapsed to (group, value, count) — partial aggregation, so a value
-repeated by a third of all rows becomes one row — then spread over
-``buckets`` ranges per group whose bounds come from ``percentile_approx`` (a
-bounded sketch).  Only the small (group, bucket) totals table is ordered as a
-whole; exact work happens inside single buckets.
+Exact order statistics never put a group into one task unless a size check
+has bounded it.  Values are first collapsed to (group, value, count) —
+partial aggregation, so a value repeated by a third of all rows becomes one
+row.  Groups within ``max_in_task`` distinct values are handled by one
+aggregate / window; larger ones are spread over ``buckets`` ranges per group
+whose bounds come from ``percentile_approx`` (a bounded sketch), so only the
+small (group, bucket) totals table is ordered as a whole and exact work
+happens inside single buckets.
 """
 
 from __future__ import annotations

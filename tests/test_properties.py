@@ -38,3 +38,32 @@ def test_half_even_matches_numpy(spark, xs, digits):
     df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(xs)], "i int, x double")
     got = [r[0] for r in df.orderBy("i").select(S.round_half_even("x", digits)).collect()]
     assert got == [float(np.round(x, digits)) for x in xs]
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"),
+                          st.one_of(st.none(), st.integers(min_value=-5, max_value=5)
+                                    .map(float), finite)), min_size=1, max_size=80))
+def test_exact_medians_both_paths_match_numpy(spark, rows):
+    from stayscope.operators import stats as ST
+    df = spark.createDataFrame(rows, "g string, v double")
+    expect = {}
+    for g in "abc":
+        vals = [v for gg, v in rows if gg == g and v is not None]
+        if vals:
+            expect[g] = float(np.median(vals))
+    for max_in_task in (0, 1_000_000):
+        got = {r.g: r.median for r in
+               ST.exact_medians(df, "v", ["g"], buckets=4, max_in_task=max_in_task).collect()}
+        assert set(got) == set(expect)
+        for g, e in expect.items():
+            assert got[g] == __import__("pytest").approx(e, rel=1e-12, abs=1e-9)
+
+
+def test_histogram_constant_values_matches_numpy(spark):
+    from stayscope.operators import stats as ST
+    df = spark.createDataFrame([(5.0,)] * 7, "x double")
+    h = ST.histogram(df, "x", bins=40, clip=30.0).orderBy("bin").collect()
+    counts, edges = np.histogram(np.full(7, 5.0), bins=40)
+    assert [r["count"] for r in h] == counts.tolist()
+    assert h[0].bin_lo == edges[0] and h[-1].bin_hi == edges[-1]

@@ -7,6 +7,8 @@ import re
 
 from pyspark.sql import DataFrame
 
+CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> str:
@@ -17,7 +19,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         df = df.orderBy(*sort_by)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        # header line and plain "yyyy-MM-dd HH:mm:ss" timestamps, as read by read_csv
+        writer = (writer.option("header", True)
+                  .option("timestampNTZFormat", CSV_TIMESTAMP_FORMAT)
+                  .option("timestampFormat", CSV_TIMESTAMP_FORMAT))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

@@ -56,6 +56,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_session(app: str = "stayscope", overrides: dict | None = None) -> SparkSession:
+    """A session for a cluster launch (master and resources come from the
+    launcher).  Applies ``CLUSTER_CONF``; the shared checkpoint folder must be
+    configured by the cluster as ``spark.checkpoint.dir``."""
+    builder = SparkSession.builder.appName(app)
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for cluster runs")
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -161,7 +161,10 @@ def run_on_tables(spark, root: str, out_dir: str, num_trees: int = MD.RF_TREES,
     specs = MD.default_specs(num_trees=num_trees, max_depth=max_depth)
     st2 = model_stage(st1["model_ready"], specs=specs, cv=cv)
     auc = st2["model_metrics"].agg(F.max("test_roc_auc")).first()[0]
-    st3 = report_stage(st1["model_ready"], roles.EMERGENCY_TYPE, auc, st2.get("importances"))
+    from .catalog import _category
+    cats = {f: _category(f) for f in MD.model_features(st1["model_ready"])[0]}
+    st3 = report_stage(st1["model_ready"], roles.EMERGENCY_TYPE, auc, st2.get("importances"),
+                       categories=cats)
     written = {}
     written.update(publish({"model_ready": st1["model_ready"]}, os.path.join(out_dir, "cohort"),
                            include_row_level=True, row_level=("model_ready",)))

@@ -20,3 +20,5 @@ def test_three_stages_on_tables(spark, tmp_path):
     assert kpi.model_roc_auc == max(r.test_roc_auc for r in metrics)
     cm = spark.read.parquet(out["confusion_matrix"]).collect()
     assert len(cm) == 4
+    fi = spark.read.parquet(out["feature_importance"]).collect()
+    assert fi and all(r.category in {"Demographics", "Admission", "Vitals", "Labs"} for r in fi)

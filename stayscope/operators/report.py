@@ -173,8 +173,8 @@ def patient_level(cohort: DataFrame, time_col: str = "admittime",
     """Row-level reporting projection (kept local: never published by
     default)."""
     from ..sources.tables import select_existing
-    df = cohort.withColumns(S.calendar_columns(time_col)).withColumns(
-        {"age_band": S.age_band("age"), "los_band": S.los_band("icu_los_days")})
+    from .cohort import add_report_columns
+    df = add_report_columns(cohort, time_col)
     cols = ["icustay_id", "age", "age_band", "gender", "admission_type", "first_careunit",
             "hospital_expire_flag", "prolonged_los", "icu_los_days", "weekend_admission",
             "night_admission", "emergency_admission", "admit_hour", "admit_dow", "admit_month",

@@ -153,11 +153,6 @@ SQL_ICUSTAYS = """icustays AS (
 SQL_ANCHOR = (f"(TIMESTAMP '{ANCHOR_ORIGIN}' + "
               f"to_hours(CAST({{key}} % {ANCHOR_HOUR_MOD} AS BIGINT)))")
 
-SQL_STAY_ANCHORS = f"""stay_anchors AS (
-  SELECT o_orderkey AS icustay_id, o_orderkey AS hadm_id,
-         {SQL_ANCHOR.format(key='o_orderkey')} AS intime
-  FROM orders)"""
-
 SQL_MEASUREMENTS = f"""measurements AS (
   SELECT event_id, user_id AS icustay_id, user_id AS hadm_id, event_type AS itemid,
          ts AS charttime, value AS valuenum,

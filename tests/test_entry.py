@@ -31,7 +31,9 @@ def test_oracle_agreement_small(spark):
     con = _duck()
     q, o = E.queries(), E.oracle_sql()
     for name in ("cohort", "mortality_by_age", "los_by_careunit", "wide_stats", "roc_auc",
-                 "stratified_split", "feature_medians", "kpi_summary", "threshold_alert"):
+                 "roc_curve", "stratified_split", "feature_medians", "kpi_summary",
+                 "threshold_alert", "threshold_alert_stream", "mortality_rate_by",
+                 "measurement_union"):
         sdf = q[name](spark, SF)
         cols = sorted(sdf.columns)
         got = sorted(tuple(str(r[c]) for c in cols) for r in sdf.collect())

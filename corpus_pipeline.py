@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayscope.llm import decontaminate, jaccard_rtree, langid, mixing
+from stayscope.llm import decontaminate, jaccard_rtree, langid, mixing, suffix_dedup
 from stayscope.llm.store import stored
 
 MAX_BITS_PER_BYTE = 8.0      # a text that no language codes better than raw bytes is rejected
@@ -31,6 +31,12 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return jaccard_rtree.one_per_component(docs)
 
 
+def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes repeated 200-byte strings from the texts; every document stays."""
+    return suffix_dedup.without_repeats(docs).withColumn(
+        "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
     return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -47,6 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", language_id),
     ("jaccard_join", jaccard_join),
+    ("suffix_array", suffix_array),
     ("decontamination", decontamination),
     ("mix_sources", mix_sources),
 ]

@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import stored
 from .text import flat, mix64
 
 ORDER = 3                # bytes of context
 SAMPLE_DOCS = 300        # whole training documents a language, at most
+MAX_BROADCAST = 10_000   # languages up to which their counts are broadcast
 CHUNK = 1 << 20          # bytes scored at a time
 UND = "und"
 _U = np.uint64
@@ -150,7 +152,8 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
                     F.xxhash64(F.col(id_col).cast("string"), F.lit(17)).alias("h")) \
         .where("text is not null and lang is not null")
     n = d.groupBy("lang").agg(F.count("*").alias("n"))
-    near = d.join(n, "lang").where(
+    n = stored(n, "languages")               # one row a language
+    near = d.join(F.broadcast(n) if n.count() <= MAX_BROADCAST else n, "lang").where(
         F.pmod("h", F.lit(1 << 20)) < F.ceil(F.lit(2.0 * sample_docs * (1 << 20)) / F.col("n")))
     rank = Window.partitionBy("lang").orderBy("h", "text")
     picked = near.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= sample_docs)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_rtree, langid, mixing, suffix_dedup
+from . import chat, decontaminate, fingerprints, jaccard_rtree, langid, mixing, suffix_dedup
 
 _UP, _LOW = decontaminate.UPPER, decontaminate.LOWER
 
@@ -28,6 +28,14 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(*chat.format_conversations(rows.union(extra)))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target",
@@ -44,6 +52,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       _table(spark, sf_dir, "benchmark"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                      "edited_fingerprint", "near_edited", "near_next")
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -54,9 +68,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op3_chat": op3_chat,
     "op4_mixing": op4_mixing,
     "op5_jaccard_rtree": op5_jaccard_rtree,
     "op7_decontaminate": op7_decontaminate,
+    "op8_fingerprints": op8_fingerprints,
     "op10_langid": op10_langid,
 }
 
@@ -73,6 +89,20 @@ def _grams_sql(table: str, key: str, k: int) -> str:
 
 
 ORACLE: dict[str, str] = {
+    "op3_chat": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+                            (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+     e AS (SELECT *, replace(replace(replace(text, '\', '\\'), '#', '\#'), '</turn>', '\</turn>') AS body,
+                  replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '</turn>', '\</turn>'), ':', '\:') AS head
+           FROM c),
+     a AS (SELECT conv_id, count(*) AS n_turns,
+                  string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+                  coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
+                  sum(length(head) + length(body) + 14)::BIGINT AS formatted_chars
+           FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars FROM a""",
     "op7_decontaminate": f"""
 WITH d AS ({_grams_sql('documents', 'doc_id', 5)}),
      i AS ({_grams_sql('benchmark', 'item_id', 5)}),

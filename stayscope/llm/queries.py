@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, jaccard_rtree, langid, mixing, suffix_dedup
+from . import chat, decontaminate, fingerprints, jaccard_rtree, langid, licenses, mixing, suffix_dedup, toxicity
 
 _UP, _LOW = decontaminate.UPPER, decontaminate.LOWER
 
@@ -47,6 +47,11 @@ def op5_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_rtree.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"),
                                       _table(spark, sf_dir, "benchmark"))
@@ -58,6 +63,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "edited_fingerprint", "near_edited", "near_next")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -71,8 +80,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3_chat,
     "op4_mixing": op4_mixing,
     "op5_jaccard_rtree": op5_jaccard_rtree,
+    "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
     "op8_fingerprints": op8_fingerprints,
+    "op9_licenses": op9_licenses,
     "op10_langid": op10_langid,
 }
 

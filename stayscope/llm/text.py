@@ -78,10 +78,11 @@ class Words:
     """Words of consecutive texts: ``start``/``end`` byte positions, 64-bit
     ``hash`` and ``doc`` (row in the slice), lower-cased when asked."""
 
-    def __init__(self, data: np.ndarray, off: np.ndarray, lower: bool = True):
+    def __init__(self, data: np.ndarray, off: np.ndarray, lower: bool = True,
+                 space: np.ndarray = IS_SPACE):
         off = off - off[0]
         n = len(data)
-        word = ~IS_SPACE[data]
+        word = ~space[data]
         first = word.copy()
         first[1:] &= ~word[:-1]
         edge = off[(off > 0) & (off < n)]               # a text's first byte starts a word

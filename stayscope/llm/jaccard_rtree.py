@@ -313,13 +313,12 @@ def link_clusters(member: DataFrame, percent: int) -> DataFrame:
     # main component of each block, met through a few of its members
     big = big.join(links, "sid")
     count = big.groupBy("cluster", "block", "to").count()
-    main = count.groupBy("cluster", "block").agg(F.max_by("to", F.struct("count", "to")).alias("to"))
+    main = count.groupBy("cluster", "block").agg(
+        F.max_by(F.struct("to", "count"), F.struct("count", "to")).alias("m")).select(
+        "cluster", "block", "m.to", F.ceil(F.col("m.count") / PIVOTS).alias("every"))
     pivot = (big.join(main, ["cluster", "block", "to"])
-             .select("cluster", "sid", "shingles", "to", "block",
-                     F.xxhash64("sid").alias("h")))
-    few = pivot.groupBy("cluster", "block").agg(
-        F.expr(f"percentile_approx(h, {PIVOTS} / greatest({PIVOTS}, count(1)), 10000)").alias("cut"))
-    pivot = pivot.join(few, ["cluster", "block"]).where("h <= cut")
+             .where((F.col("sid") == F.col("to")) | (F.pmod(F.xxhash64("sid", F.lit(1)), F.col("every")) == 0))
+             .select("cluster", "sid", "shingles", "to", "block"))
     # a unit holds the pivots of 64 blocks and of the next unit's first block
     unit_of = F.floor(F.col("block") / 64).cast("int")
     met = (pivot.withColumn("unit", F.explode(F.when(

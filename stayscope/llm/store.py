@@ -27,7 +27,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     spark: SparkSession = edges.sparkSession
     e = edges.where("a is not null and b is not null and a <> b").select("a", "b")
-    e = stored(e.union(e.select("b", "a")).distinct(), "edges")
+    both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    e = stored(e.select(both.alias("e")).select("e.a", "e.b").distinct(), "edges")
     label = stored(e.groupBy(F.col("a").alias("node"))
                    .agg(F.min("b").alias("m"))
                    .select("node", F.least("node", "m").alias("label")), "labels")

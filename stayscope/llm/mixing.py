@@ -88,7 +88,7 @@ def _place(epoch) -> Column:
     return F.shiftrightunsigned(F.xxhash64("id", "text_hash", epoch), 64 - HASH_BITS)
 
 
-def _cuts(placed: DataFrame, plan: DataFrame, nearer: bool) -> DataFrame:
+def _cuts(placed: DataFrame, plan: DataFrame, nearer: bool, hint) -> DataFrame:
     """(sid, cut, left): the documents (sid, place, size) with place < cut have
     at most ``rest`` words, and with the next one more; ``left`` is what then
     lacks.  With ``nearer`` that next one is taken if it comes nearer."""
@@ -98,7 +98,7 @@ def _cuts(placed: DataFrame, plan: DataFrame, nearer: bool) -> DataFrame:
         step = min(DIGIT_BITS, HASH_BITS - done)
         done += step
         digit = F.shiftrightunsigned("place", HASH_BITS - done)
-        near = (placed.join(open_, "sid")
+        near = (placed.join(hint(open_), "sid")
                 .where(F.shiftrightunsigned(digit, step) == F.col("prefix"))
                 .groupBy("sid", digit.alias("digit")).agg(F.sum("size").alias("words")))
         # at most 2**DIGIT_BITS rows a source, whatever the table's size
@@ -149,9 +149,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # the cut, then a second one among later documents that fit what still lacks
     placed = stored(sized.where("rest > 0 and size > 0").select(
         "sid", "size", _place(F.col("whole").cast("int")).alias("place")), "places")
-    first = _cuts(placed, plan.select("sid", "rest"), nearer=False)
-    fits = placed.join(first, "sid").where("place >= cut and size <= left").select("sid", "size", "place")
-    second = _cuts(fits, first.select("sid", F.col("left").alias("rest")), nearer=True)
+    first = _cuts(placed, plan.select("sid", "rest"), nearer=False, hint=hint)
+    fits = placed.join(hint(first), "sid").where("place >= cut and size <= left").select("sid", "size", "place")
+    second = _cuts(fits, first.select("sid", F.col("left").alias("rest")), nearer=True, hint=hint)
     cut = {r["sid"]: (r["cut"], r["left"], max(r["cut"], r["cut2"])) for r in first.join(
         second.select("sid", F.col("cut").alias("cut2")), "sid").collect()}
 

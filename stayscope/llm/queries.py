@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, jaccard_rtree, langid, licenses, mixing, suffix_dedup, toxicity
+from . import chat, decontaminate, fingerprints, jaccard_rtree, langid, licenses, mixing, suffix_dedup, suffix_tree_lm, toxicity
 
 _UP, _LOW = decontaminate.UPPER, decontaminate.LOWER
 
@@ -28,6 +28,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return suffix_tree_lm.score_texts(_table(spark, sf_dir, "documents"), held)
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
@@ -77,6 +82,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_suffix_tree_lm": op2_suffix_tree_lm,
     "op3_chat": op3_chat,
     "op4_mixing": op4_mixing,
     "op5_jaccard_rtree": op5_jaccard_rtree,

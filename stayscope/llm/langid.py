@@ -186,15 +186,15 @@ def _count_grams(batches):
                     "g": g.astype(np.int64), "c": c.astype(np.int64)})
 
 
-def _score(model):
+def _score(model, chunk):
     def run(batches):
         m = model.value
         for batch in batches:
             data, off = flat(batch.column("text"))
             rows = len(batch)
             total = np.tile(m.prior, (rows, 1))
-            for lo in range(0, len(data), CHUNK):
-                hi = min(len(data), lo + CHUNK)
+            for lo in range(0, len(data), chunk):
+                hi = min(len(data), lo + chunk)
                 bits = m.bits(grams(data, off, lo, hi))
                 a = int(np.searchsorted(off, lo, side="right")) - 1
                 b = int(np.searchsorted(off, hi, side="left"))
@@ -216,7 +216,7 @@ def _score(model):
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
+            text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """(id, lang_pred, score, bits_per_byte) for every row."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                     F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letter"))
@@ -225,7 +225,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
                         F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_byte"))
     held = docs.sparkSession.sparkContext.broadcast(model)     # bounded by the training sample
     t = d.schema["id"].dataType.simpleString()
-    return (d.mapInArrow(_score(held), f"id {t}, lang_pred string, score double, bits_per_byte double")
+    return (d.mapInArrow(_score(held, chunk), f"id {t}, lang_pred string, score double, bits_per_byte double")
             .withColumnRenamed("id", id_col))
 
 

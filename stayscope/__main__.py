@@ -15,7 +15,7 @@ import json
 
 from .operators import model as MD
 from .plans.stages import run_on_tables
-from .session import DEFAULT_CONF, ensure_checkpoint_dir
+from .session import cluster_session, local_session
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -27,14 +27,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--no-cv", action="store_true")
     ap.add_argument("--master", default=None, help="e.g. local[8]; default: from the launcher")
     a = ap.parse_args(argv)
-    from pyspark.sql import SparkSession
-    builder = SparkSession.builder.appName("stayscope")
-    if a.master:
-        builder = builder.master(a.master)
-    for k, v in DEFAULT_CONF.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
+    if a.master and a.master.startswith("local["):
+        spark = local_session(cores=a.master[6:-1])
+    else:
+        spark = cluster_session(overrides={"spark.master": a.master} if a.master else None)
     written = run_on_tables(spark, a.tables, a.out, num_trees=a.trees, max_depth=a.depth,
                             cv=not a.no_cv)
     print(json.dumps(written, indent=2, sort_keys=True))

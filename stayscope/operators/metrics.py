@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .stats import running_totals
 
 
@@ -29,7 +30,9 @@ def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
                       ) -> DataFrame:
     """Per distinct score: pos, neg, tp / fp at threshold ``score >= s``, and
     totals P / N."""
-    rt = running_totals(score_groups(df, label, score), "score", ["pos", "neg"], **kw)
+    # read several times (count, bounds, range totals, ranges): written once
+    groups = stored(score_groups(df, label, score), "score-groups")
+    rt = running_totals(groups, "score", ["pos", "neg"], **kw)
     return rt.select(
         "score", "pos", "neg",
         (F.col("pos_total") - F.col("pos_cum") + F.col("pos")).alias("tp"),

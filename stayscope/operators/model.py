@@ -11,7 +11,6 @@ per-class counts) travel to the driver.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -24,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from . import metrics as M
 from .sampling import with_weights
 
@@ -41,8 +41,6 @@ ID_AND_OUTCOME_COLS = ["subject_id", "hadm_id", "icustay_id", "admittime",
                        "admission_type", "first_careunit", "insurance", "ethnicity",
                        "icu_los_days"]
 
-LR_ROWS_PER_PARTITION = 1_000_000   # L-BFGS runs one job per iteration: size tasks by rows
-
 _FEATURES_VEC = "__features"
 _WEIGHT = "__weight"
 
@@ -141,10 +139,6 @@ def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str)
         .withColumn(label, F.col(label).cast("double")) \
         .select(_FEATURES_VEC, label, _WEIGHT)
     if spec.kind == "lr":
-        # dozens of passes over the same rows: fewer, fuller tasks (only ever
-        # reduces the partition count; thousands remain at cluster scale)
-        n_rows = sum(n for _, n, _ in counts)
-        data = data.coalesce(max(1, math.ceil(n_rows / LR_ROWS_PER_PARTITION)))
         est = LogisticRegression(featuresCol=_FEATURES_VEC, labelCol=label, weightCol=_WEIGHT,
                                  maxIter=spec.max_iter, elasticNetParam=0.0,
                                  regParam=1.0 / (spec.C * total_w), standardization=False,
@@ -175,7 +169,8 @@ def cross_validate(spec: ModelSpec, train: DataFrame, features: Sequence[str], l
         tr = train.where(F.col(fold_col) != i)
         va = train.where(F.col(fold_col) == i)
         fm = fit(spec, tr, features, label)
-        return M.roc_auc(fm.score(va, id_col, label)).first()["roc_auc"]
+        scored = stored(fm.score(va, id_col, label), "fold-scores")     # scored once
+        return M.roc_auc(scored).first()["roc_auc"]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         return list(pool.map(one, range(k)))
 

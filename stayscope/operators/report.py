@@ -182,6 +182,11 @@ def patient_level(cohort: DataFrame, time_col: str = "admittime",
     return select_existing(df, cols)
 
 
+# Reporting tables that may be shared; ``patient_level`` is row-level.
+AGGREGATE_TABLES = ("kpi_summary", "mortality_by_age", "mortality_by_admtype", "los_by_careunit",
+                    "weekend_effect", "shift_analysis", "feature_importance")
+
+
 def reporting_tables(cohort: DataFrame, emergency_value: str, model_auc: float | None = None,
                      importances: DataFrame | None = None, time_col: str = "admittime"
                      ) -> dict[str, DataFrame]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .stats import running_totals
 
-HASH_BUCKET_CHARS = 3      # 16**3 = 4096 uniform buckets per class for exact ranks
+HASH_BUCKET_CHARS = 4      # 16**4 = 65536 uniform buckets per class for exact ranks
 
 
 def _approximate_mode(counts: list[int], draws: int) -> list[int]:
@@ -55,7 +55,7 @@ def class_rank(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame
 
     The md5 prefix is a uniform bucket, so the per-(label, bucket) windows
     are evenly sized whatever the key distribution; bucket offsets are a
-    small (labels x 4096) table."""
+    small (labels x 65536) table."""
     h = df.withColumn("__h", row_hash(key, seed))
     ones = h.withColumn("__one", F.lit(1).cast("long"))
     bucket = F.substring("__h", 1, HASH_BUCKET_CHARS)
@@ -75,23 +75,38 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     smallest md5(key|seed) go to test — exact stratification.
     exact=False: md5 prefix below the fraction threshold — no shuffle at
     all, stratified in expectation.
+    Rows with a NULL label stay, with a NULL ``is_test``, in both forms.
     """
+    known = F.col(label).isNotNull()
     if not exact:
         thr = format(int(test_fraction * 16 ** 8), "08x")
-        return df.withColumn(split_col, (F.substring(row_hash(key, seed), 1, 8) < F.lit(thr))
-                             .cast("int"))
+        return df.withColumn(split_col, F.when(known, (
+            F.substring(row_hash(key, seed), 1, 8) < F.lit(thr)).cast("int")))
     r = class_rank(df, label, key, seed)
     n_test = F.ceil(F.col("__n") * F.lit(float(test_fraction)))
-    return r.withColumn(split_col, (F.col("__rank") <= n_test).cast("int")) \
+    return r.withColumn(split_col, F.when(known, (F.col("__rank") <= n_test).cast("int"))) \
         .drop("__h", "__rank", "__n")
 
 
+def grouped_split(df: DataFrame, group: str, test_fraction: float = 0.2, seed: int = 42,
+                  split_col: str = "is_test") -> DataFrame:
+    """Adds ``is_test`` so that all rows of a group (say, one person's stays)
+    fall on one side: the ceil(test_fraction * n_groups) groups with the
+    smallest md5(group|seed) go to test.  Rows with a NULL group stay, with a
+    NULL ``is_test``."""
+    groups = df.where(F.col(group).isNotNull()).select(F.col(group).alias("__g")).distinct()
+    one = groups.withColumn("__all", F.lit(1))
+    split = stratified_split(one, "__all", "__g", test_fraction, seed, split_col=split_col)
+    return df.join(split.drop("__all"), F.col(group) == F.col("__g"), "left").drop("__g")
+
+
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42,
                      fold_col: str = "fold") -> DataFrame:
     """Adds ``fold`` in [0, k): (rank of md5(key|seed) within the class - 1)
-    mod k — every class is spread over the folds within one row."""
+    mod k — every class is spread over the folds within one row.  Rows with a
+    NULL label stay, with a NULL fold."""
     r = class_rank(df, label, key, seed)
-    return r.withColumn(fold_col, ((F.col("__rank") - 1) % k).cast("int")) \
+    return r.withColumn(fold_col, F.when(F.col(label).isNotNull(), ((F.col("__rank") - 1) % k).cast("int"))) \
         .drop("__h", "__rank", "__n")
 
 
@@ -118,10 +133,11 @@ def split_and_folds(df: DataFrame, label: str, key: str, test_fraction: float =
     else:
         n_test = F.ceil(F.col("__n") * F.lit(float(test_fraction)))
     is_test = F.col("__rank") <= n_test
+    known = F.col(label).isNotNull()                  # NULL labels stay, on no side
     return (r.withColumns({
-        "is_test": is_test.cast("int"),
-        "fold": F.when(is_test, F.lit(-1)).otherwise(((F.col("__rank") - n_test - 1) % k)
-                                                      .cast("int"))})
+        "is_test": F.when(known, is_test.cast("int")),
+        "fold": F.when(known & is_test, F.lit(-1)).when(known, ((F.col("__rank") - n_test - 1) % k)
+                                                        .cast("int"))})
             .drop("__h", "__rank", "__n"))
 
 

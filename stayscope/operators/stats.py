@@ -1,14 +1,13 @@
 """Distributed order statistics and table-level cleaning: running totals,
 exact medians, missingness, median imputation, standardisation, histogram.
 
-Exact order statistics never put a group into one task unless a size check
-has bounded it.  Values are first collapsed to (group, value, count) —
-partial aggregation, so a value repeated by a third of all rows becomes one
-row.  Groups within ``max_in_task`` distinct values are handled by one
-aggregate / window; larger ones are spread over ``buckets`` ranges per group
-whose bounds come from ``percentile_approx`` (a bounded sketch), so only the
-small (group, bucket) totals table is ordered as a whole and exact work
-happens inside single buckets.
+Each exact order statistic has one path at every size.  A median first takes
+a bracket around the middle from a bounded sketch (``percentile_approx``),
+counts what lies below it and orders only the distinct values inside; values
+outside the bracket never reach the ordered step.  Running totals order inside
+ranges whose bounds come from the same kind of sketch; only the small
+(group, range) totals table is ordered as a whole.  Group keys are compared
+null-safely, so a NULL group is a group.
 """
 
 from __future__ import annotations
@@ -18,12 +17,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_half_even
-from ..session import ensure_checkpoint_dir
+from ..functions.scalars import clip_upper, round_half_even
+from ..session import stored
 
-DEFAULT_BUCKETS = 128
-DEFAULT_ACCURACY = 10000
-DEFAULT_MAX_IN_TASK = 1_000_000   # distinct values one task may hold for one group
+ROWS_PER_BUCKET = 250_000      # rows one range of a running total should hold
+MAX_BUCKETS = 4096             # ranges at most; beyond, ranges grow (and spill)
+DEFAULT_ACCURACY = 10_000      # sketch accuracy at least
+BRACKET_VALUES = 1_000_000     # values a median's bracket should hold at most
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                   how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL; the keys come from
+    ``left``."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+        on = c if on is None else on & c
+    return left.join(renamed, on, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def _with_quantile_bucket(df: DataFrame, group_cols: Sequence[str], order_col: str,
@@ -36,16 +48,15 @@ def _with_quantile_bucket(df: DataFrame, group_cols: Sequence[str], order_col: s
     the group keys (one row per group; AQE broadcasts it by size).  Ungrouped: the
     ``buckets - 1`` bounds are one bounded scalar result, inlined as a
     literal array — no join at all."""
-    probs = [i / buckets for i in range(1, buckets)]
     gcols = list(group_cols)
+    probs = [i / buckets for i in range(1, buckets)] or [0.5]
     approx = F.percentile_approx(order_col, probs, accuracy)
     if not gcols:
         return _bucket_from_bounds(df, order_col, df.agg(approx.alias("b")).first()["b"] or [])
     # Sketch merging is order dependent, so the bounds must be computed once
     # and read by every branch that buckets rows: store them (reliably).
-    ensure_checkpoint_dir(df.sparkSession)
-    bounds = df.groupBy(*gcols).agg(approx.alias("__bounds")).checkpoint(eager=True)
-    tagged = _count_below(df.join(bounds, gcols), "__bounds", order_col, len(probs), "__bucket")
+    bounds = stored(df.groupBy(*gcols).agg(approx.alias("__bounds")), "bounds")
+    tagged = _count_below(join_null_safe(df, bounds, gcols), "__bounds", order_col, len(probs), "__bucket")
     return tagged.drop("__bounds")
 
 
@@ -53,7 +64,7 @@ def _bucket_from_bounds(df: DataFrame, order_col: str, bounds: Sequence[float])
     """Bucket id from a (bounded) list of sorted bounds inlined as literals."""
     if not bounds:
         return df.withColumn("__bucket", F.lit(0))
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
+    arr = F.lit([float(b) for b in bounds])
     return _count_below(df.withColumn("__bounds", arr), "__bounds", order_col,
                         len(bounds), "__bucket").drop("__bounds")
 
@@ -95,40 +106,29 @@ def _bucket_offsets(tagged: DataFrame, group_cols: Sequence[str], sum_cols: Sequ
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    group_cols: Sequence[str] = (), bucket_col: Column | None = None,
-                   buckets: int = DEFAULT_BUCKETS, accuracy: int = DEFAULT_ACCURACY,
-                   max_in_task: int = DEFAULT_MAX_IN_TASK) -> DataFrame:
+                   rows_per_bucket: int = ROWS_PER_BUCKET,
+                   accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Inclusive running sums ``{c}_cum`` of ``sum_cols`` in ascending
     ``order_col`` within each group, plus ``{c}_total`` per group.
     ``order_col`` must be unique within a group (collapse ties first).
 
     ``bucket_col`` may supply a ready-made monotone bucket (e.g. a uniform
-    hash prefix).  Otherwise, ungrouped input is sized first (one action
-    that also returns approximate quantile bounds): up to ``max_in_task``
-    rows are ordered by one window — bounded by that check — and larger
-    input is split into quantile-range buckets whose small totals table
-    supplies the prefix offsets.  Grouped input always uses buckets.
+    hash prefix).  Otherwise rows are cut into quantile ranges, as many as
+    their number asks for (one counting action); each range is ordered by
+    itself and the ranges' totals supply the prefix offsets.
     """
     g = list(group_cols)
     if bucket_col is not None:
         tagged = df.withColumn("__bucket", bucket_col)
-    elif not g:
-        probs = [i / buckets for i in range(1, buckets)]
-        row = df.agg(F.count(F.lit(1)).alias("n"),
-                     F.percentile_approx(order_col, probs, accuracy).alias("b")).first()
-        if row["n"] <= max_in_task:
-            w = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding,
-                                                      Window.currentRow)
-            every = Window.partitionBy()
-            return df.withColumns({**{f"{c}_cum": F.sum(c).over(w) for c in sum_cols},
-                                   **{f"{c}_total": F.sum(c).over(every) for c in sum_cols}})
-        tagged = _bucket_from_bounds(df, order_col, row["b"] or [])
     else:
-        tagged = _with_quantile_bucket(df, g, order_col, buckets, accuracy)
+        n = df.count()
+        buckets = max(2, min(MAX_BUCKETS, -(-n // rows_per_bucket)))
+        tagged = _with_quantile_bucket(df, g, order_col, buckets, max(accuracy, 4 * buckets))
     off = _bucket_offsets(tagged, g, sum_cols).drop(*[f"__tot_{c}" for c in sum_cols])
     w_in = Window.partitionBy(*g, "__bucket").orderBy(order_col) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # (group, bucket) offsets are a small table: AQE broadcasts it by size
-    out = tagged.join(off, g + ["__bucket"])
+    out = join_null_safe(tagged, off, g + ["__bucket"])
     out = out.withColumns({**{f"{c}_cum": F.col(f"__off_{c}") + F.sum(c).over(w_in)
                               for c in sum_cols},
                            **{f"{c}_total": F.col(f"__all_{c}") for c in sum_cols}})
@@ -137,75 +137,47 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
 
 
 def exact_medians(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
-                  out_col: str = "median", buckets: int = DEFAULT_BUCKETS,
-                  accuracy: int = DEFAULT_ACCURACY,
-                  max_in_task: int = DEFAULT_MAX_IN_TASK) -> DataFrame:
-    """Exact interpolating median of ``value_col`` per group (NULLs skipped):
-    the mean of the values at 0-based ranks floor((n-1)/2) and ceil((n-1)/2),
-    as ``lo + (hi - lo) * 0.5``.  Groups with no values get no row.
-
-    Values are first collapsed to (group, value, count).  A size check (one
-    small action) then picks the plan:
-    * every group has at most ``max_in_task`` distinct values -> Spark's
-      exact ``percentile`` with frequencies; its per-group state is a map of
-      distinct values, bounded by the check;
-    * otherwise -> selection, not sorting: bucket totals locate the one or
-      two buckets that hold the middle ranks and only those are ordered.
+                  out_col: str = "median", accuracy: int = DEFAULT_ACCURACY,
+                  bracket_values: int = BRACKET_VALUES) -> DataFrame:
+    """Exact median of ``value_col`` per group (NULL and NaN skipped): the
+    mean of the values at 0-based ranks floor((n-1)/2) and ceil((n-1)/2), or
+    that value where both are equal.  Groups without values get no row; a NULL
+    group key is a group.
+
+    Pass 1 sketches each group's quantiles just below and above one half; the
+    sketch is accurate enough, by the row count, that at most about
+    ``bracket_values`` rows lie between them.  Pass 2 collapses all rows
+    below the bracket into one count and the rows inside it to (value, count),
+    by partial aggregation before the shuffle; rows above are dropped there.
+    Only these few values are ordered.
     """
     g = list(group_cols)
-    return medians_from_counts(value_counts(df, value_col, g), value_col, g, out_col,
-                               buckets, accuracy, max_in_task)
-
-
-def approx_medians(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
-                   out_col: str = "median", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Approximate medians (one pass, bounded sketch per group): the returned
-    value's rank is within n / accuracy of the middle rank.  For when the
-    exact value is not needed."""
-    return (df.where(F.col(value_col).isNotNull() & ~F.isnan(value_col))
-            .groupBy(*group_cols)
-            .agg(F.percentile_approx(value_col, 0.5, accuracy).alias(out_col)))
-
-
-def value_counts(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """(group, value, __cnt) over non-NULL, non-NaN values — partial
-    aggregation, so repeated values shrink before the shuffle."""
-    return (df.where(F.col(value_col).isNotNull() & ~F.isnan(value_col))
-            .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("__cnt")))
-
-
-def medians_from_counts(vc: DataFrame, value_col: str, group_cols: Sequence[str] = (),
-                        out_col: str = "median", buckets: int = DEFAULT_BUCKETS,
-                        accuracy: int = DEFAULT_ACCURACY,
-                        max_in_task: int = DEFAULT_MAX_IN_TASK) -> DataFrame:
-    """Exact medians from a (group, value, __cnt) table; see exact_medians."""
-    g = list(group_cols)
-    if max_in_task > 0:
-        widest = (vc.groupBy(*g).agg(F.count(F.lit(1)).alias("__d"))
-                  .agg(F.max("__d")).first()[0])
-        if widest is None or widest <= max_in_task:
-            return vc.groupBy(*g).agg(F.percentile(value_col, 0.5, F.col("__cnt")).alias(out_col))
-    tagged = _with_quantile_bucket(vc, g, value_col, buckets, accuracy)
-    off = _bucket_offsets(tagged, g, ["__cnt"]).withColumnRenamed("__all___cnt", "__n")
-    targets = (off
-               .withColumns({"__klo": F.floor((F.col("__n") - 1) / 2),
-                             "__khi": F.ceil((F.col("__n") - 1) / 2)})
-               .where(((F.col("__klo") >= F.col("__off___cnt")) &
-                       (F.col("__klo") < F.col("__off___cnt") + F.col("__tot___cnt"))) |
-                      ((F.col("__khi") >= F.col("__off___cnt")) &
-                       (F.col("__khi") < F.col("__off___cnt") + F.col("__tot___cnt"))))
-               .select(*g, "__bucket", "__off___cnt", "__klo", "__khi"))
-    w = Window.partitionBy(*g, "__bucket").orderBy(value_col) \
+    v = F.col(value_col)
+    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*g, v.cast("double").alias("__v"))
+    n_rows = rows.count()
+    accuracy = max(accuracy, -(-6 * n_rows // bracket_values))
+    eps = 2.0 / accuracy
+    around = rows.groupBy(*g).agg(                   # one row a group
+        F.count(F.lit(1)).alias("__n"),
+        F.percentile_approx("__v", [0.5 - eps, 0.5 + eps], accuracy).alias("__b"))
+    if g:
+        near = join_null_safe(rows, around, g)
+    else:                                            # one bounded row, inlined
+        one = around.first()
+        near = rows.withColumns({"__n": F.lit(one["__n"]), "__b": F.lit(one["__b"] or [0.0, 0.0])})
+    kept = (near.where(F.col("__v") <= F.col("__b")[1])
+            .withColumn("__v", F.when(F.col("__v") >= F.col("__b")[0], F.col("__v")))
+            .groupBy(*g, "__n", "__v").agg(F.count(F.lit(1)).alias("__cnt")))
+    w = Window.partitionBy(*g).orderBy(F.col("__v").asc_nulls_first()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inb = (tagged.join(targets, g + ["__bucket"])   # only the 1-2 target buckets survive
-           .withColumn("__hi_rank", F.col("__off___cnt") + F.sum("__cnt").over(w))
-           .withColumn("__lo_rank", F.col("__hi_rank") - F.col("__cnt")))
-    hit = lambda k: (F.col(k) >= F.col("__lo_rank")) & (F.col(k) < F.col("__hi_rank"))
-    picked = inb.groupBy(*g).agg(
-        F.max(F.when(hit("__klo"), F.col(value_col))).alias("__vlo"),
-        F.max(F.when(hit("__khi"), F.col(value_col))).alias("__vhi"))
-    return picked.select(*g, (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.lit(0.5))
-                         .alias(out_col))
+    upto = kept.withColumn("__upto", F.sum("__cnt").over(w))
+    at = lambda k: (k >= F.col("__upto") - F.col("__cnt")) & (k < F.col("__upto"))
+    k_lo, k_hi = F.floor((F.col("__n") - 1) / 2), F.ceil((F.col("__n") - 1) / 2)
+    lo, hi = F.max(F.when(at(k_lo), F.col("__v"))), F.max(F.when(at(k_hi), F.col("__v")))
+    picked = upto.groupBy(*g).agg(lo.alias("__vlo"), hi.alias("__vhi"))
+    return (picked if g else picked.where(F.col("__vlo").isNotNull())).select(
+        *g, F.when(F.col("__vlo") == F.col("__vhi"), F.col("__vlo"))
+        .otherwise((F.col("__vlo") + F.col("__vhi")) / 2).alias(out_col))
 
 
 def unpivot_features(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = (),
@@ -247,15 +219,9 @@ def missing_flags(df: DataFrame, cols: Sequence[str], suffix: str = "_missing")
 
 
 def collect_medians(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, float | None]:
-    """The medians pass (bounded result: one value per column).  The
-    (feature, value, count) table is persisted for the size check and the
-    median job, then released."""
-    vc = value_counts(unpivot_features(df, cols), "value", ["feature"]).persist()
-    try:
-        got = {r["feature"]: r["median"]
-               for r in medians_from_counts(vc, "value", ["feature"], **kw).collect()}
-    finally:
-        vc.unpersist()
+    """The medians pass (bounded result: one value per column)."""
+    got = {r["feature"]: r["median"]
+           for r in exact_medians(unpivot_features(df, cols), "value", ["feature"], **kw).collect()}
     return {c: got.get(c) for c in cols}
 
 
@@ -301,7 +267,7 @@ def histogram(df: DataFrame, col: str, bins: int = 40, clip: float | None = 30.0
     """
     x = F.col(col).cast("double")
     if clip is not None:
-        x = F.when(x.isNull(), F.lit(None).cast("double")).otherwise(F.least(x, F.lit(clip)))
+        x = clip_upper(x, clip)
     vals = df.select(x.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
     lo, hi = vals.agg(F.min("__x"), F.max("__x")).first()
     spark = df.sparkSession

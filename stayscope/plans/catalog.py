@@ -23,7 +23,7 @@ from ..operators import model as MD
 from ..operators import report as R
 from ..operators import sampling as SP
 from ..operators import stats as ST
-from ..session import ensure_checkpoint_dir
+from ..session import stored
 from . import roles
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -184,7 +184,8 @@ def labs(spark, root, anchors, window_hours=24):
 SELECT event_id, itemid, error FROM measurements WHERE error IS DISTINCT FROM 1""")
 def q_null_safe_filter(spark, root):
     m = roles.measurements(spark, root)
-    return m.where(~F.col("error").eqNullSafe(1)).select("event_id", "itemid", "error")
+    return EV.filter_measurements(m, error_col="error", positive_only=False) \
+        .select("event_id", "itemid", "error")
 
 
 @register("window_events_by_stay", _with(roles.SQL_MEASUREMENTS) + f"""
@@ -263,7 +264,7 @@ SELECT c.icustay_id, m.itemid, m.charttime, m.valuenum, 'labs' AS source
 FROM measurements m JOIN cohort c ON m.hadm_id = c.hadm_id
 WHERE {_LAB_FILTER} AND {_sql_window('c.icustay_id')}""")
 def q_measurement_union(spark, root):
-    anchors = roles.cohort_anchors(materialized_cohort(spark, root))   # read by both branches
+    anchors = roles.cohort_anchors(roles.cohort(spark, root))   # read by both branches
     cols = ["icustay_id", "itemid", "charttime", "valuenum"]
     v = vitals(spark, root, anchors).select(*cols, F.lit("vitals").alias("source"))
     lb = labs(spark, root, anchors).select(*cols, F.lit("labs").alias("source"))
@@ -272,25 +273,17 @@ def q_measurement_union(spark, root):
 
 # ------------------------------------------------------ master / imputation ---
 
-def materialized_cohort(spark, root):
-    """The cohort written once to the checkpoint folder (the stage-1 table);
-    for plans that read it more than once."""
-    ensure_checkpoint_dir(spark)
-    return roles.cohort(spark, root).checkpoint(eager=True)
-
-
 def master(spark, root, window_hours=24, materialize: bool = False):
     """Cohort + first-window vitals and labs (wide) + engineered columns.
-    The cohort is read three times (base table and both window anchors), so
-    it is materialised first; ``materialize`` also writes the result for
-    callers that make several passes over it."""
+    ``materialize`` writes the result for callers that make several passes
+    over it; otherwise nothing runs before the query does."""
     from .stages import build_master
-    co = materialized_cohort(spark, root)
+    co = roles.cohort(spark, root)
     meas = roles.measurements(spark, root)
     m = build_master(co, meas, meas, roles.VITAL_CODES, roles.LAB_CODES,
                      anchors=roles.cohort_anchors(co), window_hours=window_hours,
                      male_value="M", emergency_value=roles.EMERGENCY_TYPE)
-    return m.checkpoint(eager=True) if materialize else m
+    return stored(m, "master") if materialize else m
 
 
 _ENGINEERED = ["gender_enc", "emergency_admission", "weekend_admission", "night_admission"]
@@ -425,7 +418,7 @@ def q_mortality_by_admtype(spark, root):
 @register("los_by_careunit", _with(roles.SQL_ROLES) + _sql_outcome(
     "first_careunit", prolonged=True, median=True))
 def q_los_by_careunit(spark, root):
-    return R.los_by_careunit(materialized_cohort(spark, root))
+    return R.los_by_careunit(roles.cohort(spark, root))
 
 
 @register("weekend_effect", _with(roles.SQL_ROLES) + "SELECT *, CASE weekend_admission WHEN 0 THEN "
@@ -465,8 +458,12 @@ SELECT count(*) AS total_patients,
        count(DISTINCT first_careunit) AS care_units_covered
 FROM cohort""")
 def q_kpi_summary(spark, root):
-    auc = M.roc_auc(roles.scored_rows(spark, root)).first()["roc_auc"]
-    return R.kpi_summary(roles.cohort(spark, root), auc, roles.EMERGENCY_TYPE)
+    auc = M.roc_auc(roles.scored_rows(spark, root)).withColumnRenamed("roc_auc", "__auc")
+    kpi = R.kpi_summary(roles.cohort(spark, root), None, roles.EMERGENCY_TYPE)
+    one = auc.select(*[(F.col("__auc") if f.name == "model_roc_auc" else F.lit(None)).cast(f.dataType)
+                       .alias(f.name) for f in kpi.schema.fields])
+    both = kpi.withColumn("model_roc_auc", F.lit(None).cast("double")).unionByName(one)
+    return both.agg(*[F.max(c).alias(c) for c in kpi.columns])       # the two rows folded into one
 
 
 @register("cohort_overview", _with(roles.SQL_ROLES) + """
@@ -484,7 +481,7 @@ UNION ALL
 SELECT 'admission_type', admission_type, count(*), avg(hospital_expire_flag) * 100.0
 FROM cohort WHERE admission_type IS NOT NULL GROUP BY admission_type""")
 def q_mortality_rate_by(spark, root):
-    co = materialized_cohort(spark, root).withColumn("age_band", S.age_band())   # two groupings
+    co = roles.cohort(spark, root).withColumn("age_band", S.age_band())   # two groupings
     return R.rate_by(co, ["age_band", "admission_type"])
 
 
@@ -515,7 +512,7 @@ SELECT CAST(g.bin AS INTEGER) AS bin, CAST(g.bin AS DOUBLE) * ((r.hi - r.lo) / 4
 FROM range(40) g(bin) CROSS JOIN r LEFT JOIN c ON c.bin = g.bin""".replace("WITH ", "WITH ", 1))
 def q_los_histogram(spark, root):
     # two passes (range, then counts) over the cohort: read it materialised
-    return ST.histogram(materialized_cohort(spark, root), "icu_los_days", bins=40, clip=30.0)
+    return ST.histogram(roles.cohort(spark, root), "icu_los_days", bins=40, clip=30.0)
 
 
 _UNITS = ["A", "R"]
@@ -615,7 +612,7 @@ SELECT c.icustay_id, CASE WHEN h.n_breaches > 0 THEN 1 ELSE 0 END AS alert,
        coalesce(h.n_breaches, 0) AS n_breaches, h.first_breach
 FROM cohort c LEFT JOIN hits h ON c.icustay_id = h.icustay_id""")
 def q_threshold_alert(spark, root):
-    co = materialized_cohort(spark, root)        # anchors and the left-join base
+    co = roles.cohort(spark, root)        # anchors and the left-join base
     anchors = roles.cohort_anchors(co)
     m = EV.filter_measurements(roles.measurements(spark, root), roles.LAB_CODES)
     m = EV.name_items(m, roles.LAB_CODES)
@@ -797,15 +794,12 @@ def q_standardize(spark, root):
 
 
 # -------------------------------------------------------------- modelling ---
-# Rows-only checks (no SQL oracle): model fits are Spark ML jobs.  Queries use
-# a light forest (QUERY_TREES x QUERY_DEPTH) so verification stays short; the
-# library defaults are the analysed project's (300 trees, depth 8).
+# Rows-only checks (no SQL oracle): model fits are Spark ML jobs with the
+# analysed project's settings (300 trees, depth 8).  Every key fits for itself.
 
-
-QUERY_TREES, QUERY_DEPTH = 20, 5
 LABEL, KEY = "hospital_expire_flag", "icustay_id"
-_RUNS: dict = {}
 
+# Categories of features in the importance table.
 FEATURE_CATEGORY = {"age": "Demographics", "gender_enc": "Demographics",
                     "emergency_admission": "Admission", "weekend_admission": "Admission",
                     "night_admission": "Admission", "pulse_pressure": "Vitals"}
@@ -829,44 +823,23 @@ def model_matrix(spark, root, label: str = LABEL):
     mat = ST.impute_median(m.select(KEY, label, *feats), feats, medians=meds)
     mat = SP.split_and_folds(mat, label, KEY, test_fraction=MD.TEST_SIZE, k=MD.CV_FOLDS,
                              seed=MD.RANDOM_SEED, allocation="largest_remainder")
-    return mat.checkpoint(eager=True), feats
-
-
-def _app(spark) -> str:
-    """Identity of the running application (fits are cached per session)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-        return str(id(spark))
-
-
-def _matrix(spark, root, label: str = LABEL):
-    tag = (_app(spark), root, "matrix", label)
-    if tag not in _RUNS:
-        _RUNS[tag] = model_matrix(spark, root, label)
-    return _RUNS[tag]
+    return stored(mat, "matrix"), feats
 
 
 def model_run(spark, root, kinds=("lr", "rf"), cv: bool = True, label: str = LABEL):
-    """Fit (and optionally cross-validate) the requested models once per
-    session, tables and target; later queries reuse the fits."""
-    full, feats = _matrix(spark, root, label)
+    """Fit (and optionally cross-validate) the requested models."""
+    full, feats = model_matrix(spark, root, label)
     train, test = full.where("is_test = 0"), full.where("is_test = 1")
     run = {"matrix": full, "features": feats, "train": train, "test": test, "fits": {},
            "scored": {}, "cv": {}}
-    for spec in MD.default_specs(num_trees=QUERY_TREES, max_depth=QUERY_DEPTH):
+    for spec in MD.default_specs():
         if spec.kind not in kinds:
             continue
-        tag = (_app(spark), root, spec.kind, label)
-        if tag not in _RUNS:
-            fm = MD.fit(spec, train, feats, label)
-            _RUNS[tag] = (fm, fm.score(test, KEY, label).checkpoint(eager=True))
-        run["fits"][spec.kind], run["scored"][spec.kind] = _RUNS[tag]
+        fm = MD.fit(spec, train, feats, label)
+        run["fits"][spec.kind] = fm
+        run["scored"][spec.kind] = stored(fm.score(test, KEY, label), "test-scores")
         if cv:
-            ctag = tag + ("cv",)
-            if ctag not in _RUNS:
-                _RUNS[ctag] = MD.cross_validate(spec, train, feats, label, KEY)
-            run["cv"][spec.kind] = _RUNS[ctag]
+            run["cv"][spec.kind] = MD.cross_validate(spec, train, feats, label, KEY)
     return run
 
 
@@ -890,7 +863,7 @@ def q_rf_scores(spark, root):
 def q_cv_metrics(spark, root):
     run = model_run(spark, root)
     rows = []
-    for spec in MD.default_specs(QUERY_TREES, QUERY_DEPTH):
+    for spec in MD.default_specs():
         aucs = run["cv"][spec.kind]
         rows += [(spec.name, i, float(a)) for i, a in enumerate(aucs)]
     folds = spark.createDataFrame(rows, "model string, fold int, auc double")
@@ -899,16 +872,15 @@ def q_cv_metrics(spark, root):
                                       F.count(F.lit(1)).alias("folds"))
 
 
-def _metrics_table(spark, root):
-    run = model_run(spark, root)
+def _metrics_table(spark, run):
     rows = [MD.metrics_row(spec, run["cv"][spec.kind], run["scored"][spec.kind])
-            for spec in MD.default_specs(QUERY_TREES, QUERY_DEPTH)]
+            for spec in MD.default_specs()]
     return spark.createDataFrame(rows, MD.METRICS_SCHEMA)
 
 
 @register("model_metrics")
 def q_model_metrics(spark, root):
-    return _metrics_table(spark, root)
+    return _metrics_table(spark, model_run(spark, root))
 
 
 @register("top_importances")
@@ -916,8 +888,8 @@ def q_top_importances(spark, root):
     fm = model_run(spark, root, kinds=("rf",), cv=False)["fits"]["rf"]
     imp = spark.createDataFrame([(f, v, _category(f)) for f, v in MD.importances(fm)],
                                 "feature string, importance double, category string")
-    top = imp.orderBy(F.desc("importance"), "feature").limit(20)
-    return R.share_of_total(top, "feature", "importance").select(
+    shares = R.share_of_total(imp, "feature", "importance")        # of all features
+    return shares.orderBy(F.desc("importance"), "feature").limit(20).select(
         "feature", "importance", "category", "importance_pct",
         S.feature_label("feature").alias("feature_label"))
 
@@ -925,8 +897,9 @@ def q_top_importances(spark, root):
 def _shap_long(spark, root):
     run = model_run(spark, root, kinds=("rf",), cv=False)
     fm = run["fits"]["rf"]
-    sample = SP.hash_sample(run["test"], KEY, n=500, seed=MD.RANDOM_SEED)
-    scaled = fm.prepare(sample).select(KEY, *fm.features)
+    # every test row, dealt evenly: explaining costs far more than the shuffle
+    rows = run["test"].repartition(spark.sparkContext.defaultParallelism, KEY)
+    scaled = fm.prepare(rows).select(KEY, *fm.features)
     return X.shap_values(scaled, KEY, fm.features, fm.model)
 
 
@@ -942,7 +915,7 @@ def q_shap_ranking(spark, root):
 
 @register("best_confusion_matrix")
 def q_best_confusion_matrix(spark, root):
-    run = model_run(spark, root)
+    run = model_run(spark, root, cv=False)
     best = max(run["scored"], key=lambda k: M.roc_auc(run["scored"][k]).first()["roc_auc"] or 0)
     return M.confusion_matrix(run["scored"][best]).withColumn("model", F.lit(best))
 
@@ -950,7 +923,7 @@ def q_best_confusion_matrix(spark, root):
 @register("model_summary")
 def q_model_summary(spark, root):
     run = model_run(spark, root)
-    mt = _metrics_table(spark, root)
+    mt = _metrics_table(spark, run)
     best = mt.orderBy(F.desc("test_roc_auc")).limit(1)
     stats = run["matrix"].agg(F.count(F.lit(1)).alias("n_rows"),
                               F.avg(LABEL).alias("positive_rate"))
@@ -984,10 +957,10 @@ def q_threshold_alert_stream(spark, root):
     m = ev.select(F.col("user_id").alias("hadm_id"), F.col("event_type").alias("itemid"),
                   F.col("ts").alias("charttime"), F.col("value").alias("valuenum"))
     m = EV.name_items(EV.filter_measurements(m, roles.LAB_CODES), roles.LAB_CODES)
-    anchors = roles.cohort_anchors(materialized_cohort(spark, root))
+    anchors = roles.cohort_anchors(roles.cohort(spark, root))
     breaches = A.breach_stream(m, anchors, "hadm_id", "hadm_id", roles.ROLE_ALERT_THRESHOLDS,
                                out_key="icustay_id")
     out = scratch_path(spark, "alerts")
     q = A.start_alerts(breaches, out, scratch_path(spark, "alerts-progress"))
     q.awaitTermination()
-    return spark.read.parquet(out).select("icustay_id", "first_breach", "n_breaches")
+    return A.read_alerts(spark, out).select("icustay_id", "first_breach", "n_breaches")

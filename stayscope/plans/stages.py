@@ -31,7 +31,7 @@ from ..operators import model as MD
 from ..operators import report as R
 from ..operators import sampling as SP
 from ..operators import stats as ST
-from ..session import ensure_checkpoint_dir
+from ..session import stored
 from ..sources import publish
 
 
@@ -79,13 +79,11 @@ def cohort_stage(cohort: DataFrame, chart: DataFrame, labs: DataFrame, vital_ite
     """Model-ready table (median-imputed features; flags taken before the
     fill when ``with_flags``) and the missingness summary.  ``anchors`` is a
     DataFrame or a function of the (materialised) cohort."""
-    spark = cohort.sparkSession
-    ensure_checkpoint_dir(spark)
-    co = cohort.checkpoint(eager=True)          # read as base table and by both anchors
+    co = stored(cohort, "cohort")               # read as base table and by both anchors
     a = anchors(co) if callable(anchors) else anchors
     master = build_master(co, chart, labs, vital_items, lab_items, a, window_hours,
                           emergency_value=emergency_value)
-    master = master.checkpoint(eager=True)
+    master = stored(master, "master")
     feats = feature_columns(master)
     missing = ST.missing_summary(master, feats)
     model_ready = ST.impute_median(master, feats, with_flags=with_flags)
@@ -95,25 +93,23 @@ def cohort_stage(cohort: DataFrame, chart: DataFrame, labs: DataFrame, vital_ite
 
 def model_stage(model_ready: DataFrame, label: str = "hospital_expire_flag",
                 key: str = "icustay_id", specs: Sequence[MD.ModelSpec] | None = None,
-                cv: bool = True, explain_rows: int = 500) -> dict[str, DataFrame]:
+                cv: bool = True) -> dict[str, DataFrame]:
     """Split, (cross-)validate and fit every spec; metrics table, scored test
     rows, importances, explanation ranking and best-model confusion matrix."""
     spark = model_ready.sparkSession
-    ensure_checkpoint_dir(spark)
     feats, dropped = MD.model_features(model_ready)
     meds = ST.collect_medians(model_ready, feats)            # residual NULLs, as a guard
     feats = [c for c in feats if meds.get(c) is not None]
     mat = ST.impute_median(model_ready.select(key, label, *feats), feats, medians=meds)
-    mat = SP.split_and_folds(mat, label, key, test_fraction=MD.TEST_SIZE, k=MD.CV_FOLDS,
-                             seed=MD.RANDOM_SEED, allocation="largest_remainder"
-                             ).checkpoint(eager=True)
+    mat = stored(SP.split_and_folds(mat, label, key, test_fraction=MD.TEST_SIZE, k=MD.CV_FOLDS,
+                                    seed=MD.RANDOM_SEED, allocation="largest_remainder"), "matrix")
     train, test = mat.where("is_test = 0"), mat.where("is_test = 1")
     rows, scored, fits = [], {}, {}
     for spec in specs or MD.default_specs():
         aucs = MD.cross_validate(spec, train, feats, label, key) if cv else []
         fm = MD.fit(spec, train, feats, label)
         fits[spec.kind] = fm
-        scored[spec.name] = fm.score(test, key, label).checkpoint(eager=True)
+        scored[spec.name] = stored(fm.score(test, key, label), "test-scores")
         rows.append(MD.metrics_row(spec, aucs, scored[spec.name]))
     metrics = spark.createDataFrame(rows, MD.METRICS_SCHEMA)
     best = max(rows, key=lambda r: r["test_roc_auc"] or 0.0)["model"]
@@ -123,11 +119,11 @@ def model_stage(model_ready: DataFrame, label: str = "hospital_expire_flag",
     if "rf" in fits:
         fm = fits["rf"]
         imp = spark.createDataFrame(MD.importances(fm), "feature string, importance double")
-        out["importances"] = (imp.orderBy(F.desc("importance"), "feature").limit(20)
+        out["importances"] = (imp.orderBy(F.desc("importance"), "feature")
                               .withColumn("feature_label",
                                           S.feature_label("feature", report_style=False)))
-        sample = SP.hash_sample(test, key, n=explain_rows, seed=MD.RANDOM_SEED)
-        shap = X.shap_values(fm.prepare(sample).select(key, *fm.features), key, fm.features,
+        rows = test.repartition(spark.sparkContext.defaultParallelism, key)
+        shap = X.shap_values(fm.prepare(rows).select(key, *fm.features), key, fm.features,
                              fm.model)
         out["shap_ranking"] = X.shap_ranking(shap, top=12)
     return out
@@ -167,9 +163,10 @@ def run_on_tables(spark, root: str, out_dir: str, num_trees: int = MD.RF_TREES,
                        categories=cats)
     written = {}
     written.update(publish({"model_ready": st1["model_ready"]}, os.path.join(out_dir, "cohort"),
-                           include_row_level=True, row_level=("model_ready",)))
-    written.update(publish({k: v for k, v in st1.items() if k != "model_ready"},
-                           os.path.join(out_dir, "cohort")))
-    written.update(publish(st2, os.path.join(out_dir, "model"), row_level=("scored_test",)))
-    written.update(publish(st3, os.path.join(out_dir, "report")))
+                           include_row_level=True))
+    written.update(publish(st1, os.path.join(out_dir, "cohort"),
+                           aggregates=("missing_summary", "missing_top10")))
+    written.update(publish(st2, os.path.join(out_dir, "model"), aggregates=(
+        "model_metrics", "confusion_matrix", "importances", "shap_ranking")))
+    written.update(publish(st3, os.path.join(out_dir, "report"), aggregates=R.AGGREGATE_TABLES))
     return written

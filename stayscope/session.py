@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every stayscope job relies on.  Timestamps are wall-clock
 # (TIMESTAMP_NTZ) values, UTC keeps string rendering stable; AQE re-plans
@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key's join partition even where the group-by above it then
+    # needs one more (pre-aggregated) shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -64,8 +67,6 @@ def cluster_session(app: str = "stayscope", overrides: dict | None = None) -> Sp
     for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder for cluster runs")
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -74,19 +75,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the operator (a shared file
-    system); only when it is unset — local tests — a fresh scratch folder is
-    created and registered.
+    system), and an unset one is an error; only a local master gets a fresh
+    scratch folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local") or "-cluster" in spark.sparkContext.master:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="stayscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    try:
-        spark.sparkContext.setCheckpointDir(configured)
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext use the conf
-        pass
+    spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
@@ -95,3 +95,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     on a cluster) for intermediate tables and saved models."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: its
+    lineage ends there, and readers scan only the columns they use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

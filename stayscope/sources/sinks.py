@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame
 
@@ -33,22 +34,17 @@ def _slug(name: str) -> str:
     return re.sub(r"[^0-9a-zA-Z]+", "_", name).strip("_").lower()
 
 
-def publish(tables: dict[str, DataFrame], root: str, fmt: str = "parquet",
-            include_row_level: bool = False, row_level: tuple[str, ...] = ("patient_level",)
-            ) -> dict[str, str]:
-    """Publish every named table as its own dataset directory under ``root``.
+def publish(tables: dict[str, DataFrame], root: str, aggregates: Collection[str] = (),
+            fmt: str = "parquet", include_row_level: bool = False) -> dict[str, str]:
+    """Publish named tables, each as its own dataset directory under ``root``.
 
-    Row-level tables (``row_level`` names) are skipped unless
-    ``include_row_level`` — only aggregates are meant to be shared.  Small
-    aggregate tables are coalesced to one file; row-level ones keep their
-    parallelism.
+    Every table is taken to be row-level, and is skipped unless
+    ``include_row_level``, except those the caller names in ``aggregates``:
+    only aggregates are meant to be shared, and a table nobody vouched for
+    stays private.  All tables keep their partitions.
     """
     written: dict[str, str] = {}
     for name, df in tables.items():
-        slug = _slug(name)
-        is_row_level = slug in row_level
-        if is_row_level and not include_row_level:
-            continue
-        out = df if is_row_level else df.coalesce(1)
-        written[name] = write_table(out, os.path.join(root, slug), fmt=fmt)
+        if name in aggregates or include_row_level:
+            written[name] = write_table(df, os.path.join(root, _slug(name)), fmt=fmt)
     return written

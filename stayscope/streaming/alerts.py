@@ -5,12 +5,14 @@ a threshold in their first hours"; here the same rule runs incrementally
 over an arriving measurement log:
 
   readStream (files) -> breach filter (stateless) -> stream-static window
-  join to the stay anchors -> foreachBatch: earliest breach per stay in the
-  micro-batch, appended unless the stay already alerted.
+  join to the stay anchors -> foreachBatch: per stay the earliest breach and
+  the number of breaches of the micro-batch, in a folder of the epoch.
 
-The sink is idempotent: a replayed epoch finds its stays already written
-(anti-join) and appends nothing, so a lost executor or a restarted query does
-not duplicate alerts.  Progress lives in ``checkpointLocation`` on the shared
+``read_alerts`` combines the epochs: earliest breach and total count per stay,
+equal to the batch operator over all files in whatever order they arrive.
+The sink is idempotent: a replayed epoch overwrites its own folder, so a lost
+executor or a restarted query does not count a breach twice, and no epoch
+rereads another's.  Progress lives in ``checkpointLocation`` on the shared
 checkpoint folder.
 """
 
@@ -18,7 +20,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,23 +60,22 @@ def breach_stream(events: DataFrame, anchors: DataFrame, event_key: str, anchor_
 def start_alerts(breaches: DataFrame, out_path: str, checkpoint_location: str,
                  out_key: str = "icustay_id", time_col: str = "charttime",
                  available_now: bool = True):
-    """Start the alert query; every stay is written once, with its earliest
-    breach of the micro-batch that first saw it and that batch's count."""
-    spark = breaches.sparkSession
+    """Start the alert query: one folder ``epoch=N`` of partial alerts a
+    micro-batch under ``out_path``."""
 
     def emit(batch: DataFrame, epoch_id: int) -> None:
-        firsts = batch.groupBy(out_key).agg(F.min(time_col).alias("first_breach"),
-                                            F.count(F.lit(1)).alias("n_breaches"))
-        try:
-            done = spark.read.parquet(out_path).select(out_key)
-            firsts = firsts.join(done, out_key, "left_anti")
-        except AnalysisException:
-            pass                                    # nothing written yet
-        firsts.withColumn("alert_epoch", F.lit(epoch_id).cast("long")) \
-            .write.mode("append").parquet(out_path)
+        batch.groupBy(out_key).agg(F.min(time_col).alias("first_breach"),
+                                   F.count(F.lit(1)).alias("n_breaches")) \
+            .write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
 
     writer = (breaches.writeStream.foreachBatch(emit)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def read_alerts(spark: SparkSession, out_path: str, out_key: str = "icustay_id") -> DataFrame:
+    """(out_key, first_breach, n_breaches) over all epochs written so far."""
+    return spark.read.parquet(out_path).groupBy(out_key).agg(
+        F.min("first_breach").alias("first_breach"), F.sum("n_breaches").alias("n_breaches"))

@@ -33,10 +33,10 @@ def scored(spark):
     return df, y, s
 
 
-@pytest.mark.parametrize("max_in_task", [0, 1_000_000])
-def test_auc_and_ap_exact(scored, max_in_task):
+@pytest.mark.parametrize("rows_per_bucket", [5, 1_000_000])
+def test_auc_and_ap_exact(scored, rows_per_bucket):
     df, y, s = scored
-    kw = {"buckets": 8, "max_in_task": max_in_task}
+    kw = {"rows_per_bucket": rows_per_bucket}
     assert M.roc_auc(df, **kw).first()[0] == pytest.approx(_brute_auc(y, s), abs=1e-12)
     assert M.average_precision(df, **kw).first()[0] == pytest.approx(_brute_ap(y, s), abs=1e-12)
     roc = sorted((r.fpr, r.tpr) for r in M.roc_points(df, **kw).collect())
@@ -83,15 +83,14 @@ def _sklearn_style_corners(y, s):
                       (tps[keep] / pos.sum()).tolist()))
 
 
-@pytest.mark.parametrize("max_in_task", [0, 1_000_000])
-def test_roc_corner_points(spark, max_in_task):
+@pytest.mark.parametrize("rows_per_bucket", [5, 1_000_000])
+def test_roc_corner_points(spark, rows_per_bucket):
     rng = np.random.default_rng(17)
     y = rng.integers(0, 2, size=400)
     s = np.round(rng.normal(size=400) + y, 1)
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "label int, score double")
     got = sorted((r.threshold, r.fpr, r.tpr) for r in
-                 M.roc_points(df, drop_intermediate=True, buckets=8,
-                              max_in_task=max_in_task).collect() if r.threshold != float("inf"))
+                 M.roc_points(df, drop_intermediate=True, rows_per_bucket=rows_per_bucket).collect() if r.threshold != float("inf"))
     exp = _sklearn_style_corners(y, s)
     assert len(got) == len(exp)
     for g, e in zip(got, exp):

@@ -52,9 +52,9 @@ def test_exact_medians_both_paths_match_numpy(spark, rows):
         vals = [v for gg, v in rows if gg == g and v is not None]
         if vals:
             expect[g] = float(np.median(vals))
-    for max_in_task in (0, 1_000_000):
+    for bracket_values in (1, 1_000_000):
         got = {r.g: r.median for r in
-               ST.exact_medians(df, "v", ["g"], buckets=4, max_in_task=max_in_task).collect()}
+               ST.exact_medians(df, "v", ["g"], bracket_values=bracket_values).collect()}
         assert set(got) == set(expect)
         for g, e in expect.items():
             assert got[g] == __import__("pytest").approx(e, rel=1e-12, abs=1e-9)

@@ -44,3 +44,24 @@ def test_largest_remainder_allocation(spark):
     assert got == exp
     folds = out.where("is_test = 0").groupBy("y", "fold").count().collect()
     assert {r.fold for r in folds} == {0, 1, 2, 3, 4}
+
+
+def test_null_labels_stay_without_a_side(spark):
+    df = spark.range(100).select("id", F.when(F.col("id") % 10 != 0, (F.col("id") % 3 == 0).cast("int")).alias("y"))
+    for exact in (True, False):
+        out = SP.stratified_split(df, "y", "id", exact=exact).collect()
+        assert len(out) == 100 and all((r.y is None) == (r.is_test is None) for r in out)
+    folds = SP.stratified_folds(df, "y", "id").collect()
+    assert len(folds) == 100 and all((r.y is None) == (r.fold is None) for r in folds)
+    for allocation in ("per_class_ceil", "largest_remainder"):
+        both = SP.split_and_folds(df, "y", "id", allocation=allocation).collect()
+        assert len(both) == 100
+        assert all((r.y is None) == (r.is_test is None) == (r.fold is None) for r in both)
+
+
+def test_grouped_split_keeps_groups_together(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") >= 20, F.col("id") % 37).alias("person"))
+    out = SP.grouped_split(df, "person", test_fraction=0.25)
+    sides = out.groupBy("person").agg(F.countDistinct("is_test").alias("n"), F.max("is_test").alias("t")).collect()
+    assert out.count() == 1000 and all(r.n == (0 if r.person is None else 1) for r in sides)
+    assert sum(r.t or 0 for r in sides) == math.ceil(0.25 * 37)

@@ -56,7 +56,7 @@ def test_first_per_group_hot_key(spark, skewed):
 def test_grouped_median_hot_key(spark, skewed):
     ev, _, rows = skewed
     med = {r.icustay_id: r.median for r in
-           ST.exact_medians(ev, "valuenum", ["icustay_id"], buckets=16, max_in_task=0).collect()}
+           ST.exact_medians(ev, "valuenum", ["icustay_id"], bracket_values=1).collect()}
     hot = [r[3] for r in rows if r[0] == 7]
     assert med[7] == pytest.approx(float(np.median(hot)), abs=1e-12)
 
@@ -68,3 +68,26 @@ def test_salted_window_join_same_result(spark, skewed):
     assert salted.columns == plain.columns
     assert salted.count() == plain.count()
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_hot_stay_is_split_below_the_aggregate(spark, skewed):
+    ev, anchors, _ = skewed
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        w = EV.window_join(ev.repartition(16), anchors, "icustay_id", "icustay_id", window_hours=24)
+        wide = EV.wide_stats(w, "icustay_id", ["hr", "sbp"])
+        wide.collect()
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan            # the hot stay's partition is read in parts
+        final = plan[:plan.index("Initial Plan")]
+        assert "partial_" in final            # and pre-aggregated before the next shuffle
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

@@ -23,8 +23,14 @@ def test_publish_bundle_keeps_row_level_local(spark, tmp_path):
     imp = literal_table(spark, [("age", 0.1028, "Demographics"), ("mean_lactate", 0.078, "Labs")],
                         "feature string, importance double, category string")
     tables = R.reporting_tables(co, "EMERGENCY", model_auc=0.5, importances=imp)
-    out = publish(tables, str(tmp_path / "bundle"))
-    assert "patient_level" not in out and "kpi_summary" in out
+    tables["scored_test"] = co.repartition(3).select("icustay_id", "hospital_expire_flag")
+    out = publish(tables, str(tmp_path / "bundle"), aggregates=R.AGGREGATE_TABLES)
+    assert set(out) == set(R.AGGREGATE_TABLES)       # unlisted tables stay private
+    assert publish(tables, str(tmp_path / "none")) == {}
+    every = publish(tables, str(tmp_path / "every"), include_row_level=True)
+    assert set(every) == set(tables)
+    assert spark.read.parquet(every["scored_test"]).rdd.getNumPartitions() >= 1
+    assert len(list((tmp_path / "every" / "scored_test").glob("part-*"))) == 3
     kpi = spark.read.parquet(out["kpi_summary"]).first()
     assert kpi.total_patients == 200 and kpi.care_units_covered == 2
     fi = {r.feature: r for r in spark.read.parquet(out["feature_importance"]).collect()}

@@ -4,8 +4,8 @@ import pytest
 from stayscope.operators import stats as ST
 
 
-@pytest.mark.parametrize("max_in_task", [0, 1_000_000])
-def test_exact_medians_vs_numpy(spark, max_in_task):
+@pytest.mark.parametrize("bracket_values", [1, 1_000_000])
+def test_exact_medians_vs_numpy(spark, bracket_values):
     rng = np.random.default_rng(7)
     rows = []
     for g, n in (("a", 1001), ("b", 1000), ("c", 1), ("d", 2)):
@@ -14,8 +14,7 @@ def test_exact_medians_vs_numpy(spark, max_in_task):
         rows += [(g, float(v)) for v in vals]
     rows += [("a", None), ("e", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.median for r in ST.exact_medians(df, "v", ["g"], buckets=16,
-                                                  max_in_task=max_in_task).collect()}
+    got = {r.g: r.median for r in ST.exact_medians(df, "v", ["g"], bracket_values=bracket_values).collect()}
     for g in "abcd":
         vals = [v for gg, v in rows if gg == g and v is not None]
         assert got[g] == pytest.approx(float(np.median(vals)), abs=1e-12)
@@ -25,7 +24,7 @@ def test_exact_medians_vs_numpy(spark, max_in_task):
 def test_even_count_median_and_all_null_column(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (10.0, None), (20.0, None)],
                                "x double, y double")
-    med = ST.collect_medians(df, ["x", "y"], max_in_task=0)
+    med = ST.collect_medians(df, ["x", "y"], bracket_values=1)
     assert med == {"x": 6.0, "y": None}
     filled = ST.impute_median(df, ["x", "y"], with_flags=True, medians=med)
     assert [r.y_missing for r in filled.collect()] == [1, 1, 1, 1]
@@ -56,7 +55,7 @@ def test_running_totals_vs_cumsum(spark):
     rng = np.random.default_rng(5)
     vals = rng.permutation(3000).astype(float)
     df = spark.createDataFrame([(float(v), 1, int(v) % 3) for v in vals], "o double, one long, g long")
-    rt = ST.running_totals(df, "o", ["one"], group_cols=["g"], buckets=8).collect()
+    rt = ST.running_totals(df, "o", ["one"], group_cols=["g"], rows_per_bucket=5).collect()
     for r in rt:
         expect = sum(1 for v in vals if int(v) % 3 == r.g and v <= r.o)
         assert r.one_cum == expect
@@ -75,14 +74,31 @@ def test_ungrouped_bucketed_median(spark):
     rng = np.random.default_rng(9)
     vals = np.round(rng.normal(size=999), 3)
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
-    got = ST.exact_medians(df, "v", [], buckets=8, max_in_task=0).first()["median"]
+    got = ST.exact_medians(df, "v", [], bracket_values=1).first()["median"]
     assert got == pytest.approx(float(np.median(vals)), abs=1e-12)
 
 
-def test_approx_median_rank_error(spark):
-    rng = np.random.default_rng(4)
-    vals = rng.normal(size=5000)
-    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
-    got = ST.approx_medians(df, "v", accuracy=100).first()["median"]
-    rank = (np.sort(vals) < got).sum()
-    assert abs(rank - 2500) <= 5000 / 100 + 1
+@pytest.mark.parametrize("bracket_values", [1, 1_000_000])
+def test_median_null_group_infinity_and_bits(spark, bracket_values):
+    inf = float("inf")
+    rows = [(None, 1.0), (None, 4.0), ("i", inf), ("i", inf), ("j", 1.0), ("j", inf), ("k", -inf),
+            ("k", -inf), ("k", 2.0), ("n", float("nan")), ("n", 3.0), ("m", None)]
+    rows += [("h", 5.0)] * 5000 + [("h", float(v)) for v in range(2000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.median for r in ST.exact_medians(df, "v", ["g"], bracket_values=bracket_values).collect()}
+    assert got == {None: 2.5, "i": inf, "j": inf, "k": -inf, "n": 3.0, "h": 5.0}
+    rng = np.random.default_rng(0)
+    pairs = [(str(i), float(v)) for i in range(200) for v in rng.random(2)]
+    two = spark.createDataFrame(pairs, "g string, v double")
+    got = {r.g: r.median for r in ST.exact_medians(two, "v", ["g"], bracket_values=bracket_values).collect()}
+    for i in range(200):
+        a, b = (v for g, v in pairs if g == str(i))
+        assert got[str(i)] == (a + b) / 2
+
+
+def test_running_totals_keep_null_groups(spark):
+    df = spark.createDataFrame([(float(i), 1, None if i % 2 else "x") for i in range(100)],
+                               "o double, one long, g string")
+    for rows_per_bucket in (7, 1000):
+        rt = ST.running_totals(df, "o", ["one"], group_cols=["g"], rows_per_bucket=rows_per_bucket).collect()
+        assert len(rt) == 100 and all(r.one_cum == int(r.o) // 2 + 1 and r.one_total == 50 for r in rt)

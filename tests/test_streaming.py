@@ -21,7 +21,7 @@ def test_stream_alerts_match_batch_and_replay_is_idempotent(spark, tmp_path):
              (2, "creatinine", T0 + dt.timedelta(hours=1), 1.0),  # no breach
              (3, "lactate", T0 + dt.timedelta(hours=9), 9.0)]     # outside 6 h
     part2 = [(2, "creatinine", T0 + dt.timedelta(hours=5), 2.5),  # breach (2nd batch)
-             (1, "lactate", T0 + dt.timedelta(hours=3), 5.0)]     # stay 1 already alerted
+             (1, "lactate", T0 + dt.timedelta(minutes=5), 5.0)]   # stay 1 again, and earlier
     spark.createDataFrame(part1, SCHEMA).coalesce(1).write.parquet(str(src / "a"))
     spark.createDataFrame(part2, SCHEMA).coalesce(1).write.parquet(str(src / "b"))
     anchors = spark.createDataFrame([(i, i + 100, T0) for i in (1, 2, 3)],
@@ -32,7 +32,7 @@ def test_stream_alerts_match_batch_and_replay_is_idempotent(spark, tmp_path):
                   .option("recursiveFileLookup", True).parquet(str(src)))
         b = A.breach_stream(stream, anchors, "hadm_id", "hadm_id", THR, out_key="icustay_id")
         A.start_alerts(b, out, progress).awaitTermination()
-        return spark.read.parquet(out)
+        return A.read_alerts(spark, out)
 
     out, progress = str(tmp_path / "alerts"), str(tmp_path / "progress")
     got = run(out, progress)
@@ -41,9 +41,9 @@ def test_stream_alerts_match_batch_and_replay_is_idempotent(spark, tmp_path):
     batch = EV.threshold_alert(batch_ev, anchors, "hadm_id", "hadm_id", THR,
                                out_key="icustay_id").where("alert = 1")
     assert sorted(r.icustay_id for r in batch.collect()) == [101, 102]
-    first = {r.icustay_id: r.first_breach for r in got.collect()}
-    assert first[102] == T0 + dt.timedelta(hours=5)
+    full = lambda df: sorted((r.icustay_id, r.first_breach, r.n_breaches) for r in df.collect())
+    assert full(got) == full(batch) and full(got)[0][1:] == (T0 + dt.timedelta(minutes=5), 3)
     # restart on the same progress folder: nothing new, nothing duplicated
     again = run(out, progress)
-    assert again.count() == 2
+    assert full(again) == full(batch)
     assert again.groupBy("icustay_id").count().where(F.col("count") > 1).count() == 0

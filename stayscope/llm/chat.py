@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shipping import ship
 from .store import stored
 
 END = "</turn>"
@@ -129,6 +130,7 @@ def _packs(pack_chars: int):
 def format_conversations(rows: DataFrame, pack_chars: int = PACK_CHARS) -> tuple[DataFrame, DataFrame]:
     """(packs, index): packs as in PACK_SCHEMA; index (conv_id, path) says
     which path of the packs a conversation is."""
+    ship(rows.sparkSession)
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     conv = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t")).select(
         "conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"))

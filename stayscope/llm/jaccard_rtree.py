@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shipping import ship
 from .store import connected_components, stored
 from .text import Words, flat, mix64, row_slices
 
@@ -350,6 +351,7 @@ def link_clusters(member: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        k: int = 3, percent: int = 90) -> DataFrame:
     """Per row of ``docs``: (id, n_shingles, component_id)."""
+    ship(docs.sparkSession)
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = d.schema["id"].dataType.simpleString()
     point = stored(d.mapInArrow(_points(k), f"id {id_type}, n_shingles long, sid long"), "points")

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shipping import ship
 from .store import stored
 from .text import flat, mix64
 
@@ -151,6 +152,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     d = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                     F.xxhash64(F.col(id_col).cast("string"), F.lit(17)).alias("h")) \
         .where("text is not null and lang is not null")
+    ship(docs.sparkSession)
     n = d.groupBy("lang").agg(F.count("*").alias("n"))
     n = stored(n, "languages")               # one row a language
     near = d.join(F.broadcast(n) if n.count() <= MAX_BROADCAST else n, "lang").where(
@@ -223,6 +225,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
     if model is None:
         return d.select(F.col("id").alias(id_col), F.lit(UND).alias("lang_pred"),
                         F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_byte"))
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)     # bounded by the training sample
     t = d.schema["id"].dataType.simpleString()
     return (d.mapInArrow(_score(held, chunk), f"id {t}, lang_pred string, score double, bits_per_byte double")

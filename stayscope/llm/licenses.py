@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shipping import ship
 from .text import Words, flat, mix64, row_slices
 
 # Notices to look for, by name.
@@ -145,6 +146,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
          miss: float = MISS) -> DataFrame:
     """(id, license, start, end, containment): matches as byte ranges."""
+    ship(docs.sparkSession)
     classes = compile_templates(templates, threshold=threshold, miss=miss)
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 

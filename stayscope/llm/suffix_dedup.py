@@ -31,6 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shipping import ship
 from .store import stored
 from .suffix_sort import common_prefixes, suffix_array
 from .text import BYTE_MIX, flat, mix64, powers, row_slices
@@ -250,6 +251,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Per row of ``docs``: carry (struct of the columns other than the text),
     n_bytes, spans removed, kept (bytes; with ``as_text`` a string, where the
     bytes of a character that was cut through go with it)."""
+    ship(docs.sparkSession)
     others = [c for c in docs.columns if c != text_col]
     d = docs.select(F.struct(*others).alias("carry"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     d = d.withColumn("rid", F.xxhash64(F.col("carry").getField(id_col), "text"))

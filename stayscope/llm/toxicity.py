@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shipping import ship
 from .text import Words, flat, row_slices
 
 SAMPLE_DOCS = 2000       # labelled documents a class for the fit, at most
@@ -126,6 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           min_docs: int = MIN_DOCS, odds: float = ODDS,
           chi_least: float = CHI_LEAST) -> Model | None:
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    ship(docs.sparkSession)
     lab = labels.select(F.col(id_col).alias("id"), F.col(toxic_col).alias("toxic"))
     sample = _sample(d, lab, sample_docs)
     if sample is None:
@@ -167,6 +169,7 @@ def severity(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     if model is None:
         return d.select(F.col("id").alias(id_col), F.lit(0.0).alias("severity"), F.lit(0).alias("grade"),
                         F.lit(0.0).alias("p_toxic"), F.lit(False).alias("toxic"))
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)     # at most VOCABULARY weights
 
     def run(batches):

@@ -20,8 +20,8 @@ both hold, over the characters in the leaves of each; 1 for equal roots.
 
 Edge cases: null and empty texts have one empty paragraph and are alike;
 texts of white space keep it in their leaves; very long texts are processed
-whole; rows of one id share the next document's text, the least text of the
-next lower id (null ids come last); an empty table gives an empty result; only
+whole; rows of one id share the next document, of the rows with the next lower id
+the one with the least beginning (null ids come last); an empty table gives an empty result; only
 the id and text columns are read.
 """
 
@@ -134,21 +134,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     near_edited, near_next); edited replaces the last half of the text by as
     many characters of the next document's beginning."""
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    d = d.withColumn("n", F.length("text"))
-    need = d.groupBy("id").agg(F.floor(F.max("n") / 2).cast("int").alias("need"))
-    after = next_documents(d).join(need.withColumnRenamed("id", "need_id"),
-                                   F.col("id").eqNullSafe(F.col("need_id")), "left").select("id", "next_id", "need")
-    src = d.select(F.col("id").alias("next_key"), "text")
-    after = (src.join(after, F.col("next_key").eqNullSafe(F.col("next_id")))
-             .groupBy(F.struct("id").alias("for_id"))
-             .agg(F.min(F.struct("text", "need")).alias("m"))
-             .select(F.col("for_id.id").alias("for_id"), fingerprint(F.col("m.text")).alias("next_fp"),
-                     F.substring(F.col("m.text"), F.lit(1), F.col("m.need")).alias("head")))
-    half = F.floor(F.col("n") / 2).cast("int")
-    j = d.join(after, F.col("id").eqNullSafe(F.col("for_id")), "left").select(
-        "id", "n", "text", "next_fp", F.concat(
-            F.substring(F.col("text"), F.lit(1), F.col("n") - half),
-            F.substring(F.coalesce("head", F.lit("")), F.lit(1), half)).alias("edited"))
+    need = (d.groupBy("id").agg(F.floor(F.max(F.length("text")) / 2).cast("int").alias("need"))
+            .withColumnRenamed("id", "need_id"))
+    after = (next_documents(d).join(need, F.col("id").eqNullSafe(F.col("need_id")), "left")
+             .select(F.xxhash64("next_id").alias("k"), F.col("id").alias("for_id"), "next_id", "need"))
+    # one exchange of the texts, by a hash of the id that is never null, serves
+    # as next documents and as documents; of the former only beginnings move on
+    base = d.select(F.xxhash64("id").alias("k"), "id", "text").repartition("k")
+    after = (base.join(after, "k").where(F.col("id").eqNullSafe(F.col("next_id")))
+             .select(F.xxhash64("for_id").alias("k"), "for_id",
+                     F.struct(F.expr("substring(text, 1, need)").alias("head"),
+                              fingerprint(F.col("text")).alias("fp")).alias("m"))
+             .repartition("k").groupBy("k", F.struct("for_id").alias("f")).agg(F.min("m").alias("m")))
+    n = F.length("text")
+    half = F.floor(n / 2).cast("int")
+    j = (base.join(after, "k", "left").where(F.col("f").isNull() | F.col("id").eqNullSafe(F.col("f.for_id")))
+         .select("id", n.alias("n"), "text", F.col("m.fp").alias("next_fp"), F.concat(
+             F.substring(F.col("text"), F.lit(1), n - half),
+             F.substring(F.coalesce("m.head", F.lit("")), F.lit(1), half)).alias("edited")))
     j = j.select("id", "n", "edited", "next_fp", fingerprint(F.col("text")).alias("fp"),
                  fingerprint(F.col("edited")).alias("efp"))
     return j.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_chars"),

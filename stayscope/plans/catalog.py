@@ -23,7 +23,9 @@ from ..operators import model as MD
 from ..operators import report as R
 from ..operators import sampling as SP
 from ..operators import stats as ST
-from ..session import stored
+from ..session import scratch_path, stored
+from ..sources.sinks import write_table
+from ..sources.tables import parse_timestamps, read_csv
 from . import roles
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -736,6 +738,42 @@ def q_classification_report(spark, root):
     return ST.rounded(rep, ["precision", "recall", "f1_score"], 9)
 
 
+# ---------------------------------------------------------------- hand-offs ---
+
+@register("csv_round_trip", _with(roles.SQL_ROLES) + f"SELECT {_COHORT_COLS} FROM cohort")
+def q_csv_round_trip(spark, root):
+    """The cohort written as CSV, ordered by admission, and scanned back."""
+    co = roles.cohort(spark, root).select(*_COHORT_COLS.split(", "))
+    path = write_table(co, scratch_path(spark, "cohort-csv"), fmt="csv", sort_by=["admittime", "icustay_id"])
+    return read_csv(spark, path, co.schema)
+
+
+@register("text_timestamps", """
+SELECT event_id, TRY_CAST(CASE WHEN event_id % 10 = 0 THEN 'at noon' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END
+                          AS TIMESTAMP) AS charttime
+FROM events""")
+def q_text_timestamps(spark, root):
+    """Charting times that arrive as text, every tenth of them malformed."""
+    m = roles.measurements(spark, root)
+    text = F.when(F.col("event_id") % 10 == 0, F.lit("at noon")).otherwise(
+        F.date_format("charttime", "yyyy-MM-dd HH:mm:ss"))
+    return parse_timestamps(m.select("event_id", text.alias("charttime")), ["charttime"])
+
+
+@register("whole_stay_vitals", _with(roles.SQL_MEASUREMENTS) + f"""
+SELECT icustay_id, item_name, min(valuenum) AS min, max(valuenum) AS max,
+       {sql_r('avg(valuenum)', 6)} AS mean
+FROM (SELECT m.icustay_id, {roles.sql_vital_name('m.itemid')} AS item_name, m.valuenum
+      FROM measurements m JOIN orders o ON m.icustay_id = o.o_orderkey WHERE {_VITAL_FILTER}) v
+GROUP BY icustay_id, item_name""")
+def q_whole_stay_vitals(spark, root):
+    """Vitals over the whole stay, without the first-day window."""
+    m = EV.filter_measurements(roles.measurements(spark, root), roles.VITAL_CODES, error_col="error")
+    v = EV.window_join(m.drop("hadm_id"), roles.stay_anchors(spark, root), "icustay_id", "icustay_id",
+                       window_hours=None)
+    return ST.rounded(EV.long_stats(EV.name_items(v, roles.VITAL_CODES), "icustay_id"), ["mean"])
+
+
 # --------------------------------------------------------------- sampling ---
 
 def _sql_rank(src: str, label: str, key: str, seed: int = 42) -> str:
@@ -752,6 +790,32 @@ def q_stratified_split(spark, root):
         .select("id", "label", "is_test")
 
 
+@register("grouped_split", _with(roles.SQL_ROLES) + """
+SELECT c.icustay_id, c.subject_id, g.is_test FROM cohort c JOIN (
+  SELECT subject_id, CAST(row_number() OVER (ORDER BY md5(CAST(subject_id AS VARCHAR) || '|42') || '|' ||
+         CAST(subject_id AS VARCHAR)) <= ceil(count(*) OVER () * 0.2) AS INTEGER) AS is_test
+  FROM (SELECT DISTINCT subject_id FROM cohort) s) g ON c.subject_id = g.subject_id""")
+def q_grouped_split(spark, root):
+    """Hold-out by person: no subject has stays on both sides."""
+    return SP.grouped_split(roles.cohort(spark, root), "subject_id") \
+        .select("icustay_id", "subject_id", "is_test")
+
+
+@register("train_only_impute", _with(roles.SQL_SCORED) + f"""
+, s AS (SELECT id, label, CASE WHEN id % 4 = 0 THEN NULL ELSE score END AS score,
+               CAST(rnk <= ceil(n_c * 0.2) AS INTEGER) AS is_test
+        FROM ({_sql_rank('scored', 'label', 'id')}) t)
+SELECT id, is_test, {sql_r('coalesce(score, (SELECT median(score) FROM s WHERE is_test = 0))', 6)} AS score
+FROM s""")
+def q_train_only_impute(spark, root):
+    """Missing scores filled with the median of the training rows alone."""
+    rows = SP.stratified_split(roles.scored_rows(spark, root), "label", "id") \
+        .withColumn("score", F.when(F.col("id") % 4 != 0, F.col("score")))
+    meds = ST.collect_medians(rows.where("is_test = 0"), ["score"])
+    out = ST.impute_median(rows, ["score"], medians=meds)
+    return ST.rounded(out.select("id", "is_test", "score"), ["score"])
+
+
 @register("stratified_folds", _with(roles.SQL_SCORED) + f"""
 SELECT id, label, CAST((rnk - 1) % 5 AS INTEGER) AS fold
 FROM ({_sql_rank('scored', 'label', 'id')}) t""")
@@ -950,7 +1014,6 @@ GROUP BY c.icustay_id""")
 def q_threshold_alert_stream(spark, root):
     """The alert rule as a streaming job over the measurement file (run to
     completion with availableNow); the alerts table is read back."""
-    from ..session import scratch_path
     from ..sources.tables import TABLE_SCHEMAS
     from ..streaming import alerts as A
     ev = A.file_stream(spark, root, TABLE_SCHEMAS["events"], file_glob="events.parquet")

@@ -11,6 +11,7 @@ import os
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _L, _I, _D, _S = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
@@ -79,6 +80,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
             .csv(path))
 
 
+def parse_timestamps(df: DataFrame, cols: Sequence[str], fmt: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+    """String columns to timestamps; text that does not follow ``fmt``
+    becomes NULL."""
+    return df.withColumns({c: F.try_to_timestamp(F.col(c), F.lit(fmt)).cast("timestamp_ntz") for c in cols})
+
+
 def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType | str
                   ) -> DataFrame:
     """A small literal relation (dictionaries, fallback KPI literals)."""

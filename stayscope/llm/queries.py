@@ -105,7 +105,54 @@ def _grams_sql(table: str, key: str, k: int) -> str:
             f"FROM (SELECT {key}, {_words_sql('text')} AS ws FROM {table}) WHERE len(ws) >= {k}")
 
 
+def _tree_sql(text: str) -> str:
+    """Struct (fp, leaves, root) of a text's Merkle tree."""
+    paras = (f"list_transform(string_split({text}, chr(10)), lambda p: {{'l': list_transform(regexp_extract_all("
+             f"p, '[^.!?]{{1,120}}[.!?]{{0,60}}|[.!?]{{1,60}}'), lambda x: md5(x)[1:8] || printf('%02x', length(x))), 'd': md5(p)}})")
+    body = ("array_to_string(list_transform({p}, lambda q: array_to_string(q.l, '.') || ';' || "
+            "CASE WHEN q.d[1] IN ('0', '8') THEN '|' ELSE '' END), '')")
+    return (f"list_transform([{paras}], lambda ps: {{'root': sha256(array_to_string(list_transform(ps, lambda q: q.d), '')), "
+            f"'leaves': list_distinct(flatten(list_transform(ps, lambda q: q.l))), "
+            f"'sections': array_to_string(list_transform(string_split({body.format(p='ps')}, '|'), "
+            f"lambda s: md5(s)[1:8] || ':' || s), '|')}})[1]")
+
+
+def _near_sql(a: str, b: str) -> str:
+    chars = "coalesce(list_sum(list_transform({0}, lambda x: ('0x' || x[9:10])::BIGINT)), 0)"
+    both, total = chars.format(f"list_intersect({a}.leaves, {b}.leaves)"), (
+        f"({chars.format(a + '.leaves')} + {chars.format(b + '.leaves')})")
+    return (f"CASE WHEN {a}.root = {b}.root THEN 1.0::DOUBLE WHEN {total} > 0 THEN "
+            f"least((2 * {both})::DOUBLE / {total}::DOUBLE, 1.0::DOUBLE) ELSE 0.0::DOUBLE END")
+
+
 ORACLE: dict[str, str] = {
+    "op1_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+  w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS k
+        FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS i FROM d WHERE length(h) >= 400)),
+  r AS (SELECT doc_id, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+  j AS (SELECT doc_id, i, sum(CASE WHEN i <= p + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+        FROM (SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -1000) AS p FROM r)),
+  s AS (SELECT doc_id, run, min(i) AS a, max(i) + 200 AS b FROM j GROUP BY doc_id, run),
+  cuts AS (SELECT doc_id, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b FROM s GROUP BY doc_id),
+  kept AS (SELECT d.doc_id, length(h) // 2 AS n, coalesce(len(a), 0) AS n_spans,
+             CASE WHEN a IS NULL THEN h ELSE array_to_string(list_transform(range(0, len(a) + 1), lambda x:
+               substr(h, CASE WHEN x = 0 THEN 1 ELSE 2 * b[x] + 1 END,
+                      (CASE WHEN x = len(a) THEN length(h) ELSE 2 * a[x + 1] END) - (CASE WHEN x = 0 THEN 0 ELSE 2 * b[x] END))), '')
+             END AS k FROM d LEFT JOIN cuts USING (doc_id))
+SELECT doc_id, n::BIGINT AS n_bytes, (n - length(k) // 2)::BIGINT AS n_removed, n_spans::BIGINT AS n_spans,
+       sha256(unhex(k)) AS kept_sha256 FROM kept""",
+    "op8_fingerprints": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+  n AS (SELECT doc_id, t, coalesce(lead(t) OVER (ORDER BY doc_id DESC),
+               first_value(t) OVER (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS nt FROM d),
+  e AS (SELECT doc_id, t, nt, substr(t, 1, length(t) - length(t) // 2) || substr(nt, 1, length(t) // 2) AS et FROM n),
+  f AS (SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(et) AS edited_sha256, {_tree_sql('t')} AS a,
+               {_tree_sql('et')} AS b, {_tree_sql('nt')} AS c FROM e)
+SELECT doc_id, n_chars, edited_sha256, a.root || '#' || a.sections AS fingerprint,
+       b.root || '#' || b.sections AS edited_fingerprint, {_near_sql('a', 'b')} AS near_edited,
+       {_near_sql('a', 'c')} AS near_next
+FROM f""",
     "op3_chat": r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),

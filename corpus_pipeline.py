@@ -15,13 +15,15 @@ from stayscope.llm import decontaminate, jaccard_rtree, langid, mixing, suffix_d
 from stayscope.llm.store import stored
 
 MAX_BITS_PER_BYTE = 8.0      # a text that no language codes better than raw bytes is rejected
+MIN_BYTES = 32               # shorter texts say too little to be rejected by their code length
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no text, no letter, or a code
     length under every language's tree above that of raw bytes."""
     out = langid.identify(docs).where(
-        (F.col("lang_pred") == langid.UND) | (F.col("bits_per_byte") > MAX_BITS_PER_BYTE))
+        (F.col("lang_pred") == langid.UND) |
+        ((F.col("bits_per_byte") > MAX_BITS_PER_BYTE) & (F.col("n_bytes") >= MIN_BYTES)))
     bad = out.select(F.col("doc_id").alias("__bad")).distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__bad")), "left_anti")
 

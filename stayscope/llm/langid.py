@@ -212,23 +212,24 @@ def _score(model, chunk):
                 batch.column("id"),
                 pa.array([m.langs[x] if y else UND for x, y in zip(best, ok)], pa.string()),
                 pa.array(np.where(ok, score, 0.0)),
-                pa.array(np.where(ok, (least - m.prior[best]) / n, 0.0))],
-                ["id", "lang_pred", "score", "bits_per_byte"])
+                pa.array(np.where(ok, (least - m.prior[best]) / n, 0.0)), pa.array(np.diff(off))],
+                ["id", "lang_pred", "score", "bits_per_byte", "n_bytes"])
     return run
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
             text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """(id, lang_pred, score, bits_per_byte) for every row."""
+    """(id, lang_pred, score, bits_per_byte, n_bytes) for every row."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                     F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letter"))
     if model is None:
         return d.select(F.col("id").alias(id_col), F.lit(UND).alias("lang_pred"),
-                        F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_byte"))
+                        F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_byte"),
+                        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)     # bounded by the training sample
     t = d.schema["id"].dataType.simpleString()
-    return (d.mapInArrow(_score(held, chunk), f"id {t}, lang_pred string, score double, bits_per_byte double")
+    return (d.mapInArrow(_score(held, chunk), f"id {t}, lang_pred string, score double, bits_per_byte double, n_bytes long")
             .withColumnRenamed("id", id_col))
 
 

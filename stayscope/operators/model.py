@@ -148,7 +148,8 @@ def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str)
                                      numTrees=spec.num_trees, maxDepth=spec.max_depth,
                                      minInstancesPerNode=spec.min_leaf,
                                      featureSubsetStrategy="sqrt", maxBins=spec.max_bins,
-                                     seed=spec.seed, cacheNodeIds=True, checkpointInterval=10)
+                                     seed=spec.seed, cacheNodeIds=True, checkpointInterval=10,
+                                     maxMemoryInMB=512)
     else:
         raise ValueError(spec.kind)
     data = data.persist()

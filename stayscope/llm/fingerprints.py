@@ -141,14 +141,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # one exchange of the texts, by a hash of the id that is never null, serves
     # as next documents and as documents; of the former only beginnings move on
     base = d.select(F.xxhash64("id").alias("k"), "id", "text").repartition("k")
-    after = (base.join(after, "k").where(F.col("id").eqNullSafe(F.col("next_id")))
+    def same(a, b):      # equality as a filter: as a join key it would cost another exchange
+        a, b = F.col(a), F.col(b)
+        return ((a <= b) & (a >= b)) | (a.isNull() & b.isNull())
+
+    after = (base.join(after, "k").where(same("id", "next_id"))
              .select(F.xxhash64("for_id").alias("k"), "for_id",
                      F.struct(F.expr("substring(text, 1, need)").alias("head"),
                               fingerprint(F.col("text")).alias("fp")).alias("m"))
              .repartition("k").groupBy("k", F.struct("for_id").alias("f")).agg(F.min("m").alias("m")))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    j = (base.join(after, "k", "left").where(F.col("f").isNull() | F.col("id").eqNullSafe(F.col("f.for_id")))
+    j = (base.join(after, "k", "left").where(F.col("f").isNull() | same("id", "f.for_id"))
          .select("id", n.alias("n"), "text", F.col("m.fp").alias("next_fp"), F.concat(
              F.substring(F.col("text"), F.lit(1), n - half),
              F.substring(F.coalesce("m.head", F.lit("")), F.lit(1), half)).alias("edited")))

@@ -32,6 +32,13 @@ VITAL_ITEMS = {220045: "heart_rate", 220179: "sbp", 220180: "dbp", 220277: "spo2
                223762: "temperature_c", 220210: "resp_rate"}
 LAB_ITEMS = {50912: "creatinine", 50813: "lactate", 51301: "wbc", 51222: "haemoglobin",
              50931: "glucose", 50882: "bicarbonate", 50885: "bilirubin"}
+# Columns of the row-level reporting table, in order.
+PATIENT_LEVEL_COLUMNS = (
+    "icustay_id", "age", "age_band", "gender", "admission_type", "first_careunit",
+    "hospital_expire_flag", "prolonged_los", "icu_los_days", "weekend_admission",
+    "night_admission", "emergency_admission", "admit_hour", "admit_dow", "admit_month",
+    "admit_year", "shift", "los_band", "mean_heart_rate", "mean_sbp", "mean_spo2",
+    "mean_creatinine", "mean_lactate", "mean_wbc")
 # Early-warning thresholds (first hours of a stay).
 ALERT_THRESHOLDS = {"lactate": 2.5, "creatinine": 2.0}
 ALERT_WINDOW_HOURS = 6

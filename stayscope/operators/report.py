@@ -108,17 +108,13 @@ def cohort_overview(cohort: DataFrame) -> DataFrame:
 def rate_by(cohort: DataFrame, dims: Sequence[str], outcome: str = "hospital_expire_flag"
             ) -> DataFrame:
     """Outcome % by each dimension separately, stacked as (dimension,
-    category, n, rate_pct)."""
-    parts = []
-    for d in dims:
-        parts.append(cohort.where(F.col(d).isNotNull()).groupBy(d)
-                     .agg(F.count(F.lit(1)).alias("n"), (F.avg(outcome) * 100.0).alias("rate_pct"))
-                     .select(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("category"),
-                             "n", "rate_pct"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    category, n, rate_pct): one scan and one shuffle for all dimensions."""
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"),
+                                        F.col(d).cast("string").alias("category")) for d in dims]))
+    return (cohort.select(F.col(outcome).alias("__y"), each.alias("__d"))
+            .select("__y", "__d.dimension", "__d.category").where(F.col("category").isNotNull())
+            .groupBy("dimension", "category")
+            .agg(F.count(F.lit(1)).alias("n"), (F.avg("__y") * 100.0).alias("rate_pct")))
 
 
 def mean_by(cohort: DataFrame, key: str, value: str, out_col: str) -> DataFrame:
@@ -167,19 +163,12 @@ def share_of_total(df: DataFrame, key: str, value: str, digits: int = 1) -> Data
 
 
 def patient_level(cohort: DataFrame, time_col: str = "admittime",
-                  extra: Sequence[str] = ("mean_heart_rate", "mean_sbp", "mean_spo2",
-                                          "mean_creatinine", "mean_lactate", "mean_wbc")
-                  ) -> DataFrame:
+                  columns: Sequence[str] = S.PATIENT_LEVEL_COLUMNS) -> DataFrame:
     """Row-level reporting projection (kept local: never published by
     default)."""
     from ..sources.tables import select_existing
     from .cohort import add_report_columns
-    df = add_report_columns(cohort, time_col)
-    cols = ["icustay_id", "age", "age_band", "gender", "admission_type", "first_careunit",
-            "hospital_expire_flag", "prolonged_los", "icu_los_days", "weekend_admission",
-            "night_admission", "emergency_admission", "admit_hour", "admit_dow", "admit_month",
-            "admit_year", "shift", "los_band", *extra]
-    return select_existing(df, cols)
+    return select_existing(add_report_columns(cohort, time_col), list(columns))
 
 
 # Reporting tables that may be shared; ``patient_level`` is row-level.

@@ -394,13 +394,18 @@ def q_median_impute(spark, root):
     return ST.rounded(ST.impute_median(m, FEATURES), FEATURES)
 
 
+def _sql_replace_chain(col: str, rules) -> str:
+    for old, new in rules:
+        col = f"replace({col}, '{old}', '{new}')"
+    return col
+
+
 @register("feature_labels", _SQL_MASTER + f"""
 SELECT feature, missing_frac,
   array_to_string(list_transform(string_split(
-    replace(replace(replace(replace(feature, 'mean_', 'Avg '), 'min_', 'Min '), 'max_', 'Max '), '_', ' '),
+    {_sql_replace_chain('feature', S.REPORT_LABEL_REPLACEMENTS)},
     ' '), lambda w: upper(w[1:1]) || lower(w[2:])), ' ') AS feature_label,
-  replace(replace(replace(replace(feature, 'mean_', 'avg '), 'min_', 'min '), 'max_', 'max '), '_', ' ')
-    AS model_label
+  {_sql_replace_chain('feature', S.MODEL_LABEL_REPLACEMENTS)} AS model_label
 FROM ({_SQL_MISSING}) t""")
 def q_feature_labels(spark, root):
     ms = ST.missing_summary(master(spark, root), FEATURES)

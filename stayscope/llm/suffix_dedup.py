@@ -10,7 +10,8 @@ Distribution.  A window of ``length`` bytes belongs to the key of its least
 maximal runs of windows with one key ("strings", about 1.3 windows long).
 Keys that occur once cannot hold a repeat and are dropped, unless their gram
 occurs twice in the one string (map tasks mark the keys they see twice, so rows of a frequent key are dealt at random and not to
-one task).  Equal strings under a key are one string with a count.  What is
+one task).  A key whose different strings overfill a shard is cut again, by the
+least hashes under more hash orders, as many as its size asks for.  Equal strings under a key are one string with a count.  What is
 left is dealt by key into shards of about ``SHARD_BYTES``; each shard's
 strings form one text whose suffixes are sorted by external induced sorting
 with their common prefixes (``suffix_sort``).  A window repeats where its
@@ -39,6 +40,7 @@ from .text import BYTE_MIX, flat, mix64, powers, row_slices
 LENGTH = 200
 GRAM = 64                    # bytes whose least hash keys a window
 SHARD_BYTES = 4 << 20
+MAX_ORDERS = 40              # hash orders after which a key's strings stay together
 FLUSH = 1 << 19              # strings a map task looks at for keys it sees twice
 _U = np.uint64
 _KNOWN, _DEALT = 1 << 62, 1 << 61      # flags in a string's packed position
@@ -54,9 +56,10 @@ def _sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:m], ahead[width - 1:width - 1 + m])
 
 
-def cut_strings(data: np.ndarray, off: np.ndarray, length: int):
+def cut_strings(data: np.ndarray, off: np.ndarray, length: int, orders: int = 1):
     """(row, key, content hash, start, end, own) of every text's strings; own:
-    its key's gram occurs twice in the string, so it may repeat itself."""
+    its key's gram occurs twice in the string, so it may repeat itself.
+    ``orders``: the key combines the least hashes under so many hash orders."""
     off = off - off[0]
     n = len(data)
     if n < length:
@@ -66,7 +69,11 @@ def cut_strings(data: np.ndarray, off: np.ndarray, length: int):
     acc = np.zeros(n + 1, np.uint64)
     np.cumsum(BYTE_MIX[data] * up[:n], out=acc[1:])
     grams = mix64((acc[gram:] - acc[:-gram]) * down[:n - gram + 1])
-    key = _sliding_min(grams, length - gram + 1)
+    least = _sliding_min(grams, length - gram + 1)
+    key = least
+    for order in range(1, orders):
+        other = _sliding_min(mix64(grams + _U(order) * _U(0x9E3779B97F4A7C15)), length - gram + 1)
+        key = mix64(key * _U(3) + other)
     row = np.searchsorted(off, np.arange(len(key)), side="right") - 1
     inside = np.arange(len(key)) + length <= off[row + 1]
     new = np.ones(len(key), bool)
@@ -80,40 +87,62 @@ def cut_strings(data: np.ndarray, off: np.ndarray, length: int):
     own = np.zeros(len(start), bool)
     for lo in range(0, len(start), 4096):
         a, b = start[lo:lo + 4096], end[lo:lo + 4096] - length
-        k = key[a][:, None]
-        head = (wide[a] == k).argmax(axis=1) + a
-        tail = b + (length - gram) - (wide[b][:, ::-1] == k).argmax(axis=1)
+        head = (wide[a] == least[a][:, None]).argmax(axis=1) + a
+        tail = b + (length - gram) - (wide[b][:, ::-1] == least[b][:, None]).argmax(axis=1)
         own[lo:lo + 4096] = head < tail
     return row[start], key[start], body, start - off[row[start]], end - off[row[start]], own
 
 
-def _cut(length: int):
-    def marked(key, body, rid, pos, own):
-        by = np.argsort(key, kind="stable")
-        key, body, rid, pos, own = key[by], body[by], rid[by], pos[by], own[by]
-        first = np.concatenate([[True], key[1:] != key[:-1]])
-        twice = own | ~first | np.concatenate([~first[1:], [False]])
-        pos = pos | np.where(twice, _KNOWN, 0) | np.where(~first, _DEALT, 0)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(key.view(np.int64)), pa.array(body.view(np.int64)), pa.array(rid), pa.array(pos)],
-            ["key", "body", "rid", "pos"])
+def _marked(key, body, rid, pos, own):
+    """Rows of a map task, with flags for keys that the task sees twice."""
+    by = np.argsort(key, kind="stable")
+    key, body, rid, pos, own = key[by], body[by], rid[by], pos[by], own[by]
+    first = np.concatenate([[True], key[1:] != key[:-1]])
+    twice = own | ~first | np.concatenate([~first[1:], [False]])
+    pos = pos | np.where(twice, _KNOWN, 0) | np.where(~first, _DEALT, 0)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key.view(np.int64)), pa.array(body.view(np.int64)), pa.array(rid), pa.array(pos)],
+        ["key", "body", "rid", "pos"])
+
+
+def _flushed(parts):
+    """Batches of ``_marked`` from a task's strings, a bounded number at a time."""
+    held, size = [], 0
+    for key, body, rid, start, end, own in parts:
+        if len(key):
+            held.append((key, body, rid, (start << _LEN_BITS) | (end - start), own))
+            size += len(key)
+        if size >= FLUSH:
+            yield _marked(*map(np.concatenate, zip(*held)))
+            held, size = [], 0
+    if size:
+        yield _marked(*map(np.concatenate, zip(*held)))
 
-    def run(batches):
-        held, size = [], 0
+
+def _cut(length: int):
+    """Strings of every text."""
+    def parts(batches):
         for batch in batches:
             data, off = flat(batch.column("text"))
             rid = batch.column("rid").to_numpy()
             for lo, hi in row_slices(off):
                 row, key, body, start, end, own = cut_strings(data[off[lo]:off[hi]], off[lo:hi + 1], length)
-                if len(key):
-                    held.append((key, body, rid[lo + row], (start << _LEN_BITS) | (end - start), own))
-                    size += len(key)
-                if size >= FLUSH:
-                    yield marked(*map(np.concatenate, zip(*held)))
-                    held, size = [], 0
-        if size:
-            yield marked(*map(np.concatenate, zip(*held)))
-    return run
+                yield key, body, rid[lo + row], start, end, own
+    return lambda batches: _flushed(parts(batches))
+
+
+def _cut_again(length: int):
+    """Strings of overfull keys, cut by more hash orders."""
+    def parts(batches):
+        unzip = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for z, rid, want in zip(batch.column("body_z"), batch.column("rid").to_numpy(), batch.column("want")):
+                text = np.frombuffer(unzip.decompress(z.as_py()), np.uint8)
+                for w in want.as_py():
+                    part = text[w["start"]:w["start"] + w["len"]]
+                    _, key, body, start, end, own = cut_strings(part, np.array([0, len(part)]), length, w["orders"])
+                    yield key, body, np.full(len(key), rid), start + w["start"], end + w["start"], own
+    return lambda batches: _flushed(parts(batches))
 
 
 def _repeated(batches):
@@ -246,6 +275,16 @@ def _remove(as_text: bool):
     return run
 
 
+_CUT_SCHEMA = "key long, body long, rid long, pos long"
+
+
+def _repeats_only(cut: DataFrame) -> DataFrame:
+    """Strings whose key occurs again (or that may repeat themselves)."""
+    dealt = F.when(F.col("pos").bitwiseAND(_DEALT) != 0, F.xxhash64("rid", "pos")).otherwise(F.col("key"))
+    return stored(cut.repartition(dealt).sortWithinPartitions("key")
+                  .mapInArrow(_repeated, "key long, body long, rid long, start long, len long"), "runs")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH, as_text: bool = False) -> DataFrame:
     """Per row of ``docs``: carry (struct of the columns other than the text),
@@ -256,14 +295,27 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     d = docs.select(F.struct(*others).alias("carry"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     d = d.withColumn("rid", F.xxhash64(F.col("carry").getField(id_col), "text"))
     carry_type = d.schema["carry"].dataType.simpleString()
-    cut = d.select("rid", "text").mapInArrow(_cut(length), "key long, body long, rid long, pos long")
-    dealt = F.when(F.col("pos").bitwiseAND(_DEALT) != 0, F.xxhash64("rid", "pos")).otherwise(F.col("key"))
-    runs = stored(cut.repartition(dealt).sortWithinPartitions("key")
-                  .mapInArrow(_repeated, "key long, body long, rid long, start long, len long"), "runs")
+    packed = d.mapInArrow(_pack, f"carry {carry_type}, rid long, body_z binary")
+    runs = _repeats_only(d.select("rid", "text").mapInArrow(_cut(length), _CUT_SCHEMA))
+    orders = 1
+    while True:                                    # keys whose strings overfill a shard
+        size = (runs.groupBy("key", "body").agg(F.max("len").alias("len"))
+                .groupBy("key").agg(F.sum("len").alias("bytes")).where(F.col("bytes") > SHARD_BYTES))
+        full = stored(size, "overfull")
+        if orders > MAX_ORDERS or full.isEmpty():
+            break
+        # as many orders as halvings are needed; each leaves a window of other
+        # surroundings in company with about a third of the others
+        full = full.select("key", (F.lit(orders) + F.ceil(F.log2(F.col("bytes") / SHARD_BYTES)))
+                           .cast("int").alias("orders"))
+        want = runs.join(full, "key").groupBy("rid").agg(
+            F.collect_list(F.struct("start", "len", "orders")).alias("want"))
+        again = _repeats_only(packed.join(want, "rid").select("rid", "body_z", "want")
+                              .mapInArrow(_cut_again(length), _CUT_SCHEMA))
+        orders = full.agg(F.max("orders")).first()[0] + 1
+        runs = stored(runs.join(full, "key", "left_anti").unionByName(again), "runs")
     total = runs.agg(F.sum("len")).first()[0] or 0
     shards = max(1, -(-int(total) // SHARD_BYTES))
-    packed = d.mapInArrow(_pack, f"carry {carry_type}, rid long, body_z binary")
-
     one = (runs.groupBy("key", "body")
            .agg(F.count("*").alias("n"), F.min(F.struct("rid", "start", "len")).alias("m"))
            .select(F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"),
@@ -274,7 +326,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                .mapInArrow(_strings, "shard int, key long, body long, n long, bytes binary"))
     spans = stored(strings.groupBy("shard").applyInArrow(
         _sort_shard(length), "key long, body long, spans binary"), "spans")
-    found = (runs.join(spans.dropDuplicates(["key", "body"]), ["key", "body"])
+    # repeated rows may name a string twice; the union of ranges absorbs it, and
+    # a plain join lets adaptive execution split the rows of many equal strings
+    found = (runs.join(spans, ["key", "body"])
              .groupBy("rid").agg(F.collect_list(F.struct("start", "spans")).alias("found")))
     return (packed.join(found, "rid", "left").select("carry", "body_z", "found").mapInArrow(
         _remove(as_text), f"carry {carry_type}, n_bytes long, spans array<struct<start:long,end:long>>, "

@@ -1,5 +1,6 @@
 """Suffix sorting and removal of repeated strings against brute force."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -62,11 +63,19 @@ def test_removed_bytes_match_brute_force(spark):
         assert sorted(got, key=order) == sorted(brute(awkward_docs(), length), key=order)
 
 
-def test_many_shards_and_flushes_agree(spark, monkeypatch):
-    monkeypatch.setattr(D, "SHARD_BYTES", 2000)
-    got = collected(D.remove_repeats(docs_frame(spark)))
+def test_many_shards_and_overfull_keys_agree(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = awkward_docs()
+    line = " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(16))
+    tail = ["".join(rng.choice("abcdef ") for _ in range(400)) for _ in range(30)]
+    for i in range(120):                              # one line amid ever other surroundings
+        rows.append((2000 + i, "".join(rng.choice("uvwxyz ") for _ in range(250)) + line + rng.choice(tail), "en", "a"))
+    monkeypatch.setattr(D, "SHARD_BYTES", 6000)
+    cut = []
+    monkeypatch.setattr(D, "_cut_again", lambda n, f=D._cut_again: cut.append(n) or f(n))
+    got = collected(D.remove_repeats(docs_frame(spark, rows)))
     kept = {(r["carry"]["doc_id"], bytes(r["kept"])) for r in got}
-    assert kept == {(i, k) for i, _, _, k in brute(awkward_docs(), 200)}
+    assert kept == {(i, k) for i, _, _, k in brute(rows, 200)} and cut
 
 
 def test_stage_keeps_rows_columns_and_nulls(spark):

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shipping import ship
+from .store import stored
 from .text import Words, flat, row_slices
 
 SAMPLE_DOCS = 2000       # labelled documents a class for the fit, at most
@@ -133,34 +134,37 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if sample is None:
         return None
     t = d.schema["id"].dataType.simpleString()
-    found = sample.mapInArrow(_sample_counts, f"id {t}, toxic int, word long, n long").toArrow()
-    if not found.num_rows:
+    found = stored(sample.mapInArrow(_sample_counts, f"id {t}, toxic int, word long, n long"), "sample-words")
+    docs_of = {r["toxic"]: r["n"] for r in found.groupBy("toxic").agg(F.countDistinct("id").alias("n")).collect()}
+    pos, neg = max(1, docs_of.get(1, 0)), max(1, docs_of.get(0, 0))
+    # words of enough sample documents; chi-square of each against the label
+    seen = (found.groupBy("word").agg(F.count("*").alias("docs"), F.sum("toxic").alias("toxic"))
+            .where(F.col("docs") >= min_docs).toArrow())
+    word, both, a = (seen.column(c).to_numpy() for c in ("word", "docs", "toxic"))
+    expect = both * pos / (pos + neg)
+    chi = (a - expect) ** 2 / np.maximum(expect, 1e-9)
+    best = np.argsort(-chi, kind="stable")[:min(vocabulary, int((chi >= chi_least).sum()))]
+    if not len(best):
         return None
-    doc = np.unique(found.column("id").to_numpy(zero_copy_only=False), return_inverse=True)[1]
-    toxic, word, n = (found.column(c).to_numpy() for c in ("toxic", "word", "n"))
-    n_docs = int(doc.max()) + 1
+    best = best[np.argsort(word[best].view(np.uint64))]
+    words = word[best].view(np.uint64)
+    harsh = ((a[best] + 0.5) / (pos + 1)) / ((both[best] - a[best] + 0.5) / (neg + 1)) >= odds
+    # counts of these words alone; documents without any are only counted
+    vocab = F.broadcast(d.sparkSession.createDataFrame([(int(x),) for x in word[best]], "word long"))
+    rows = found.join(vocab, "word").select("id", "toxic", "word", "n").toArrow()
+    doc = np.unique(rows.column("id").to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    n = rows.column("n").to_numpy()
+    col = np.searchsorted(words, rows.column("word").to_numpy().view(np.uint64))
+    n_docs = pos + neg
     label = np.zeros(n_docs, np.int64)
-    label[doc] = toxic
-    words, wid = np.unique(word.view(np.uint64), return_inverse=True)
-    pos, neg = max(1, label.sum()), max(1, n_docs - label.sum())
-    a = np.bincount(wid, weights=toxic, minlength=len(words))
-    b = np.bincount(wid, minlength=len(words)) - a
-    expect = (a + b) * pos / (pos + neg)
-    chi = np.where(a + b >= min_docs, (a - expect) ** 2 / np.maximum(expect, 1e-9), 0.0)
-    pick = np.sort(np.argsort(-chi, kind="stable")[:min(vocabulary, int((chi >= chi_least).sum()))])
-    if not len(pick):
-        return None
-    slot = np.full(len(words), -1)
-    slot[pick] = np.arange(len(pick))
-    harsh = ((a + 0.5) / (pos + 1)) / ((b + 0.5) / (neg + 1)) >= odds
-    amount = np.bincount(doc, weights=n * (harsh & (slot >= 0))[wid], minlength=n_docs)
+    label[doc] = rows.column("toxic").to_numpy()
+    amount = np.bincount(doc, weights=n * harsh[col], minlength=n_docs)
     grade = np.where((label == 1) & (amount > 0), 1, 0)
     if grade.any():
         grade[(grade == 1) & (amount > np.median(amount[grade == 1]))] = 2
-    use = slot[wid] >= 0
     each = np.where(grade > 0, 1 / max(1, (grade > 0).sum()), 1 / max(1, (grade == 0).sum()))
-    weight, theta = fit_ordinal(doc[use], slot[wid][use], np.log1p(n[use]), grade, each, len(pick))
-    return Model(words[pick], weight, theta)
+    weight, theta = fit_ordinal(doc, col, np.log1p(n), grade, each, len(words))
+    return Model(words, weight, theta)
 
 
 def severity(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -14,7 +14,7 @@ meet under that group's key (sets with more empty groups than SPARE also emit
 the empty ones).  Sets that share a key form a candidate cluster (connected
 components over a star per key, combined inside the map tasks first), and
 every link lies inside one cluster.  Equal sets are one set throughout.
-Clusters are cut into blocks of bounded size; blocks are joined within
+Clusters are cut into blocks of bounded size (most clusters are one); blocks are joined within
 themselves, then the blocks' main components through a few of their members,
 and last every set outside its cluster's main component with every block.
 
@@ -40,10 +40,10 @@ from .text import Words, flat, mix64, row_slices
 
 DIMS = 32               # coordinates of a point
 LEAF = 32               # sets in a leaf, nodes in an inner node
-BLOCK_ITEMS = 1 << 18   # shingles in a block (about 2 MB of hashes)
+BLOCK_ITEMS = 1 << 19   # shingles in a block (about 4 MB of hashes)
 SPARE = 2               # empty groups a set may have without emitting them
 PIVOTS = 8              # members by which blocks' main components meet
-FLUSH = 1 << 20         # keys combined at a time in a map task
+FLUSH = 1 << 18         # keys combined at a time in a map task
 _U = np.uint64
 
 
@@ -296,7 +296,8 @@ def _join_units(percent: int):
 
 
 def link_clusters(member: DataFrame, percent: int) -> DataFrame:
-    """(a, b) spanning links of rows (cluster, sid, shingles)."""
+    """(sid, component) of rows (cluster, sid, shingles); a component is named
+    by its least sid."""
     size = (member.groupBy("cluster").agg(F.sum(F.length("shingles") / 8 + 64).alias("items"))
             .select("cluster", F.ceil(F.col("items") / BLOCK_ITEMS).cast("int").alias("blocks")))
     member = stored(member.join(size, "cluster").select(
@@ -308,8 +309,11 @@ def link_clusters(member: DataFrame, percent: int) -> DataFrame:
             .groupBy(*unit).applyInArrow(_join_units(percent), out))
     links = stored(home, "links")
     big = member.where("blocks > 1")
+    whole = links.select("sid", F.col("to").alias("component"))
     if big.isEmpty():
-        return links.select(F.col("sid").alias("a"), F.col("to").alias("b"))
+        return whole
+    whole = whole.join(big.select("sid"), "sid", "left_anti")     # clusters of one block are done
+    links = links.join(big.select("sid"), "sid", "left_semi")
 
     # main component of each block, met through a few of its members
     big = big.join(links, "sid")
@@ -344,8 +348,14 @@ def link_clusters(member: DataFrame, percent: int) -> DataFrame:
              .select("cluster", F.col("to_block").alias("block"), "sid", "shingles",
                      F.lit(1).alias("side"), "label"))
     rows = big.select("cluster", "block", "sid", "shingles", F.lit(0).alias("side"), "label").union(visit)
-    far = rows.groupBy("cluster", "block").applyInArrow(_join_units(percent), out)
-    return links.union(far).select(F.col("sid").alias("a"), F.col("to").alias("b"))
+    # dealt by block: both sides of the union come dealt by cluster
+    far = rows.repartition("cluster", "block").groupBy("cluster", "block").applyInArrow(_join_units(percent), out)
+    comp = connected_components(links.union(far).select(F.col("sid").alias("a"), F.col("to").alias("b")))
+    done = whole.union(links.select("sid").distinct().join(comp.withColumnRenamed("node", "sid"), "sid", "left")
+                       .select("sid", F.coalesce("component", "sid")))
+    # written, because a join on top of a union of partitioned sides can fail to
+    # plan ("unequal numbers of partitions") when adaptive execution splits one
+    return stored(done, "components")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -366,8 +376,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .select("cluster", "sid", "text")
               .mapInArrow(_cluster_sets(k), "cluster long, sid long, shingles binary")
               .dropDuplicates(["sid"]))
-    comp = connected_components(link_clusters(member, percent))
-    root = first.join(comp.withColumnRenamed("node", "sid"), "sid", "left").select(
+    root = first.join(link_clusters(member, percent), "sid", "left").select(
         "sid", "id", F.coalesce("component", "sid").alias("root"))
     least = root.groupBy("root").agg(F.min("id").alias("component_id"))
     klass = root.join(least, "root").select("sid", "component_id")

@@ -2,44 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import stored
 
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back:
-    lineage ends at a shared table, so a lost executor costs only a reread."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["connected_components", "stored"]
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for undirected long pairs (a, b): component is the
     smallest node reachable.  Nulls and self loops are dropped.
 
-    Each round takes the least label among neighbours and then jumps to the
-    label's own label; both are joins on node keys, which adaptive execution
-    splits where a hub is hot.  Rounds grow with the logarithm of the longest
-    chain.  Only a count reaches the driver.
+    Each round takes the least label among a node and its neighbours and then
+    jumps to that label's own label; both are joins on node keys, which
+    adaptive execution splits where a hub is hot.  Labels only fall, so the
+    rounds end when their sum does not change; they grow in number with the
+    logarithm of the longest chain.  Only sums reach the driver.
     """
-    spark: SparkSession = edges.sparkSession
-    e = edges.where("a is not null and b is not null and a <> b").select("a", "b")
-    both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-    e = stored(e.select(both.alias("e")).select("e.a", "e.b").distinct(), "edges")
-    label = stored(e.groupBy(F.col("a").alias("node"))
-                   .agg(F.min("b").alias("m"))
-                   .select("node", F.least("node", "m").alias("label")), "labels")
+    e = edges.where("a is not null and b is not null and a <> b")
+    pairs = F.explode(F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in
+                                (("a", "b"), ("b", "a"), ("a", "a"), ("b", "b"))]))
+    e = stored(e.select(pairs.alias("e")).select("e.a", "e.b").distinct(), "edges")
+    label = stored(e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "labels")
+    total = None
     while True:
+        now = label.agg(F.sum(F.col("label").cast("decimal(20,0)"))).first()[0]
+        if now == total:                       # also for no edges: both None
+            return label.select("node", F.col("label").alias("component"))
+        total = now
         near = (e.join(label.select(F.col("node").alias("b"), "label"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m")))
-        nxt = label.join(near, "node").select(
-            "node", "label", F.least("label", "m").alias("next"))
+                .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("next")))
         jump = label.select(F.col("node").alias("next"), F.col("label").alias("jump"))
-        nxt = stored(nxt.join(jump, "next").select(
-            "node", F.least("next", "jump").alias("label"), F.col("label").alias("old")), "labels")
-        if nxt.where("label <> old").isEmpty():
-            return nxt.select("node", F.col("label").alias("component"))
-        label = nxt.select("node", "label")
+        label = stored(near.join(jump, "next").select(
+            "node", F.least("next", "jump").alias("label")), "labels")

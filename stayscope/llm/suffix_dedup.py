@@ -39,9 +39,9 @@ from .text import BYTE_MIX, flat, mix64, powers, row_slices
 
 LENGTH = 200
 GRAM = 64                    # bytes whose least hash keys a window
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 MAX_ORDERS = 40              # hash orders after which a key's strings stay together
-FLUSH = 1 << 19              # strings a map task looks at for keys it sees twice
+FLUSH = 1 << 18              # strings a map task looks at for keys it sees twice
 _U = np.uint64
 _KNOWN, _DEALT = 1 << 62, 1 << 61      # flags in a string's packed position
 _LEN_BITS = 30

@@ -15,6 +15,7 @@ from stayscope.llm import decontaminate, jaccard_rtree, langid, mixing, suffix_d
 from stayscope.llm.store import stored
 
 MAX_BITS_PER_BYTE = 8.0      # a text that no language codes better than raw bytes is rejected
+SHINGLE, PERCENT = 5, 80     # near copies: Jaccard similarity of five-word shingles
 MIN_BYTES = 32               # shorter texts say too little to be rejected by their code length
 
 
@@ -30,7 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the least id of each component."""
-    return jaccard_rtree.one_per_component(docs)
+    return jaccard_rtree.one_per_component(docs, k=SHINGLE, percent=PERCENT)
 
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each stage's result as Parquet in the shared folder and reads it back as the
 next stage's ``docs``.  All but the last return the columns of documents.
-Duplicated ids count as one document (their rows share a fate).
+Rows are judged by their text, whatever their id: null and repeated ids do not
+share a fate, equal texts do, and the Jaccard stage keeps one row of them.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayscope.llm import decontaminate, jaccard_rtree, langid, mixing, suffix_dedup
-from stayscope.llm.store import stored
+from stayscope.llm.store import stored, text_key
 
 MAX_BITS_PER_BYTE = 8.0      # a text that no language codes better than raw bytes is rejected
 SHINGLE, PERCENT = 5, 80     # near copies: Jaccard similarity of five-word shingles
@@ -22,15 +23,15 @@ MIN_BYTES = 32               # shorter texts say too little to be rejected by th
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no text, no letter, or a code
     length under every language's tree above that of raw bytes."""
-    out = langid.identify(docs).where(
+    keyed = docs.withColumn("__key", text_key("text"))
+    out = langid.predict(keyed, langid.train(docs, "doc_id", "text", "lang"), "__key").where(
         (F.col("lang_pred") == langid.UND) |
         ((F.col("bits_per_byte") > MAX_BITS_PER_BYTE) & (F.col("n_bytes") >= MIN_BYTES)))
-    bad = out.select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__bad")), "left_anti")
+    return keyed.join(out.select("__key").distinct(), "__key", "left_anti").select(*docs.columns)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each component."""
+    """Keeps one row of each component, of those with the least id."""
     return jaccard_rtree.one_per_component(docs, k=SHINGLE, percent=PERCENT)
 
 

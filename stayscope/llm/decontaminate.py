@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import stored, text_key
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = "\t\n\x0b\x0c\r"
@@ -124,7 +124,9 @@ def small_table(items: DataFrame) -> bool:
     return items.count() <= BROADCAST_ROWS // 64
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """``docs`` without the documents that hold a test item."""
-    bad = contaminated(docs, items, id_col=id_col, **kw).select(F.col(id_col).alias("__bad")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("__bad")), "left_anti")
+def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """``docs`` without the rows that hold a test item; rows of one id with
+    other texts stay."""
+    keyed = docs.withColumn("__key", text_key(text_col))
+    bad = contaminated(keyed, items, id_col="__key", text_col=text_col, **kw).select("__key").distinct()
+    return keyed.join(bad, "__key", "left_anti").select(*docs.columns)

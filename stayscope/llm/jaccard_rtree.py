@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shipping import ship
-from .store import connected_components, stored
+from .store import connected_components, stored, text_key
 from .text import Words, flat, mix64, row_slices
 
 DIMS = 32               # coordinates of a point
@@ -388,9 +388,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       k: int = 3, percent: int = 90) -> DataFrame:
-    """``docs`` with one document of each component: the one whose id is the
-    component's.  Rows without an id or without shingles stay."""
-    comp = jaccard_components(docs, id_col, text_col, k, percent)
-    drop = (comp.where(F.col("component_id") != F.col(id_col))
-            .select(F.col(id_col).alias("__drop_id")).distinct())
-    return docs.join(drop, docs[id_col] == F.col("__drop_id"), "left_anti")
+    """``docs`` with one row of each component: of its rows with the least id
+    (nulls last), the least by text key and other columns.  Rows without
+    shingles stay.  Texts are what is linked, so an id's other texts stay too."""
+    keyed = docs.withColumn("__key", text_key(text_col))
+    comp = (jaccard_components(keyed, "__key", text_col, k, percent).where("n_shingles > 0")
+            .groupBy("__key").agg(F.min("component_id").alias("component"), F.count("*").alias("rows")))
+    least = keyed.groupBy("__key").agg(F.min(id_col).alias("id"))
+    comp = stored(comp.join(least, "__key"), "text-components")
+    best = comp.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "__key"))["__key"].alias("best"))
+    judged = stored(comp.join(best, "component").select(
+        "__key", (F.col("__key") == F.col("best")).alias("kept"), "rows").where("rows > 1 or not kept"), "judged")
+    alone = keyed.join(judged.select("__key"), "__key", "left_anti").select(*docs.columns)
+    order = F.struct(F.col(id_col).isNull(), id_col, *[c for c in docs.columns if c not in (id_col, text_col)])
+    # an aggregate, so a text that very many rows hold is combined inside the tasks
+    one = (keyed.join(judged.where("kept").select("__key"), "__key")
+           .groupBy("__key").agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*"))
+    return alone.union(one)

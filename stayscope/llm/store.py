@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
 
-__all__ = ["connected_components", "stored"]
+__all__ = ["connected_components", "stored", "text_key"]
+
+
+def text_key(text_col: str) -> Column:
+    """16 bytes by which rows of one text are known; a null text is an empty one."""
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Stages of the pipeline: near copies by the general rule."""
+"""Stages of the pipeline: near copies by the general rule, and rows with null and repeated ids."""
 
 import random
 
@@ -25,3 +25,25 @@ def test_near_copies_of_five_words_and_four_fifths(spark, tmp_path):
     got = {r["doc_id"] for r in P.jaccard_join(spark, docs, str(tmp_path)).collect()}
     assert got == {i for i, _, c in components(rows, k=5, percent=80) if i == c}
     assert 700 in got and 701 not in got
+
+
+def test_rows_are_judged_by_their_text_not_their_id(spark, tmp_path):
+    rng = random.Random(5)
+    prose = lambda n: " ".join(rng.choice(("stone", "river", "cloud", "field", "house", "green")) + str(rng.randrange(99)) for _ in range(n))
+    a, b, c, d, e, item = (prose(60) for _ in range(6))
+    leak = prose(20) + " " + item + " " + prose(20)
+    rows = [(None, "", "en", "a"), (None, a, "en", "a"), (None, a, "en", "a"), (None, leak, "en", "a"), (None, b, "en", "b"),
+            (5, "### 12", "en", "a"), (5, c, "en", "a"), (5, leak + " more", "en", "a"),
+            (6, c, "en", "a"), (6, d, "en", "a"), (7, e, "en", "a"), (7, e, "en", "a"), (None, d, "en", "c")]
+    docs_frame(spark, rows).select(*COLUMNS).coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    have = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    pairs = sorted(((i, t) for i, t, *_ in rows), key=str)
+    stages = dict(P.STAGES)
+    assert have(stages["language_id"](spark, docs, str(tmp_path))) == [x for x in pairs if x not in ((None, ""), (5, "### 12"))]
+    assert have(stages["decontamination"](spark, docs, str(tmp_path))) == [x for x in pairs if leak not in x[1]]
+    out = stages["jaccard_join"](spark, docs, str(tmp_path))
+    assert out.columns == COLUMNS
+    one = [x for x in {x: 0 for x in pairs} if x not in ((6, c), (None, d), (None, leak))]
+    assert have(out) == sorted(one, key=str)

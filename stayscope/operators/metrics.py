@@ -30,15 +30,27 @@ def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
                       ) -> DataFrame:
     """Per distinct score: pos, neg, tp / fp at threshold ``score >= s``, and
     totals P / N."""
-    # read several times (count, bounds, range totals, ranges): written once
-    groups = stored(score_groups(df, label, score), "score-groups")
+    return _cumulative(_stored_groups(df, label, score), **kw)
+
+
+def _stored_groups(df: DataFrame, label: str, score: str) -> DataFrame:
+    # read several times (count, bounds, range totals, ranges, curve ends): written once
+    return stored(score_groups(df, label, score), "score-groups")
+
+
+def _cumulative(groups: DataFrame, **kw) -> DataFrame:
     rt = running_totals(groups, "score", ["pos", "neg"], **kw)
     return rt.select(
         "score", "pos", "neg",
         (F.col("pos_total") - F.col("pos_cum") + F.col("pos")).alias("tp"),
         (F.col("neg_total") - F.col("neg_cum") + F.col("neg")).alias("fp"),
         F.col("pos_cum").alias("pos_le"), F.col("neg_cum").alias("neg_le"),
-        F.col("pos_total").alias("P"), F.col("neg_total").alias("N"))
+        F.col("pos_total").alias("P"), F.col("neg_total").alias("N"),
+        *[f"{c}_prev" for c in kw.get("previous", ())])
+
+
+def _totals(groups: DataFrame) -> DataFrame:
+    return groups.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", **kw) -> DataFrame:
@@ -64,18 +76,10 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score",
 def _corner_points(cc: DataFrame) -> DataFrame:
     """Keep the thresholds where the ROC polyline turns: the first and last
     distinct score, and every score whose (positives, negatives) differ from
-    those of the next lower score (collinear points dropped).  The neighbour
-    is found by an equi-join on the distinct-score rank, not a global
-    window."""
-    ranked = running_totals(cc.withColumn("__one", F.lit(1).cast("long")), "score",
-                            ["__one"]).withColumnRenamed("__one_cum", "__r") \
-        .withColumnRenamed("__one_total", "__nr").drop("__one")
-    below = ranked.select((F.col("__r") + 1).alias("__r"), F.col("pos").alias("__pos_b"),
-                          F.col("neg").alias("__neg_b"))
-    j = ranked.join(below, "__r", "left")
-    keep = ((F.col("__r") == 1) | (F.col("__r") == F.col("__nr")) |
-            (F.col("pos") != F.col("__pos_b")) | (F.col("neg") != F.col("__neg_b")))
-    return j.where(keep).drop("__r", "__nr", "__pos_b", "__neg_b")
+    those of the next lower score (collinear points dropped)."""
+    last = F.col("pos_le") + F.col("neg_le") == F.col("P") + F.col("N")
+    return cc.where(F.col("pos_prev").isNull() | last | (F.col("pos") != F.col("pos_prev"))
+                    | (F.col("neg") != F.col("neg_prev")))
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score",
@@ -83,16 +87,17 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score",
     """(threshold, fpr, tpr) for every distinct score (or, with
     ``drop_intermediate``, only the corner points) plus the (0, 0) start at
     threshold +inf."""
-    cc = cumulative_counts(df, label, score, **kw)
+    groups = _stored_groups(df, label, score)
     if drop_intermediate:
-        cc = _corner_points(cc)
+        cc = _corner_points(_cumulative(groups, previous=["pos", "neg"], **kw))
+    else:
+        cc = _cumulative(groups, **kw)
     pts = cc.select(F.col("score").alias("threshold"),
                     F.try_divide(F.col("fp").cast("double"), F.col("N").cast("double")).alias("fpr"),
                     F.try_divide(F.col("tp").cast("double"), F.col("P").cast("double")).alias("tpr"))
-    tot = score_groups(df, label, score).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    start = tot.select(F.lit(float("inf")).alias("threshold"),
-                       F.when(F.col("N") > 0, F.lit(0.0)).alias("fpr"),
-                       F.when(F.col("P") > 0, F.lit(0.0)).alias("tpr"))
+    start = _totals(groups).select(F.lit(float("inf")).alias("threshold"),
+                                   F.when(F.col("N") > 0, F.lit(0.0)).alias("fpr"),
+                                   F.when(F.col("P") > 0, F.lit(0.0)).alias("tpr"))
     return pts.unionByName(start)
 
 
@@ -100,19 +105,15 @@ def pr_points(df: DataFrame, label: str = "label", score: str = "score", **kw) -
     """(threshold, precision, recall, baseline) for every distinct score plus
     the (precision 1, recall 0) end point; ``baseline`` is the positive
     rate."""
-    cc = cumulative_counts(df, label, score, **kw)
+    groups = _stored_groups(df, label, score)
     base = F.col("P").cast("double") / (F.col("P") + F.col("N")).cast("double")
-    pts = cc.select(F.col("score").alias("threshold"),
-                    (F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double"))
-                    .alias("precision"),
-                    F.when(F.col("P") > 0, F.col("tp").cast("double") / F.col("P").cast("double"))
-                    .otherwise(F.lit(1.0)).alias("recall"),
-                    base.alias("baseline"))
-    tot = score_groups(df, label, score).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    end = tot.select(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
-                     F.lit(0.0).alias("recall"),
-                     (F.col("P").cast("double") / (F.col("P") + F.col("N")).cast("double"))
-                     .alias("baseline"))
+    pts = _cumulative(groups, **kw).select(
+        F.col("score").alias("threshold"),
+        (F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")).alias("precision"),
+        F.when(F.col("P") > 0, F.col("tp").cast("double") / F.col("P").cast("double"))
+        .otherwise(F.lit(1.0)).alias("recall"), base.alias("baseline"))
+    end = _totals(groups).select(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
+                                 F.lit(0.0).alias("recall"), base.alias("baseline"))
     return pts.unionByName(end)
 
 

@@ -1,10 +1,10 @@
-"""Class-weighted logistic regression and random forest on Spark ML, with a
-population-std scaler, fold-correct cross-validation, hold-out scoring,
-metrics table and importances.
+"""Class-weighted logistic regression (Newton steps, ``logistic``) and random
+forest (Spark ML), with a population-std scaler, fold-correct cross-validation,
+hold-out scoring, metrics table and importances.
 
 Every fit derives its scaler statistics, balanced class weights and (for the
-logistic model) the regularisation strength from *its own* training rows:
-regParam = 1 / (C * sum of weights), which makes Spark's averaged objective
+logistic model) the regularisation strength from *its own* training rows: a
+penalty of 1 / (C * sum of weights), which makes the averaged objective
 equal to the C-parametrised one.  Only bounded scalars (per-feature moments,
 per-class counts) travel to the driver.
 """
@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from . import metrics as M
+from .logistic import LogisticFit, fit_logistic
 from .sampling import with_weights
 
 # Modelling defaults of the analysed project (fixed values).
@@ -71,20 +72,26 @@ class FittedModel:
     model: Any
     weights: dict = field(default_factory=dict)
 
-    def prepare(self, df: DataFrame) -> DataFrame:
-        """Scale with the training moments (constant column -> 0) and
-        assemble the feature vector."""
+    def scale(self, df: DataFrame) -> DataFrame:
+        """Scale with the training moments (constant column -> 0)."""
         scaled = {}
         for c in self.features:
             m, s = self.scaler[c]
             m = 0.0 if m is None else float(m)
             s = 1.0 if (s is None or s == 0.0) else float(s)
             scaled[c] = (F.col(c).cast("double") - F.lit(m)) / F.lit(s)
-        out = df.withColumns(scaled)
-        return VectorAssembler(inputCols=self.features, outputCol=_FEATURES_VEC).transform(out)
+        return df.withColumns(scaled)
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        """Scale and assemble the feature vector."""
+        return VectorAssembler(inputCols=self.features, outputCol=_FEATURES_VEC).transform(self.scale(df))
 
     def score(self, df: DataFrame, id_col: str, label_col: str) -> DataFrame:
         """(id, label, score = P(class 1), prediction at 0.5)."""
+        if isinstance(self.model, LogisticFit):
+            return self.scale(df).withColumn("score", self.model.probability()).select(
+                id_col, F.col(label_col).cast("int").alias("label"), "score",
+                (F.col("score") > 0.5).cast("int").alias("prediction"))
         pred = self.model.transform(self.prepare(df))
         return pred.select(id_col, F.col(label_col).cast("int").alias("label"),
                            vector_to_array("probability")[1].alias("score"),
@@ -99,17 +106,18 @@ def model_features(df: DataFrame, drop: Sequence[str] = ID_AND_OUTCOME_COLS) ->
     return list(dict.fromkeys(keep)), dropped
 
 
-def train_statistics(train: DataFrame, features: Sequence[str], label: str
-                     ) -> tuple[dict, list[tuple]]:
-    """One aggregation pass grouped by label: per-class count, mean and
-    population variance of every feature.  Combined on the driver (classes x
-    features scalars) with the pairwise variance formula into the scaler
-    moments; the counts give the balanced class weights."""
+def _statistics_by(train: DataFrame, features: Sequence[str], label: str, keys: Sequence[str] = ()) -> list:
+    """One aggregation pass: per class (and ``keys``) count, mean and
+    population variance of every feature; NULL labels are left out."""
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(features):
-        aggs += [F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}"),
-                 F.count(c).alias(f"n{i}")]
-    rows = train.where(F.col(label).isNotNull()).groupBy(label).agg(*aggs).collect()
+        aggs += [F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}"), F.count(c).alias(f"n{i}")]
+    return train.where(F.col(label).isNotNull()).groupBy(label, *keys).agg(*aggs).collect()
+
+
+def _combined(rows: list, features: Sequence[str], label: str) -> tuple[dict, list[tuple]]:
+    """Scaler moments by the pairwise variance formula, and balanced weights
+    (label, count, weight) from the classes' counts."""
     scaler = {}
     for i, c in enumerate(features):
         n, mean, m2 = 0, 0.0, 0.0
@@ -123,38 +131,51 @@ def train_statistics(train: DataFrame, features: Sequence[str], label: str
             m2 += vb * nb + delta * delta * n * nb / tot
             n = tot
         scaler[c] = (mean if n else None, float(np.sqrt(m2 / n)) if n else None)
-    k = len(rows)
-    total = sum(r["__n"] for r in rows)
-    counts = [(r[label], r["__n"], total / (k * r["__n"])) for r in rows]
-    return scaler, counts
+    counts: dict = {}
+    for r in rows:
+        counts[r[label]] = counts.get(r[label], 0) + r["__n"]
+    total, k = sum(counts.values()), len(counts)
+    return scaler, [(lab, n, total / (k * n)) for lab, n in counts.items()]
 
 
-def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str) -> FittedModel:
+def train_statistics(train: DataFrame, features: Sequence[str], label: str
+                     ) -> tuple[dict, list[tuple]]:
+    """Scaler moments and balanced class weights from one pass over the
+    training rows (classes x features scalars reach the driver)."""
+    return _combined(_statistics_by(train, features, label), features, label)
+
+
+def fold_statistics(train: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold",
+                    k: int = CV_FOLDS) -> dict[int, tuple[dict, list[tuple]]]:
+    """``train_statistics`` of every fold's training part (all rows but the
+    fold's), for all folds from one pass: statistics are taken by (fold, class)
+    once, and a fold's training part is the other folds' statistics combined."""
+    rows = _statistics_by(train.where(F.col(fold_col).isNotNull()), features, label, [fold_col])
+    return {i: _combined([r for r in rows if r[fold_col] != i], features, label) for i in range(k)}
+
+
+def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str,
+        statistics: tuple[dict, list[tuple]] | None = None) -> FittedModel:
+    """Fit on ``train``; ``statistics`` of its rows may be handed in."""
     feats = list(features)
-    scaler, counts = train_statistics(train, feats, label)
+    scaler, counts = statistics or train_statistics(train, feats, label)
     weights = {lab: w for lab, _, w in counts}
     total_w = float(sum(n * w for _, n, w in counts))
     fm = FittedModel(spec, feats, scaler, None, weights)
-    data = with_weights(fm.prepare(train), label, weights, _WEIGHT) \
-        .withColumn(label, F.col(label).cast("double")) \
-        .select(_FEATURES_VEC, label, _WEIGHT)
-    if spec.kind == "lr":
-        est = LogisticRegression(featuresCol=_FEATURES_VEC, labelCol=label, weightCol=_WEIGHT,
-                                 maxIter=spec.max_iter, elasticNetParam=0.0,
-                                 regParam=1.0 / (spec.C * total_w), standardization=False,
-                                 fitIntercept=True, tol=1e-6)
-    elif spec.kind == "rf":
-        est = RandomForestClassifier(featuresCol=_FEATURES_VEC, labelCol=label, weightCol=_WEIGHT,
-                                     numTrees=spec.num_trees, maxDepth=spec.max_depth,
-                                     minInstancesPerNode=spec.min_leaf,
-                                     featureSubsetStrategy="sqrt", maxBins=spec.max_bins,
-                                     seed=spec.seed, cacheNodeIds=True, checkpointInterval=10,
-                                     maxMemoryInMB=512)
-    else:
+    if spec.kind not in ("lr", "rf"):
         raise ValueError(spec.kind)
-    data = data.persist()
+    ready = fm.scale(train.where(F.col(label).isNotNull())) if spec.kind == "lr" else fm.prepare(train)
+    data = with_weights(ready, label, weights, _WEIGHT).withColumn(label, F.col(label).cast("double"))
+    data = data.select(*(feats if spec.kind == "lr" else [_FEATURES_VEC]), label, _WEIGHT).persist()
     try:
-        fm.model = est.fit(data)
+        if spec.kind == "lr":
+            fm.model = fit_logistic(data, feats, label, _WEIGHT, 1.0 / (spec.C * total_w), spec.max_iter)
+        else:
+            fm.model = RandomForestClassifier(
+                featuresCol=_FEATURES_VEC, labelCol=label, weightCol=_WEIGHT,
+                numTrees=spec.num_trees, maxDepth=spec.max_depth, minInstancesPerNode=spec.min_leaf,
+                featureSubsetStrategy="sqrt", maxBins=spec.max_bins, seed=spec.seed, cacheNodeIds=True,
+                checkpointInterval=10, maxMemoryInMB=512).fit(data)
     finally:
         data.unpersist()
     return fm
@@ -162,14 +183,17 @@ def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str)
 
 def cross_validate(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str,
                    id_col: str, fold_col: str = "fold", k: int = CV_FOLDS,
-                   parallelism: int = CV_FOLDS) -> list[float]:
-    """Exact ROC-AUC of each fold's model on its held-out fold.  Each fold
-    refits scaler, weights and regularisation on its own training part;
+                   parallelism: int = CV_FOLDS, statistics: dict | None = None) -> list[float]:
+    """Exact ROC-AUC of each fold's model on its held-out fold.  Each fold has
+    scaler, weights and regularisation of its own training part, all from one
+    pass (``fold_statistics``, which may be handed in for several models);
     folds run concurrently (driver threads submitting Spark jobs)."""
+    by_fold = statistics or fold_statistics(train, features, label, fold_col, k)
+
     def one(i: int) -> float:
         tr = train.where(F.col(fold_col) != i)
         va = train.where(F.col(fold_col) == i)
-        fm = fit(spec, tr, features, label)
+        fm = fit(spec, tr, features, label, by_fold[i])
         scored = stored(fm.score(va, id_col, label), "fold-scores")     # scored once
         return M.roc_auc(scored).first()["roc_auc"]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

@@ -4,7 +4,8 @@ exact medians, missingness, median imputation, standardisation, histogram.
 Each exact order statistic has one path at every size.  A median first takes
 a bracket around the middle from a bounded sketch (``percentile_approx``),
 counts what lies below it and orders only the distinct values inside; values
-outside the bracket never reach the ordered step.  Running totals order inside
+outside the bracket never reach the ordered step.  The medians of many columns
+share these passes, and the table stays wide in them.  Running totals order inside
 ranges whose bounds come from the same kind of sketch; only the small
 (group, range) totals table is ordered as a whole.  Group keys are compared
 null-safely, so a NULL group is a group.
@@ -87,18 +88,19 @@ def _count_below(df: DataFrame, arr: str, x: str, m: int, out: str) -> DataFrame
     return df.withColumnRenamed(pos, out)
 
 
-def _bucket_offsets(tagged: DataFrame, group_cols: Sequence[str], sum_cols: Sequence[str]
-                    ) -> DataFrame:
-    """Per (group, bucket): bucket totals ``__tot_c``, exclusive prefix
-    offsets ``__off_c`` and group totals ``__all_c``.  The table has at most
-    ``buckets`` rows per group, so ordering it whole is cheap."""
+def _bucket_offsets(tagged: DataFrame, group_cols: Sequence[str], sum_cols: Sequence[str],
+                    order_col: str, previous: Sequence[str] = ()) -> DataFrame:
+    """Per (group, bucket): exclusive prefix offsets ``__off_c``, group totals
+    ``__all_c`` and the last value ``__last_c`` of the bucket before.  The table
+    has at most ``buckets`` rows per group, so ordering it whole is cheap."""
     g = list(group_cols)
     tot = tagged.groupBy(*g, "__bucket").agg(
-        *[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
+        *[F.sum(c).alias(f"__tot_{c}") for c in sum_cols],
+        *[F.max_by(c, order_col).alias(f"__end_{c}") for c in previous])
     part = Window.partitionBy(*g) if g else Window.partitionBy()
     w = part.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     return tot.select(*g, "__bucket",
-                      *[F.col(f"__tot_{c}") for c in sum_cols],
+                      *[F.lag(f"__end_{c}").over(part.orderBy("__bucket")).alias(f"__last_{c}") for c in previous],
                       *[F.coalesce(F.sum(f"__tot_{c}").over(w), F.lit(0)).alias(f"__off_{c}")
                         for c in sum_cols],
                       *[F.sum(f"__tot_{c}").over(part).alias(f"__all_{c}") for c in sum_cols])
@@ -107,9 +109,10 @@ def _bucket_offsets(tagged: DataFrame, group_cols: Sequence[str], sum_cols: Sequ
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    group_cols: Sequence[str] = (), bucket_col: Column | None = None,
                    rows_per_bucket: int = ROWS_PER_BUCKET,
-                   accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                   accuracy: int = DEFAULT_ACCURACY, previous: Sequence[str] = ()) -> DataFrame:
     """Inclusive running sums ``{c}_cum`` of ``sum_cols`` in ascending
-    ``order_col`` within each group, plus ``{c}_total`` per group.
+    ``order_col`` within each group, plus ``{c}_total`` per group and, for the
+    columns ``previous``, ``{c}_prev`` of the row before (NULL for the first).
     ``order_col`` must be unique within a group (collapse ties first).
 
     ``bucket_col`` may supply a ready-made monotone bucket (e.g. a uniform
@@ -124,16 +127,19 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
         n = df.count()
         buckets = max(2, min(MAX_BUCKETS, -(-n // rows_per_bucket)))
         tagged = _with_quantile_bucket(df, g, order_col, buckets, max(accuracy, 4 * buckets))
-    off = _bucket_offsets(tagged, g, sum_cols).drop(*[f"__tot_{c}" for c in sum_cols])
+    off = _bucket_offsets(tagged, g, sum_cols, order_col, previous)
+    ordered = Window.partitionBy(*g, "__bucket").orderBy(order_col)
     w_in = Window.partitionBy(*g, "__bucket").orderBy(order_col) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # (group, bucket) offsets are a small table: AQE broadcasts it by size
     out = join_null_safe(tagged, off, g + ["__bucket"])
     out = out.withColumns({**{f"{c}_cum": F.col(f"__off_{c}") + F.sum(c).over(w_in)
                               for c in sum_cols},
-                           **{f"{c}_total": F.col(f"__all_{c}") for c in sum_cols}})
-    return out.drop("__bucket", *[f"__off_{c}" for c in sum_cols],
-                    *[f"__all_{c}" for c in sum_cols])
+                           **{f"{c}_total": F.col(f"__all_{c}") for c in sum_cols},
+                           **{f"{c}_prev": F.when(F.row_number().over(ordered) > 1, F.lag(c).over(ordered))
+                              .otherwise(F.col(f"__last_{c}")) for c in previous}})
+    return out.drop("__bucket", *[f"__off_{c}" for c in sum_cols], *[f"__all_{c}" for c in sum_cols],
+                    *[f"__last_{c}" for c in previous])
 
 
 def exact_medians(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
@@ -187,13 +193,72 @@ def unpivot_features(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str]
     return cast.unpivot(list(id_cols), list(cols), name_col, value_col)
 
 
+def _brackets(wide: DataFrame, m: int, accuracy: int) -> list[tuple[int, float, float] | None]:
+    """Per column (values, low, high): bounds just below and above the middle
+    of its values, from one aggregate with a sketch a column."""
+    eps = 2.0 / accuracy
+    row = wide.agg(*[F.count(f"c{i}").alias(f"n{i}") for i in range(m)],
+                   *[F.percentile_approx(f"c{i}", [0.5 - eps, 0.5 + eps], accuracy).alias(f"b{i}")
+                     for i in range(m)]).first()
+    return [(row[f"n{i}"], *row[f"b{i}"]) if row[f"n{i}"] else None for i in range(m)]
+
+
+def _middle_values(wide: DataFrame, spans: dict[int, tuple[int, float, float]]) -> dict[int, float]:
+    """Exact medians from (values, low, high) by column number: one pass counts
+    what lies below, one hands on the cells inside, and these few are ordered."""
+    below = wide.agg(*[F.sum((F.col(f"c{i}") < F.lit(low)).cast("long")).alias(f"n{i}")
+                       for i, (_, low, _) in spans.items()]).first()
+    inside = {i: F.col(f"c{i}").between(F.lit(low), F.lit(high)) for i, (_, low, high) in spans.items()}
+    some = F.lit(False)
+    for cond in inside.values():
+        some = some | F.coalesce(cond, F.lit(False))
+    cells = F.array(*[F.when(cond, F.struct(F.lit(i).alias("i"), F.col(f"c{i}").alias("v")))
+                      for i, cond in inside.items()])
+    found = (wide.where(some).select(F.explode(F.filter(cells, lambda c: c.isNotNull())).alias("c"))
+             .groupBy("c.i", "c.v").agg(F.count(F.lit(1)).alias("cnt")))
+    counts = F.create_map(*[F.lit(x) for i in spans for x in (i, below[f"n{i}"])])
+    total = F.create_map(*[F.lit(x) for i, (n, _, _) in spans.items() for x in (i, n)])
+    w = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = found.withColumn("upto", counts[F.col("i")] + F.sum("cnt").over(w))
+    at = lambda k: (k >= F.col("upto") - F.col("cnt")) & (k < F.col("upto"))
+    n = total[F.col("i")]
+    got = upto.groupBy("i").agg(F.max(F.when(at(F.floor((n - 1) / 2)), F.col("v"))).alias("lo"),
+                                F.max(F.when(at(F.ceil((n - 1) / 2)), F.col("v"))).alias("hi")).collect()
+    return {r["i"]: r["lo"] if r["lo"] == r["hi"] else (r["lo"] + r["hi"]) / 2
+            for r in got if r["lo"] is not None and r["hi"] is not None}
+
+
+def collect_medians(df: DataFrame, cols: Sequence[str], accuracy: int = DEFAULT_ACCURACY,
+                    bracket_values: int = BRACKET_VALUES) -> dict[str, float | None]:
+    """Exact median of every column at once (bounded result: one value a
+    column; NULL and NaN skipped, None for a column without values).
+
+    The table stays wide: one aggregate sketches all columns' middles, one
+    counts what lies below these brackets, and only cells inside a bracket leave
+    their row to be ordered.  Where a bracket would hold more than
+    ``bracket_values`` rows the sketch is taken again, finer, by the counts that
+    the first gave."""
+    m = len(cols)
+    if not m:
+        return {}
+    wide = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"c{i}")
+                       for i, c in enumerate(cols)])
+    spans = _brackets(wide, m, accuracy)
+    most = max((s[0] for s in spans if s), default=0)
+    if most * 6 > accuracy * bracket_values:
+        spans = _brackets(wide, m, -(-6 * most // bracket_values))
+    known = {i: s for i, s in enumerate(spans) if s}
+    found = _middle_values(wide, known) if known else {}
+    for i in known.keys() - found.keys():             # a sketch missed the middle: the column by itself
+        found[i] = exact_medians(wide.select(F.col(f"c{i}").alias("v")), "v").first()["median"]
+    return {c: found.get(i) for i, c in enumerate(cols)}
+
+
 def column_medians(df: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
     """Exact median of each column: (feature, median); all-NULL columns give
     a NULL median."""
-    long = unpivot_features(df, cols)
-    med = exact_medians(long, "value", ["feature"], **kw)
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
-    return names.join(med, "feature", "left")
+    return df.sparkSession.createDataFrame(list(collect_medians(df, cols, **kw).items()),
+                                           "feature string, median double")
 
 
 def missing_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -218,13 +283,6 @@ def missing_flags(df: DataFrame, cols: Sequence[str], suffix: str = "_missing")
     return df.withColumns({f"{c}{suffix}": F.col(c).isNull().cast("int") for c in cols})
 
 
-def collect_medians(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, float | None]:
-    """The medians pass (bounded result: one value per column)."""
-    got = {r["feature"]: r["median"]
-           for r in exact_medians(unpivot_features(df, cols), "value", ["feature"], **kw).collect()}
-    return {c: got.get(c) for c in cols}
-
-
 def impute_median(df: DataFrame, cols: Sequence[str], medians: dict | None = None,
                   with_flags: bool = False, suffix: str = "_missing") -> DataFrame:
     """Fill NULLs with each column's exact median (a column with no values

@@ -18,6 +18,8 @@ from ..functions import scalars as S
 from ..operators import cohort as C
 from ..operators import events as EV
 from ..operators import explain as X
+from ..operators import forest as FO
+from ..operators import logistic as LG
 from ..operators import metrics as M
 from ..operators import model as MD
 from ..operators import report as R
@@ -453,26 +455,6 @@ auc AS (SELECT CASE WHEN sum(pos) * sum(neg) > 0 THEN
           / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) END AS roc_auc FROM auc_c)"""
 
 
-@register("kpi_summary", _with(roles.SQL_ROLES, roles.SQL_SCORED, _SQL_AUC) + f"""
-SELECT count(*) AS total_patients,
-       CAST(coalesce(sum(hospital_expire_flag), 0) AS BIGINT) AS total_deaths,
-       {sql_r('avg(hospital_expire_flag) * 100.0', 1)} AS mortality_rate_pct,
-       {sql_r('avg(icu_los_days)', 1)} AS mean_icu_los_days,
-       {sql_r('avg(prolonged_los) * 100.0', 1)} AS pct_prolonged_los,
-       {sql_r(f"avg(CASE WHEN admission_type = '{roles.EMERGENCY_TYPE}' THEN 1 ELSE 0 END) * 100.0", 1)} AS pct_emergency,
-       {sql_r(f'avg({SQL_WEEKEND}) * 100.0', 1)} AS pct_weekend,
-       (SELECT roc_auc FROM auc) AS model_roc_auc,
-       count(DISTINCT first_careunit) AS care_units_covered
-FROM cohort""")
-def q_kpi_summary(spark, root):
-    auc = M.roc_auc(roles.scored_rows(spark, root)).withColumnRenamed("roc_auc", "__auc")
-    kpi = R.kpi_summary(roles.cohort(spark, root), None, roles.EMERGENCY_TYPE)
-    one = auc.select(*[(F.col("__auc") if f.name == "model_roc_auc" else F.lit(None)).cast(f.dataType)
-                       .alias(f.name) for f in kpi.schema.fields])
-    both = kpi.withColumn("model_roc_auc", F.lit(None).cast("double")).unionByName(one)
-    return both.agg(*[F.max(c).alias(c) for c in kpi.columns])       # the two rows folded into one
-
-
 @register("cohort_overview", _with(roles.SQL_ROLES) + """
 SELECT count(*) AS n_admissions, avg(hospital_expire_flag) AS mortality_rate,
        avg(prolonged_los) AS prolonged_rate, min(age) AS age_min, max(age) AS age_max FROM cohort""")
@@ -862,6 +844,207 @@ def q_standardize(spark, root):
     return ST.rounded(z.withColumnRenamed("valuenum_z", "value_z"), ["value_z"])
 
 
+# ------------------------------------------------------------ saved models ---
+# A forest and a logistic model that were saved earlier score the cohort; their
+# tables are read off the test tables (``roles``), so everything has an oracle.
+
+_SAVED = list(roles.SAVED_FEATURES)
+_SQL_X = "[" + ", ".join(_SAVED) + "]::DOUBLE[]"
+_SQL_SAVED = "WITH RECURSIVE " + ",\n".join([roles.SQL_ROLES, roles.SQL_SAVED_INPUTS, roles.SQL_SAVED_FOREST])
+_SQL_WALK = f""",
+walk AS (SELECT icustay_id, {_SQL_X} AS x, tree, 0 AS at FROM saved, (SELECT DISTINCT tree FROM nodes) t
+         UNION ALL
+         SELECT w.icustay_id, w.x, w.tree, CASE WHEN w.x[n.feature + 1] <= n.threshold THEN n."left" ELSE n."right" END
+         FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.at WHERE n."left" >= 0),
+forest_scores AS (SELECT w.icustay_id, avg(n.value) AS score FROM walk w
+                  JOIN nodes n ON n.tree = w.tree AND n.node = w.at AND n."left" < 0 GROUP BY w.icustay_id)"""
+_SQL_LOGIT = "(" + " + ".join([str(roles.SAVED_INTERCEPT),
+                               *[f"{b} * {c}" for c, b in roles.SAVED_COEFFICIENTS.items()]]) + ")"
+
+
+@register("saved_forest_scores", _SQL_SAVED + _SQL_WALK + f"""
+SELECT icustay_id, {sql_r('score', 9)} AS score FROM forest_scores""")
+def q_saved_forest_scores(spark, root):
+    """A saved forest's class-1 probabilities, by a walk of joins with its node table."""
+    out = FO.forest_scores(roles.saved_inputs(spark, root), "icustay_id", _SAVED, roles.saved_forest(spark, root))
+    return ST.rounded(out, ["score"], 9)
+
+
+@register("saved_forest_paths", "WITH RECURSIVE " + roles.SQL_SAVED_FOREST + """,
+up AS (SELECT tree, node AS leaf, value, node AS child FROM nodes WHERE "left" < 0
+       UNION ALL SELECT tree, leaf, value, (child - 1) // 2 FROM up WHERE child > 0),
+steps AS (SELECT u.tree, u.leaf, u.value, n.feature, c.cover / n.cover AS ratio,
+                 CASE WHEN n."right" = u.child THEN n.threshold END AS low,
+                 CASE WHEN n."left" = u.child THEN n.threshold END AS high
+          FROM up u JOIN nodes n ON u.child > 0 AND n.tree = u.tree AND n.node = (u.child - 1) // 2
+          JOIN nodes c ON c.tree = u.tree AND c.node = u.child)
+SELECT tree, leaf, value, feature, max(low) AS low, min(high) AS high, """ + sql_r("product(ratio)", 9) + """ AS ratio
+FROM steps GROUP BY tree, leaf, value, feature""")
+def q_saved_forest_paths(spark, root):
+    """The leaf paths of a saved forest: interval and cover ratio per feature."""
+    return ST.rounded(FO.leaf_paths(roles.saved_forest(spark, root)), ["ratio"], 9)
+
+
+def _sql_shapley() -> str:
+    points = FO.quadrature(min(len(_SAVED), roles.FOREST_LEVELS))
+    grid = ", ".join(f"({t!r}::DOUBLE, {w!r}::DOUBLE)" for t, w in points)
+    return f""",
+up AS (SELECT tree, node AS leaf, value, node AS child FROM nodes WHERE "left" < 0
+       UNION ALL SELECT tree, leaf, value, (child - 1) // 2 FROM up WHERE child > 0),
+el AS (SELECT u.tree, u.leaf, u.value, n.feature, product(c.cover / n.cover) AS z,
+              max(CASE WHEN n."right" = u.child THEN n.threshold END) AS low,
+              min(CASE WHEN n."left" = u.child THEN n.threshold END) AS high
+       FROM up u JOIN nodes n ON u.child > 0 AND n.tree = u.tree AND n.node = (u.child - 1) // 2
+       JOIN nodes c ON c.tree = u.tree AND c.node = u.child GROUP BY ALL),
+hit AS (SELECT icustay_id, tree, leaf, value, feature, z,
+               CASE WHEN coalesce(x[feature + 1] > low, true) AND coalesce(x[feature + 1] <= high, true) THEN 1.0 ELSE 0.0 END AS o
+        FROM (SELECT icustay_id, {_SQL_X} AS x FROM saved) s, el),
+grid(t, w) AS (VALUES {grid}),
+whole AS (SELECT icustay_id, tree, leaf, t, w, product(t * o + (1 - t) * z) AS p FROM hit, grid GROUP BY ALL),
+phi AS (SELECT h.icustay_id, h.feature, sum(h.value * (h.o - h.z) * g.w * g.p / (g.t * h.o + (1 - g.t) * h.z)) / {float(roles.FOREST_TREES)} AS phi
+        FROM hit h JOIN whole g USING (icustay_id, tree, leaf) GROUP BY ALL),
+base AS (SELECT avg(m) AS base FROM (SELECT sum(CASE WHEN "left" < 0 THEN cover * value END)
+                                            / max(CASE WHEN node = 0 THEN cover END) AS m FROM nodes GROUP BY tree))
+SELECT s.icustay_id AS id, f.name AS feature, f.x AS feature_value, {sql_r('coalesce(phi, 0.0)', 7)} AS shap_value,
+       {sql_r('base', 7)} AS base_value, {sql_r('score', 7)} AS model_output
+FROM (SELECT icustay_id, unnest(range({len(_SAVED)})) AS i, unnest([{', '.join(f"'{c}'" for c in _SAVED)}]) AS name,
+             unnest({_SQL_X}) AS x FROM saved) f
+JOIN saved s ON s.icustay_id = f.icustay_id JOIN forest_scores fs ON fs.icustay_id = f.icustay_id
+LEFT JOIN phi ON phi.icustay_id = f.icustay_id AND phi.feature = f.i CROSS JOIN base"""
+
+
+@register("saved_forest_shapley", _SQL_SAVED + _SQL_WALK + _sql_shapley())
+def q_saved_forest_shapley(spark, root):
+    """Path-dependent Shapley values of a saved forest for every stay of the cohort."""
+    out = FO.forest_shapley(roles.saved_inputs(spark, root), "icustay_id", _SAVED, roles.saved_forest(spark, root))
+    return ST.rounded(out, ["shap_value", "base_value", "model_output"], 7)
+
+
+def _saved_scores(spark, root) -> dict[str, DataFrame]:
+    """Score tables (icustay_id, label, score, prediction) of the saved models."""
+    rows = stored(roles.saved_inputs(spark, root), "saved-inputs")
+    logit = F.lit(roles.SAVED_INTERCEPT)
+    for c, b in roles.SAVED_COEFFICIENTS.items():
+        logit = logit + F.lit(b) * F.col(c)
+    forest = FO.forest_scores(rows, "icustay_id", _SAVED, roles.saved_forest(spark, root))
+    tables = {"Logistic Regression": rows.select("icustay_id", "label", S.round_half_even(
+                  F.lit(1.0) / (F.lit(1.0) + F.exp(-logit)), 9).alias("score")),
+              "Random Forest": rows.select("icustay_id", "label").join(
+                  ST.rounded(forest, ["score"], 9), "icustay_id")}
+    return {name: stored(t.withColumn("prediction", (F.col("score") > 0.5).cast("int")), "saved-scores")
+            for name, t in tables.items()}
+
+
+_SQL_SCORE_TABLES = _SQL_SAVED + _SQL_WALK + f""",
+all_scores AS (
+  SELECT 'Logistic Regression' AS model, label, {sql_r(f'1.0 / (1.0 + exp(-{_SQL_LOGIT}))', 9)} AS score FROM saved
+  UNION ALL SELECT 'Random Forest', label, {sql_r('score', 9)} FROM forest_scores JOIN saved USING (icustay_id)),
+grp AS (SELECT model, score, sum(label)::BIGINT AS pos, sum(1 - label)::BIGINT AS neg FROM all_scores GROUP BY ALL),
+run AS (SELECT *, sum(neg) OVER (PARTITION BY model ORDER BY score) - neg AS neg_below,
+               sum(pos) OVER (PARTITION BY model ORDER BY score DESC) AS tp,
+               sum(neg) OVER (PARTITION BY model ORDER BY score DESC) AS fp,
+               sum(pos) OVER (PARTITION BY model) AS p, sum(neg) OVER (PARTITION BY model) AS n FROM grp),
+ranked AS (SELECT model, sum(pos::DOUBLE * (neg_below::DOUBLE + 0.5 * neg::DOUBLE)) / (max(p)::DOUBLE * max(n)::DOUBLE) AS auc,
+                  sum(pos::DOUBLE / p::DOUBLE * (tp::DOUBLE / (tp + fp)::DOUBLE)) AS ap FROM run GROUP BY model),
+cells AS (SELECT model, count_if(label = 0 AND score <= 0.5) AS tn, count_if(label = 0 AND score > 0.5) AS fp,
+                 count_if(label = 1 AND score <= 0.5) AS fn, count_if(label = 1 AND score > 0.5) AS tp
+          FROM all_scores GROUP BY model),
+metrics AS (SELECT model, {sql_r('auc', 9)} AS test_roc_auc, {sql_r('ap', 9)} AS test_avg_precision,
+                   coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0.0) AS prec, coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0.0) AS rec
+            FROM ranked JOIN cells USING (model))"""
+
+
+@register("saved_model_metrics", _SQL_SCORE_TABLES + f"""
+SELECT model, test_roc_auc, test_avg_precision, {sql_r('prec', 9)} AS precision_died, {sql_r('rec', 9)} AS recall_died,
+       {sql_r('CASE WHEN prec + rec > 0 THEN 2.0 * prec * rec / (prec + rec) ELSE 0.0 END', 9)} AS f1_died
+FROM metrics""")
+def q_saved_model_metrics(spark, root):
+    """The metrics table, one row a model, from the models' score tables."""
+    rows = [MD.metrics_row(MD.ModelSpec("saved", name), [], t) for name, t in _saved_scores(spark, root).items()]
+    out = spark.createDataFrame(rows, MD.METRICS_SCHEMA).drop("cv_auc_mean", "cv_auc_std")
+    return ST.rounded(out, [c for c in out.columns if c != "model"], 9)
+
+
+@register("saved_best_confusion", _SQL_SCORE_TABLES + """
+, best AS (SELECT model, tn, fp, fn, tp FROM cells JOIN metrics USING (model) ORDER BY test_roc_auc DESC, model LIMIT 1)
+SELECT model, unnest([0, 0, 1, 1]) AS label, unnest([0, 1, 0, 1]) AS prediction, unnest([tn, fp, fn, tp]) AS count FROM best""")
+def q_saved_best_confusion(spark, root):
+    """Confusion matrix of the model with the highest area under the curve."""
+    tables = _saved_scores(spark, root)
+    auc = {name: M.roc_auc(t).first()["roc_auc"] for name, t in tables.items()}
+    best = min(auc, key=lambda name: (-(auc[name] or 0.0), name))
+    return M.confusion_matrix(tables[best]).select(F.lit(best).alias("model"), "label", "prediction", "count")
+
+
+@register("kpi_summary", _SQL_SCORE_TABLES + f"""
+SELECT count(*) AS total_patients,
+       CAST(coalesce(sum(hospital_expire_flag), 0) AS BIGINT) AS total_deaths,
+       {sql_r('avg(hospital_expire_flag) * 100.0', 1)} AS mortality_rate_pct,
+       {sql_r('avg(icu_los_days)', 1)} AS mean_icu_los_days,
+       {sql_r('avg(prolonged_los) * 100.0', 1)} AS pct_prolonged_los,
+       {sql_r(f"avg(CASE WHEN admission_type = '{roles.EMERGENCY_TYPE}' THEN 1 ELSE 0 END) * 100.0", 1)} AS pct_emergency,
+       {sql_r(f'avg({SQL_WEEKEND}) * 100.0', 1)} AS pct_weekend,
+       (SELECT test_roc_auc FROM metrics WHERE model = 'Random Forest') AS model_roc_auc,
+       count(DISTINCT first_careunit) AS care_units_covered
+FROM cohort""")
+def q_kpi_summary(spark, root):
+    """The KPI row, with the area under the curve of the saved forest's scores."""
+    scores = FO.forest_scores(roles.saved_inputs(spark, root), "icustay_id", _SAVED, roles.saved_forest(spark, root))
+    scored = roles.saved_inputs(spark, root).select("icustay_id", "label").join(
+        ST.rounded(scores, ["score"], 9), "icustay_id")
+    auc = M.roc_auc(scored).first()["roc_auc"]
+    return ST.rounded(R.kpi_summary(roles.cohort(spark, root), auc, roles.EMERGENCY_TYPE), ["model_roc_auc"], 9)
+
+
+_SQL_GRAM = _with(roles.SQL_ROLES, roles.SQL_SAVED_INPUTS) + f""",
+cls AS (SELECT label, (SELECT count(*) FROM saved)::DOUBLE / (2 * count(*))::DOUBLE AS w FROM saved GROUP BY label),
+pr AS (SELECT list_concat({_SQL_X}, [1.0::DOUBLE]) AS x, s.label AS y, w, 1.0 / (1.0 + exp(-{_SQL_LOGIT})) AS p
+       FROM saved s JOIN cls USING (label)),
+g AS (SELECT i, sum(w * (p - y) * x[i + 1]) / sum(w) AS v FROM pr, range({len(_SAVED) + 1}) r(i) GROUP BY i),
+h AS (SELECT i, j, sum(w * p * (1 - p) * x[i + 1] * x[j + 1]) / sum(w) AS v
+      FROM pr, range({len(_SAVED) + 1}) r(i), range({len(_SAVED) + 1}) c(j) GROUP BY i, j),
+b AS (SELECT list_concat([{', '.join(f'{b}' for b in roles.SAVED_COEFFICIENTS.values())}]::DOUBLE[], [{roles.SAVED_INTERCEPT}::DOUBLE]) AS b)"""
+_PENALTY = 0.01
+
+
+@register("logistic_derivatives", _SQL_GRAM + f"""
+SELECT CAST(i AS INTEGER) AS i, -1 AS j, {sql_r(f'v + CASE WHEN i < {len(_SAVED)} THEN {_PENALTY} * b[i + 1] ELSE 0.0 END', 7)} AS value FROM g, b
+UNION ALL SELECT CAST(i AS INTEGER), CAST(j AS INTEGER),
+       {sql_r(f'v + CASE WHEN i = j AND i < {len(_SAVED)} THEN {_PENALTY} ELSE 0.0 END', 7)} FROM h""")
+def q_logistic_derivatives(spark, root):
+    """Gradient (j = -1) and Hessian of the penalised weighted log loss at the
+    saved logistic model's coefficients."""
+    rows = roles.saved_inputs(spark, root)
+    weights = {r["label"]: r["weight"] for r in SP.class_weight_table(rows, "label").collect()}
+    data = SP.with_weights(rows, "label", weights)
+    d = LG.derivatives(data, _SAVED, "label", "weight",
+                       [*roles.SAVED_COEFFICIENTS.values(), roles.SAVED_INTERCEPT], _PENALTY)
+    p = len(_SAVED) + 1
+    cells = [(i, -1, float(d.gradient[i])) for i in range(p)]
+    cells += [(i, j, float(d.hessian[i, j])) for i in range(p) for j in range(p)]
+    return ST.rounded(spark.createDataFrame(cells, "i int, j int, value double"), ["value"], 7)
+
+
+@register("fold_moments", _with(roles.SQL_ROLES, roles.SQL_SAVED_INPUTS) + f"""
+, f AS (SELECT *, CAST((rnk - 1) % 5 AS INTEGER) AS fold FROM ({_sql_rank('saved', 'label', 'icustay_id')}) t),
+t AS (SELECT CAST(k AS INTEGER) AS held_out_fold, f.* FROM f, range(5) r(k) WHERE f.fold <> k),
+n AS (SELECT held_out_fold, count(*) AS n_rows, sum(label)::BIGINT AS n_positive FROM t GROUP BY 1)
+""" + " UNION ALL ".join(f"""SELECT held_out_fold, '{c}' AS feature, {sql_r(f'avg({c})', 9)} AS mean, {sql_r(f'stddev_pop({c})', 9)} AS std,
+  any_value(n_rows) AS n_rows, {sql_r('any_value(n_rows)::DOUBLE / (2 * any_value(n_positive))::DOUBLE', 9)} AS positive_weight
+FROM t JOIN n USING (held_out_fold) GROUP BY held_out_fold""" for c in roles.SAVED_FEATURES))
+def q_fold_moments(spark, root):
+    """Scaler moments and class weights of every fold's training part, all from
+    one pass of statistics by (fold, class)."""
+    rows = SP.stratified_folds(roles.saved_inputs(spark, root), "label", "icustay_id", k=5)
+    out = []
+    for fold, (scaler, counts) in MD.fold_statistics(rows, _SAVED, "label").items():
+        n = sum(c for _, c, _ in counts)
+        weight = {label: w for label, _, w in counts}.get(1)
+        out += [(fold, c, *scaler[c], n, weight) for c in _SAVED]
+    df = spark.createDataFrame(out, "held_out_fold int, feature string, mean double, std double, n_rows long, positive_weight double")
+    return ST.rounded(df, ["mean", "std", "positive_weight"], 9)
+
+
 # -------------------------------------------------------------- modelling ---
 # Rows-only checks (no SQL oracle): model fits are Spark ML jobs with the
 # analysed project's settings (300 trees, depth 8).  Every key fits for itself.
@@ -901,6 +1084,7 @@ def model_run(spark, root, kinds=("lr", "rf"), cv: bool = True, label: str = LAB
     train, test = full.where("is_test = 0"), full.where("is_test = 1")
     run = {"matrix": full, "features": feats, "train": train, "test": test, "fits": {},
            "scored": {}, "cv": {}}
+    by_fold = MD.fold_statistics(train, feats, label) if cv else None      # shared by the models
     for spec in MD.default_specs():
         if spec.kind not in kinds:
             continue
@@ -908,7 +1092,7 @@ def model_run(spark, root, kinds=("lr", "rf"), cv: bool = True, label: str = LAB
         run["fits"][spec.kind] = fm
         run["scored"][spec.kind] = stored(fm.score(test, KEY, label), "test-scores")
         if cv:
-            run["cv"][spec.kind] = MD.cross_validate(spec, train, feats, label, KEY)
+            run["cv"][spec.kind] = MD.cross_validate(spec, train, feats, label, KEY, statistics=by_fold)
     return run
 
 
@@ -928,6 +1112,14 @@ def q_rf_scores(spark, root):
     return model_run(spark, root, kinds=("rf",), cv=False)["scored"]["rf"]
 
 
+@register("lr_certificate")
+def q_lr_certificate(spark, root):
+    """The logistic fit pass by pass: loss, largest gradient component, largest
+    component of the Newton step that was left, seconds."""
+    fm = model_run(spark, root, kinds=("lr",), cv=False)["fits"]["lr"]
+    return spark.createDataFrame(fm.model.history, LG.HISTORY_SCHEMA)
+
+
 @register("cv_metrics")
 def q_cv_metrics(spark, root):
     run = model_run(spark, root)
@@ -968,8 +1160,7 @@ def _shap_long(spark, root):
     fm = run["fits"]["rf"]
     # every test row, dealt evenly: explaining costs far more than the shuffle
     rows = run["test"].repartition(spark.sparkContext.defaultParallelism, KEY)
-    scaled = fm.prepare(rows).select(KEY, *fm.features)
-    return X.shap_values(scaled, KEY, fm.features, fm.model)
+    return FO.forest_shapley(fm.scale(rows), KEY, fm.features, FO.node_table(spark, fm.model))
 
 
 @register("shap_values")

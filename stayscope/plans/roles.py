@@ -37,6 +37,16 @@ LAB_CODES = {"purchase": "lactate", "error": "creatinine", "glucose": "glucose"}
 # Alert thresholds: the analysed project's own (lactate > 2.5, creatinine > 2.0).
 ROLE_ALERT_THRESHOLDS = dict(S.ALERT_THRESHOLDS)
 PREDICTION_CUTOFF = 2000                  # scored rows: prediction = n_chars >= cutoff
+# A saved forest's node table read off the part table: full binary trees, node n
+# has children 2n+1 and 2n+2; tree t's node n is the part with key 63 t + n + 1.
+FOREST_TREES, FOREST_INNER, FOREST_LEVELS = 10, 31, 5
+# Inputs of the saved models, each with the range of its thresholds.
+SAVED_FEATURES = {"age": (18, 100), "admit_hour": (0, 23), "icu_los_days": (0, 25),
+                  "admit_month": (1, 12), "weekday": (0, 6)}
+# A saved logistic model: intercept and coefficients over the same inputs.
+SAVED_INTERCEPT = -0.4
+SAVED_COEFFICIENTS = {"age": 0.004, "admit_hour": -0.01, "icu_los_days": 0.02,
+                      "admit_month": 0.015, "weekday": -0.03}
 # ---------------------------------------------------------------------------
 
 
@@ -123,6 +133,44 @@ def scored_rows(spark: SparkSession, root: str) -> DataFrame:
                     .alias("prediction")))
 
 
+def saved_inputs(spark: SparkSession, root: str) -> DataFrame:
+    """(icustay_id, label, the saved models' inputs) of the cohort."""
+    return cohort(spark, root).select(
+        "icustay_id", F.col("hospital_expire_flag").alias("label"), F.col("age").cast("double").alias("age"),
+        F.hour("admittime").cast("double").alias("admit_hour"), F.col("icu_los_days").alias("icu_los_days"),
+        F.month("admittime").cast("double").alias("admit_month"),
+        F.weekday("admittime").cast("double").alias("weekday"))
+
+
+def saved_forest(spark: SparkSession, root: str) -> DataFrame:
+    """Node table of a saved forest (schema of ``forest.NODE_COLUMNS``)."""
+    per_tree = 2 * FOREST_INNER + 1
+    part = read_table(spark, root, "part", ["p_partkey", "p_size", "p_retailprice"])
+    rows = spark.range(FOREST_TREES * per_tree).join(part, F.col("id") + 1 == F.col("p_partkey"), "left")
+    node = (F.col("id") % per_tree).cast("int")
+    size = F.coalesce("p_size", F.lit(1))
+    where = F.coalesce(F.floor(F.col("p_retailprice") * 10) % 100, F.lit(50)) / 100.0
+    low = F.element_at(F.lit([float(a) for a, _ in SAVED_FEATURES.values()]), F.col("feature") + 1)
+    span = F.element_at(F.lit([float(b - a) for a, b in SAVED_FEATURES.values()]), F.col("feature") + 1)
+    rows = rows.select((F.col("id") / per_tree).cast("int").alias("tree"), node.alias("node"),
+                       (size % len(SAVED_FEATURES)).cast("int").alias("feature"), where.alias("frac"),
+                       (size / 50.0).alias("value"), size.cast("double").alias("size"))
+    # an inner node covers what its leaves cover
+    leaf = rows.where(F.col("node") >= FOREST_INNER).select("tree", F.col("node").alias("at"), "size")
+    over, up = [], F.col("at")
+    for _ in range(FOREST_LEVELS + 1):
+        over.append(up)
+        up = F.floor((up - 1) / 2).cast("int")
+    cover = (leaf.select("tree", F.explode(F.array(*over)).alias("node"), "size")
+             .groupBy("tree", "node").agg(F.sum("size").alias("cover")))
+    inner = F.col("node") < FOREST_INNER
+    return rows.join(cover, ["tree", "node"]).select(
+        "tree", "node", F.when(inner, 2 * F.col("node") + 1).otherwise(-1).alias("left"),
+        F.when(inner, 2 * F.col("node") + 2).otherwise(-1).alias("right"),
+        F.when(inner, F.col("feature")).otherwise(-1).alias("feature"),
+        F.when(inner, low + F.col("frac") * span).alias("threshold"), "value", "cover")
+
+
 # ---------------------------------------------------------------------------
 # The same roles in DuckDB SQL (common table expressions).
 
@@ -182,6 +230,33 @@ SQL_SCORED = f"""scored AS (
          CASE WHEN d.n_chars >= {PREDICTION_CUTOFF} THEN 1 ELSE 0 END AS prediction
   FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
 
+SQL_SAVED_INPUTS = """saved AS (
+  SELECT icustay_id, hospital_expire_flag AS label, CAST(age AS DOUBLE) AS age,
+         CAST(hour(admittime) AS DOUBLE) AS admit_hour, icu_los_days, CAST(month(admittime) AS DOUBLE) AS admit_month,
+         CAST(isodow(admittime) - 1 AS DOUBLE) AS weekday FROM cohort)"""
+
+_per_tree = 2 * FOREST_INNER + 1
+_lows = ", ".join(f"{float(a)}" for a, _ in SAVED_FEATURES.values())
+_spans = ", ".join(f"{float(b - a)}" for a, b in SAVED_FEATURES.values())
+SQL_SAVED_FOREST = f"""node_rows AS (
+  SELECT CAST(r.id // {_per_tree} AS INTEGER) AS tree, CAST(r.id % {_per_tree} AS INTEGER) AS node,
+         CAST(coalesce(p_size, 1) % {len(SAVED_FEATURES)} AS INTEGER) AS feature,
+         coalesce(floor(p_retailprice * 10) % 100, 50) / 100.0::DOUBLE AS frac,
+         coalesce(p_size, 1) / 50.0::DOUBLE AS value, CAST(coalesce(p_size, 1) AS DOUBLE) AS size
+  FROM range({FOREST_TREES * _per_tree}) r(id) LEFT JOIN part ON p_partkey = r.id + 1),
+covers AS (
+  SELECT tree, unnest([{", ".join(f"((node + 1) >> {k}) - 1" for k in range(FOREST_LEVELS + 1))}]) AS node, size
+  FROM node_rows WHERE node >= {FOREST_INNER}),
+nodes AS (
+  SELECT r.tree, r.node, CASE WHEN r.node < {FOREST_INNER} THEN 2 * r.node + 1 ELSE -1 END AS "left",
+         CASE WHEN r.node < {FOREST_INNER} THEN 2 * r.node + 2 ELSE -1 END AS "right",
+         CASE WHEN r.node < {FOREST_INNER} THEN feature ELSE -1 END AS feature,
+         CASE WHEN r.node < {FOREST_INNER} THEN ([{_lows}]::DOUBLE[])[feature + 1]
+              + frac * ([{_spans}]::DOUBLE[])[feature + 1] END AS threshold,
+         value, c.cover
+  FROM node_rows r JOIN (SELECT tree, node, sum(size) AS cover FROM covers GROUP BY ALL) c
+    ON c.tree = r.tree AND c.node = r.node)"""
+
 SQL_ROLES = ",\n".join([SQL_PATIENTS, SQL_ADMISSIONS, SQL_ICUSTAYS, SQL_COHORT])
 
 

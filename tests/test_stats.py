@@ -102,3 +102,33 @@ def test_running_totals_keep_null_groups(spark):
     for rows_per_bucket in (7, 1000):
         rt = ST.running_totals(df, "o", ["one"], group_cols=["g"], rows_per_bucket=rows_per_bucket).collect()
         assert len(rt) == 100 and all(r.one_cum == int(r.o) // 2 + 1 and r.one_total == 50 for r in rt)
+
+
+def test_medians_of_many_columns_stay_wide(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    n = 3000
+    cols = {"a": rng.normal(size=n), "b": rng.integers(0, 4, n).astype(float), "c": np.where(rng.uniform(size=n) < .7, np.nan, 1.5),
+            "d": np.full(n, 2.0), "e": rng.exponential(size=n) * 1e6}
+    rows = [[None if (i + j) % 11 == 0 else float(v[i]) for j, v in enumerate(cols.values())] for i in range(n)]
+    df = spark.createDataFrame([(*r, None) for r in rows], ", ".join(f"{c} double" for c in [*cols, "none"])).repartition(7)
+    want = {c: float(np.nanmedian([np.nan if r[j] is None else r[j] for r in rows])) for j, c in enumerate(cols)}
+    for kw in ({}, {"accuracy": 50}, {"accuracy": 20, "bracket_values": 100}):
+        assert ST.collect_medians(df, [*cols, "none"], **kw) == {**want, "none": None}
+    monkeypatch.setattr(ST, "unpivot_features", lambda *a, **k: pytest.fail("the table was unpivoted"))
+    assert ST.collect_medians(df.limit(0), ["a", "b"]) == {"a": None, "b": None}
+    assert ST.collect_medians(df, []) == {}
+    got = {r["feature"]: r["median"] for r in ST.column_medians(df, [*cols, "none"]).collect()}
+    assert got == {**want, "none": None}
+
+
+def test_a_missed_bracket_falls_back(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i),) for i in range(101)], "a double")
+    monkeypatch.setattr(ST, "_brackets", lambda wide, m, accuracy: [(101, 90.0, 95.0)])
+    assert ST.collect_medians(df, ["a"]) == {"a": 50.0}
+
+
+def test_previous_row_across_ranges(spark):
+    df = spark.createDataFrame([(float(i), i * i) for i in range(200)], "s double, v long").repartition(5)
+    out = ST.running_totals(df, "s", ["v"], rows_per_bucket=9, previous=["v"]).orderBy("s").collect()
+    assert [r["v_prev"] for r in out] == [None] + [i * i for i in range(199)]
+    assert out[-1]["v_cum"] == out[0]["v_total"] == sum(i * i for i in range(200))

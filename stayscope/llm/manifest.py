@@ -7,7 +7,7 @@ appends the copied ancestors of a changed leaf as a new version, which shares
 every untouched node with the tree before; older versions stay readable.
 
 Distribution.  Leaves are numbered by a range shuffle and cut into aligned
-blocks of ``2**BITS``; a block is one row that holds its leaves, so no task
+blocks of ``2**bits``; a block is one row that holds its leaves, so no task
 holds more than a block's tree at a time.  The blocks' digests are the leaves of
 the next tier, cut into aligned blocks again, until one digest a group is left;
 then the same over the groups.  A tier has one node for 1024 of the tier below,
@@ -39,7 +39,7 @@ from .ordering import numbered
 from .shipping import ship
 from .store import stored
 
-BITS = 10                       # a block has 2**BITS leaves
+BITS = 10                       # a block has 2**BITS leaves, unless told otherwise
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -98,15 +98,15 @@ def _children(side: str, node: str, other: str) -> tuple[str, str | None]:
     return (other, node) if side == "L" else (node, other or None)
 
 
-def _levels(n: int) -> int:
-    """Levels that a tier of ``n`` nodes climbs in its blocks."""
-    return min(BITS, (n - 1).bit_length())
-
-
-def _pages(nodes: DataFrame, cells: Sequence[str]) -> DataFrame:
-    """One row a block: its cells in order (at most 2**BITS)."""
-    return (nodes.groupBy("g", F.shiftright("pos", BITS).alias("block"))
-            .agg(F.sort_array(F.collect_list(F.struct("pos", *cells))).alias("cells"), F.first("n").alias("n")))
+def _pages(nodes: DataFrame, cells: Sequence[str], bits: int) -> DataFrame:
+    """One row a block: its cells in order (at most ``2**bits``), the levels it
+    climbs, and the blocks ``n`` of its group, which are the next tier's nodes."""
+    whole = F.first("n") > 1 << bits
+    exact = F.ceil(F.log2(F.first("n").cast("double") - 0.5))       # of n <= 2**bits, the levels to one node
+    return (nodes.groupBy("g", F.shiftright("pos", bits).alias("block"))
+            .agg(F.sort_array(F.collect_list(F.struct("pos", *cells))).alias("cells"),
+                 F.when(whole, bits).when(F.first("n") == 1, 0).otherwise(exact).cast("int").alias("levels"),
+                 F.when(whole, F.shiftright(F.first("n") + ((1 << bits) - 1), bits)).otherwise(1).alias("n")))
 
 
 def _rows(batch: pa.RecordBatch):
@@ -120,42 +120,40 @@ def _rows(batch: pa.RecordBatch):
 def _block_digests(batches):
     """Pages to the nodes of the next tier."""
     for batch in batches:
-        n = batch.column("n").to_pylist()
-        top = [(t := PathTree(c["digest"], _levels(n[i]))).digest[t.root] for i, c in _rows(batch)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("g"), batch.column("block"), pa.array(top, pa.string()),
-             pa.array([-(-x >> BITS) if x > 1 << BITS else 1 for x in n], pa.int64())], ["g", "pos", "digest", "n"])
+        levels = batch.column("levels").to_pylist()
+        top = [(t := PathTree(c["digest"], levels[i])).digest[t.root] for i, c in _rows(batch)]
+        yield pa.RecordBatch.from_arrays([batch.column("g"), batch.column("block"), pa.array(top, pa.string()),
+                                          batch.column("n")], ["g", "pos", "digest", "n"])
 
 
 def _block_paths(batches):
     """Pages to one row a node: its path in the block and the block's digest."""
     for batch in batches:
-        g, n = batch.column("g").to_pylist(), batch.column("n").to_pylist()
+        g, n, levels = (batch.column(c).to_pylist() for c in ("g", "n", "levels"))
         out = [[], [], [], [], []]
         for i, c in _rows(batch):
-            tree = PathTree(c["digest"], _levels(n[i]))
+            tree = PathTree(c["digest"], levels[i])
             for place, pos in enumerate(c["pos"]):
                 steps = [side + (tree.digest[node] if node >= 0 else "") for side, node in tree.path(place)]
-                for column, value in zip(out, (g[i], pos, steps, tree.digest[tree.root],
-                                               -(-n[i] >> BITS) if n[i] > 1 << BITS else 1)):
+                for column, value in zip(out, (g[i], pos, steps, tree.digest[tree.root], n[i])):
                     column.append(value)
         types = (pa.string(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)],
                                          ["g", "pos", "path", "above", "n"])
 
 
-def climb(nodes: DataFrame) -> DataFrame:
+def climb(nodes: DataFrame, bits: int) -> DataFrame:
     """(g, pos, top, path) of nodes (g, pos, digest, n): the digest that is left
     of each group and every node's siblings on the way to it, from below."""
     if nodes.where("n > 1").isEmpty():
         return nodes.select("g", "pos", F.col("digest").alias("top"),
                             F.array().cast("array<string>").alias("path"))
-    tier = stored(_pages(nodes, ["digest"]).mapInArrow(
+    tier = stored(_pages(nodes, ["digest"], bits).mapInArrow(
         _block_paths, "g string, pos long, path array<string>, above string, n long"), "tier")
-    over = climb(tier.where(F.col("pos") % (1 << BITS) == 0).select(
-        "g", F.shiftright("pos", BITS).alias("pos"), F.col("above").alias("digest"), "n"))
+    over = climb(tier.where(F.col("pos") % (1 << bits) == 0).select(
+        "g", F.shiftright("pos", bits).alias("pos"), F.col("above").alias("digest"), "n"), bits)
     over = over.select("g", F.col("pos").alias("block"), "top", F.col("path").alias("beyond"))
-    return stored(tier.withColumn("block", F.shiftright("pos", BITS)).join(over, ["g", "block"])
+    return stored(tier.withColumn("block", F.shiftright("pos", bits)).join(over, ["g", "block"])
                   .select("g", "pos", "top", F.concat("path", "beyond").alias("path")), "paths")
 
 
@@ -170,10 +168,10 @@ def _proofs(batches):
     version of the block's tree, folded on along the path above."""
     for batch in batches:
         above, root, sub = (batch.column(c).to_pylist() for c in ("path", "root", "subroot"))
-        n = batch.column("n").to_pylist()
+        levels = batch.column("levels").to_pylist()
         ids, out = [], [[], [], [], [], [], []]
         for i, c in _rows(batch):
-            tree = PathTree(c["digest"], _levels(n[i]))
+            tree = PathTree(c["digest"], levels[i])
             far = [step[1:] for step in above[i]]
             ids.extend(c["id"])
             for place, (leaf, changed) in enumerate(zip(c["digest"], c["changed"])):
@@ -193,10 +191,10 @@ def _proofs(batches):
 def _versions(batches):
     """Pages to the nodes that the changed leaves' versions copied."""
     for batch in batches:
-        above, n = batch.column("path").to_pylist(), batch.column("n").to_pylist()
+        above, levels = batch.column("path").to_pylist(), batch.column("levels").to_pylist()
         ids, out = [], [[], [], [], []]
         for i, c in _rows(batch):
-            tree = PathTree(c["digest"], _levels(n[i]))
+            tree = PathTree(c["digest"], levels[i])
             for place, changed in enumerate(c["changed"]):
                 if changed is None or changed == c["digest"][place]:
                     continue
@@ -232,7 +230,7 @@ def leaf_digest(fields: Sequence[Column]) -> Column:
 @dataclass
 class Manifest:
     """``pages``: blocks of leaves with the path above them (g, block, cells,
-    n, subroot, root, path)."""
+    levels, subroot, root, path)."""
 
     pages: DataFrame
     id_type: str
@@ -255,9 +253,10 @@ class Manifest:
 
 
 def build(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang", fields: Sequence[str] = FIELDS,
-          where: Column | None = None, changes: Mapping[str, Column] | None = None) -> Manifest:
+          where: Column | None = None, changes: Mapping[str, Column] | None = None, bits: int = BITS) -> Manifest:
     """The manifest of ``docs``; rows that satisfy ``where`` also carry the leaf
-    that ``changes`` (field: new value) would give them."""
+    that ``changes`` (field: new value) would give them.  ``bits`` sets the
+    blocks' size; it does not change any digest."""
     ship(docs.sparkSession)
     changes = changes or {}
     changed = leaf_digest([changes.get(f, F.col(f)) for f in fields])
@@ -265,12 +264,12 @@ def build(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang", fiel
         F.coalesce(F.concat(F.lit("+"), F.col(group_col).cast("string")), F.lit("")).alias("g"),
         F.col(id_col).alias("id"), leaf_digest([F.col(f) for f in fields]).alias("digest"),
         F.when(where if where is not None else F.lit(False), changed).alias("changed")), "leaves")
-    pages = stored(_pages(numbered(leaves, "g", ["id", "digest"]), ["id", "digest", "changed"]), "pages")
+    pages = stored(_pages(numbered(leaves, "g", ["id", "digest"]), ["id", "digest", "changed"], bits), "pages")
     node = "g string, pos long, digest string, n long"
-    below = climb(stored(pages.mapInArrow(_block_digests, node), "blocks"))
+    below = climb(stored(pages.mapInArrow(_block_digests, node), "blocks"), bits)
     groups = numbered(below.where("pos = 0").select(F.lit("").alias("all"), "g", F.col("top").alias("digest")),
                       "all", ["g"])
-    over = climb(stored(groups.select(F.col("all").alias("g"), "pos", "digest", "n"), "groups"))
+    over = climb(stored(groups.select(F.col("all").alias("g"), "pos", "digest", "n"), "groups"), bits)
     over = groups.select("g", "pos").join(over.select("pos", F.col("top").alias("root"),
                                                       F.col("path").alias("beyond")), "pos").drop("pos")
     paths = below.withColumnsRenamed({"pos": "block", "top": "subroot"}).join(over, "g").select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -69,6 +69,49 @@ def window_join(events: DataFrame, anchors: DataFrame, event_key: str, anchor_ke
     return out.drop("__salt", "__esalt") if salt and salt > 1 else out
 
 
+def hour_bucket(time_col, hours: int):
+    """Number of the ``hours``-long piece of the calendar (a divisor of 24) that
+    a wall-clock time lies in."""
+    t = F.col(time_col) if isinstance(time_col, str) else time_col
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * F.lit(24 // hours) + F.floor(F.hour(t) / F.lit(hours))
+
+
+def bucketed_sides(events: DataFrame, anchors: DataFrame, event_key: str, anchor_key: str,
+                   time_col: str, anchor_time: str, window_hours: float, bucket_hours: int,
+                   anchor_cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, Column]:
+    """Events with their time bucket, anchors once for every bucket that their
+    window touches, and the equi-join condition on (key, bucket)."""
+    if 24 % bucket_hours:
+        raise ValueError("bucket_hours divides 24")
+    end = F.col(anchor_time) + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), F.lit(float(window_hours) * 3600.0).cast("decimal(18,6)"))
+    a = anchors.where(F.col(anchor_time).isNotNull()).select(
+        F.col(anchor_key).alias("__akey"), F.col(anchor_time).alias("__atime"), end.alias("__aend"), *anchor_cols)
+    a = a.withColumn("__abucket", F.explode(F.sequence(hour_bucket("__atime", bucket_hours),
+                                                       hour_bucket("__aend", bucket_hours))))
+    ev = events.withColumn("__ebucket", hour_bucket(time_col, bucket_hours))
+    return ev, a, (F.col(event_key) == F.col("__akey")) & (F.col("__ebucket") == F.col("__abucket"))
+
+
+def window_join_by_time(events: DataFrame, anchors: DataFrame, event_key: str, anchor_key: str,
+                        time_col: str = "charttime", anchor_time: str = "intime",
+                        window_hours: float = 24, anchor_cols: Sequence[str] = (),
+                        bucket_hours: int | None = None) -> DataFrame:
+    """``window_join`` for keys with many anchors and many events, as an episode
+    with hundreds of stays: joined by (key, time bucket), then the exact closed
+    interval.  An event meets only the anchors whose window touches its bucket,
+    so the rows that the interval test reads come near the result (a window of 24
+    hours in buckets of 6 reads at most 1.5 times as many) instead of events x
+    anchors of the key, and a hot key is dealt by time."""
+    if bucket_hours is None:
+        bucket_hours = max(d for d in (1, 2, 3, 4, 6, 8, 12, 24) if d == 1 or 4 * d <= window_hours)
+    ev, a, same = bucketed_sides(events, anchors, event_key, anchor_key, time_col, anchor_time,
+                                 window_hours, bucket_hours, anchor_cols)
+    inside = F.col(time_col).between(F.col("__atime"), F.col("__aend"))
+    return ev.join(a, same & inside).drop("__akey", "__atime", "__aend", "__abucket", "__ebucket")
+
+
 def restrict_to(events: DataFrame, keys: DataFrame, event_key: str, key_col: str) -> DataFrame:
     """Semi-join: events whose key occurs in ``keys`` (NULL keys drop).
     Replaces id IN-list chunking with one LEFT SEMI join."""

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalars as S
 from ..operators import cohort as C
@@ -26,9 +27,10 @@ from ..operators import report as R
 from ..operators import sampling as SP
 from ..operators import stats as ST
 from ..session import scratch_path, stored
-from ..sources.sinks import write_table
-from ..sources.tables import parse_timestamps, read_csv
-from . import roles
+from ..sources.layout import lay_out
+from ..sources.sinks import publish_bundle, write_table
+from ..sources.tables import parse_timestamps, read_csv_with_rejects, read_in_order, read_table
+from . import roles, stages
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -144,6 +146,7 @@ def q_mortality_by_age(spark, root):
 # ------------------------------------------------------- measurement logs ---
 
 
+_LOG_BUCKETS = 16               # of the test tables' log; some 100 MB a bucket on real ones
 VITAL_NAMES = list(dict.fromkeys(roles.VITAL_CODES.values()))
 LAB_NAMES = list(dict.fromkeys(roles.LAB_CODES.values()))
 VITAL_FEATURES = EV.feature_names(VITAL_NAMES)
@@ -209,6 +212,24 @@ def q_window_events_by_episode(spark, root):
     return labs(spark, root, anchors).select("icustay_id", "itemid", "charttime", "valuenum")
 
 
+@register("time_bucket_join", ORACLE["window_events_by_episode"])
+def q_time_bucket_join(spark, root):
+    """Labs in their stays' first day, joined by episode and time bucket."""
+    m = EV.filter_measurements(roles.measurements(spark, root), roles.LAB_CODES)
+    out = EV.window_join_by_time(m.drop("icustay_id"), roles.cohort_anchors(roles.cohort(spark, root)),
+                                 "hadm_id", "hadm_id", anchor_cols=["icustay_id"])
+    return out.select("icustay_id", "itemid", "charttime", "valuenum")
+
+
+@register("laid_out_window_join", ORACLE["window_events_by_stay"])
+def q_laid_out_window_join(spark, root):
+    """Vitals of a log that is laid out by stay, joined without shuffling it."""
+    m = EV.filter_measurements(roles.measurements(spark, root), roles.VITAL_CODES, error_col="error")
+    log = lay_out(m.drop("hadm_id"), "icustay_id", _LOG_BUCKETS, ["itemid"], name="vitals_log")
+    out = EV.window_join(log, roles.stay_anchors(spark, root), "icustay_id", "icustay_id")
+    return out.select("icustay_id", "itemid", "charttime", "valuenum")
+
+
 @register("cohort_semi_join", _with(roles.SQL_ROLES, roles.SQL_MEASUREMENTS) + f"""
 SELECT m.icustay_id, m.itemid, m.valuenum FROM measurements m
 WHERE m.icustay_id IN (SELECT icustay_id FROM cohort) AND {_VITAL_FILTER}""")
@@ -281,10 +302,9 @@ def master(spark, root, window_hours=24, materialize: bool = False):
     """Cohort + first-window vitals and labs (wide) + engineered columns.
     ``materialize`` writes the result for callers that make several passes
     over it; otherwise nothing runs before the query does."""
-    from .stages import build_master
     co = roles.cohort(spark, root)
     meas = roles.measurements(spark, root)
-    m = build_master(co, meas, meas, roles.VITAL_CODES, roles.LAB_CODES,
+    m = stages.build_master(co, meas, meas, roles.VITAL_CODES, roles.LAB_CODES,
                      anchors=roles.cohort_anchors(co), window_hours=window_hours,
                      male_value="M", emergency_value=roles.EMERGENCY_TYPE)
     return stored(m, "master") if materialize else m
@@ -617,7 +637,7 @@ SELECT icustay_id, age, age_band, gender, admission_type, first_careunit, hospit
        {SQL_SHIFT} AS shift, {SQL_LOS_BAND} AS los_band,
        {sql_r('mean_heart_rate', 6)} AS mean_heart_rate, {sql_r('mean_sbp', 6)} AS mean_sbp,
        {sql_r('mean_spo2', 6)} AS mean_spo2, {sql_r('mean_creatinine', 6)} AS mean_creatinine,
-       {sql_r('mean_lactate', 6)} AS mean_lactate
+       {sql_r('mean_lactate', 6)} AS mean_lactate, {sql_r('mean_wbc', 6)} AS mean_wbc
 FROM master""")
 def q_patient_level(spark, root):
     pl = R.patient_level(master(spark, root))
@@ -727,12 +747,89 @@ def q_classification_report(spark, root):
 
 # ---------------------------------------------------------------- hand-offs ---
 
-@register("csv_round_trip", _with(roles.SQL_ROLES) + f"SELECT {_COHORT_COLS} FROM cohort")
+@register("csv_round_trip", _with(roles.SQL_ROLES) + f"""SELECT {_COHORT_COLS},
+  row_number() OVER (ORDER BY admittime NULLS FIRST, icustay_id) - 1 AS position FROM cohort""")
 def q_csv_round_trip(spark, root):
-    """The cohort written as CSV, ordered by admission, and scanned back."""
+    """The cohort written as CSV, ordered by admission, and scanned back with
+    every row's place in the files."""
     co = roles.cohort(spark, root).select(*_COHORT_COLS.split(", "))
     path = write_table(co, scratch_path(spark, "cohort-csv"), fmt="csv", sort_by=["admittime", "icustay_id"])
-    return read_csv(spark, path, co.schema)
+    return read_in_order(spark, path, co.schema)
+
+
+_EXPORT_COLS = (["subject_id", "hadm_id", "icustay_id", "admittime", "hospital_expire_flag", "prolonged_los",
+                 "age", "age_band", "gender", "admission_type", "first_careunit", "icu_los_days", "insurance",
+                 "ethnicity", "gender_enc", "emergency_admission", "weekend_admission", "night_admission",
+                 "pulse_pressure"] + VITAL_FEATURES + LAB_FEATURES)
+
+
+@register("stage1_export", _SQL_MASTER + f""", filled AS (SELECT * EXCLUDE ({', '.join(FEATURES)}), 'plan-' || (hadm_id % 4) AS insurance,
+  'group-' || (subject_id % 5) AS ethnicity, {', '.join(f"coalesce({c}, (SELECT median({c}) FROM master)) AS {c}" for c in FEATURES)} FROM master)
+SELECT {', '.join(sql_r(c, 6) + f' AS {c}' if c in FEATURES else c for c in _EXPORT_COLS)},
+  row_number() OVER (ORDER BY admittime NULLS FIRST, icustay_id) - 1 AS position FROM filled""")
+def q_stage1_export(spark, root):
+    """The model-ready export of stage 1: 58 columns in order, features
+    imputed, rows ordered by admission, written as CSV and scanned back."""
+    out = stages.cohort_stage(roles.cohort(spark, root, payer=True), roles.measurements(spark, root),
+                              roles.measurements(spark, root), roles.VITAL_CODES, roles.LAB_CODES,
+                              anchors=roles.cohort_anchors, emergency_value=roles.EMERGENCY_TYPE)["model_ready"]
+    out = ST.rounded(out.select(*_EXPORT_COLS), FEATURES)
+    path = write_table(out, scratch_path(spark, "stage1-csv"), fmt="csv", sort_by=["admittime", "icustay_id"])
+    return read_in_order(spark, path, out.schema)
+
+
+@register("csv_rejects", """
+WITH lines AS (
+  SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS t, CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) AS v FROM events)
+SELECT 'accepted' AS status, event_id, event_type AS itemid, CAST(t AS TIMESTAMP) AS charttime, CAST(v AS BIGINT) AS value_cents,
+       CAST(NULL AS VARCHAR) AS text
+FROM lines WHERE event_id % 7 NOT IN (0, 1, 2) OR v IS NULL AND event_id % 7 = 0
+UNION ALL SELECT 'rejected', NULL, NULL, NULL, NULL,
+       CASE event_id % 7 WHEN 0 THEN event_id || ',' || event_type || ',' || t || ',about ' || v
+                         WHEN 1 THEN event_id || ',' || event_type || ',' || t
+                         ELSE event_id || ',' || event_type || ',soon,' || coalesce(v, '') END
+FROM lines WHERE event_id % 7 IN (1, 2) OR v IS NOT NULL AND event_id % 7 = 0""")
+def q_csv_rejects(spark, root):
+    """A measurement log that arrives as CSV with words for numbers, missing
+    fields and words for times: good rows typed, bad lines set aside as text."""
+    e = read_table(spark, root, "events", ["event_id", "event_type", "ts", "value"])
+    v = F.floor(F.col("value") * 100).cast("long").cast("string")
+    t, kind = F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.col("event_id") % 7
+    head = F.concat_ws(",", "event_id", "event_type")
+    line = (F.when(kind == 0, F.concat_ws(",", head, t, F.coalesce(F.concat(F.lit("about "), v), F.lit(""))))
+            .when(kind == 1, F.concat_ws(",", head, t))
+            .when(kind == 2, F.concat_ws(",", head, F.lit("soon"), F.coalesce(v, F.lit(""))))
+            .otherwise(F.concat_ws(",", head, t, F.coalesce(v, F.lit("")))))
+    path = scratch_path(spark, "log-csv")
+    e.select(line.alias("value")).write.text(path)
+    good, bad = read_csv_with_rejects(spark, path, T.StructType.fromDDL(
+        "event_id long, itemid string, charttime timestamp_ntz, value_cents long"), header=False)
+    return good.select(F.lit("accepted").alias("status"), "*", F.lit(None).cast("string").alias("text")).unionByName(
+        bad.select(F.lit("rejected").alias("status"), "text"), allowMissingColumns=True)
+
+
+_BUNDLE_LEAST = 50
+_SQL_CELLS = {"mortality_by_age": "age_band", "mortality_by_admtype": "admission_type", "los_by_careunit": "first_careunit",
+              "weekend_effect": "dayname(admittime)", "outcome_cells": "age_band, admission_type, first_careunit, "
+              "isodow(admittime), hour(admittime)"}
+
+
+@register("bundle_manifest", _with(roles.SQL_ROLES) + f", banded AS (SELECT *, {SQL_AGE_BAND} AS age_band FROM cohort)\n" + " UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", count_if(n >= {_BUNDLE_LEAST}) AS "rows", count_if(n < {_BUNDLE_LEAST}) AS withheld_rows,
+  {_BUNDLE_LEAST}::BIGINT AS least_group FROM (SELECT count(*) AS n FROM banded WHERE age_band IS NOT NULL OR '{name}' NOT IN ('mortality_by_age', 'outcome_cells') GROUP BY {keys})"""
+    for name, keys in _SQL_CELLS.items()))
+def q_bundle_manifest(spark, root):
+    """The reporting tables published as one bundle whose small groups are
+    withheld: the manifest, counted from the published files."""
+    co = stored(roles.cohort(spark, root), "cohort").withColumns(
+        {"age_band": S.age_band(), "dow": S.weekday0("admittime"), "admit_hour": F.hour("admittime")})
+    tables = {"mortality_by_age": R.mortality_by_age(co), "mortality_by_admtype": R.mortality_by_admtype(co),
+              "los_by_careunit": R.los_by_careunit(co), "weekend_effect": R.weekend_effect(co),
+              "outcome_cells": R.outcome_table(co, ["age_band", "admission_type", "first_careunit", "dow", "admit_hour"]),
+              "patient_level": R.patient_level(co)}
+    manifest = publish_bundle(spark, tables, scratch_path(spark, "bundles"), aggregates=list(_SQL_CELLS),
+                              least_group=_BUNDLE_LEAST)
+    return manifest.select("table", "rows", "withheld_rows", "least_group")
 
 
 @register("text_timestamps", """
@@ -1213,7 +1310,7 @@ def q_threshold_alert_stream(spark, root):
     from ..sources.tables import TABLE_SCHEMAS
     from ..streaming import alerts as A
     ev = A.file_stream(spark, root, TABLE_SCHEMAS["events"], file_glob="events.parquet")
-    m = ev.select(F.col("user_id").alias("hadm_id"), F.col("event_type").alias("itemid"),
+    m = ev.select(F.col("user_id").alias("hadm_id"), roles.item_code().alias("itemid"),
                   F.col("ts").alias("charttime"), F.col("value").alias("valuenum"))
     m = EV.name_items(EV.filter_measurements(m, roles.LAB_CODES), roles.LAB_CODES)
     anchors = roles.cohort_anchors(roles.cohort(spark, root))

@@ -29,11 +29,14 @@ ADMIT_HOUR_MOD = 24                       # admittime = o_orderdate + (o_orderke
 ANCHOR_ORIGIN = "2024-01-01 00:00:00"     # event anchor = origin + (o_orderkey % 600) h
 ANCHOR_HOUR_MOD = 600
 ERROR_TYPE = "error"                      # event_type flagged as charting error
-# Measurement dictionaries over event types; names absent from the data
-# still get (NULL) feature columns.
-VITAL_CODES = {"click": "heart_rate", "view": "sbp", "signup": "dbp", "error": "spo2",
-               "temp": "temperature_c", "resp": "resp_rate"}
-LAB_CODES = {"purchase": "lactate", "error": "creatinine", "glucose": "glucose"}
+ITEM_PARTS = 3                            # item code = event_type || '-' || event_id % 3
+# Measurement dictionaries over these codes: the analysed project's six vitals
+# and seven labs.
+VITAL_CODES = {"click-0": "heart_rate", "click-1": "sbp", "click-2": "dbp", "view-0": "spo2",
+               "view-1": "temperature_c", "view-2": "resp_rate", "error-0": "heart_rate"}
+LAB_CODES = {"purchase-0": "creatinine", "purchase-1": "lactate", "purchase-2": "wbc",
+             "signup-0": "haemoglobin", "signup-1": "glucose", "signup-2": "bicarbonate",
+             "error-1": "bilirubin"}
 # Alert thresholds: the analysed project's own (lactate > 2.5, creatinine > 2.0).
 ROLE_ALERT_THRESHOLDS = dict(S.ALERT_THRESHOLDS)
 PREDICTION_CUTOFF = 2000                  # scored rows: prediction = n_chars >= cutoff
@@ -60,7 +63,8 @@ def patients(spark: SparkSession, root: str) -> DataFrame:
         F.date_add(F.lit(DOB_ORIGIN).cast("date"), dob_days).alias("dob"))
 
 
-def admissions(spark: SparkSession, root: str) -> DataFrame:
+def admissions(spark: SparkSession, root: str, payer: bool = False) -> DataFrame:
+    """Admissions; with ``payer`` also insurance and ethnicity."""
     o = read_table(spark, root, "orders",
                    ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"])
     hours = (F.col("o_orderkey") % ADMIT_HOUR_MOD).cast("int")
@@ -69,6 +73,8 @@ def admissions(spark: SparkSession, root: str) -> DataFrame:
         F.col("o_custkey").alias("subject_id"),
         (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hours)).alias("admittime"),
         F.col("o_orderpriority").alias("admission_type"),
+        *([F.concat(F.lit("plan-"), F.col("o_orderkey") % 4).alias("insurance"),
+           F.concat(F.lit("group-"), F.col("o_custkey") % 5).alias("ethnicity")] if payer else []),
         F.when(F.col("o_orderstatus") == DIED_STATUS, F.lit(1)).otherwise(F.lit(0))
         .alias("hospital_expire_flag"))
 
@@ -99,6 +105,10 @@ def stay_anchors(spark: SparkSession, root: str) -> DataFrame:
                     anchor_time("o_orderkey").alias("intime"))
 
 
+def item_code(event_type: str = "event_type", event_id: str = "event_id") -> F.Column:
+    return F.concat(F.col(event_type), F.lit("-"), F.col(event_id) % ITEM_PARTS)
+
+
 def measurements(spark: SparkSession, root: str) -> DataFrame:
     """Tall measurement log: stay/episode id, item code, time, value, error."""
     e = read_table(spark, root, "events", ["event_id", "ts", "user_id", "event_type", "value"])
@@ -106,14 +116,14 @@ def measurements(spark: SparkSession, root: str) -> DataFrame:
         "event_id",
         F.col("user_id").alias("icustay_id"),
         F.col("user_id").alias("hadm_id"),
-        F.col("event_type").alias("itemid"),
+        item_code().alias("itemid"),
         F.col("ts").alias("charttime"),
         F.col("value").alias("valuenum"),
         F.when(F.col("event_type") == ERROR_TYPE, F.lit(1)).alias("error"))
 
 
-def cohort(spark: SparkSession, root: str) -> DataFrame:
-    return build_cohort(admissions(spark, root), patients(spark, root), icustays(spark, root),
+def cohort(spark: SparkSession, root: str, payer: bool = False) -> DataFrame:
+    return build_cohort(admissions(spark, root, payer), patients(spark, root), icustays(spark, root),
                         stay_order=STAY_ORDER, exclude_units=EXCLUDED_UNITS)
 
 
@@ -202,7 +212,8 @@ SQL_ANCHOR = (f"(TIMESTAMP '{ANCHOR_ORIGIN}' + "
               f"to_hours(CAST({{key}} % {ANCHOR_HOUR_MOD} AS BIGINT)))")
 
 SQL_MEASUREMENTS = f"""measurements AS (
-  SELECT event_id, user_id AS icustay_id, user_id AS hadm_id, event_type AS itemid,
+  SELECT event_id, user_id AS icustay_id, user_id AS hadm_id,
+         event_type || '-' || (event_id % {ITEM_PARTS}) AS itemid,
          ts AS charttime, value AS valuenum,
          CASE WHEN event_type = '{ERROR_TYPE}' THEN 1 END AS error
   FROM events)"""

@@ -10,10 +10,12 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
+
 _L, _I, _D, _S = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
 _TS = T.TimestampNTZType()
 
@@ -80,6 +82,62 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
             .csv(path))
 
 
+REJECT_COLUMN = "_rejected_text"
+
+
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType,
+                          timestamp_format: str = "yyyy-MM-dd HH:mm:ss", header: bool = True
+                          ) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): a typed CSV scan that does not stop at bad lines.
+
+    A line is rejected if a field does not parse as its column's type or their
+    number is not the schema's; ``rejected`` holds its text and its file.  The
+    file is parsed once, all columns together (a narrower scan would not see bad
+    fields of other columns), and written to the shared folder, which both
+    tables read.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(REJECT_COLUMN, T.StringType(), True)])
+    rows = (spark.read.schema(whole)
+            .option("header", header)
+            .option("timestampNTZFormat", timestamp_format)
+            .option("timestampFormat", timestamp_format)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", REJECT_COLUMN)
+            .csv(path))
+    rows = stored(rows.withColumn("_rejected_file", F.col("_metadata.file_name")), "csv-rows")
+    accepted = rows.where(F.col(REJECT_COLUMN).isNull()).select(*schema.names)
+    rejected = rows.where(F.col(REJECT_COLUMN).isNotNull()).select(
+        F.col(REJECT_COLUMN).alias("text"), F.col("_rejected_file").alias("file"))
+    return accepted, rejected
+
+
+def read_in_order(spark: SparkSession, path: str, schema: T.StructType, position_col: str = "position",
+                  timestamp_format: str = "yyyy-MM-dd HH:mm:ss", header: bool = True) -> DataFrame:
+    """A CSV dataset with every row's place, from 0, in the order of its files
+    and of the lines in them.
+
+    A scan reads a file in blocks, and within one block rows come in line order;
+    the blocks' row counts, a small table, give the offsets.  Nothing is sorted
+    but rows of one block by their running number.
+    """
+    rows = (spark.read.schema(schema)
+            .option("header", header)
+            .option("timestampNTZFormat", timestamp_format)
+            .option("timestampFormat", timestamp_format)
+            .option("mode", "FAILFAST")
+            .csv(path))
+    rows = stored(rows.select("*", F.col("_metadata.file_name").alias("__file"),
+                              F.col("_metadata.file_block_start").alias("__block"),
+                              F.monotonically_increasing_id().alias("__line")), "csv-lines")
+    # part numbers grow a digit after part-99999
+    before = Window.orderBy(F.length("__file"), "__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    offset = rows.groupBy("__file", "__block").count().select(
+        "__file", "__block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset"))
+    line = F.row_number().over(Window.partitionBy("__file", "__block").orderBy("__line")) - 1
+    return (rows.withColumn("__line", line).join(offset, ["__file", "__block"])
+            .select(*schema.names, (F.col("__offset") + F.col("__line")).alias(position_col)))
+
+
 def parse_timestamps(df: DataFrame, cols: Sequence[str], fmt: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     """String columns to timestamps; text that does not follow ``fmt``
     becomes NULL."""

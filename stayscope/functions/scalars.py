@@ -39,6 +39,13 @@ PATIENT_LEVEL_COLUMNS = (
     "night_admission", "emergency_admission", "admit_hour", "admit_dow", "admit_month",
     "admit_year", "shift", "los_band", "mean_heart_rate", "mean_sbp", "mean_spo2",
     "mean_creatinine", "mean_lactate", "mean_wbc")
+# Importances that the analysed project's report writes as literals.
+REPORTED_IMPORTANCES = [
+    ("age", 0.1028, "Demographics"), ("mean_lactate", 0.0780, "Labs"), ("mean_creatinine", 0.0651, "Labs"),
+    ("min_spo2", 0.0629, "Vitals"), ("mean_heart_rate", 0.0541, "Vitals"), ("min_sbp", 0.0419, "Vitals"),
+    ("mean_wbc", 0.0412, "Labs"), ("mean_bicarbonate", 0.0401, "Labs"), ("emergency_admission", 0.0393, "Admission"),
+    ("mean_glucose", 0.0387, "Labs"), ("min_heart_rate", 0.0383, "Vitals"), ("max_creatinine", 0.0300, "Labs"),
+    ("night_admission", 0.0298, "Admission"), ("mean_bilirubin", 0.0276, "Labs"), ("weekend_admission", 0.0221, "Admission")]
 # Early-warning thresholds (first hours of a stay).
 ALERT_THRESHOLDS = {"lactate": 2.5, "creatinine": 2.0}
 ALERT_WINDOW_HOURS = 6

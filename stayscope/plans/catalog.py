@@ -29,7 +29,7 @@ from ..operators import stats as ST
 from ..session import scratch_path, stored
 from ..sources.layout import lay_out
 from ..sources.sinks import publish_bundle, write_table
-from ..sources.tables import parse_timestamps, read_csv_with_rejects, read_in_order, read_table
+from ..sources.tables import inline_relation, literal_table, parse_timestamps, read_csv_with_rejects, read_in_order, read_table
 from . import roles, stages
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -436,6 +436,57 @@ def q_feature_labels(spark, root):
                      S.feature_label("feature", report_style=False).alias("model_label"))
 
 
+_SQL_INVENTORY = [(c, "feature" if c in FEATURES else "model input" if c in ("age", *_ENGINEERED) else
+                   "id or outcome" if c in MD.ID_AND_OUTCOME_COLS else "not numeric") for c in _MASTER_COLS]
+
+
+@register("column_inventory", _SQL_MASTER + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{role}' AS role, count({c}) AS "values" FROM master""" for c, role in _SQL_INVENTORY))
+def q_column_inventory(spark, root):
+    """What becomes of every column of the master table: features are chosen by
+    name prefix, ids and outcomes are dropped, other numeric columns are model
+    inputs; with the number of values of each."""
+    m = stored(master(spark, root).select(*_MASTER_COLS), "master")
+    feats = stages.feature_columns(m)
+    keep, dropped = MD.model_features(m)
+    role = {**{c: "id or outcome" for c in m.columns if c in MD.ID_AND_OUTCOME_COLS},
+            **{c: "not numeric" for c in dropped}, **{c: "model input" for c in keep}, **{c: "feature" for c in feats}}
+    counts = m.agg(*[F.count(c).alias(c) for c in m.columns]).unpivot([], m.columns, "column", "values")
+    return counts.select("column", F.create_map(*[F.lit(x) for c in m.columns for x in (c, role[c])])[F.col("column")].alias("role"),
+                         "values")
+
+
+@register("inline_dictionary", _with(roles.SQL_MEASUREMENTS) + f"""
+, dict AS (SELECT * FROM (VALUES {', '.join(f"('{k}', '{v}', 'vital')" for k, v in roles.VITAL_CODES.items())},
+  {', '.join(f"('{k}', '{v}', 'lab')" for k, v in roles.LAB_CODES.items())}) t(itemid, item_name, kind))
+SELECT item_name, kind, count(event_id) AS n, min(valuenum) AS least, max(valuenum) AS most
+FROM dict LEFT JOIN measurements USING (itemid) GROUP BY item_name, kind""")
+def q_inline_dictionary(spark, root):
+    """The item dictionary as an inline array of structs, opened as a relation
+    and joined to the measurement log."""
+    rows = [(k, v, "vital") for k, v in roles.VITAL_CODES.items()] + [(k, v, "lab") for k, v in roles.LAB_CODES.items()]
+    d = inline_relation(spark, rows, "itemid string, item_name string, kind string")
+    return (d.join(roles.measurements(spark, root), "itemid", "left").groupBy("item_name", "kind")
+            .agg(F.count("event_id").alias("n"), F.min("valuenum").alias("least"), F.max("valuenum").alias("most")))
+
+
+@register("reported_importances", _SQL_MASTER + f"""
+, rep AS (SELECT * FROM (VALUES {', '.join(f"('{f}', {v}::DOUBLE, '{c}')" for f, v, c in S.REPORTED_IMPORTANCES)}) t(feature, importance, category)),
+have AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, count({f}) AS stays_with_value FROM master" for f, _, _ in S.REPORTED_IMPORTANCES)})
+SELECT feature, importance, category, {sql_r('importance / sum(importance) OVER () * 100.0', 1)} AS importance_pct,
+  array_to_string(list_transform(string_split({_sql_replace_chain('feature', S.REPORT_LABEL_REPLACEMENTS)}, ' '),
+                  lambda w: upper(w[1:1]) || lower(w[2:])), ' ') AS feature_label, stays_with_value
+FROM rep JOIN have USING (feature)""")
+def q_reported_importances(spark, root):
+    """The reported importances, a literal table, beside the number of stays
+    that have a value of each feature."""
+    rep = literal_table(spark, S.REPORTED_IMPORTANCES, "feature string, importance double, category string")
+    m, names = master(spark, root), [f for f, _, _ in S.REPORTED_IMPORTANCES]
+    have = m.agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "feature", "stays_with_value")
+    out = R.share_of_total(rep, "feature", "importance").withColumn("feature_label", S.feature_label("feature"))
+    return out.join(have, "feature")
+
+
 # ---------------------------------------------------------------- reports ---
 
 @register("mortality_by_admtype", _with(roles.SQL_ROLES) + _sql_outcome(

@@ -34,6 +34,7 @@ from ..operators import sampling as SP
 from ..operators import stats as ST
 from ..session import stored
 from ..sources import publish
+from ..sources.tables import columns_with_prefix
 
 
 def build_master(cohort: DataFrame, chart: DataFrame, labs: DataFrame,
@@ -67,10 +68,7 @@ def build_master(cohort: DataFrame, chart: DataFrame, labs: DataFrame,
 
 def feature_columns(master: DataFrame) -> list[str]:
     """min_ / max_ / mean_ columns plus pulse pressure, each once."""
-    cols = [c for c in master.columns if c.startswith(("min_", "max_", "mean_"))]
-    if "pulse_pressure" in master.columns:
-        cols.append("pulse_pressure")
-    return list(dict.fromkeys(cols))
+    return columns_with_prefix(master, ("min_", "max_", "mean_"), also=["pulse_pressure"])
 
 
 def cohort_stage(cohort: DataFrame, chart: DataFrame, labs: DataFrame, vital_items: Mapping,

@@ -150,6 +150,22 @@ def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: T.Struc
     return spark.createDataFrame(list(rows), schema)
 
 
+def inline_relation(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType | str) -> DataFrame:
+    """A literal array of structs opened as a relation inside the query: it is
+    part of the plan, so the optimiser sees its values and size."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def columns_with_prefix(df: DataFrame, prefixes: Sequence[str], also: Iterable[str] = ()) -> list[str]:
+    """Column names that start with one of ``prefixes``, in schema order, then
+    those of ``also`` that exist; each once."""
+    found = [c for c in df.columns if c.startswith(tuple(prefixes))]
+    return list(dict.fromkeys([*found, *[c for c in also if c in df.columns]]))
+
+
 def select_existing(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Select the listed columns that exist, first occurrence only (schema-
     tolerant projection; a repeated name is kept once)."""

@@ -184,13 +184,14 @@ def _relabel(rows: DataFrame, edges: DataFrame) -> DataFrame:
             .withColumn("label", F.coalesce("component", "label")).drop("component"))
 
 
-def link_clusters(member: DataFrame, percent: int, join_block: JoinBlock) -> DataFrame:
+def link_clusters(member: DataFrame, percent: int, join_block: JoinBlock,
+                  block_items: int | None = None) -> DataFrame:
     """(sid, component) of rows (cluster, sid, shingles); a component is named
-    by its least sid.  ``join_block(sets, percent, side, label)`` gives the
+    by its least sid; a block holds about ``block_items``.  ``join_block(sets, percent, side, label)`` gives the
     component number of each set of a block after linking all its pairs; two
     sets of side 1 (visitors) or of one label need not be compared."""
     size = (member.groupBy("cluster").agg(F.sum(F.length("shingles") / 8 + SET_ITEMS).alias("items"))
-            .select("cluster", F.ceil(F.col("items") / BLOCK_ITEMS).cast("int").alias("blocks")))
+            .select("cluster", F.ceil(F.col("items") / (block_items or BLOCK_ITEMS)).cast("int").alias("blocks")))
     member = stored(member.join(size, "cluster").select(
         "cluster", "sid", "shingles", "blocks",
         F.pmod(F.xxhash64("sid"), F.col("blocks").cast("long")).cast("int").alias("block")), "members")
@@ -234,7 +235,8 @@ def link_clusters(member: DataFrame, percent: int, join_block: JoinBlock) -> Dat
     # dealt by block: both sides of the union come dealt by cluster
     far = rows.repartition("cluster", "block").groupBy("cluster", "block").applyInArrow(unit, out)
     big = _relabel(big.select("sid", "label"), far).select("sid", F.col("label").alias("component"))
-    done = links.join(big.select("sid"), "sid", "left_anti").union(big)    # the rest: clusters of one block
+    rest = links.join(big.select("sid"), "sid", "left_anti")              # clusters of one block
+    done = rest.select("sid", F.col("label").alias("component")).union(big)
     # written, because a join on top of a union of partitioned sides can fail to
     # plan ("unequal numbers of partitions") when adaptive execution splits one
     return stored(done, "components")

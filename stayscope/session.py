@@ -97,9 +97,46 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_written: list[str] = []           # folders that ``stored`` wrote in this process, in order
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: its
     lineage ends there, and readers scan only the columns they use."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_so_far() -> int:
+    """A mark for ``remove_written``: how many tables were stored until now."""
+    return len(_written)
+
+
+def remove_written(spark: SparkSession, since: int, keep: DataFrame) -> None:
+    """Delete the tables stored after the mark ``since``, except those that
+    ``keep`` reads.  For when a job's result has been stored: nothing reads its
+    intermediate tables again."""
+    held = _folders(keep)
+    kept = [f for f in _written[since:] if os.path.basename(f) in held]
+    _delete(spark, [f for f in _written[since:] if os.path.basename(f) not in held])
+    _written[since:] = kept
+
+
+def drop_stored(table: DataFrame) -> None:
+    """Delete a stored table whose readers have all been stored themselves."""
+    held = _folders(table)
+    _delete(table.sparkSession, [f for f in _written if os.path.basename(f) in held])
+
+
+def _folders(table: DataFrame) -> set[str]:
+    # a stored folder's own name is unique, whatever scheme its path is given by
+    return {f.rsplit("/", 2)[-2] for f in table.inputFiles()}
+
+
+def _delete(spark: SparkSession, folders: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)

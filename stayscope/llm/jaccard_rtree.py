@@ -11,12 +11,9 @@ Distribution, without losing a link.  Similar sets differ in at most
 d <= k(size band) shingles.  A second hash splits each set into k+1+SPARE
 groups, so two linked sets agree exactly on at least one non-empty group, and
 meet under that group's key (sets with more empty groups than SPARE also emit
-the empty ones).  Sets that share a key form a candidate cluster (connected
-components over a star per key, combined inside the map tasks first), and
-every link lies inside one cluster.  Equal sets are one set throughout.
-Clusters are cut into blocks of bounded size (most clusters are one); blocks are joined within
-themselves, then the blocks' main components through a few of their members,
-and last every set outside its cluster's main component with every block.
+the empty ones).  Sets that share a key form a candidate cluster (``clusters``),
+and every link lies inside one cluster, whose blocks the tree joins.  Equal
+sets are one set throughout.
 
 Edge cases: null, empty and white-space texts have no shingles and link with
 nothing; texts of fewer than k words are one shingle; null ids are kept (they
@@ -34,16 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .clusters import (BLOCK_ITEMS, CHUNK, KEY_ROWS, candidate_clusters, classes, cluster_members, combine_keys,
+                       doc_sets, link_clusters, overlap, set_id)
 from .shipping import ship
-from .store import connected_components, stored, text_key
-from .text import Words, flat, mix64, row_slices
+from .store import free_name, stored, text_key
+from .text import flat, mix64, row_slices
 
 DIMS = 32               # coordinates of a point
 LEAF = 32               # sets in a leaf, nodes in an inner node
-BLOCK_ITEMS = 1 << 19   # shingles in a block (about 4 MB of hashes)
 SPARE = 2               # empty groups a set may have without emitting them
-PIVOTS = 8              # members by which blocks' main components meet
-FLUSH = 1 << 18         # keys combined at a time in a map task
 _U = np.uint64
 
 
@@ -100,15 +96,6 @@ class CountRTree:
         return self.order[leaf * LEAF:(leaf + 1) * LEAF]
 
 
-def overlap(a: np.ndarray, b: np.ndarray) -> int:
-    """Size of the intersection of two sorted sets."""
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = len(b) - 1
-    return int((b[at] == a).sum())
-
-
 def join_block(sets: list[np.ndarray], percent: int, side: np.ndarray,
                label: np.ndarray) -> np.ndarray:
     """Component label per set after linking all pairs of the block.
@@ -147,20 +134,6 @@ def join_block(sets: list[np.ndarray], percent: int, side: np.ndarray,
     return np.array([root(int(x)) for x in known])
 
 
-def _doc_sets(data, off, k):
-    """(row, sorted distinct shingle hashes) of every row in the slice."""
-    h, b = Words(data, off).shingles(k)
-    for r in range(len(b) - 1):
-        yield r, np.unique(h[b[r]:b[r + 1]])
-
-
-def _set_id(s: np.ndarray) -> np.uint64:
-    if not len(s):
-        return _U(0)
-    x = mix64(s * _U(0xD6E8FEB86659FD93) + _U(1))
-    return mix64(np.array([x.sum(dtype=np.uint64) ^ (np.bitwise_xor.reduce(mix64(x)) + _U(len(s)))]))[0]
-
-
 def _points(k: int):
     def run(batches):
         for batch in batches:
@@ -168,8 +141,8 @@ def _points(k: int):
             n = np.zeros(len(batch), np.int64)
             sid = np.zeros(len(batch), np.uint64)
             for lo, hi in row_slices(off):
-                for r, s in _doc_sets(data[off[lo]:off[hi]], off[lo:hi + 1], k):
-                    n[lo + r], sid[lo + r] = len(s), _set_id(s)
+                for r, s in doc_sets(data[off[lo]:off[hi]], off[lo:hi + 1], k):
+                    n[lo + r], sid[lo + r] = len(s), set_id(s)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(n), pa.array(sid.view(np.int64))],
                 ["id", "n_shingles", "sid"])
@@ -198,166 +171,30 @@ def set_keys(s: np.ndarray, percent: int, edges: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _stars(key: np.ndarray, sid: np.ndarray):
-    """Sort by key; first set of each key, and (center, other) for the rest."""
-    by = np.lexsort((sid, key))
-    key, sid = key[by], sid[by]
-    first = np.concatenate([[True], key[1:] != key[:-1]])
-    center = sid[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-    rest = ~first & (sid != center)
-    pair = np.unique(np.stack([center[rest], sid[rest]]), axis=1) if rest.any() else np.zeros((2, 0), np.uint64)
-    return key[first], sid[first], pair
-
-
 def _emit(k: int, percent: int):
-    """Map side: per flush one (key, set) row a key, plus its star's pairs."""
-    def table(key, sid, pair):
-        part = np.concatenate([key, mix64(pair[0] ^ (pair[1] * _U(3)))])
-        cols = [part, np.concatenate([sid, pair[0]]), np.concatenate([np.zeros(len(sid), np.uint64), pair[1]])]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c.view(np.int64)) for c in cols] +
-            [pa.array(np.arange(len(part)) >= len(key))], ["key", "a", "b", "is_pair"])
-
+    """Map side: the keys of every set, combined a chunk at a time."""
     def run(batches):
         keys, sids, held, edges = [], [], 0, bands(percent, 1 << 16)
         for batch in batches:
             data, off = flat(batch.column("text"))
             for lo, hi in row_slices(off):
-                for _, s in _doc_sets(data[off[lo]:off[hi]], off[lo:hi + 1], k):
+                for _, s in doc_sets(data[off[lo]:off[hi]], off[lo:hi + 1], k):
                     if not len(s):
                         continue
                     if len(s) >= edges[-3]:
                         edges = bands(percent, 2 * len(s))
                     ks = set_keys(s, percent, edges)
                     keys.append(ks)
-                    sids.append(np.full(len(ks), _set_id(s), np.uint64))
+                    sids.append(np.full(len(ks), set_id(s), np.uint64))
                     held += len(ks)
-                if held >= FLUSH:
-                    yield table(*_stars(np.concatenate(keys), np.concatenate(sids)))
+                if held >= CHUNK:
+                    yield combine_keys(keys, sids)
                     keys, sids, held = [], [], 0
         if held:
-            yield table(*_stars(np.concatenate(keys), np.concatenate(sids)))
+            yield combine_keys(keys, sids)
     return run
 
 
-def _reduce_stars(batches):
-    """Reduce side, rows sorted by key: pairs pass, keys give stars again.
-    Only the current key's center is kept between batches."""
-    last_key, last_center = None, None
-    for batch in batches:
-        key = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
-        a = batch.column("a").to_numpy(zero_copy_only=False).view(np.uint64)
-        b = batch.column("b").to_numpy(zero_copy_only=False).view(np.uint64)
-        is_pair = batch.column("is_pair").to_numpy(zero_copy_only=False)
-        x, y = [a[is_pair]], [b[is_pair]]
-        key, a = key[~is_pair], a[~is_pair]
-        if len(key):
-            first = np.concatenate([[key[0] != last_key], key[1:] != key[:-1]])
-            at = np.maximum.accumulate(np.where(first, np.arange(len(key)), -1))
-            center = np.where(at >= 0, a[at], last_center if last_center is not None else _U(0))
-            rest = ~first & (a != center)
-            x.append(center[rest])
-            y.append(a[rest])
-            last_key, last_center = key[-1], center[-1]
-        x, y = np.concatenate(x), np.concatenate(y)
-        if len(x):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(x, y).view(np.int64)), pa.array(np.maximum(x, y).view(np.int64))], ["a", "b"])
-
-
-def _cluster_sets(k: int):
-    """Sets of the clusters' members: one row per (set, its first document)."""
-    def run(batches):
-        for batch in batches:
-            data, off = flat(batch.column("text"))
-            want = batch.column("sid").to_numpy(zero_copy_only=False).view(np.uint64)
-            keep, body = [], []
-            for lo, hi in row_slices(off):
-                for r, s in _doc_sets(data[off[lo]:off[hi]], off[lo:hi + 1], k):
-                    if _set_id(s) == want[lo + r]:
-                        keep.append(lo + r)
-                        body.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(pa.array(keep, pa.int64())) for c in ("cluster", "sid")]
-                + [pa.array(body, pa.binary())], ["cluster", "sid", "shingles"])
-    return run
-
-
-def _join_units(percent: int):
-    """One block: link its sets; every set's label is its least linked sid."""
-    def run(table: pa.Table) -> pa.Table:
-        sid = table.column("sid").to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-        comp = join_block(sets, percent, table.column("side").to_numpy(), table.column("label").to_numpy())
-        least = np.full(len(sid), np.iinfo(np.int64).max)
-        np.minimum.at(least, comp, sid)
-        return pa.table({"sid": sid, "to": least[comp]})
-    return run
-
-
-def link_clusters(member: DataFrame, percent: int) -> DataFrame:
-    """(sid, component) of rows (cluster, sid, shingles); a component is named
-    by its least sid."""
-    size = (member.groupBy("cluster").agg(F.sum(F.length("shingles") / 8 + 64).alias("items"))
-            .select("cluster", F.ceil(F.col("items") / BLOCK_ITEMS).cast("int").alias("blocks")))
-    member = stored(member.join(size, "cluster").select(
-        "cluster", "sid", "shingles", "blocks",
-        F.pmod(F.xxhash64("sid"), F.col("blocks").cast("long")).cast("int").alias("block")), "members")
-    out = "sid long, to long"
-    unit = [F.col("cluster"), F.col("block")]
-    home = (member.select("*", F.lit(0).alias("side"), F.col("sid").alias("label"))
-            .groupBy(*unit).applyInArrow(_join_units(percent), out))
-    links = stored(home, "links")
-    big = member.where("blocks > 1")
-    whole = links.select("sid", F.col("to").alias("component"))
-    if big.isEmpty():
-        return whole
-    whole = whole.join(big.select("sid"), "sid", "left_anti")     # clusters of one block are done
-    links = links.join(big.select("sid"), "sid", "left_semi")
-
-    # main component of each block, met through a few of its members
-    big = big.join(links, "sid")
-    count = big.groupBy("cluster", "block", "to").count()
-    main = count.groupBy("cluster", "block").agg(
-        F.max_by(F.struct("to", "count"), F.struct("count", "to")).alias("m")).select(
-        "cluster", "block", "m.to", F.ceil(F.col("m.count") / PIVOTS).alias("every"))
-    pivot = (big.join(main, ["cluster", "block", "to"])
-             .where((F.col("sid") == F.col("to")) | (F.pmod(F.xxhash64("sid", F.lit(1)), F.col("every")) == 0))
-             .select("cluster", "sid", "shingles", "to", "block"))
-    # a unit holds the pivots of 64 blocks and of the next unit's first block
-    unit_of = F.floor(F.col("block") / 64).cast("int")
-    met = (pivot.withColumn("unit", F.explode(F.when(
-               (F.col("block") % 64 == 0) & (F.col("block") > 0), F.array(unit_of - 1, unit_of))
-               .otherwise(F.array(unit_of))))
-           .select("cluster", F.col("unit").alias("block"), "sid", "shingles",
-                   F.lit(0).alias("side"), F.col("to").alias("label"))
-           .groupBy("cluster", "block").applyInArrow(_join_units(percent), out))
-    links = stored(links.union(met), "links")
-    comp = connected_components(links.select(F.col("sid").alias("a"), F.col("to").alias("b")))
-
-    # whatever is still outside its cluster's main component visits all blocks
-    big = (member.where("blocks > 1").join(comp.withColumnRenamed("node", "sid"), "sid", "left")
-           .withColumn("label", F.coalesce("component", "sid")).drop("component"))
-    big = stored(big, "labelled")
-    main = (big.groupBy("cluster", "label").count().groupBy("cluster")
-            .agg(F.max_by("label", F.struct("count", "label")).alias("main")))
-    big = big.join(main, "cluster")
-    visit = (big.where("label <> main")
-             .withColumn("to_block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .where("to_block <> block")
-             .select("cluster", F.col("to_block").alias("block"), "sid", "shingles",
-                     F.lit(1).alias("side"), "label"))
-    rows = big.select("cluster", "block", "sid", "shingles", F.lit(0).alias("side"), "label").union(visit)
-    # dealt by block: both sides of the union come dealt by cluster
-    far = rows.repartition("cluster", "block").groupBy("cluster", "block").applyInArrow(_join_units(percent), out)
-    comp = connected_components(links.union(far).select(F.col("sid").alias("a"), F.col("to").alias("b")))
-    done = whole.union(links.select("sid").distinct().join(comp.withColumnRenamed("node", "sid"), "sid", "left")
-                       .select("sid", F.coalesce("component", "sid")))
-    # written, because a join on top of a union of partitioned sides can fail to
-    # plan ("unequal numbers of partitions") when adaptive execution splits one
-    return stored(done, "components")
-
-
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        k: int = 3, percent: int = 90) -> DataFrame:
     """Per row of ``docs``: (id, n_shingles, component_id)."""
@@ -366,24 +203,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id_type = d.schema["id"].dataType.simpleString()
     point = stored(d.mapInArrow(_points(k), f"id {id_type}, n_shingles long, sid long"), "points")
     first = point.where("n_shingles > 0").groupBy("sid").agg(F.min("id").alias("id"))
-    near = (d.mapInArrow(_emit(k, percent), "key long, a long, b long, is_pair boolean")
-            .repartition("key").sortWithinPartitions("key")
-            .mapInArrow(_reduce_stars, "a long, b long"))
-    cluster = connected_components(near)
-    want = (first.join(cluster.withColumnRenamed("node", "sid"), "sid")
-            .select("sid", "id", F.col("component").alias("cluster")))
-    member = (d.join(want.withColumnRenamed("id", "want_id"), d["id"].eqNullSafe(F.col("want_id")))
-              .select("cluster", "sid", "text")
-              .mapInArrow(_cluster_sets(k), "cluster long, sid long, shingles binary")
-              .dropDuplicates(["sid"]))
-    root = first.join(link_clusters(member, percent), "sid", "left").select(
-        "sid", "id", F.coalesce("component", "sid").alias("root"))
-    least = root.groupBy("root").agg(F.min("id").alias("component_id"))
-    klass = root.join(least, "root").select("sid", "component_id")
-    return (point.join(klass, "sid", "left")
-            .select(F.col("id").alias(id_col), "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.col("component_id"))
-                    .otherwise(F.col("id")).alias("component_id")))
+    cluster = candidate_clusters(d.mapInArrow(_emit(k, percent), KEY_ROWS))
+    member = cluster_members(d, first, cluster, k)
+    return classes(point, first, link_clusters(member, percent, join_block, BLOCK_ITEMS), id_col)
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -391,17 +213,18 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``docs`` with one row of each component: of its rows with the least id
     (nulls last), the least by text key and other columns.  Rows without
     shingles stay.  Texts are what is linked, so an id's other texts stay too."""
-    keyed = docs.withColumn("__key", text_key(text_col))
-    comp = (jaccard_components(keyed, "__key", text_col, k, percent).where("n_shingles > 0")
-            .groupBy("__key").agg(F.min("component_id").alias("component"), F.count("*").alias("rows")))
-    least = keyed.groupBy("__key").agg(F.min(id_col).alias("id"))
-    comp = stored(comp.join(least, "__key"), "text-components")
-    best = comp.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "__key"))["__key"].alias("best"))
+    key = free_name(docs, "__key")
+    keyed = docs.withColumn(key, text_key(text_col))
+    comp = (jaccard_components(keyed, key, text_col, k, percent).where("n_shingles > 0")
+            .groupBy(F.col(key).alias("key")).agg(F.min("component_id").alias("component"), F.count("*").alias("rows")))
+    least = keyed.groupBy(F.col(key).alias("key")).agg(F.min(id_col).alias("id"))
+    comp = stored(comp.join(least, "key"), "text-components")
+    best = comp.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "key"))["key"].alias("best"))
     judged = stored(comp.join(best, "component").select(
-        "__key", (F.col("__key") == F.col("best")).alias("kept"), "rows").where("rows > 1 or not kept"), "judged")
-    alone = keyed.join(judged.select("__key"), "__key", "left_anti").select(*docs.columns)
+        F.col("key").alias(key), (F.col("key") == F.col("best")).alias("kept"), "rows").where("rows > 1 or not kept"), "judged")
+    alone = keyed.join(judged.select(key), key, "left_anti").select(*docs.columns)
     order = F.struct(F.col(id_col).isNull(), id_col, *[c for c in docs.columns if c not in (id_col, text_col)])
     # an aggregate, so a text that very many rows hold is combined inside the tasks
-    one = (keyed.join(judged.where("kept").select("__key"), "__key")
-           .groupBy("__key").agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*"))
+    one = (keyed.join(judged.where("kept").select(key), key)
+           .groupBy(key).agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*"))
     return alone.union(one)

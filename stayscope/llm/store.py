@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import drop_stored, stored
 
-__all__ = ["connected_components", "stored", "text_key"]
+__all__ = ["connected_components", "drop_stored", "free_name", "stored", "text_key"]
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have (names differ by more than case)."""
+    have = {c.lower() for c in df.columns}
+    while base.lower() in have:
+        base += "_"
+    return base
 
 
 def text_key(text_col: str) -> Column:
@@ -17,9 +25,13 @@ def text_key(text_col: str) -> Column:
 
 def _flat(up: DataFrame) -> DataFrame:
     """(node, parent) with every parent replaced by its tree's root."""
+    was = None
     while True:
         over = up.select(F.col("node").alias("parent"), F.col("parent").alias("over"))
         up = stored(up.join(over, "parent").select("node", "parent", "over"), "parents")
+        if was is not None:
+            drop_stored(was)
+        was = up
         if up.where("parent <> over").isEmpty():
             return up.select("node", "parent")
         up = up.select("node", F.col("over").alias("parent"))
@@ -43,8 +55,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         up = _flat(both.groupBy("node").agg(F.least("node", F.min("near")).alias("parent")))
         rounds.append(up)
         ends = [up.select(F.col("node").alias(x), F.col("parent").alias(f"to_{x}")) for x in ("a", "b")]
-        e = stored(e.join(ends[0], "a").join(ends[1], "b").where("to_a <> to_b")
-                   .select(*pair("to_a", "to_b")).distinct(), "edges")
+        was, e = e, stored(e.join(ends[0], "a").join(ends[1], "b").where("to_a <> to_b")
+                           .select(*pair("to_a", "to_b")).distinct(), "edges")
+        drop_stored(was)
     if not rounds:
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     out = rounds[-1].withColumnRenamed("parent", "component")

@@ -1308,7 +1308,7 @@ def _shap_long(spark, root):
     fm = run["fits"]["rf"]
     # every test row, dealt evenly: explaining costs far more than the shuffle
     rows = run["test"].repartition(spark.sparkContext.defaultParallelism, KEY)
-    return FO.forest_shapley(fm.scale(rows), KEY, fm.features, FO.node_table(spark, fm.model))
+    return X.shap_values(fm.scale(rows).select(KEY, *fm.features), KEY, fm.features, fm.model)
 
 
 @register("shap_values")

@@ -26,7 +26,6 @@ from ..functions import scalars as S
 from ..operators import cohort as C
 from ..operators import events as EV
 from ..operators import explain as X
-from ..operators import forest as FO
 from ..operators import metrics as M
 from ..operators import model as MD
 from ..operators import report as R
@@ -122,7 +121,7 @@ def model_stage(model_ready: DataFrame, label: str = "hospital_expire_flag",
                               .withColumn("feature_label",
                                           S.feature_label("feature", report_style=False)))
         rows = test.repartition(spark.sparkContext.defaultParallelism, key)
-        shap = FO.forest_shapley(fm.scale(rows), key, fm.features, FO.node_table(spark, fm.model))
+        shap = X.shap_values(fm.scale(rows).select(key, *fm.features), key, fm.features, fm.model)
         out["shap_ranking"] = X.shap_ranking(shap, top=12)
     return out
 

@@ -12,9 +12,13 @@ bins with probability at most ``miss``; for an item of one shingle this makes
 every shingle its own bin, which is exact.  Candidates are verified by exact
 containment of the shingle strings.
 
+An item of 1 to k - 1 words has its whole word sequence as its one shingle and
+leaks into a document that holds this sequence: for each such length among the
+items the documents' shingles of that many words are joined with them.
+
 Words are ``[^\\x20\\x09-\\x0D]+`` after folding A-Z.  Edge cases: null or empty
-texts and texts of fewer than k words have no shingles; such items match
-nothing, such documents hold nothing; repeated rows of one id are one pair
+texts have no shingles; such items match nothing, such documents hold nothing;
+documents of fewer than k words can hold items of fewer words; repeated rows of one id are one pair
 with the largest containment; a null id is an id like others; an empty table
 gives an empty result; only ids and texts are read.
 """
@@ -26,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import stored, text_key
+from .store import free_name, stored, text_key
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = "\t\n\x0b\x0c\r"
@@ -83,10 +87,13 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                  threshold: float = 0.8, miss: float = 1e-9) -> DataFrame:
     """(id, item, n_item, n_shared, containment) of every leak."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    it = stored(items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("body"))
-                .withColumn("grams", shingle_strings(F.col("body"), k))
+    bodies = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("body"))
+    it = stored(bodies.withColumn("grams", shingle_strings(F.col("body"), k))
                 .withColumn("hashes", shingle_hashes(F.col("body"), k))
                 .where(F.size("grams") > 0).drop("body"), "items")
+    short = stored(bodies.withColumn("words", words(F.col("body"))).select(
+        "item", F.size("words").alias("m"), F.array_join("words", " ").alias("gram"))
+        .where((F.col("m") > 0) & (F.col("m") < k)).distinct(), "short-items")
     small = it.agg(F.min(F.size("grams"))).first()[0]
     extra = extra_bits(small or 1, threshold, miss)
 
@@ -110,10 +117,16 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
             .select("id", "own", F.explode("found").alias("item")))
     both = held.join(F.broadcast(it.select("item", "grams")) if small_table(it) else it.select("item", "grams"), "item")
     n, shared = F.size("grams"), F.size(F.array_intersect("grams", "own"))
-    return (both.select("id", "item", n.alias("n_item"), shared.alias("n_shared"))
-            .withColumn("containment", F.col("n_shared") / F.col("n_item"))
-            .where(F.col("n_shared") >= F.lit(threshold) * F.col("n_item") - 1e-9)
-            .groupBy("id", "item")
+    leaks = (both.select("id", "item", n.alias("n_item"), shared.alias("n_shared"))
+             .withColumn("containment", F.col("n_shared") / F.col("n_item"))
+             .where(F.col("n_shared") >= F.lit(threshold) * F.col("n_item") - 1e-9))
+    lengths = [r["m"] for r in short.select("m").distinct().collect()]              # at most k - 1
+    side = F.broadcast(short) if lengths and short.count() <= BROADCAST_ROWS else short
+    for m in lengths:
+        grams = d.select("id", F.explode(shingle_strings(F.col("text"), m)).alias("gram"))
+        leaks = leaks.unionByName(grams.join(side.where(F.col("m") == m), "gram").select(
+            "id", "item", F.lit(1).alias("n_item"), F.lit(1).alias("n_shared"), F.lit(1.0).alias("containment")))
+    return (leaks.groupBy("id", "item")
             .agg(F.max_by(F.struct("n_item", "n_shared", "containment"), "containment").alias("m"))
             .select(F.col("id").alias(id_col), F.col("item").alias(item_col),
                     F.col("m.n_item").cast("long").alias("n_item"),
@@ -127,6 +140,7 @@ def small_table(items: DataFrame) -> bool:
 def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """``docs`` without the rows that hold a test item; rows of one id with
     other texts stay."""
-    keyed = docs.withColumn("__key", text_key(text_col))
-    bad = contaminated(keyed, items, id_col="__key", text_col=text_col, **kw).select("__key").distinct()
-    return keyed.join(bad, "__key", "left_anti").select(*docs.columns)
+    key = free_name(docs, "__key")
+    keyed = docs.withColumn(key, text_key(text_col))
+    bad = contaminated(keyed, items, id_col=key, text_col=text_col, **kw).select(key).distinct()
+    return keyed.join(bad, key, "left_anti").select(*docs.columns)

@@ -123,15 +123,16 @@ def _cuts(placed: DataFrame, plan: DataFrame, nearer: bool, hint) -> DataFrame:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[float] = WEIGHTS, max_repeat: float = MAX_REPEAT, shards: int = SHARDS,
-        block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
+        block_words: int = BLOCK_WORDS, seed: int = SEED, carry: Sequence[str] = ()) -> DataFrame:
     """One row per document of ``docs``: (id, source, size, source_size, target,
-    draws: array of (epoch, block, shard, order)).  ``order`` is the local
+    draws: array of (epoch, block, shard, order)) and the columns ``carry``.  ``order`` is the local
     shuffle's key in the shard.  The driver holds one row per source."""
     spark = docs.sparkSession
     sized = stored(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.lit(seed), F.col(text_col)).alias("text_hash")), "sized")
+        F.xxhash64(F.lit(seed), F.col(text_col)).alias("text_hash"),
+        *[F.col(c).alias(f"carry{i}") for i, c in enumerate(carry)]), "sized")
     found = sized.groupBy("source").agg(F.sum("size").alias("words")).collect()
     found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     size = np.array([r["words"] for r in found], float)
@@ -178,4 +179,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     draws = F.when(F.col("size") > 0, F.transform(epochs, draw)).otherwise(F.transform(F.slice(epochs, 1, 0), draw))
     return d.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size",
-                    "source_size", "target", draws.alias("draws"))
+                    "source_size", "target", draws.alias("draws"),
+                    *[F.col(f"carry{i}").alias(c) for i, c in enumerate(carry)])

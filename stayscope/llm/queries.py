@@ -232,7 +232,12 @@ WITH d AS ({_grams_sql('documents', 'doc_id', 5)}),
      n AS (SELECT item_id, count(*) AS n_item FROM i GROUP BY 1)
 SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
 FROM d JOIN i USING (s) JOIN n USING (item_id)
-GROUP BY doc_id, item_id, n_item HAVING count(*) >= 0.8 * n_item - 1e-9""",
+GROUP BY doc_id, item_id, n_item HAVING count(*) >= 0.8 * n_item - 1e-9
+UNION ALL
+SELECT DISTINCT doc_id, item_id, 1, 1, 1.0::DOUBLE
+FROM (SELECT doc_id, ' ' || array_to_string({_words_sql('text')}, ' ') || ' ' AS said FROM documents) o
+JOIN (SELECT item_id, {_words_sql('text')} AS ws FROM benchmark) b
+  ON len(ws) BETWEEN 1 AND 4 AND contains(said, ' ' || array_to_string(ws, ' ') || ' ')""",
     "op5_jaccard_rtree": _jaccard_sql(3, 90),
     "op12_near_dedup": _jaccard_sql(5, 85, ",\n       n.doc_id = coalesce(component, c.rep, n.doc_id) AS kept"),
     "op11_divergence": r"""

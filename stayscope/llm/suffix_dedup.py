@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shipping import ship
-from .store import stored
+from .store import free_name, stored
 from .suffix_sort import common_prefixes, suffix_array
 from .text import BYTE_MIX, flat, mix64, powers, row_slices
 
@@ -339,8 +339,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeated strings removed from the text (null stays
     null); no row goes."""
-    marked = docs.withColumn("__no_text", F.col(text_col).isNull())
+    no_text = free_name(docs, "__no_text")
+    marked = docs.withColumn(no_text, F.col(text_col).isNull())
     kept = remove_repeats(marked, id_col, text_col, length, as_text=True)
     return kept.select(*[
-        F.when(~F.col("carry.__no_text"), F.col("kept")).alias(c) if c == text_col
+        F.when(~F.col("carry").getField(no_text), F.col("kept")).alias(c) if c == text_col
         else F.col("carry").getField(c).alias(c) for c in docs.columns])

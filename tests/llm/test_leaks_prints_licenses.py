@@ -21,8 +21,10 @@ def leak_table():
     vocab = [f"v{i}" for i in range(500)]
     prose = lambda n: [rng.choice(vocab) for _ in range(n)]
     items = [(i, " ".join(prose(rng.choice([3, 5, 7, 20, 45])))) for i in range(30)]
+    items += [(50, "Only"), (51, "two  words"), (52, "one two\tthree four"), (53, "not there"), (54, "wo words")]
     items += [(40, None), (41, ""), (42, items[4][1].upper()), (42, items[4][1])]
-    docs = awkward_docs()
+    docs = awkward_docs() + [(900, "only", "en", "a"), (901, "x One two three FOUR y", "en", "a"),
+                             (902, "one two three, four", "en", "a"), (903, "lonely onlyx", "en", "a")]
     for n, (_, t) in enumerate(items[:30]):
         w = t.split(" ")
         for gap in (0, len(w) // 4):
@@ -40,9 +42,9 @@ def test_containment_matches_brute_force(spark, monkeypatch):
     it = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, n_item int")
     want = {}
     for i, t, *_ in docs:
-        own = full(t, 5)
         for j, x in items:
-            q = full(x, 5)
+            k = min(5, max(1, len(words(x))))             # a shorter item is one shingle
+            own, q = full(t, k), full(x, k)
             if q and len(q & own) >= 0.8 * len(q):
                 want[(i, j)] = (len(q), len(q & own))
     got = {(r["doc_id"], r["item_id"]): (r["n_item"], r["n_shared"])

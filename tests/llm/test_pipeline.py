@@ -69,5 +69,5 @@ def test_pipeline_of_empty_tables(spark, tmp_path):
 def test_every_operator_has_a_query_and_the_entry_adds_them():
     entry = importlib.import_module("__spark_entry__")
     numbers = sorted(int(k[2:].split("_")[0]) for k in Q.QUERIES)
-    assert numbers == list(range(1, 11)) and set(Q.ORACLE) <= set(Q.QUERIES)
+    assert numbers == list(range(1, 14)) and set(Q.ORACLE) <= set(Q.QUERIES)
     assert set(Q.QUERIES) | {"pipeline"} <= set(entry.queries()) and np.all([k in entry.oracle_sql() for k in Q.ORACLE])

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayscope.llm import decontaminate, jaccard_rtree, langid, mixing, suffix_dedup
-from stayscope.llm.store import stored, text_key
+from stayscope.llm.store import free_name, stored, text_key
+from stayscope.session import remove_written, written_so_far
 
 MAX_BITS_PER_BYTE = 8.0      # a text that no language codes better than raw bytes is rejected
 SHINGLE, PERCENT = 5, 80     # near copies: Jaccard similarity of five-word shingles
@@ -23,11 +24,12 @@ MIN_BYTES = 32               # shorter texts say too little to be rejected by th
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no text, no letter, or a code
     length under every language's tree above that of raw bytes."""
-    keyed = docs.withColumn("__key", text_key("text"))
-    out = langid.predict(keyed, langid.train(docs, "doc_id", "text", "lang"), "__key").where(
+    key = free_name(docs, "__key")
+    keyed = docs.withColumn(key, text_key("text"))
+    out = langid.predict(keyed, langid.train(docs, "doc_id", "text", "lang"), key).where(
         (F.col("lang_pred") == langid.UND) |
         ((F.col("bits_per_byte") > MAX_BITS_PER_BYTE) & (F.col("n_bytes") >= MIN_BYTES)))
-    return keyed.join(out.select("__key").distinct(), "__key", "left_anti").select(*docs.columns)
+    return keyed.join(out.select(key).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +49,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: per document the words taken and the shard of each draw."""
-    mixed = mixing.mix(docs)
-    return mixed.select("doc_id", "source", "size", "source_size", "target",
+    """The mix: per document the words taken, the shard of each draw and the text."""
+    mixed = mixing.mix(docs, carry=["lang", "text"])
+    return mixed.select("doc_id", "lang", "text", "source", "size", "source_size", "target",
                         (F.size("draws") * F.col("size")).cast("long").alias("taken"),
                         F.col("draws")["shard"].alias("shards"))
 
@@ -68,6 +70,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = written_so_far()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        remove_written(spark, before, keep=docs)        # the stage's own tables and its input
     return docs

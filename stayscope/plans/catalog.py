@@ -172,7 +172,7 @@ def _sql_window(anchor_key: str, hours: int = 24) -> str:
 def vitals(spark, root, anchors=None, window_hours=24):
     """Chart measurements passing the plausibility filters, windowed on the
     stay anchor (all stays when ``anchors`` is None)."""
-    m = EV.filter_measurements(roles.measurements(spark, root), roles.VITAL_CODES,
+    m = EV.filter_measurements(roles.measurements(spark, root, roles.VITAL_CODES), roles.VITAL_CODES,
                                error_col="error")
     a = anchors if anchors is not None else roles.stay_anchors(spark, root)
     return EV.window_join(m.drop("hadm_id"), a, "icustay_id", "icustay_id",
@@ -182,7 +182,7 @@ def vitals(spark, root, anchors=None, window_hours=24):
 def labs(spark, root, anchors, window_hours=24):
     """Lab measurements joined by episode to the anchor stays, windowed on
     the stay's anchor time; the stay id comes from the anchor."""
-    m = EV.filter_measurements(roles.measurements(spark, root), roles.LAB_CODES)
+    m = EV.filter_measurements(roles.measurements(spark, root, roles.LAB_CODES), roles.LAB_CODES)
     return EV.window_join(m.drop("icustay_id"), anchors, "hadm_id", "hadm_id",
                           window_hours=window_hours, anchor_cols=["icustay_id"])
 
@@ -215,7 +215,7 @@ def q_window_events_by_episode(spark, root):
 @register("time_bucket_join", ORACLE["window_events_by_episode"])
 def q_time_bucket_join(spark, root):
     """Labs in their stays' first day, joined by episode and time bucket."""
-    m = EV.filter_measurements(roles.measurements(spark, root), roles.LAB_CODES)
+    m = EV.filter_measurements(roles.measurements(spark, root, roles.LAB_CODES), roles.LAB_CODES)
     out = EV.window_join_by_time(m.drop("icustay_id"), roles.cohort_anchors(roles.cohort(spark, root)),
                                  "hadm_id", "hadm_id", anchor_cols=["icustay_id"])
     return out.select("icustay_id", "itemid", "charttime", "valuenum")
@@ -224,7 +224,7 @@ def q_time_bucket_join(spark, root):
 @register("laid_out_window_join", ORACLE["window_events_by_stay"])
 def q_laid_out_window_join(spark, root):
     """Vitals of a log that is laid out by stay, joined without shuffling it."""
-    m = EV.filter_measurements(roles.measurements(spark, root), roles.VITAL_CODES, error_col="error")
+    m = EV.filter_measurements(roles.measurements(spark, root, roles.VITAL_CODES), roles.VITAL_CODES, error_col="error")
     log = lay_out(m.drop("hadm_id"), "icustay_id", _LOG_BUCKETS, ["itemid"], name="vitals_log")
     out = EV.window_join(log, roles.stay_anchors(spark, root), "icustay_id", "icustay_id")
     return out.select("icustay_id", "itemid", "charttime", "valuenum")
@@ -234,7 +234,7 @@ def q_laid_out_window_join(spark, root):
 SELECT m.icustay_id, m.itemid, m.valuenum FROM measurements m
 WHERE m.icustay_id IN (SELECT icustay_id FROM cohort) AND {_VITAL_FILTER}""")
 def q_cohort_semi_join(spark, root):
-    m = EV.filter_measurements(roles.measurements(spark, root), roles.VITAL_CODES,
+    m = EV.filter_measurements(roles.measurements(spark, root, roles.VITAL_CODES), roles.VITAL_CODES,
                                error_col="error")
     return EV.restrict_to(m, roles.cohort(spark, root), "icustay_id", "icustay_id") \
         .select("icustay_id", "itemid", "valuenum")
@@ -674,7 +674,7 @@ FROM cohort c LEFT JOIN hits h ON c.icustay_id = h.icustay_id""")
 def q_threshold_alert(spark, root):
     co = roles.cohort(spark, root)        # anchors and the left-join base
     anchors = roles.cohort_anchors(co)
-    m = EV.filter_measurements(roles.measurements(spark, root), roles.LAB_CODES)
+    m = EV.filter_measurements(roles.measurements(spark, root, roles.LAB_CODES), roles.LAB_CODES)
     m = EV.name_items(m, roles.LAB_CODES)
     return EV.threshold_alert(m, anchors, "hadm_id", "hadm_id", roles.ROLE_ALERT_THRESHOLDS,
                               out_key="icustay_id")
@@ -903,7 +903,7 @@ FROM (SELECT m.icustay_id, {roles.sql_vital_name('m.itemid')} AS item_name, m.va
 GROUP BY icustay_id, item_name""")
 def q_whole_stay_vitals(spark, root):
     """Vitals over the whole stay, without the first-day window."""
-    m = EV.filter_measurements(roles.measurements(spark, root), roles.VITAL_CODES, error_col="error")
+    m = EV.filter_measurements(roles.measurements(spark, root, roles.VITAL_CODES), roles.VITAL_CODES, error_col="error")
     v = EV.window_join(m.drop("hadm_id"), roles.stay_anchors(spark, root), "icustay_id", "icustay_id",
                        window_hours=None)
     return ST.rounded(EV.long_stats(EV.name_items(v, roles.VITAL_CODES), "icustay_id"), ["mean"])

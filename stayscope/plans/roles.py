@@ -109,9 +109,12 @@ def item_code(event_type: str = "event_type", event_id: str = "event_id") -> F.C
     return F.concat(F.col(event_type), F.lit("-"), F.col(event_id) % ITEM_PARTS)
 
 
-def measurements(spark: SparkSession, root: str) -> DataFrame:
-    """Tall measurement log: stay/episode id, item code, time, value, error."""
+def measurements(spark: SparkSession, root: str, codes=None) -> DataFrame:
+    """Tall measurement log: stay/episode id, item code, time, value, error.
+    With ``codes`` the scan reads only the event types that these come from."""
     e = read_table(spark, root, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    if codes is not None:
+        e = e.where(F.col("event_type").isin(*sorted({c.rsplit("-", 1)[0] for c in codes})))
     return e.select(
         "event_id",
         F.col("user_id").alias("icustay_id"),

@@ -22,7 +22,7 @@ def test_entry_and_registry(spark):
 
 def _duck():
     con = duckdb.connect()
-    for t in ("customer", "orders", "lineitem", "events", "labels", "documents"):
+    for t in ("customer", "orders", "lineitem", "part", "events", "labels", "documents"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 

@@ -42,6 +42,9 @@ ID_AND_OUTCOME_COLS = ["subject_id", "hadm_id", "icustay_id", "admittime",
                        "admission_type", "first_careunit", "insurance", "ethnicity",
                        "icu_los_days"]
 
+# The forest's learner keeps some 4 KB a row (a count and a node for each of 300 trees).
+FOREST_TASK_ROWS = 100_000      # rows of one task of a forest's fit at most
+CONCURRENT_ROWS = 2_000_000     # training rows of the folds that are fitted at the same time
 _FEATURES_VEC = "__features"
 _WEIGHT = "__weight"
 
@@ -154,6 +157,21 @@ def fold_statistics(train: DataFrame, features: Sequence[str], label: str, fold_
     return {i: _combined([r for r in rows if r[fold_col] != i], features, label) for i in range(k)}
 
 
+def forest_rows(ready: DataFrame, rows: int) -> DataFrame:
+    """``ready`` in partitions of about ``FOREST_TASK_ROWS`` rows at most: as it
+    is where these already hold, else dealt anew, in an order that a repeated
+    task finds again (bagging draws by place in the partition)."""
+    if rows <= FOREST_TASK_ROWS * ready.rdd.getNumPartitions():
+        return ready
+    return ready.repartition(-(-rows // FOREST_TASK_ROWS)).sortWithinPartitions(*ready.columns)
+
+
+def concurrent_folds(rows: int, k: int) -> int:
+    """How many of ``k`` folds to fit at a time: what their fits hold in memory
+    must not grow with the number of folds once one fit fills the cluster."""
+    return max(1, min(k, CONCURRENT_ROWS // max(1, rows)))
+
+
 def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str,
         statistics: tuple[dict, list[tuple]] | None = None) -> FittedModel:
     """Fit on ``train``; ``statistics`` of its rows may be handed in."""
@@ -164,7 +182,11 @@ def fit(spec: ModelSpec, train: DataFrame, features: Sequence[str], label: str,
     fm = FittedModel(spec, feats, scaler, None, weights)
     if spec.kind not in ("lr", "rf"):
         raise ValueError(spec.kind)
-    ready = fm.scale(train.where(F.col(label).isNotNull())) if spec.kind == "lr" else fm.prepare(train)
+    if spec.kind == "lr":
+        ready = fm.scale(train.where(F.col(label).isNotNull()))
+    else:
+        rows = train.select(*feats, label)
+        ready = fm.prepare(forest_rows(rows, sum(n for _, n, _ in counts)))
     data = with_weights(ready, label, weights, _WEIGHT).withColumn(label, F.col(label).cast("double"))
     data = data.select(*(feats if spec.kind == "lr" else [_FEATURES_VEC]), label, _WEIGHT).persist()
     try:

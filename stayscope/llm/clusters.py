@@ -134,31 +134,45 @@ def candidate_clusters(key_rows: DataFrame) -> DataFrame:
                                 .mapInArrow(_reduce_keys, "a long, b long"))
 
 
+def cluster_blocks(first: DataFrame, cluster: DataFrame, block_items: int | None = None) -> DataFrame:
+    """(cluster, blocks, block, sid, id): the sets in clusters and the block of
+    each, dealt by their sizes in ``first`` (sid, id, n_shingles), without the sets."""
+    member = first.select("sid", "id", "n_shingles").join(
+        cluster.select(F.col("node").alias("sid"), F.col("component").alias("cluster")), "sid")
+    size = (member.groupBy("cluster").agg(F.sum(F.col("n_shingles") + SET_ITEMS).alias("items"))
+            .select("cluster", F.ceil(F.col("items") / (block_items or BLOCK_ITEMS)).cast("int").alias("blocks")))
+    return member.join(size, "cluster").select(
+        "cluster", "blocks", F.pmod(F.xxhash64("sid"), F.col("blocks").cast("long")).cast("int").alias("block"), "sid", "id")
+
+
 def _cluster_sets(k: int):
-    """Sets of the clusters' members: one row per (set, its first document)."""
+    """Sets of the clusters' members: one row a set and task."""
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
             data, off = flat(batch.column("text"))
             want = batch.column("sid").to_numpy(zero_copy_only=False).view(np.uint64)
             keep, body = [], []
             for lo, hi in row_slices(off):
                 for r, s in doc_sets(data[off[lo]:off[hi]], off[lo:hi + 1], k):
-                    if set_id(s) == want[lo + r]:
+                    if (sid := int(want[lo + r])) not in seen and set_id(s) == sid:
+                        seen.add(sid)
                         keep.append(lo + r)
                         body.append(s.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(pa.array(keep, pa.int64())) for c in ("cluster", "sid")]
-                + [pa.array(body, pa.binary())], ["cluster", "sid", "shingles"])
+                [batch.column(c).take(pa.array(keep, pa.int64())) for c in ("cluster", "blocks", "block", "sid")]
+                + [pa.array(body, pa.binary())], ["cluster", "blocks", "block", "sid", "shingles"])
     return run
 
 
-def cluster_members(d: DataFrame, first: DataFrame, cluster: DataFrame, k: int) -> DataFrame:
-    """(cluster, sid, shingles) of the sets in clusters, from the texts ``d``
-    (id, text) of their first documents ``first`` (sid, id)."""
-    want = (first.select("sid", "id").join(cluster.withColumnRenamed("node", "sid"), "sid")
-            .select("sid", F.col("id").alias("want_id"), F.col("component").alias("cluster")))
-    return (d.join(want, d["id"].eqNullSafe(F.col("want_id"))).select("cluster", "sid", "text")
-            .mapInArrow(_cluster_sets(k), "cluster long, sid long, shingles binary").dropDuplicates(["sid"]))
+def block_sets(d: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
+    """(cluster, blocks, block, sid, shingles) of ``cluster_blocks`` rows, from the
+    texts ``d`` (id, text) of their first documents.  The sets are dealt by block
+    once: there copies of a set are dropped and blocks are grouped."""
+    want = blocks.withColumnRenamed("id", "want_id")
+    return (d.join(want, d["id"].eqNullSafe(F.col("want_id"))).select("cluster", "blocks", "block", "sid", "text")
+            .mapInArrow(_cluster_sets(k), "cluster long, blocks int, block int, sid long, shingles binary")
+            .repartition("cluster", "block").dropDuplicates(["cluster", "block", "sid"]))
 
 
 JoinBlock = Callable[[list, int, np.ndarray, np.ndarray], np.ndarray]
@@ -184,28 +198,25 @@ def _relabel(rows: DataFrame, edges: DataFrame) -> DataFrame:
             .withColumn("label", F.coalesce("component", "label")).drop("component"))
 
 
-def link_clusters(member: DataFrame, percent: int, join_block: JoinBlock,
-                  block_items: int | None = None) -> DataFrame:
-    """(sid, component) of rows (cluster, sid, shingles); a component is named
-    by its least sid; a block holds about ``block_items``.  ``join_block(sets, percent, side, label)`` gives the
+def link_clusters(d: DataFrame, first: DataFrame, cluster: DataFrame, k: int, percent: int,
+                  join_block: JoinBlock, block_items: int | None = None) -> DataFrame:
+    """(sid, component) of the sets in clusters (node, component); a component is
+    named by its least sid; a block holds about ``block_items``.  The sets come
+    from the texts ``d`` (id, text) of their first documents ``first`` (sid, id,
+    n_shingles).  ``join_block(sets, percent, side, label)`` gives the
     component number of each set of a block after linking all its pairs; two
     sets of side 1 (visitors) or of one label need not be compared."""
-    size = (member.groupBy("cluster").agg(F.sum(F.length("shingles") / 8 + SET_ITEMS).alias("items"))
-            .select("cluster", F.ceil(F.col("items") / (block_items or BLOCK_ITEMS)).cast("int").alias("blocks")))
-    member = stored(member.join(size, "cluster").select(
-        "cluster", "sid", "shingles", "blocks",
-        F.pmod(F.xxhash64("sid"), F.col("blocks").cast("long")).cast("int").alias("block")), "members")
+    blocks = stored(cluster_blocks(first, cluster, block_items), "blocks")
     unit = _units(join_block, percent)
     out = "label long, to long"
-    home = (member.select("*", F.lit(0).alias("side"), F.col("sid").alias("label"))
+    home = (block_sets(d, blocks, k).select("cluster", "block", "sid", "shingles", F.lit(0).alias("side"), F.col("sid").alias("label"))
             .groupBy("cluster", "block").applyInArrow(unit, out))
     links = stored(home, "links").select(F.col("label").alias("sid"), F.col("to").alias("label"))
-    big = member.where("blocks > 1")
-    if big.isEmpty():
+    if blocks.where("blocks > 1").isEmpty():
         return links.select("sid", F.col("label").alias("component"))
 
     # main component of each block, met through a few of its members
-    big = stored(big.join(links, "sid"), "big")
+    big = stored(block_sets(d, blocks.where("blocks > 1"), k).join(links, "sid"), "big")
     count = big.groupBy("cluster", "block", "label").count()
     main = count.groupBy("cluster", "block").agg(
         F.max_by(F.struct("label", "count"), F.struct("count", "label")).alias("m")).select(

@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .clusters import (BLOCK_ITEMS, CHUNK, KEY_ROWS, candidate_clusters, classes, cluster_members, combine_keys,
-                       doc_sets, link_clusters, overlap, set_id)
+from .clusters import (BLOCK_ITEMS, CHUNK, KEY_ROWS, candidate_clusters, classes, combine_keys, doc_sets,
+                       link_clusters, overlap, set_id)
 from .shipping import ship
 from .store import free_name, stored, text_key
 from .text import flat, mix64, row_slices
@@ -202,10 +202,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = d.schema["id"].dataType.simpleString()
     point = stored(d.mapInArrow(_points(k), f"id {id_type}, n_shingles long, sid long"), "points")
-    first = point.where("n_shingles > 0").groupBy("sid").agg(F.min("id").alias("id"))
+    first = point.where("n_shingles > 0").groupBy("sid").agg(
+        F.min("id").alias("id"), F.max("n_shingles").alias("n_shingles"))
     cluster = candidate_clusters(d.mapInArrow(_emit(k, percent), KEY_ROWS))
-    member = cluster_members(d, first, cluster, k)
-    return classes(point, first, link_clusters(member, percent, join_block, BLOCK_ITEMS), id_col)
+    return classes(point, first, link_clusters(d, first, cluster, k, percent, join_block, BLOCK_ITEMS), id_col)
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

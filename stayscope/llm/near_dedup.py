@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .clusters import CHUNK, KEY_ROWS, candidate_clusters, classes, cluster_members, combine_keys, doc_sets, link_clusters, overlap, set_id
+from .clusters import CHUNK, KEY_ROWS, candidate_clusters, classes, combine_keys, doc_sets, link_clusters, overlap, set_id
 from .shipping import ship
 from .store import stored
 from .text import flat, mix64, row_slices
@@ -219,12 +219,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id_type = d.schema["id"].dataType.simpleString()
     point = stored(d.mapInArrow(_points(k, m), f"id {id_type}, n_shingles long, sid long, minima binary"), "points")
     first = stored(point.where("n_shingles > 0").groupBy("sid").agg(
-        F.min("id").alias("id"), F.first("minima").alias("minima")), "sets")
+        F.min("id").alias("id"), F.max("n_shingles").alias("n_shingles"), F.first("minima").alias("minima")), "sets")
     shared = (first.select("sid", "minima").mapInArrow(_values, "value long, sid long, f int, shared boolean")
               .repartition("value").sortWithinPartitions("value").mapInArrow(_shared, "sid long, f int")
               .groupBy("sid").agg(F.collect_list("f").alias("shared")))
     keyed = first.select("sid", "minima").join(shared, "sid")
     cluster = candidate_clusters(keyed.mapInArrow(_emit, KEY_ROWS))
-    member = cluster_members(d, first, cluster, k)
-    out = classes(point.drop("minima"), first.select("sid", "id"), link_clusters(member, percent, verify_block(m)), id_col)
+    linked = link_clusters(d, first, cluster, k, percent, verify_block(m))
+    out = classes(point.drop("minima"), first.select("sid", "id"), linked, id_col)
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))

@@ -27,6 +27,7 @@ BLOCK_ITEMS = 1 << 19   # shingles in a block (about 4 MB of hashes)
 SET_ITEMS = 512         # what a set counts besides its shingles: bounds a block's sets
 PIVOTS = 8              # members by which blocks' main components meet
 CHUNK = 1 << 18         # keys combined at a time in a task
+FILTER_BITS = 1 << 26   # most bits of the filter over wanted ids (8 MB)
 KEY_ROWS = "key long, a long, b long, is_pair boolean"
 _U = np.uint64
 
@@ -145,6 +146,28 @@ def cluster_blocks(first: DataFrame, cluster: DataFrame, block_items: int | None
         "cluster", "blocks", F.pmod(F.xxhash64("sid"), F.col("blocks").cast("long")).cast("int").alias("block"), "sid", "id")
 
 
+def _may_hold(bits: np.ndarray):
+    def run(batches):
+        for batch in batches:
+            at = batch.column("at").to_numpy(zero_copy_only=False).view(np.uint64)
+            hit = (bits[at >> _U(6)] >> (at & _U(63))) & _U(1)
+            yield batch.drop_columns(["at"]).take(pa.array(np.flatnonzero(hit)))
+    return run
+
+
+def rows_wanted(d: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``d`` whose id is in ``ids`` (column id), and a few others: a
+    bit per hashed id, 16 to 32 for each wanted one, tells before any shuffle.
+    With more ids than ``FILTER_BITS`` serve well, more other rows pass."""
+    size = min(FILTER_BITS, max(64, 1 << (16 * ids.count()).bit_length()))
+    at = F.pmod(F.xxhash64("id"), F.lit(size).cast("long")).alias("at")
+    words = (ids.select(at).groupBy(F.shiftright("at", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask")).toArrow())
+    bits = np.zeros(size // 64, np.uint64)
+    bits[words.column("word").to_numpy()] = words.column("mask").to_numpy().view(np.uint64)
+    return d.select("*", at).mapInArrow(_may_hold(bits), d.schema)
+
+
 def _cluster_sets(k: int):
     """Sets of the clusters' members: one row a set and task."""
     def run(batches):
@@ -167,9 +190,11 @@ def _cluster_sets(k: int):
 
 def block_sets(d: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
     """(cluster, blocks, block, sid, shingles) of ``cluster_blocks`` rows, from the
-    texts ``d`` (id, text) of their first documents.  The sets are dealt by block
-    once: there copies of a set are dropped and blocks are grouped."""
+    texts ``d`` (id, text) of their first documents; other texts are left out
+    before the join.  The sets are dealt by block once: there copies of a set are
+    dropped and blocks are grouped."""
     want = blocks.withColumnRenamed("id", "want_id")
+    d = rows_wanted(d, blocks)
     return (d.join(want, d["id"].eqNullSafe(F.col("want_id"))).select("cluster", "blocks", "block", "sid", "text")
             .mapInArrow(_cluster_sets(k), "cluster long, blocks int, block int, sid long, shingles binary")
             .repartition("cluster", "block").dropDuplicates(["cluster", "block", "sid"]))

@@ -33,3 +33,20 @@ def test_a_set_comes_once_to_its_block(spark):
     rows = clusters.block_sets(d, clusters.cluster_blocks(first, cluster), 3).collect()
     assert sorted(len(r.shingles) // 8 for r in rows) == [3, 4]
     assert {(r.cluster, r.blocks, r.block) for r in rows} == {(0, 1, 0)}
+
+
+def test_texts_that_no_block_needs_are_left_out_before_the_join(spark):
+    rows = [(i, f"text {i}") for i in range(2000)] + [(None, "no id"), (7, None), (7, "seven")]
+    d = spark.createDataFrame(rows, "id long, text string")
+    ids = spark.createDataFrame([(7,), (1500,), (None,), (99999,)], "id long")
+    got = [tuple(r) for r in clusters.rows_wanted(d, ids).collect()]
+    want = [r for r in rows if r[0] in (7, 1500, None)]
+    assert set(want) <= set(got) and len([r for r in got if r in want]) == len(want)
+    assert len(got) < 400
+    assert clusters.rows_wanted(d, ids.limit(0)).count() == 0
+    named = spark.createDataFrame([(f"k{i}", "t") for i in range(50)], "id string, text string")
+    assert clusters.rows_wanted(named, named.select("id")).count() == 50
+    first = spark.createDataFrame([(1, 5, 3)], "sid long, id long, n_shingles long")
+    cluster = first.selectExpr("sid AS node", "0L AS component")
+    plan = clusters.block_sets(d, clusters.cluster_blocks(first, cluster), 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2         # the filter below the join, the sets above it

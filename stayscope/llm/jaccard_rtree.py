@@ -8,10 +8,14 @@ A packed R-tree joins only nodes whose bound still allows the similarity and
 verifies the surviving pairs on the sets themselves.
 
 Distribution, without losing a link.  Similar sets differ in at most
-d <= k(size band) shingles.  A second hash splits each set into k+1+SPARE
-groups, so two linked sets agree exactly on at least one non-empty group, and
-meet under that group's key (sets with more empty groups than SPARE also emit
-the empty ones).  Sets that share a key form a candidate cluster (``clusters``),
+d <= k(size band) shingles.  A second hash splits each set into more than k
+groups, the same for all sets of the band.  A set whose own size allows d
+differences gives keys of its d+1 first groups in an order that only depends on
+a group's content: the largest first, so that groups of a few shingles, which
+many sets share by one line, and empty ones seldom give any.  Of two linked
+sets, each has an equal group among its first ones, and the one of these that
+comes earlier in the order is among the first of both: there they meet.
+Sets that share a key form a candidate cluster (``clusters``),
 and every link lies inside one cluster, whose blocks the tree joins.  Equal
 sets are one set throughout.
 
@@ -39,7 +43,8 @@ from .text import flat, mix64, row_slices
 
 DIMS = 32               # coordinates of a point
 LEAF = 32               # sets in a leaf, nodes in an inner node
-SPARE = 2               # empty groups a set may have without emitting them
+SPARE = 2               # groups beyond those that differences may touch,
+SPARE_PERCENT = 30      # and as many percent of these: the smallest groups give no keys
 _U = np.uint64
 
 
@@ -155,19 +160,23 @@ def set_keys(s: np.ndarray, percent: int, edges: np.ndarray) -> np.ndarray:
     n = len(s)
     band = int(np.searchsorted(edges, n, side="right")) - 1
     for j in (band, band + 1):
-        k = max_diff(2 * (int(edges[j + 1]) - 1), percent)
-        groups = k + 1 + (SPARE if k else 0)
+        most = int(edges[j + 1]) - 1
+        k = max_diff(2 * most, percent)
+        own = max_diff(n + min(100 * n // percent, most), percent)
+        groups = k + 1 + (SPARE + SPARE_PERCENT * k // 100 if k else 0)
         x = mix64(s + _U(0x9E3779B97F4A7C15 * (2 * j + 3) % (1 << 64)))
         g = ((x >> _U(33)).astype(np.int64)) % groups
         by = np.argsort(g, kind="stable")
         g = g[by]
         cut = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
         body = np.add.reduceat(x[by], cut)
-        ids = g[cut]
-        if groups - len(ids) > SPARE:
+        ids, size = g[cut], np.diff(cut, append=n)
+        if len(ids) <= own:
             empty = np.setdiff1d(np.arange(groups), ids)
-            ids, body = np.concatenate([ids, empty]), np.concatenate([body, np.zeros(len(empty), np.uint64)])
-        out.append(mix64(body + mix64(ids.astype(np.uint64) + _U((j + 1) << 32))))
+            none = np.zeros(len(empty), np.int64)
+            ids, body, size = np.concatenate([ids, empty]), np.concatenate([body, none.view(np.uint64)]), np.concatenate([size, none])
+        keys = mix64(body + mix64(ids.astype(np.uint64) + _U((j + 1) << 32)))
+        out.append(keys[np.lexsort((keys, -size))[:own + 1]])
     return np.concatenate(out)
 
 

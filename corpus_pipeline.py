@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayscope.llm import decontaminate, jaccard_rtree, langid, mixing, suffix_dedup
-from stayscope.llm.store import free_name, stored, text_key
+from stayscope.llm.store import stored
 from stayscope.session import remove_written, written_so_far
 
 MAX_BITS_PER_BYTE = 8.0      # a text that no language codes better than raw bytes is rejected
@@ -23,13 +23,12 @@ MIN_BYTES = 32               # shorter texts say too little to be rejected by th
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no text, no letter, or a code
-    length under every language's tree above that of raw bytes."""
-    key = free_name(docs, "__key")
-    keyed = docs.withColumn(key, text_key("text"))
-    out = langid.predict(keyed, langid.train(docs, "doc_id", "text", "lang"), key).where(
-        (F.col("lang_pred") == langid.UND) |
-        ((F.col("bits_per_byte") > MAX_BITS_PER_BYTE) & (F.col("n_bytes") >= MIN_BYTES)))
-    return keyed.join(out.select(key).distinct(), key, "left_anti").select(*docs.columns)
+    length under every language's tree above that of raw bytes.  A prediction
+    depends on the text alone and carries its row: no text is shuffled."""
+    whole = docs.select("text", F.struct(*docs.columns).alias("row"))
+    out = langid.predict(whole, langid.train(docs, "doc_id", "text", "lang"), "row")
+    return out.where(~((F.col("lang_pred") == langid.UND) |
+                       ((F.col("bits_per_byte") > MAX_BITS_PER_BYTE) & (F.col("n_bytes") >= MIN_BYTES)))).select("row.*")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import connected_components, stored
+from .store import connected_components, free_name, stored
 from .text import Words, flat, mix64, row_slices
 
 BLOCK_ITEMS = 1 << 19   # shingles in a block (about 4 MB of hashes)
@@ -146,26 +146,39 @@ def cluster_blocks(first: DataFrame, cluster: DataFrame, block_items: int | None
         "cluster", "blocks", F.pmod(F.xxhash64("sid"), F.col("blocks").cast("long")).cast("int").alias("block"), "sid", "id")
 
 
-def _may_hold(bits: np.ndarray):
+def _may_hold(bits: np.ndarray, name: str, held: bool):
     def run(batches):
         for batch in batches:
-            at = batch.column("at").to_numpy(zero_copy_only=False).view(np.uint64)
-            hit = (bits[at >> _U(6)] >> (at & _U(63))) & _U(1)
-            yield batch.drop_columns(["at"]).take(pa.array(np.flatnonzero(hit)))
+            at = batch.column(name).to_numpy(zero_copy_only=False).view(np.uint64)
+            hit = (bits[at >> _U(6)] >> (at & _U(63))) & _U(1) == (1 if held else 0)
+            yield batch.drop_columns([name]).take(pa.array(np.flatnonzero(hit)))
     return run
 
 
-def rows_wanted(d: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``d`` whose id is in ``ids`` (column id), and a few others: a
-    bit per hashed id, 16 to 32 for each wanted one, tells before any shuffle.
-    With more ids than ``FILTER_BITS`` serve well, more other rows pass."""
+def wanted_bits(ids: DataFrame, col: str = "id") -> np.ndarray:
+    """A bit per hashed id, 16 to 32 for each of ``ids``, at most ``FILTER_BITS``."""
     size = min(FILTER_BITS, max(64, 1 << (16 * ids.count()).bit_length()))
-    at = F.pmod(F.xxhash64("id"), F.lit(size).cast("long")).alias("at")
+    at = F.pmod(F.xxhash64(col), F.lit(size).cast("long")).alias("at")
     words = (ids.select(at).groupBy(F.shiftright("at", 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask")).toArrow())
     bits = np.zeros(size // 64, np.uint64)
     bits[words.column("word").to_numpy()] = words.column("mask").to_numpy().view(np.uint64)
-    return d.select("*", at).mapInArrow(_may_hold(bits), d.schema)
+    return bits
+
+
+def rows_by_bits(d: DataFrame, bits: np.ndarray, col: str = "id", held: bool = True) -> DataFrame:
+    """The rows of ``d`` whose id may be one of those of ``wanted_bits``; or, not
+    ``held``, all others, which are none of them.  Nothing is shuffled."""
+    name = free_name(d, "__at")
+    at = F.pmod(F.xxhash64(col), F.lit(64 * len(bits)).cast("long")).alias(name)
+    return d.select("*", at).mapInArrow(_may_hold(bits, name, held), d.schema)
+
+
+def rows_wanted(d: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``d`` whose id is in ``ids`` (column id), and a few others: bits
+    tell before any shuffle.  With more ids than ``FILTER_BITS`` serve well, more
+    other rows pass."""
+    return rows_by_bits(d, wanted_bits(ids))
 
 
 def _cluster_sets(k: int):

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .clusters import (BLOCK_ITEMS, CHUNK, KEY_ROWS, candidate_clusters, classes, combine_keys, doc_sets,
-                       link_clusters, overlap, set_id)
+                       link_clusters, overlap, rows_by_bits, set_id, wanted_bits)
 from .shipping import ship
 from .store import free_name, stored, text_key
 from .text import flat, mix64, row_slices
@@ -221,7 +221,9 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       k: int = 3, percent: int = 90) -> DataFrame:
     """``docs`` with one row of each component: of its rows with the least id
     (nulls last), the least by text key and other columns.  Rows without
-    shingles stay.  Texts are what is linked, so an id's other texts stay too."""
+    shingles stay.  Texts are what is linked, so an id's other texts stay too.
+    Texts of one row that are kept, by a bit per hashed key most of them, pass
+    without a shuffle."""
     key = free_name(docs, "__key")
     keyed = docs.withColumn(key, text_key(text_col))
     comp = (jaccard_components(keyed, key, text_col, k, percent).where("n_shingles > 0")
@@ -231,9 +233,12 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     best = comp.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "key"))["key"].alias("best"))
     judged = stored(comp.join(best, "component").select(
         F.col("key").alias(key), (F.col("key") == F.col("best")).alias("kept"), "rows").where("rows > 1 or not kept"), "judged")
+    bits = wanted_bits(judged, key)
+    free = rows_by_bits(keyed, bits, key, held=False).select(*docs.columns)
+    keyed = rows_by_bits(keyed, bits, key)
     alone = keyed.join(judged.select(key), key, "left_anti").select(*docs.columns)
     order = F.struct(F.col(id_col).isNull(), id_col, *[c for c in docs.columns if c not in (id_col, text_col)])
     # an aggregate, so a text that very many rows hold is combined inside the tasks
     one = (keyed.join(judged.where("kept").select(key), key)
            .groupBy(key).agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*"))
-    return alone.union(one)
+    return free.union(alone).union(one)

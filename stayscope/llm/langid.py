@@ -23,19 +23,22 @@ repeated rows each get their row; extra columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .shipping import ship
 from .store import stored
-from .text import flat, mix64
+from .text import flat, mix64, row_slices
 
 ORDER = 3                # bytes of context
 SAMPLE_DOCS = 300        # whole training documents a language, at most
 MAX_BROADCAST = 10_000   # languages up to which their counts are broadcast
-CHUNK = 1 << 20          # bytes scored at a time
+CHUNK = 1 << 18          # bytes scored at a time
 UND = "und"
 _U = np.uint64
 
@@ -188,6 +191,14 @@ def _count_grams(batches):
                     "g": g.astype(np.int64), "c": c.astype(np.int64)})
 
 
+def pieces(off: np.ndarray, chunk: int) -> Iterator[tuple[int, int]]:
+    """Byte ranges of at most ``chunk``: whole texts, and a longer one by itself in
+    pieces from its start, so that a text's sum does not depend on its neighbours."""
+    for a, b in row_slices(off, chunk):
+        for lo in range(int(off[a]), int(off[b]), chunk):
+            yield lo, min(int(off[b]), lo + chunk)
+
+
 def _score(model, chunk):
     def run(batches):
         m = model.value
@@ -195,8 +206,7 @@ def _score(model, chunk):
             data, off = flat(batch.column("text"))
             rows = len(batch)
             total = np.tile(m.prior, (rows, 1))
-            for lo in range(0, len(data), chunk):
-                hi = min(len(data), lo + chunk)
+            for lo, hi in pieces(off, chunk):
                 bits = m.bits(grams(data, off, lo, hi))
                 a = int(np.searchsorted(off, lo, side="right")) - 1
                 b = int(np.searchsorted(off, hi, side="left"))
@@ -228,8 +238,9 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
                         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)     # bounded by the training sample
-    t = d.schema["id"].dataType.simpleString()
-    return (d.mapInArrow(_score(held, chunk), f"id {t}, lang_pred string, score double, bits_per_byte double, n_bytes long")
+    out = (StructType().add("id", d.schema["id"].dataType).add("lang_pred", "string").add("score", "double")
+           .add("bits_per_byte", "double").add("n_bytes", "long"))
+    return (d.mapInArrow(_score(held, chunk), out)
             .withColumnRenamed("id", id_col))
 
 

@@ -47,3 +47,37 @@ def test_rows_are_judged_by_their_text_not_their_id(spark, tmp_path):
     assert out.columns == COLUMNS
     one = [x for x in {x: 0 for x in pairs} if x not in ((6, c), (None, d), (None, leak))]
     assert have(out) == sorted(one, key=str)
+
+
+def test_single_kept_texts_are_not_shuffled(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(400)), "en", "a") for i in range(300)]
+    rows += [(900, rows[0][1], "en", "b"), (901, rows[1][1], "fr", "a"), (None, rows[2][1], "en", "a")]
+    docs_frame(spark, rows).select(*COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # above the threshold, as on large tables
+    try:
+        for stage, keeps in ((P.language_id, 303), (P.jaccard_join, 300)):
+            out = stage(spark, docs, str(tmp_path))
+            assert len(out.collect()) == keeps and out.columns == COLUMNS
+            assert shuffled_rows(out) < 60
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def shuffled_rows(df):
+    """Rows written by the shuffles of a collected frame's final plan whose rows hold the texts."""
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        p = todo.pop()
+        if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(p.executedPlan())
+            continue
+        if hasattr(p, "plan") and p.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(p.plan())
+            continue
+        if p.getClass().getSimpleName() == "ShuffleExchangeExec" and "text" in p.output().mkString(","):
+            total += p.metrics().apply("shuffleRecordsWritten").value()
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+    return total

@@ -29,6 +29,8 @@ PIVOTS = 8              # members by which blocks' main components meet
 CHUNK = 1 << 18         # keys combined at a time in a task
 FILTER_BITS = 1 << 26   # most bits of the filter over wanted ids (8 MB)
 KEY_ROWS = "key long, a long, b long, is_pair boolean"
+PACKED_KEYS = "bucket int, body binary"
+BUCKET_KEYS = 1 << 21   # keys that one group of ``rarest_keys`` compares, at some 40 bytes each
 _U = np.uint64
 
 
@@ -129,6 +131,107 @@ def _reduce_keys(batches):
         yield edges()
 
 
+def _planes(x: np.ndarray) -> bytes:
+    return np.ascontiguousarray(x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _of_planes(raw: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view(np.uint32).ravel()
+
+
+def packed_keys(keys: list[np.ndarray], sids: list[int], counts: list[int], spare: list[int], buckets: int) -> pa.RecordBatch:
+    """Map side of ``rarest_keys``: the keys of each (set, spare) in ``counts``'
+    order, one row a bucket of keys.  A body holds the number of its runs (4 bytes),
+    their sets (8), lengths and spares (4 in planes), and the keys' last 40 bits
+    (4 and 1): a bucket holds keys that differ there, but for some millionths."""
+    key = np.concatenate(keys)
+    run = np.repeat(np.arange(len(counts)), counts)
+    bucket = ((key >> _U(40)) * _U(buckets) >> _U(24)).astype(np.int64)
+    by = np.argsort(bucket, kind="stable")
+    key, run, cut = key[by], run[by], np.searchsorted(bucket[by], np.arange(buckets + 1))
+    sid, spare_ = np.array(sids, np.uint64), np.array(spare, np.uint32)
+    full, body = np.flatnonzero(np.diff(cut)), []
+    for i in full:
+        x, r = key[cut[i]:cut[i + 1]], run[cut[i]:cut[i + 1]]
+        first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+        body.append(b"".join([
+            np.uint32(len(first)).tobytes(), sid[r[first]].tobytes(), _planes(np.diff(first, append=len(r))),
+            _planes(spare_[r[first]]), x.astype(np.uint32).tobytes(), (x >> _U(32)).astype(np.uint8).tobytes()]))
+    return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(body, pa.binary())], ["bucket", "body"])
+
+
+def _shared_keys(table: pa.Table) -> pa.Table:
+    """One bucket: the keys that several sets have, with how many have them."""
+    key, sid, spare, runs = [], [], [], []
+    for body in table.column("body"):
+        raw = np.frombuffer(body.as_buffer(), np.uint8)
+        r = int(raw[:4].view(np.uint32)[0])
+        runs.append(_of_planes(raw[4 + 8 * r:4 + 12 * r]))
+        m, at = int(runs[-1].sum()), 4 + 16 * r
+        sid.append(np.frombuffer(raw[4:4 + 8 * r].tobytes(), np.uint64))
+        spare.append(_of_planes(raw[4 + 12 * r:at]))
+        key.append(np.frombuffer(raw[at:at + 4 * m].tobytes(), np.uint32).astype(np.uint64)
+                   | (raw[at + 4 * m:].astype(np.uint64) << _U(32)))
+    key, sid, spare, runs = (np.concatenate(x) for x in (key, sid, spare, runs))
+    by = np.argsort(key, kind="stable")
+    key = key[by]
+    same = key[1:] == key[:-1]
+    same = np.concatenate([[False], same]) | np.concatenate([same, [False]])        # held twice or more
+    key, run = key[same], np.repeat(np.arange(len(runs), dtype=np.int32), runs)[by[same]]
+    by = np.lexsort((sid[run], key))
+    key, sid, spare = key[by], sid[run[by]], spare[run[by]]
+    once = np.concatenate([[True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])])[:len(key)]
+    key, sid, spare = key[once], sid[once], spare[once]
+    cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+    n = np.diff(cut, append=len(key))
+    n = np.repeat(n, n)
+    keep = n > 1
+    bucket = _U(table.column("bucket")[0].as_py()) << _U(40)
+    return pa.table([pa.array(sid[keep].view(np.int64)), pa.array(spare[keep].astype(np.int32)), pa.array(n[keep].astype(np.int32)),
+                     pa.array((key[keep] | bucket).view(np.int64))], names=["sid", "spare", "n", "key"])
+
+
+def _first_keys(batches):
+    """Rows sorted by set, spare, whether empty, count and key: a set's keys but
+    the last ``spare`` (halved: its last bit tells two bands apart)."""
+    tail = None
+
+    def chosen(cols):
+        sid, spare, key = cols
+        cut = np.flatnonzero(np.concatenate([[True], (sid[1:] != sid[:-1]) | (spare[1:] != spare[:-1])]))
+        n = np.diff(cut, append=len(sid))
+        keep = np.arange(len(sid)) - np.repeat(cut, n) < np.repeat(n - spare[cut] // 2, n)
+        if keep.any():
+            yield combine_keys([key[keep]], [sid[keep]])
+
+    for batch in batches:
+        cols = [batch.column(c).to_numpy() for c in ("sid", "spare", "key")]
+        cols = [cols[0].view(np.uint64), cols[1].astype(np.int64), cols[2].view(np.uint64)]
+        if tail is not None:
+            cols = [np.concatenate(x) for x in zip(tail, cols)]
+        if not len(cols[0]):
+            continue
+        last = int(np.flatnonzero(np.concatenate([[True], (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])]))[-1])
+        if last >= CHUNK:
+            yield from chosen([x[:last] for x in cols])
+            cols = [x[last:] for x in cols]
+        tail = cols
+    if tail is not None:
+        yield from chosen(tail)
+
+
+def rarest_keys(packed: DataFrame) -> DataFrame:
+    """``combine_keys`` rows of the keys by which sets may meet, from all keys of
+    all sets (``packed_keys``).  A set leaves out as many of its keys as it can
+    spare: those that most sets have, which are its last ones in an order that is
+    the same for all sets.  Keys that one set alone has come first and meet nothing;
+    so a set whose keys are shared by a passage or a few lines gives none."""
+    shared = packed.groupBy("bucket").applyInArrow(_shared_keys, "sid long, spare int, n int, key long")
+    order = F.col("key").bitwiseAND(F.lit(1))
+    return (stored(shared, "shared-keys").repartition("sid").sortWithinPartitions("sid", "spare", order, "n", "key")
+            .mapInArrow(_first_keys, KEY_ROWS))
+
+
 def candidate_clusters(key_rows: DataFrame) -> DataFrame:
     """(node, component) of the sets that share keys, from ``combine_keys`` rows."""
     return connected_components(key_rows.repartition("key").sortWithinPartitions("key")

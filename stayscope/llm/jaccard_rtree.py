@@ -11,10 +11,12 @@ Distribution, without losing a link.  Similar sets differ in at most
 d <= k(size band) shingles.  A second hash splits each set into more than k
 groups, the same for all sets of the band.  A set whose own size allows d
 differences gives keys of its d+1 first groups in an order that only depends on
-a group's content: the largest first, so that groups of a few shingles, which
-many sets share by one line, and empty ones seldom give any.  Of two linked
-sets, each has an equal group among its first ones, and the one of these that
-comes earlier in the order is among the first of both: there they meet.
+a group's content: the groups that fewest sets have come first, so that groups
+of a passage or line that many sets share seldom give any, and groups without
+shingles come last.  Of two linked sets, each has an equal group among its first
+ones, and the one of these that comes earlier in the order is among the first of
+both: there they meet.  How many sets have a group is counted by a shuffle of
+all groups' keys (``rarest_keys``), of which only shared ones go further.
 Sets that share a key form a candidate cluster (``clusters``),
 and every link lies inside one cluster, whose blocks the tree joins.  Equal
 sets are one set throughout.
@@ -35,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .clusters import (BLOCK_ITEMS, CHUNK, KEY_ROWS, candidate_clusters, classes, combine_keys, doc_sets,
-                       link_clusters, overlap, rows_by_bits, set_id, wanted_bits)
+from .clusters import (BLOCK_ITEMS, BUCKET_KEYS, CHUNK, PACKED_KEYS, candidate_clusters, classes, doc_sets, link_clusters,
+                       overlap, packed_keys, rarest_keys, rows_by_bits, set_id, wanted_bits)
 from .shipping import ship
 from .store import free_name, stored, text_key
 from .text import flat, mix64, row_slices
@@ -44,7 +46,7 @@ from .text import flat, mix64, row_slices
 DIMS = 32               # coordinates of a point
 LEAF = 32               # sets in a leaf, nodes in an inner node
 SPARE = 2               # groups beyond those that differences may touch,
-SPARE_PERCENT = 30      # and as many percent of these: the smallest groups give no keys
+SPARE_PERCENT = 30      # and as many percent of these: the commonest groups give no keys
 _U = np.uint64
 
 
@@ -154,9 +156,10 @@ def _points(k: int):
     return run
 
 
-def set_keys(s: np.ndarray, percent: int, edges: np.ndarray) -> np.ndarray:
-    """Keys under which this set meets every set it may link with."""
-    out = []
+def set_groups(s: np.ndarray, percent: int, edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """For both bands that this set may link in: (keys, sizes, groups that hold
+    shingles, differences d that its own size allows).  Groups without shingles
+    come last, and only where no more than d hold any."""
     n = len(s)
     band = int(np.searchsorted(edges, n, side="right")) - 1
     for j in (band, band + 1):
@@ -171,36 +174,47 @@ def set_keys(s: np.ndarray, percent: int, edges: np.ndarray) -> np.ndarray:
         cut = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
         body = np.add.reduceat(x[by], cut)
         ids, size = g[cut], np.diff(cut, append=n)
-        if len(ids) <= own:
+        held = len(ids)
+        if held <= own:
             empty = np.setdiff1d(np.arange(groups), ids)
             none = np.zeros(len(empty), np.int64)
             ids, body, size = np.concatenate([ids, empty]), np.concatenate([body, none.view(np.uint64)]), np.concatenate([size, none])
-        keys = mix64(body + mix64(ids.astype(np.uint64) + _U((j + 1) << 32)))
-        out.append(keys[np.lexsort((keys, -size))[:own + 1]])
-    return np.concatenate(out)
+        yield mix64(body + mix64(ids.astype(np.uint64) + _U((j + 1) << 32))), size, held, own
+
+
+def set_keys(s: np.ndarray, percent: int, edges: np.ndarray) -> np.ndarray:
+    """Keys under which this set meets every set it may link with, where nothing
+    is known of how many sets share a group: those of the largest groups."""
+    return np.concatenate([keys[np.lexsort((keys, -size))[:own + 1]]
+                           for keys, size, _, own in set_groups(s, percent, edges)])
 
 
-def _emit(k: int, percent: int):
-    """Map side: the keys of every set, combined a chunk at a time."""
+def _emit(k: int, percent: int, buckets: int):
+    """Map side: all groups of every set that is new to the task, a chunk at a time."""
     def run(batches):
-        keys, sids, held, edges = [], [], 0, bands(percent, 1 << 16)
+        seen: set[int] = set()
+        keys, sids, counts, spare, held, edges = [], [], [], [], 0, bands(percent, 1 << 16)
         for batch in batches:
             data, off = flat(batch.column("text"))
             for lo, hi in row_slices(off):
                 for _, s in doc_sets(data[off[lo]:off[hi]], off[lo:hi + 1], k):
-                    if not len(s):
+                    if not len(s) or (sid := int(set_id(s))) in seen:
                         continue
+                    seen.add(sid)
                     if len(s) >= edges[-3]:
                         edges = bands(percent, 2 * len(s))
-                    ks = set_keys(s, percent, edges)
-                    keys.append(ks)
-                    sids.append(np.full(len(ks), set_id(s), np.uint64))
-                    held += len(ks)
+                    for scope, (key, _, full, own) in enumerate(set_groups(s, percent, edges)):
+                        # the last bit tells groups without shingles
+                        keys.append((key & ~_U(1)) | (np.arange(len(key)) >= full).astype(np.uint64))
+                        sids.append(sid)
+                        counts.append(len(key))
+                        spare.append(2 * max(0, full - own - 1) + scope)
+                        held += len(key)
                 if held >= CHUNK:
-                    yield combine_keys(keys, sids)
-                    keys, sids, held = [], [], 0
+                    yield packed_keys(keys, sids, counts, spare, buckets)
+                    keys, sids, counts, spare, held = [], [], [], [], 0
         if held:
-            yield combine_keys(keys, sids)
+            yield packed_keys(keys, sids, counts, spare, buckets)
     return run
 
 
@@ -213,7 +227,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     point = stored(d.mapInArrow(_points(k), f"id {id_type}, n_shingles long, sid long"), "points")
     first = point.where("n_shingles > 0").groupBy("sid").agg(
         F.min("id").alias("id"), F.max("n_shingles").alias("n_shingles"))
-    cluster = candidate_clusters(d.mapInArrow(_emit(k, percent), KEY_ROWS))
+    groups = point.where("n_shingles > 0").agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]     # more than there are
+    buckets = max(1, -(-int(groups) // BUCKET_KEYS))
+    cluster = candidate_clusters(rarest_keys(d.mapInArrow(_emit(k, percent, buckets), PACKED_KEYS)))
     return classes(point, first, link_clusters(d, first, cluster, k, percent, join_block, BLOCK_ITEMS), id_col)
 
 
